@@ -1,3 +1,3 @@
 """Import every plan module so its queries register."""
 
-from tessera.plans import checks_sales_gen, dims, facts, measures, sources  # noqa: F401
+from tessera.plans import checks_fulfilment, checks_sales_gen, dims, facts, measures, sources  # noqa: F401

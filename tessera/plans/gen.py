@@ -267,3 +267,141 @@ register("gen_order_payment", f"""
                 CROSS JOIN (SELECT min(year(OrderDate)) AS lo, max(year(OrderDate)) AS hi FROM order_profile) y) p
           CROSS JOIN (SELECT unnest(range(1, 8)) AS k) pm) s) r
   WHERE rk = 1""", ("order_profile", "dim_customer", "dim_geography"))
+
+
+# =============================================================================
+# P3  OrderFulfillment - order lifecycle (ship / deliver / cancel / return)
+# =============================================================================
+# --- fixed values ------------------------------------------------------------
+FUL_RECENT_DAYS = 21                      # orders this close to the max date are still open
+FUL_METHOD_CUTS = [(10, "Overnight"), (40, "Express")]  # shipping seed < cut, else Standard
+FUL_GEO = {"Domestic": 0.70, "Continental": 1.00, "International": 1.60}
+FUL_PROC_DECAY = 0.30                     # processing speeds up by 30 % over the years
+FUL_TRANSIT_BASE = {"Standard": (5, 8), "Express": (2, 4)}  # base days + seed range
+FUL_OVERNIGHT_INTL = 1.5
+FUL_STATUS_CUTS = [(2, "Cancelled"), (3, "Returned")]   # status seed < cut, else Delivered
+# -----------------------------------------------------------------------------
+
+
+def _fulfilment_base(m) -> DataFrame:
+    f = m.fact_online_sales.select("OrderKey", "SalesOrderNumber", "DateKey", "SalesAmount", "SalesQuantity",
+                                   "CustomerKey", "StoreKey")
+    sg = m.dim_store.select("StoreKey", "GeographyKey").join(
+        m.dim_geography.select("GeographyKey", F.col("RegionCountryName").alias("sc"),
+                               F.col("ContinentName").alias("sk")), "GeographyKey", "left").drop("GeographyKey")
+    lines = f.join(sg, "StoreKey", "left")
+    ob = lines.groupBy("OrderKey").agg(
+        F.first("SalesOrderNumber").alias("SalesOrderNumber"),
+        F.min("DateKey").cast("date").alias("OrderDate"),
+        F.sum("SalesAmount").cast("decimal(19,4)").alias("OrderValue"),
+        F.sum("SalesQuantity").alias("TotalItems"),
+        F.min("CustomerKey").alias("CustomerKey"),
+        F.min("sc").alias("sc"), F.min("sk").alias("sk"),
+    )
+    cg = m.dim_customer.select("CustomerKey", "GeographyKey").join(
+        m.dim_geography.select("GeographyKey", F.col("RegionCountryName").alias("cc"),
+                               F.col("ContinentName").alias("ck")), "GeographyKey", "left").drop("GeographyKey")
+    ob = ob.join(cg, "CustomerKey")
+    yrs = ob.agg(F.min(F.year("OrderDate")).alias("lo"), F.max(F.year("OrderDate")).alias("hi"),
+                 F.max("OrderDate").alias("maxd"))
+    ob = ob.crossJoin(F.broadcast(yrs))
+    k = "SalesOrderNumber"
+    return ob.select(
+        "SalesOrderNumber", "OrderDate",
+        F.coalesce("cc", F.lit("Unknown")).alias("cc"), F.coalesce("ck", F.lit("Unknown")).alias("ck"),
+        F.coalesce("sc", F.lit("Unknown")).alias("sc"), F.coalesce("sk", F.lit("Unknown")).alias("sk"),
+        _year_progress(F.year("OrderDate"), F.col("lo"), F.col("hi")).alias("yp"),
+        (F.col("OrderDate") >= F.date_sub("maxd", FUL_RECENT_DAYS)).alias("recent"),
+        draw("ful_ship", 100, k).alias("s_ship"), draw("ful_status", 100, k).alias("s_status"),
+        draw("ful_bin", 2, k).alias("s_bin"), draw("ful_pstd", 3, k).alias("s_pstd"),
+        draw("ful_pexp", 2, k).alias("s_pexp"), draw("ful_tstd", 8, k).alias("s_tstd"),
+        draw("ful_texp", 4, k).alias("s_texp"),
+    )
+
+
+@gen_table("order_fulfillment")
+def gen_order_fulfillment(m) -> DataFrame:
+    """One lifecycle row per order, NULL dates for unshipped/undelivered."""
+    b = _fulfilment_base(m)
+    method = F.lit("Standard")
+    for cut, name in reversed(FUL_METHOD_CUTS):
+        method = F.when(F.col("s_ship") < cut, F.lit(name)).otherwise(method)
+    geo = (F.when(F.col("cc") == F.col("sc"), F.lit(FUL_GEO["Domestic"]))
+           .when(F.col("ck") == F.col("sk"), F.lit(FUL_GEO["Continental"]))
+           .otherwise(F.lit(FUL_GEO["International"])))
+    b = b.withColumn("method", method).withColumn("geo", geo)
+    decay = F.lit(1.0) - F.col("yp") * FUL_PROC_DECAY
+
+    def rnd(x):
+        return F.round(x, 0).cast("int")
+
+    proc = (F.when(F.col("method") == "Standard", F.greatest(F.lit(1), rnd((1 + F.col("s_pstd")).cast("double") * decay)))
+            .when(F.col("method") == "Express", F.greatest(F.lit(1), rnd((1 + F.col("s_pexp")).cast("double") * decay)))
+            .otherwise(F.greatest(F.lit(0), rnd(F.col("s_bin").cast("double") * decay))))
+    std_b, std_n = FUL_TRANSIT_BASE["Standard"]
+    exp_b, exp_n = FUL_TRANSIT_BASE["Express"]
+    transit = (F.when(F.col("method") == "Standard", F.ceil((std_b + F.col("s_tstd")).cast("double") * F.col("geo")))
+               .when(F.col("method") == "Express", F.ceil((exp_b + F.col("s_texp")).cast("double") * F.col("geo")))
+               .otherwise(F.ceil((1 + F.col("s_bin")).cast("double")
+                                 * F.when(F.col("geo") > 1.0, F.lit(FUL_OVERNIGHT_INTL)).otherwise(F.col("geo"))))
+               ).cast("int")
+    status = F.lit("Delivered")
+    for cut, name in reversed(FUL_STATUS_CUTS):
+        status = F.when(F.col("s_status") < cut, F.lit(name)).otherwise(status)
+    status = F.when(F.col("recent"), F.when(F.col("s_bin") == 0, "Shipped").otherwise("Delivered")).otherwise(status)
+    b = b.withColumn("proc", proc).withColumn("transit", transit).withColumn("status", status)
+    st = F.col("status")
+    cancelled = st == "Cancelled"
+    undelivered = st.isin("Cancelled", "Shipped")
+    return b.select(
+        "SalesOrderNumber", "OrderDate",
+        F.when(~cancelled, F.date_add("OrderDate", F.col("proc"))).alias("ShipDate"),
+        F.when(~undelivered, F.date_add("OrderDate", F.col("proc") + F.col("transit"))).alias("DeliveryDate"),
+        st.alias("FulfillmentStatus"),
+        F.col("method").alias("ShippingMethod"),
+        F.when(~cancelled, F.col("proc")).alias("ProcessingDays"),
+        F.when(~undelivered, F.col("transit")).alias("TransitDays"),
+        F.when(st.isin("Delivered", "Returned"), F.col("proc") + F.col("transit")).alias("TotalFulfillmentDays"),
+    )
+
+
+_K = "SalesOrderNumber"
+register("gen_order_fulfillment", f"""
+  SELECT SalesOrderNumber, OrderDate,
+    CASE WHEN status <> 'Cancelled' THEN CAST(OrderDate + proc AS DATE) END AS ShipDate,
+    CASE WHEN status NOT IN ('Cancelled', 'Shipped') THEN CAST(OrderDate + proc + transit AS DATE) END AS DeliveryDate,
+    status AS FulfillmentStatus, method AS ShippingMethod,
+    CASE WHEN status <> 'Cancelled' THEN proc END AS ProcessingDays,
+    CASE WHEN status NOT IN ('Cancelled', 'Shipped') THEN transit END AS TransitDays,
+    CASE WHEN status IN ('Delivered', 'Returned') THEN proc + transit END AS TotalFulfillmentDays
+  FROM (SELECT *,
+      CASE method
+        WHEN 'Standard' THEN greatest(1, CAST(round(CAST(1 + s_pstd AS DOUBLE) * (1.0 - yp * {FUL_PROC_DECAY})) AS INTEGER))
+        WHEN 'Express' THEN greatest(1, CAST(round(CAST(1 + s_pexp AS DOUBLE) * (1.0 - yp * {FUL_PROC_DECAY})) AS INTEGER))
+        ELSE greatest(0, CAST(round(CAST(s_bin AS DOUBLE) * (1.0 - yp * {FUL_PROC_DECAY})) AS INTEGER)) END AS proc,
+      CAST(CASE method
+        WHEN 'Standard' THEN ceil(CAST({FUL_TRANSIT_BASE['Standard'][0]} + s_tstd AS DOUBLE) * geo)
+        WHEN 'Express' THEN ceil(CAST({FUL_TRANSIT_BASE['Express'][0]} + s_texp AS DOUBLE) * geo)
+        ELSE ceil(CAST(1 + s_bin AS DOUBLE) * CASE WHEN geo > 1.0 THEN CAST({FUL_OVERNIGHT_INTL} AS DOUBLE) ELSE geo END) END AS INTEGER) AS transit,
+      CASE WHEN recent THEN CASE WHEN s_bin = 0 THEN 'Shipped' ELSE 'Delivered' END
+           WHEN s_status < 2 THEN 'Cancelled' WHEN s_status < 3 THEN 'Returned' ELSE 'Delivered' END AS status
+    FROM (SELECT *,
+        CASE WHEN s_ship < 10 THEN 'Overnight' WHEN s_ship < 40 THEN 'Express' ELSE 'Standard' END AS method,
+        CASE WHEN cc = sc THEN CAST({FUL_GEO['Domestic']} AS DOUBLE) WHEN ck = sk THEN CAST({FUL_GEO['Continental']} AS DOUBLE)
+             ELSE CAST({FUL_GEO['International']} AS DOUBLE) END AS geo
+      FROM (SELECT SalesOrderNumber, OrderDate,
+          coalesce(cc, 'Unknown') AS cc, coalesce(ck, 'Unknown') AS ck, coalesce(sc, 'Unknown') AS sc, coalesce(sk, 'Unknown') AS sk,
+          {_sql_year_progress('year(OrderDate)', 'y.lo', 'y.hi')} AS yp,
+          OrderDate >= CAST(y.maxd - INTERVAL {FUL_RECENT_DAYS} DAY AS DATE) AS recent,
+          {sdraw('ful_ship', 100, _K)} AS s_ship, {sdraw('ful_status', 100, _K)} AS s_status,
+          {sdraw('ful_bin', 2, _K)} AS s_bin, {sdraw('ful_pstd', 3, _K)} AS s_pstd, {sdraw('ful_pexp', 2, _K)} AS s_pexp,
+          {sdraw('ful_tstd', 8, _K)} AS s_tstd, {sdraw('ful_texp', 4, _K)} AS s_texp
+        FROM (SELECT o.*, cg.RegionCountryName AS cc, cg.ContinentName AS ck
+              FROM (SELECT f.OrderKey, any_value(f.SalesOrderNumber) AS SalesOrderNumber, CAST(min(f.DateKey) AS DATE) AS OrderDate,
+                      min(f.CustomerKey) AS CustomerKey, min(sg.RegionCountryName) AS sc, min(sg.ContinentName) AS sk
+                    FROM fact_online_sales f LEFT JOIN dim_store s ON f.StoreKey = s.StoreKey
+                    LEFT JOIN dim_geography sg ON s.GeographyKey = sg.GeographyKey GROUP BY f.OrderKey) o
+              JOIN dim_customer c ON o.CustomerKey = c.CustomerKey
+              LEFT JOIN dim_geography cg ON c.GeographyKey = cg.GeographyKey) ob
+        CROSS JOIN (SELECT min(year(OrderDate)) AS lo, max(year(OrderDate)) AS hi, max(OrderDate) AS maxd FROM order_profile) y
+      ) b) c) d""", ("fact_online_sales", "dim_store", "dim_geography", "dim_customer", "order_profile"))
