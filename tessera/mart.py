@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.config import MartConfig
+from tessera.config import MartConfig, ensure_checkpoint_dir
 from tessera.sources import adapter, reference
 
 
@@ -28,6 +28,7 @@ class Mart:
         self.cfg = cfg or MartConfig()
         self.gen_dir = gen_dir
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_checkpoint_dir(spark)
 
     # ---- source tables -------------------------------------------------
     @cached_property

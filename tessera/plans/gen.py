@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import date_key, draw
+from tessera.functions import date_key, draw, noise
 from tessera.operators import argmax_key
 from tessera.oracle.adapter_sql import draw as sdraw
+from tessera.oracle.adapter_sql import noise as snoise
 from tessera.oracle.adapter_sql import register
 
 
@@ -405,3 +406,115 @@ register("gen_order_fulfillment", f"""
               LEFT JOIN dim_geography cg ON c.GeographyKey = cg.GeographyKey) ob
         CROSS JOIN (SELECT min(year(OrderDate)) AS lo, max(year(OrderDate)) AS hi, max(OrderDate) AS maxd FROM order_profile) y
       ) b) c) d""", ("fact_online_sales", "dim_store", "dim_geography", "dim_customer", "order_profile"))
+
+
+# =============================================================================
+# P6 / P7  Return events (online and physical)
+# =============================================================================
+# --- fixed values ------------------------------------------------------------
+RET_TIER_CUTS = (50, 200)                       # amount < 50 -> tier 1, < 200 -> 2, else 3
+ONLINE_LAG = {1: (7, 8), 2: (14, 8), 3: (21, 25)}   # tier -> (base days, noise modulus)
+STORE_LAG = {1: (1, 5), 2: (3, 8), 3: (5, 17)}
+ONLINE_REFUND_PCT = {1: 90, 2: 85, 3: 80}
+STORE_REFUND_PCT = {1: 92, 2: 88, 3: 83}
+ONLINE_REASON_SCOPE = ("Both", "Online Only")
+STORE_REASON_SCOPE = ("Both",)
+# -----------------------------------------------------------------------------
+
+
+def _eligible_reasons(m, scope) -> DataFrame:
+    """Eligible reasons numbered 0..n-1 by key, with n; at most 8 rows."""
+    from pyspark.sql import Window
+
+    r = m.ref_return_reason.where(F.col("AppliesTo").isin(*scope)).select("ReturnReasonKey")
+    w = Window.orderBy("ReturnReasonKey")
+    return r.select("ReturnReasonKey", (F.row_number().over(w) - 1).alias("rn"),
+                    F.count(F.lit(1)).over(Window.partitionBy()).alias("n_reasons"))
+
+
+def _returns(m, lines: DataFrame, key: str, salt: str, lag: dict, refund: dict, scope) -> DataFrame:
+    """Shared body of P6/P7: narrow map over returned lines + broadcast reason lookup."""
+    amt = F.col("ReturnAmount")
+    tier = F.when(amt < RET_TIER_CUTS[0], 1).when(amt < RET_TIER_CUTS[1], 2).otherwise(3)
+    na, nb, nc = (noise(f"{salt}_{x}", key) for x in "abc")
+    lag_days = F.lit(0)
+    refunded = F.lit(False)
+    for t in (3, 2, 1):
+        base, mod = lag[t]
+        lag_days = F.when(F.col("tier") == t, F.lit(base) + F.pmod(F.col("na"), F.lit(mod))).otherwise(lag_days)
+        refunded = F.when(F.col("tier") == t, F.pmod(F.col("nc"), F.lit(100)) < refund[t]).otherwise(refunded)
+    reasons = _eligible_reasons(m, scope)
+    n = reasons.agg(F.max("n_reasons").alias("n_reasons"))  # one row
+    x = (lines.where((F.col("ReturnQuantity") > 0) & (F.col("ReturnAmount") > 0))
+         .withColumn("tier", tier).withColumn("na", na).withColumn("nb", nb).withColumn("nc", nc)
+         .crossJoin(F.broadcast(n)))
+    x = x.withColumn("rn", F.pmod(F.col("nb"), F.col("n_reasons")))
+    x = x.join(F.broadcast(reasons.select("rn", "ReturnReasonKey")), "rn")  # <= 8 rows
+    sale = F.col("DateKey").cast("date")
+    x = m.with_scalars(x, "max_date").withColumn("lag", lag_days.cast("int")).withColumn("refunded", refunded)
+    ret = F.least(F.date_add(sale, F.col("lag")), F.col("max_date"))
+    return x.select(
+        "*",
+        date_key(sale).alias("OriginalSaleDateKey"), sale.alias("OriginalSaleDate"),
+        date_key(ret).alias("ReturnDateKey"), ret.alias("ReturnDate"),
+        F.col("lag").alias("ReturnLagDays"),
+        F.col("refunded").alias("IsRefunded"),
+        F.when(F.col("refunded"), F.col("ReturnAmount")).otherwise(F.lit(0).cast("decimal(19,4)"))
+        .cast("decimal(19,4)").alias("RefundAmount"),
+    )
+
+
+_RET_COLS = ["OriginalSaleDateKey", "OriginalSaleDate", "ReturnDateKey", "ReturnDate", "ReturnLagDays",
+             "ReturnQuantity", "ReturnAmount", "ReturnReasonKey", "IsRefunded", "RefundAmount"]
+
+
+@gen_table("online_return_events")
+def gen_online_returns(m) -> DataFrame:
+    """One return event per returned online line (id = the sales line key)."""
+    f = m.fact_online_sales.select("OnlineSalesKey", "SalesOrderNumber", "SalesOrderLineNumber", "CustomerKey",
+                                   "ProductKey", "DateKey", "ReturnQuantity", "ReturnAmount")
+    x = _returns(m, f, "OnlineSalesKey", "oret", ONLINE_LAG, ONLINE_REFUND_PCT, ONLINE_REASON_SCOPE)
+    return x.select(F.col("OnlineSalesKey").alias("OnlineReturnEventID"), "SalesOrderNumber",
+                    "SalesOrderLineNumber", "CustomerKey", "ProductKey", *_RET_COLS)
+
+
+@gen_table("physical_return_events")
+def gen_store_returns(m) -> DataFrame:
+    """One return event per returned store line."""
+    f = m.fact_sales.select("SalesKey", "StoreKey", "ProductKey", "DateKey", "ReturnQuantity", "ReturnAmount")
+    x = _returns(m, f, "SalesKey", "pret", STORE_LAG, STORE_REFUND_PCT, STORE_REASON_SCOPE)
+    return x.select(F.col("SalesKey").alias("PhysicalReturnEventID"), F.col("SalesKey").alias("SourceSalesKey"),
+                    "StoreKey", "ProductKey", *_RET_COLS)
+
+
+def _sql_returns(src: str, key: str, salt: str, lag: dict, refund: dict, scope, cols: str) -> str:
+    na, nb, nc = (snoise(f"{salt}_{x}", key) for x in "abc")
+    lag_case = "CASE tier " + " ".join(f"WHEN {t} THEN {b} + na % {md}" for t, (b, md) in lag.items()) + " END"
+    ref_case = "CASE tier " + " ".join(f"WHEN {t} THEN nc % 100 < {p}" for t, p in refund.items()) + " END"
+    scope_sql = ", ".join(f"'{s}'" for s in scope)
+    return f"""
+  SELECT {cols},
+    CAST(year(OriginalSaleDate) * 10000 + month(OriginalSaleDate) * 100 + day(OriginalSaleDate) AS INTEGER) AS OriginalSaleDateKey,
+    OriginalSaleDate,
+    CAST(year(ReturnDate) * 10000 + month(ReturnDate) * 100 + day(ReturnDate) AS INTEGER) AS ReturnDateKey, ReturnDate,
+    lag AS ReturnLagDays, ReturnQuantity, ReturnAmount, ReturnReasonKey, refunded AS IsRefunded,
+    CAST(CASE WHEN refunded THEN ReturnAmount ELSE 0 END AS DECIMAL(19,4)) AS RefundAmount
+  FROM (SELECT x.*, CAST(DateKey AS DATE) AS OriginalSaleDate,
+          least(CAST(CAST(DateKey AS DATE) + lag AS DATE), s.max_date) AS ReturnDate, r.ReturnReasonKey
+        FROM (SELECT *, CAST({lag_case} AS INTEGER) AS lag, {ref_case} AS refunded
+              FROM (SELECT *, CASE WHEN ReturnAmount < {RET_TIER_CUTS[0]} THEN 1 WHEN ReturnAmount < {RET_TIER_CUTS[1]} THEN 2 ELSE 3 END AS tier,
+                      {na} AS na, {nb} AS nb, {nc} AS nc
+                    FROM {src} WHERE ReturnQuantity > 0 AND ReturnAmount > 0) t) x
+        CROSS JOIN scalars s
+        JOIN (SELECT ReturnReasonKey, row_number() OVER (ORDER BY ReturnReasonKey) - 1 AS rn, count(*) OVER () AS n
+              FROM ref_return_reason WHERE AppliesTo IN ({scope_sql})) r ON r.rn = x.nb % r.n) y"""
+
+
+register("gen_online_returns", _sql_returns(
+    "fact_online_sales", "OnlineSalesKey", "oret", ONLINE_LAG, ONLINE_REFUND_PCT, ONLINE_REASON_SCOPE,
+    "OnlineSalesKey AS OnlineReturnEventID, SalesOrderNumber, SalesOrderLineNumber, CustomerKey, ProductKey"),
+    ("fact_online_sales", "scalars", "ref_return_reason"))
+register("gen_store_returns", _sql_returns(
+    "fact_sales", "SalesKey", "pret", STORE_LAG, STORE_REFUND_PCT, STORE_REASON_SCOPE,
+    "SalesKey AS PhysicalReturnEventID, SalesKey AS SourceSalesKey, StoreKey, ProductKey"),
+    ("fact_sales", "scalars", "ref_return_reason"))
