@@ -8,6 +8,8 @@ Each function carries ``gen_table`` so a build can persist it
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -518,3 +520,174 @@ register("gen_store_returns", _sql_returns(
     "fact_sales", "SalesKey", "pret", STORE_LAG, STORE_REFUND_PCT, STORE_REASON_SCOPE,
     "SalesKey AS PhysicalReturnEventID, SalesKey AS SourceSalesKey, StoreKey, ProductKey"),
     ("fact_sales", "scalars", "ref_return_reason"))
+
+
+# =============================================================================
+# P5  FactCustomerSurvey - behaviour-driven NPS / CSAT responses
+# =============================================================================
+# --- fixed values ------------------------------------------------------------
+SV_FREQ = [(10, "0.25"), (5, "0.20"), (3, "0.15"), (2, "0.10")]        # orders >= n
+SV_FREQ_ELSE = "0.05"
+SV_RECENCY = [(90, "0.25"), (180, "0.20"), (365, "0.12")]              # days since last < n
+SV_RECENCY_ELSE = "0.05"
+SV_RETURN_ZERO = "0.25"
+SV_RETURN = [(0.05, "0.18"), (0.15, "0.10")]                           # return rate < r
+SV_RETURN_ELSE = "0.03"
+SV_SPEND = [(5000, "0.25"), (1000, "0.18"), (200, "0.12")]             # spend > s
+SV_SPEND_ELSE = "0.07"
+SV_SAMPLE = [(10, 30), (5, 25), (2, 20)]                               # orders >= n -> pct surveyed
+SV_SAMPLE_ELSE = 15
+# trigger: (name, id, base day offset, day noise modulus, min tenure days, min orders)
+SV_TRIGGERS = [("Post-Purchase", 1, 7, 8, None, None), ("Quarterly", 2, 180, 30, 200, 2),
+               ("Annual", 3, 365, 30, 380, 3)]
+SV_POST_FACTOR = 0.85
+SV_ANNUAL_FACTOR = (0.90, 200)          # 0.90 + (0..199)/1000
+# -----------------------------------------------------------------------------
+
+
+def customer_behaviour(m) -> DataFrame:
+    """Per-customer orders, spend, return rate and purchase span.
+
+    Built from the order grain (one customer per order), so COUNT(DISTINCT
+    order) is a plain count and every step is a partial aggregation - a hot
+    customer is pre-combined map-side instead of landing in one task."""
+    f = m.fact_online_sales
+    o = f.groupBy("OrderKey").agg(
+        F.min("CustomerKey").alias("CustomerKey"), F.sum("SalesAmount").alias("amt"),
+        F.sum("ReturnQuantity").alias("rq"), F.sum("SalesQuantity").alias("sq"),
+        F.min("DateKey").cast("date").alias("first"), F.max("DateKey").cast("date").alias("last"))
+    b = o.groupBy("CustomerKey").agg(
+        F.count(F.lit(1)).alias("TotalOrders"), F.sum("amt").alias("TotalSpend"),
+        F.sum("rq").alias("TotalReturnQty"), F.sum("sq").alias("TotalSalesQty"),
+        F.max("last").alias("LastPurchaseDate"), F.min("first").alias("FirstPurchaseDate"))
+    return b.withColumn("ReturnRate", F.when(F.col("TotalSalesQty") > 0,
+                                             F.col("TotalReturnQty").cast("double") / F.col("TotalSalesQty"))
+                        .otherwise(F.lit(0.0)))
+
+
+def _dec_bands(x, cuts, other, op):
+    e = F.lit(Decimal(other))
+    for lim, v in reversed(cuts):
+        cond = {"<": x < lim, ">": x > lim, ">=": x >= lim}[op]
+        e = F.when(cond, F.lit(Decimal(v))).otherwise(e)
+    return e
+
+
+@gen_table("customer_survey")
+def gen_customer_survey(m) -> DataFrame:
+    """P5: sampled customers answer up to three surveys (post-purchase, quarterly, annual)."""
+    b = customer_behaviour(m).join(
+        m.dim_customer.where(F.col("CustomerType") == "Person").select("CustomerKey"), "CustomerKey")
+    b = m.with_scalars(b, "max_date")
+    since = F.datediff("max_date", "LastPurchaseDate")
+    tenure = F.datediff("max_date", "FirstPurchaseDate")
+    rr = F.col("ReturnRate")
+    ret = F.when(rr == 0, F.lit(Decimal(SV_RETURN_ZERO))).otherwise(_dec_bands(rr, SV_RETURN, SV_RETURN_ELSE, "<"))
+    score = (_dec_bands(F.col("TotalOrders"), SV_FREQ, SV_FREQ_ELSE, ">=")
+             + _dec_bands(since, SV_RECENCY, SV_RECENCY_ELSE, "<")
+             + ret
+             + _dec_bands(F.col("TotalSpend"), SV_SPEND, SV_SPEND_ELSE, ">")).cast("double")
+    pct = F.lit(SV_SAMPLE_ELSE)
+    for n, p in reversed(SV_SAMPLE):
+        pct = F.when(F.col("TotalOrders") >= n, F.lit(p)).otherwise(pct)
+    s = b.select("CustomerKey", "TotalOrders", "FirstPurchaseDate", "max_date", tenure.alias("tenure"),
+                 score.alias("score")).where(draw("sv_sample", 100, "CustomerKey") < pct)
+    # one pass over the sampled customers: explode the (up to) three triggers
+    trig = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("trigger"), F.lit(tid).alias("tid"), F.lit(base).alias("base"),
+                 F.lit(mod).alias("mod"))
+        for name, tid, base, mod, _, _ in SV_TRIGGERS]))
+    x = s.select("*", trig.alias("t")).select("*", "t.*").drop("t")
+    keep = F.lit(True)
+    for name, _, _, _, min_ten, min_ord in SV_TRIGGERS:
+        if min_ten is not None:
+            keep = F.when(F.col("trigger") == name, (F.col("tenure") > min_ten) & (F.col("TotalOrders") >= min_ord)) \
+                .otherwise(keep)
+    x = x.where(keep)
+    keys = ("CustomerKey", "tid")
+    day = F.col("base") + F.pmod(noise("sv_day", *keys), F.col("mod"))
+    sdate = F.least(F.date_add("FirstPurchaseDate", day.cast("int")), F.col("max_date"))
+    lo, span = SV_ANNUAL_FACTOR
+    adj = (F.when(F.col("tid") == 1, F.col("score") * SV_POST_FACTOR)
+           .when(F.col("tid") == 2, F.col("score") * 1.00)
+           .otherwise(F.col("score") * (F.lit(lo) + draw("sv_annual", span, *keys) / 1000.0)))
+    ns, cs = draw("sv_nps", 100, *keys), draw("sv_csat", 100, *keys)
+    nps = (F.when(F.col("adj") >= 0.80, 8 + F.when(F.col("ns") < 55, 2).when(F.col("ns") < 85, 1).otherwise(0))
+           .when(F.col("adj") >= 0.60, 6 + F.when(F.col("ns") < 50, 2).when(F.col("ns") < 85, 1).otherwise(0))
+           .when(F.col("adj") >= 0.40, 5 + draw("sv_nps_lo", 3, *keys))
+           .when(F.col("adj") >= 0.25, 3 + draw("sv_nps_lo", 4, *keys))
+           .otherwise(draw("sv_nps_lo", 5, *keys))).cast("int")
+    x = x.select("CustomerKey", "tid", "trigger", sdate.alias("SurveyDate"), adj.alias("adj"),
+                 ns.alias("ns"), cs.alias("cs"))
+    x = x.withColumn("NPSScore", nps)
+    n, c = F.col("NPSScore"), F.col("cs")
+    csat = (F.when(n >= 9, F.when(c < 60, 5).when(c < 90, 4).otherwise(3))
+            .when(n >= 7, F.when(c < 40, 4).when(c < 80, 3).otherwise(2))
+            .when(n >= 4, F.when(c < 50, 3).when(c < 80, 2).otherwise(1))
+            .otherwise(F.when(c < 55, 1).otherwise(2))).cast("int")
+    x = x.withColumn("CSATScore", csat)
+    return x.select(
+        (F.col("CustomerKey").cast("long") * 10 + F.col("tid")).alias("SurveyResponseID"),
+        "CustomerKey",
+        date_key("SurveyDate").alias("SurveyDateKey"), "SurveyDate",
+        "NPSScore",
+        F.when(n >= 9, "Promoter").when(n >= 7, "Passive").otherwise("Detractor").alias("NPSCategory"),
+        "CSATScore",
+        F.when(F.col("CSATScore") >= 4, "Satisfied").when(F.col("CSATScore") == 3, "Neutral")
+        .otherwise("Dissatisfied").alias("CSATCategory"),
+        (n >= 9).alias("WouldRecommend"),
+        F.col("trigger").alias("SurveyTrigger"),
+    )
+
+
+def _sql_dec_bands(x, cuts, other, op):
+    return "CASE " + " ".join(f"WHEN {x} {op} {lim} THEN {v}" for lim, v in cuts) + f" ELSE {other} END"
+
+
+_SK = ("CustomerKey", "tid")
+register("customer_behaviour", """
+  SELECT CustomerKey, count(*) AS TotalOrders, sum(amt) AS TotalSpend, sum(rq) AS TotalReturnQty, sum(sq) AS TotalSalesQty,
+    max(last) AS LastPurchaseDate, min(first) AS FirstPurchaseDate,
+    CASE WHEN sum(sq) > 0 THEN CAST(sum(rq) AS DOUBLE) / CAST(sum(sq) AS DOUBLE) ELSE 0.0 END AS ReturnRate
+  FROM (SELECT OrderKey, min(CustomerKey) AS CustomerKey, sum(SalesAmount) AS amt, sum(ReturnQuantity) AS rq,
+          sum(SalesQuantity) AS sq, CAST(min(DateKey) AS DATE) AS first, CAST(max(DateKey) AS DATE) AS last
+        FROM fact_online_sales GROUP BY OrderKey) o
+  GROUP BY CustomerKey""", ("fact_online_sales",))
+register("gen_customer_survey", f"""
+  SELECT CAST(CustomerKey AS BIGINT) * 10 + tid AS SurveyResponseID, CustomerKey,
+    CAST(year(SurveyDate) * 10000 + month(SurveyDate) * 100 + day(SurveyDate) AS INTEGER) AS SurveyDateKey, SurveyDate,
+    NPSScore, CASE WHEN NPSScore >= 9 THEN 'Promoter' WHEN NPSScore >= 7 THEN 'Passive' ELSE 'Detractor' END AS NPSCategory,
+    CSATScore, CASE WHEN CSATScore >= 4 THEN 'Satisfied' WHEN CSATScore = 3 THEN 'Neutral' ELSE 'Dissatisfied' END AS CSATCategory,
+    NPSScore >= 9 AS WouldRecommend, trigger AS SurveyTrigger
+  FROM (SELECT *, CAST(CASE WHEN NPSScore >= 9 THEN CASE WHEN cs < 60 THEN 5 WHEN cs < 90 THEN 4 ELSE 3 END
+                            WHEN NPSScore >= 7 THEN CASE WHEN cs < 40 THEN 4 WHEN cs < 80 THEN 3 ELSE 2 END
+                            WHEN NPSScore >= 4 THEN CASE WHEN cs < 50 THEN 3 WHEN cs < 80 THEN 2 ELSE 1 END
+                            ELSE CASE WHEN cs < 55 THEN 1 ELSE 2 END END AS INTEGER) AS CSATScore
+    FROM (SELECT CustomerKey, tid, trigger, SurveyDate, cs,
+            CAST(CASE WHEN adj >= 0.80 THEN 8 + CASE WHEN ns < 55 THEN 2 WHEN ns < 85 THEN 1 ELSE 0 END
+                      WHEN adj >= 0.60 THEN 6 + CASE WHEN ns < 50 THEN 2 WHEN ns < 85 THEN 1 ELSE 0 END
+                      WHEN adj >= 0.40 THEN 5 + {sdraw('sv_nps_lo', 3, *_SK)}
+                      WHEN adj >= 0.25 THEN 3 + {sdraw('sv_nps_lo', 4, *_SK)}
+                      ELSE {sdraw('sv_nps_lo', 5, *_SK)} END AS INTEGER) AS NPSScore
+          FROM (SELECT CustomerKey, tid, trigger,
+                  least(CAST(FirstPurchaseDate + CAST(base + {snoise('sv_day', *_SK)} % md AS INTEGER) AS DATE), max_date) AS SurveyDate,
+                  CASE WHEN tid = 1 THEN score * {SV_POST_FACTOR} WHEN tid = 2 THEN score * 1.00
+                       ELSE score * (CAST({SV_ANNUAL_FACTOR[0]} AS DOUBLE) + {sdraw('sv_annual', SV_ANNUAL_FACTOR[1], *_SK)} / CAST(1000.0 AS DOUBLE)) END AS adj,
+                  {sdraw('sv_nps', 100, *_SK)} AS ns, {sdraw('sv_csat', 100, *_SK)} AS cs
+                FROM (SELECT s.*, t.* FROM (
+                        SELECT b.CustomerKey, b.TotalOrders, b.FirstPurchaseDate, sc.max_date,
+                          datediff('day', b.FirstPurchaseDate, sc.max_date) AS tenure,
+                          CAST({_sql_dec_bands('b.TotalOrders', SV_FREQ, SV_FREQ_ELSE, '>=')}
+                             + {_sql_dec_bands("datediff('day', b.LastPurchaseDate, sc.max_date)", SV_RECENCY, SV_RECENCY_ELSE, '<')}
+                             + CASE WHEN b.ReturnRate = 0 THEN {SV_RETURN_ZERO} ELSE {_sql_dec_bands('b.ReturnRate', SV_RETURN, SV_RETURN_ELSE, '<')} END
+                             + {_sql_dec_bands('b.TotalSpend', SV_SPEND, SV_SPEND_ELSE, '>')} AS DOUBLE) AS score
+                        FROM customer_behaviour b JOIN dim_customer c ON b.CustomerKey = c.CustomerKey
+                        CROSS JOIN scalars sc
+                        WHERE c.CustomerType = 'Person'
+                          AND {sdraw('sv_sample', 100, 'b.CustomerKey')} <
+                              CASE {' '.join(f'WHEN b.TotalOrders >= {n} THEN {p}' for n, p in SV_SAMPLE)} ELSE {SV_SAMPLE_ELSE} END) s
+                      CROSS JOIN (VALUES {', '.join(f"('{nm}', {tid}, {base}, {md})" for nm, tid, base, md, _, _ in SV_TRIGGERS)})
+                        t(trigger, tid, base, md)
+                      WHERE t.tid = 1 OR (t.tid = 2 AND s.tenure > 200 AND s.TotalOrders >= 2)
+                         OR (t.tid = 3 AND s.tenure > 380 AND s.TotalOrders >= 3)) x) y) z) w""",
+         ("customer_behaviour", "dim_customer", "scalars"))
