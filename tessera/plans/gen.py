@@ -691,3 +691,132 @@ register("gen_customer_survey", f"""
                       WHERE t.tid = 1 OR (t.tid = 2 AND s.tenure > 200 AND s.TotalOrders >= 2)
                          OR (t.tid = 3 AND s.tenure > 380 AND s.TotalOrders >= 3)) x) y) z) w""",
          ("customer_behaviour", "dim_customer", "scalars"))
+
+
+# =============================================================================
+# P4  FactMarketingSpend - monthly spend back-calibrated from acquisitions
+# =============================================================================
+# --- fixed values ------------------------------------------------------------
+MS_SPEND_NOISE = (800, 400)     # spend factor = (800 + 0..399) / 1000
+# impressions: ("per_customer", base, modulus) or ("per_spend", cost per mille divisor)
+MS_IMPRESSIONS = {1: ("n", 80, 40), 2: ("spend", 40.0), 3: ("spend", 12.0), 4: ("n", 35, 25),
+                  5: ("n", 3, 5), 6: ("n", 12, 13), 7: ("spend", 15.0)}
+MS_IMPR_SPEND_NOISE = (0.85, 300)   # 0.85 + (0..299)/1000
+MS_CTR = {1: 0.035, 2: 0.035, 3: 0.009, 4: 0.035, 5: None, 6: 0.050, 7: 0.015}  # None: clicks = customers
+MS_CLICK_NOISE = (0.80, 400)
+# -----------------------------------------------------------------------------
+
+
+def monthly_seasonality(m) -> DataFrame:
+    """Month revenue and its index against the average month (tens of rows)."""
+    f = m.fact_online_sales
+    g = f.groupBy((F.year("DateKey") * 100 + F.month("DateKey")).alias("YearMonth")).agg(
+        F.sum("SalesAmount").cast("decimal(19,4)").alias("MonthRevenue"))
+    tot = g.agg(F.sum("MonthRevenue").alias("tot"), F.count(F.lit(1)).alias("n"))
+    g = g.crossJoin(F.broadcast(tot))
+    # revenue / avg(revenue) = revenue * n / total, as one exact-input division
+    si = (F.col("MonthRevenue") * F.col("n")).cast("double") / F.nullif(F.col("tot"), F.lit(0)).cast("double")
+    return g.select("YearMonth", "MonthRevenue", si.cast("decimal(19,4)").alias("SeasonIndex"))
+
+
+@gen_table("marketing_spend")
+def gen_marketing_spend(m) -> DataFrame:
+    """Spend, impressions and clicks per (month, channel) with acquisitions."""
+    ca = m.get(gen_customer_acquisition)
+    ma = ca.groupBy((F.year("AcquisitionDate") * 100 + F.month("AcquisitionDate")).alias("YearMonth"),
+                    "AcquisitionChannelKey").agg(F.count(F.lit(1)).alias("n"))
+    ch = m.ref_acquisition_channel.select(
+        "AcquisitionChannelKey",
+        ((F.col("EstimatedCACLow") + F.col("EstimatedCACHigh")) / 2).cast("decimal(10,2)").alias("mid"))
+    si = monthly_seasonality(m).select("YearMonth", "SeasonIndex")
+    x = ma.join(ch, "AcquisitionChannelKey").join(F.broadcast(si), "YearMonth", "left")  # months: bounded by calendar
+    keys = ("YearMonth", "AcquisitionChannelKey")
+    lo, span = MS_SPEND_NOISE
+    factor = ((F.lit(lo) + draw("ms_spend", span, *keys)) * F.lit(Decimal("0.001"))).cast("decimal(6,3)")
+    spend = (F.col("n").cast("decimal(9,0)") * F.col("mid")
+             * F.coalesce(F.col("SeasonIndex"), F.lit(Decimal("1.0"))).cast("decimal(10,4)") * factor) \
+        .cast("decimal(19,4)")
+    x = x.withColumn("spend", F.greatest(spend, F.lit(Decimal("0")).cast("decimal(19,4)")))
+    k = F.col("AcquisitionChannelKey")
+    ilo, ispan = MS_IMPR_SPEND_NOISE
+    imp = F.lit(0).cast("long")
+    for key in sorted(MS_IMPRESSIONS, reverse=True):
+        spec = MS_IMPRESSIONS[key]
+        if spec[0] == "n":
+            e = F.col("n").cast("long") * (spec[1] + draw("ms_imp", spec[2], *keys))
+        else:
+            e = F.floor(F.col("spend").cast("double") / spec[1] * 1000.0
+                        * (F.lit(ilo) + draw("ms_imp", ispan, *keys) / 1000.0))
+        imp = F.when(k == key, e.cast("long")).otherwise(imp)
+    x = x.withColumn("imp", imp)
+    clo, cspan = MS_CLICK_NOISE
+    clk = F.col("n").cast("long")
+    for key in sorted(MS_CTR, reverse=True):
+        ctr = MS_CTR[key]
+        if ctr is not None:
+            e = F.floor(F.col("imp") * ctr * (F.lit(clo) + draw("ms_clk", cspan, *keys) / 1000.0)).cast("long")
+            clk = F.when(k == key, e).otherwise(clk)
+    x = x.withColumn("clk", F.greatest(F.col("n").cast("long"), clk))
+    n = F.col("n").cast("long")
+    return x.select(
+        (F.col("YearMonth").cast("long") * 10 + k).alias("MarketingSpendID"),
+        "YearMonth", (F.col("YearMonth") * 100 + 1).alias("MonthStartDateKey"), "AcquisitionChannelKey",
+        F.col("spend").alias("MonthlySpend"), F.col("imp").alias("Impressions"), F.col("clk").alias("Clicks"),
+        n.alias("NewCustomersAcquired"),
+        F.when(F.col("clk") > 0, F.col("spend").cast("double") / F.col("clk")).alias("CostPerClick"),
+        F.when(n > 0, F.col("spend").cast("double") / n).alias("CostPerAcquisition"),
+        F.when(F.col("imp") > 0, F.col("clk") * 100.0 / F.col("imp")).alias("ClickThroughRate"),
+    )
+
+
+_MK = ("YearMonth", "AcquisitionChannelKey")
+
+
+def _sql_imp_case() -> str:
+    parts = []
+    for key, spec in MS_IMPRESSIONS.items():
+        if spec[0] == "n":
+            parts.append(f"WHEN {key} THEN CAST(n AS BIGINT) * ({spec[1]} + {sdraw('ms_imp', spec[2], *_MK)})")
+        else:
+            parts.append(f"WHEN {key} THEN CAST(floor(CAST(spend AS DOUBLE) / {spec[1]} * 1000.0 * "
+                         f"(CAST({MS_IMPR_SPEND_NOISE[0]} AS DOUBLE) + {sdraw('ms_imp', MS_IMPR_SPEND_NOISE[1], *_MK)}"
+                         f" / CAST(1000.0 AS DOUBLE))) AS BIGINT)")
+    return "CASE AcquisitionChannelKey " + " ".join(parts) + " ELSE 0 END"
+
+
+def _sql_clk_case() -> str:
+    parts = []
+    for key, ctr in MS_CTR.items():
+        if ctr is not None:
+            parts.append(f"WHEN {key} THEN CAST(floor(CAST(imp AS DOUBLE) * CAST({ctr} AS DOUBLE) * (CAST({MS_CLICK_NOISE[0]} AS DOUBLE) + "
+                         f"{sdraw('ms_clk', MS_CLICK_NOISE[1], *_MK)} / CAST(1000.0 AS DOUBLE))) AS BIGINT)")
+    return "CASE AcquisitionChannelKey " + " ".join(parts) + " ELSE CAST(n AS BIGINT) END"
+
+
+register("monthly_seasonality", """
+  SELECT YearMonth, MonthRevenue,
+    CAST(CAST(MonthRevenue * n AS DOUBLE) / CAST(nullif(tot, 0) AS DOUBLE) AS DECIMAL(19,4)) AS SeasonIndex
+  FROM (SELECT year(DateKey) * 100 + month(DateKey) AS YearMonth, CAST(sum(SalesAmount) AS DECIMAL(19,4)) AS MonthRevenue
+        FROM fact_online_sales GROUP BY 1) g
+  CROSS JOIN (SELECT sum(MonthRevenue) AS tot, count(*) AS n FROM (
+      SELECT CAST(sum(SalesAmount) AS DECIMAL(19,4)) AS MonthRevenue FROM fact_online_sales
+      GROUP BY year(DateKey) * 100 + month(DateKey)) a) t""", ("fact_online_sales",))
+register("gen_marketing_spend", f"""
+  SELECT CAST(YearMonth AS BIGINT) * 10 + AcquisitionChannelKey AS MarketingSpendID, YearMonth,
+    YearMonth * 100 + 1 AS MonthStartDateKey, AcquisitionChannelKey, spend AS MonthlySpend, imp AS Impressions,
+    clk AS Clicks, CAST(n AS BIGINT) AS NewCustomersAcquired,
+    CASE WHEN clk > 0 THEN CAST(spend AS DOUBLE) / clk END AS CostPerClick,
+    CASE WHEN n > 0 THEN CAST(spend AS DOUBLE) / n END AS CostPerAcquisition,
+    CASE WHEN imp > 0 THEN CAST(clk AS DOUBLE) * 100.0 / imp END AS ClickThroughRate
+  FROM (SELECT *, greatest(CAST(n AS BIGINT), {_sql_clk_case()}) AS clk
+    FROM (SELECT *, {_sql_imp_case()} AS imp
+      FROM (SELECT ma.YearMonth, ma.AcquisitionChannelKey, ma.n,
+              greatest(CAST(CAST(ma.n AS DECIMAL(9,0)) * CAST((ch.EstimatedCACLow + ch.EstimatedCACHigh) / 2 AS DECIMAL(10,2))
+                * CAST(coalesce(si.SeasonIndex, 1.0) AS DECIMAL(10,4))
+                * CAST(({MS_SPEND_NOISE[0]} + {sdraw('ms_spend', MS_SPEND_NOISE[1], 'ma.YearMonth', 'ma.AcquisitionChannelKey')}) * 0.001 AS DECIMAL(6,3))
+                AS DECIMAL(19,4)), CAST(0 AS DECIMAL(19,4))) AS spend
+            FROM (SELECT year(AcquisitionDate) * 100 + month(AcquisitionDate) AS YearMonth, AcquisitionChannelKey, count(*) AS n
+                  FROM gen_customer_acquisition GROUP BY 1, 2) ma
+            JOIN ref_acquisition_channel ch ON ma.AcquisitionChannelKey = ch.AcquisitionChannelKey
+            LEFT JOIN monthly_seasonality si ON ma.YearMonth = si.YearMonth) a) b) c""",
+         ("gen_customer_acquisition", "ref_acquisition_channel", "monthly_seasonality"))
