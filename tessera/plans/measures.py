@@ -56,3 +56,186 @@ def m15(m) -> DataFrame:
         F.col("q").cast("long").alias("SalesQuantity"), F.col("rq").cast("long").alias("ReturnQuantity"),
         F.round(safe_div(F.col("rq") * 100.0, F.col("q")), 4).alias("ReturnRatePct"),
     )
+
+
+# ----------------------------------------------------------------- helpers
+from pyspark.sql import Window  # noqa: E402
+
+from tessera.plans import checks_fulfilment, checks_marts, checks_returns, checks_survey, gen  # noqa: E402
+from tessera.oracle.adapter_sql import register as register_sql  # noqa: E402
+from tessera.plans.common import share, sql_share  # noqa: E402
+
+
+def _cnt():
+    return F.count(F.lit(1))
+
+
+def _d(c):
+    return F.col(c).cast("double")
+
+
+def customer_sales(m) -> DataFrame:
+    """Per-customer sales, net sales and gross profit (partial aggregation on the fact)."""
+    f = m.fact_online_sales
+    return f.groupBy("CustomerKey").agg(
+        F.sum("SalesAmount").alias("sales"),
+        F.sum(F.col("SalesAmount") - F.col("ReturnAmount") - F.col("DiscountAmount")).alias("net"),
+        F.sum(F.col("SalesAmount") - F.col("TotalCost")).alias("gp"),
+        F.min("DateKey").cast("date").alias("first"))
+
+
+register_sql("customer_sales", """
+  SELECT CustomerKey, sum(SalesAmount) AS sales, sum(SalesAmount - ReturnAmount - DiscountAmount) AS net,
+    sum(SalesAmount - TotalCost) AS gp, CAST(min(DateKey) AS DATE) AS first
+  FROM fact_online_sales GROUP BY CustomerKey""", ("fact_online_sales",))
+
+
+# ---------------------------------------------------------------------- M1
+@query("M1_net_sales_by_month", """
+  SELECT year(OrderDate) * 100 + month(OrderDate) AS YearMonthKey, CAST(sum(SalesAmount) AS DOUBLE) AS SalesAmount,
+    CAST(sum(ReturnAmount) AS DOUBLE) AS ReturnAmount, CAST(sum(DiscountAmount) AS DOUBLE) AS DiscountAmount,
+    CAST(sum(SalesAmount) - sum(ReturnAmount) - sum(DiscountAmount) AS DOUBLE) AS NetSales
+  FROM v_online_sales GROUP BY 1""", ("v_online_sales",))
+def m1(m):
+    """M1 net sales = sales - returns - discounts, by (shifted) month."""
+    s = m.get(facts.v_online_sales)
+    g = s.groupBy((F.year("OrderDate") * 100 + F.month("OrderDate")).alias("YearMonthKey")).agg(
+        F.sum("SalesAmount").alias("s"), F.sum("ReturnAmount").alias("r"), F.sum("DiscountAmount").alias("d"))
+    return g.select("YearMonthKey", _d("s").alias("SalesAmount"), _d("r").alias("ReturnAmount"),
+                    _d("d").alias("DiscountAmount"),
+                    (F.col("s") - F.col("r") - F.col("d")).cast("double").alias("NetSales"))
+
+
+# ---------------------------------------------------------------------- M2
+@query("M2_channel_efficiency", """
+  SELECT AcquisitionChannelKey, CAST(sum(MonthlySpend) AS DOUBLE) AS Spend, CAST(sum(NewCustomersAcquired) AS BIGINT) AS NewCustomers,
+    CAST(sum(Clicks) AS BIGINT) AS Clicks, CAST(sum(Impressions) AS BIGINT) AS Impressions,
+    CAST(sum(MonthlySpend) AS DOUBLE) / nullif(CAST(sum(NewCustomersAcquired) AS DOUBLE), 0) AS CAC,
+    CAST(sum(MonthlySpend) AS DOUBLE) / nullif(CAST(sum(Clicks) AS DOUBLE), 0) AS CPC,
+    CAST(sum(Clicks) AS DOUBLE) * 100.0 / nullif(CAST(sum(Impressions) AS DOUBLE), 0) AS CTRPct
+  FROM gen_marketing_spend GROUP BY AcquisitionChannelKey""", ("gen_marketing_spend",))
+def m2(m):
+    """M2: CAC = spend / new customers, CPC = spend / clicks, CTR = clicks / impressions, by channel."""
+    g = m.get(gen.gen_marketing_spend).groupBy("AcquisitionChannelKey").agg(
+        F.sum("MonthlySpend").alias("sp"), F.sum("NewCustomersAcquired").alias("n"),
+        F.sum("Clicks").alias("c"), F.sum("Impressions").alias("i"))
+    return g.select("AcquisitionChannelKey", _d("sp").alias("Spend"), F.col("n").cast("long").alias("NewCustomers"),
+                    F.col("c").cast("long").alias("Clicks"), F.col("i").cast("long").alias("Impressions"),
+                    safe_div("sp", "n").alias("CAC"), safe_div("sp", "c").alias("CPC"),
+                    safe_div(_d("c") * 100.0, "i").alias("CTRPct"))
+
+
+# ---------------------------------------------------------------------- M3
+@query("M3_paid_vs_organic", """
+  SELECT c.ChannelType, c.Customers, s.Spend,
+    CAST(c.Customers AS DOUBLE) * 100.0 / sum(c.Customers) OVER () AS PctCustomers,
+    s.Spend * 100.0 / sum(s.Spend) OVER () AS PctSpend
+  FROM (SELECT CASE WHEN ch.ChannelCategory = 'Paid' THEN 'Paid' ELSE 'Organic' END AS ChannelType, count(*) AS Customers
+        FROM gen_customer_acquisition a JOIN ref_acquisition_channel ch ON a.AcquisitionChannelKey = ch.AcquisitionChannelKey
+        GROUP BY 1) c
+  LEFT JOIN (SELECT CASE WHEN ch.ChannelCategory = 'Paid' THEN 'Paid' ELSE 'Organic' END AS ChannelType,
+               CAST(sum(MonthlySpend) AS DOUBLE) AS Spend
+             FROM gen_marketing_spend s JOIN ref_acquisition_channel ch ON s.AcquisitionChannelKey = ch.AcquisitionChannelKey
+             GROUP BY 1) s ON c.ChannelType = s.ChannelType""",
+       ("gen_customer_acquisition", "gen_marketing_spend", "ref_acquisition_channel"))
+def m3(m):
+    """M3: paid vs organic (= not Paid) customers and their spend mix."""
+    ch = m.ref_acquisition_channel.select(
+        "AcquisitionChannelKey",
+        F.when(F.col("ChannelCategory") == "Paid", "Paid").otherwise("Organic").alias("ChannelType"))
+    c = m.get(gen.gen_customer_acquisition).groupBy("AcquisitionChannelKey").agg(_cnt().alias("n")) \
+        .join(ch, "AcquisitionChannelKey").groupBy("ChannelType").agg(F.sum("n").alias("Customers"))
+    s = m.get(gen.gen_marketing_spend).groupBy("AcquisitionChannelKey").agg(F.sum("MonthlySpend").alias("sp")) \
+        .join(ch, "AcquisitionChannelKey").groupBy("ChannelType").agg(F.sum("sp").cast("double").alias("Spend"))
+    j = c.join(s, "ChannelType", "left")
+    w = Window.partitionBy()
+    return j.select("ChannelType", "Customers", "Spend",
+                    (_d("Customers") * 100.0 / F.sum("Customers").over(w)).alias("PctCustomers"),
+                    (F.col("Spend") * 100.0 / F.sum("Spend").over(w)).alias("PctSpend"))
+
+
+# ----------------------------------------------------------------- M4 / M5
+_SQL_CH_CUST = """
+  SELECT a.AcquisitionChannelKey, count(*) AS Customers, sum(cs.net) AS net, sum(cs.gp) AS gp,
+    sum((year(sc.max_date) * 12 + month(sc.max_date)) - (year(cs.first) * 12 + month(cs.first)) + 1) AS months
+  FROM gen_customer_acquisition a JOIN customer_sales cs ON a.CustomerKey = cs.CustomerKey CROSS JOIN scalars sc
+  GROUP BY a.AcquisitionChannelKey"""
+
+
+def _channel_customers(m):
+    """Per channel: customers, their net sales, gross profit and customer-months
+    (per-customer aggregate first, then the customer-grain join)."""
+    cs = m.with_scalars(customer_sales(m), "max_date")
+    months = (F.year("max_date") * 12 + F.month("max_date")) - (F.year("first") * 12 + F.month("first")) + 1
+    j = m.get(gen.gen_customer_acquisition).select("CustomerKey", "AcquisitionChannelKey").join(cs, "CustomerKey")
+    return j.groupBy("AcquisitionChannelKey").agg(_cnt().alias("Customers"), F.sum("net").alias("net"),
+                                                  F.sum("gp").alias("gp"), F.sum(months).alias("months"))
+
+
+@query("M4_clv_by_channel", f"""
+  SELECT g.AcquisitionChannelKey, g.Customers, CAST(g.net AS DOUBLE) / g.Customers AS AvgCLV,
+    CAST(CAST((ch.EstimatedCACLow + ch.EstimatedCACHigh) / 2 AS DECIMAL(19,4)) AS DOUBLE) AS CACMidpoint,
+    (CAST(g.net AS DOUBLE) / g.Customers) / nullif(CAST(CAST((ch.EstimatedCACLow + ch.EstimatedCACHigh) / 2 AS DECIMAL(19,4)) AS DOUBLE), 0) AS CLVtoCAC
+  FROM ({_SQL_CH_CUST}) g JOIN ref_acquisition_channel ch ON g.AcquisitionChannelKey = ch.AcquisitionChannelKey""",
+       ("gen_customer_acquisition", "customer_sales", "scalars", "ref_acquisition_channel"))
+def m4(m):
+    """M4: customer lifetime value (average net sales per acquired customer) and CLV : CAC midpoint."""
+    g = _channel_customers(m).join(m.ref_acquisition_channel, "AcquisitionChannelKey")
+    mid = ((F.col("EstimatedCACLow") + F.col("EstimatedCACHigh")) / 2).cast("decimal(19,4)").cast("double")
+    clv = _d("net") / F.col("Customers")
+    return g.select("AcquisitionChannelKey", "Customers", clv.alias("AvgCLV"), mid.alias("CACMidpoint"),
+                    (clv / F.nullif(mid, F.lit(0.0))).alias("CLVtoCAC"))
+
+
+@query("M5_payback_months", f"""
+  SELECT g.AcquisitionChannelKey, CAST(g.gp AS DOUBLE) / CAST(g.months AS DOUBLE) AS MonthlyGrossProfitPerCustomer,
+    CAST(CAST((ch.EstimatedCACLow + ch.EstimatedCACHigh) / 2 AS DECIMAL(19,4)) AS DOUBLE)
+      / nullif(CAST(g.gp AS DOUBLE) / CAST(g.months AS DOUBLE), 0) AS PaybackMonths
+  FROM ({_SQL_CH_CUST}) g JOIN ref_acquisition_channel ch ON g.AcquisitionChannelKey = ch.AcquisitionChannelKey""",
+       ("gen_customer_acquisition", "customer_sales", "scalars", "ref_acquisition_channel"))
+def m5(m):
+    """M5: payback months = CAC midpoint / monthly gross profit per customer, where the
+    monthly figure pools gross profit over customer-months since first purchase."""
+    g = _channel_customers(m).join(m.ref_acquisition_channel, "AcquisitionChannelKey")
+    mid = ((F.col("EstimatedCACLow") + F.col("EstimatedCACHigh")) / 2).cast("decimal(19,4)").cast("double")
+    mgp = _d("gp") / _d("months")
+    return g.select("AcquisitionChannelKey", mgp.alias("MonthlyGrossProfitPerCustomer"),
+                    (mid / F.nullif(mgp, F.lit(0.0))).alias("PaybackMonths"))
+
+
+# ---------------------------------------------------------------------- M6
+@query("M6_roas", """
+  SELECT r.AcquisitionChannelKey, CAST(r.rev AS DOUBLE) AS Revenue, CAST(s.sp AS DOUBLE) AS Spend,
+    CAST(r.rev AS DOUBLE) / nullif(CAST(s.sp AS DOUBLE), 0) AS ROAS,
+    CAST(s.sp AS DOUBLE) * 100.0 / nullif(CAST(r.rev AS DOUBLE), 0) AS SpendPctOfRevenue
+  FROM (SELECT a.AcquisitionChannelKey, sum(cs.sales) AS rev FROM gen_customer_acquisition a
+        JOIN customer_sales cs ON a.CustomerKey = cs.CustomerKey GROUP BY 1) r
+  LEFT JOIN (SELECT AcquisitionChannelKey, sum(MonthlySpend) AS sp FROM gen_marketing_spend GROUP BY 1) s
+    ON r.AcquisitionChannelKey = s.AcquisitionChannelKey""",
+       ("gen_customer_acquisition", "customer_sales", "gen_marketing_spend"))
+def m6(m):
+    """M6: return on ad spend (revenue of acquired customers / spend) and spend as % of revenue."""
+    r = m.get(gen.gen_customer_acquisition).select("CustomerKey", "AcquisitionChannelKey") \
+        .join(customer_sales(m).select("CustomerKey", "sales"), "CustomerKey") \
+        .groupBy("AcquisitionChannelKey").agg(F.sum("sales").alias("rev"))
+    s = m.get(gen.gen_marketing_spend).groupBy("AcquisitionChannelKey").agg(F.sum("MonthlySpend").alias("sp"))
+    j = r.join(s, "AcquisitionChannelKey", "left")
+    return j.select("AcquisitionChannelKey", _d("rev").alias("Revenue"), _d("sp").alias("Spend"),
+                    safe_div("rev", "sp").alias("ROAS"), safe_div(_d("sp") * 100.0, "rev").alias("SpendPctOfRevenue"))
+
+
+# ---------------------------------------------------------------------- M7
+@query("M7_digital_share_yoy", """
+  SELECT SourceYear, DigitalPct, DigitalPct - lag(DigitalPct) OVER (ORDER BY SourceYear) AS ChangePts
+  FROM (SELECT op.OrderDateKey // 10000 AS SourceYear,
+          CAST(count(*) FILTER (WHERE pm.IsDigital) AS DOUBLE) * 100.0 / count(*) AS DigitalPct
+        FROM gen_order_payment op JOIN ref_payment_method pm ON op.PaymentMethodKey = pm.PaymentMethodKey
+        GROUP BY 1) y""", ("gen_order_payment", "ref_payment_method"))
+def m7(m):
+    """M7: digital payment share by year and its change against the previous year."""
+    j = m.get(gen.gen_order_payment).join(m.ref_payment_method.select("PaymentMethodKey", "IsDigital"),
+                                           "PaymentMethodKey")
+    y = j.groupBy(F.floor(F.col("OrderDateKey") / 10000).cast("int").alias("SourceYear")).agg(
+        (F.count_if(F.col("IsDigital")).cast("double") * 100.0 / _cnt()).alias("DigitalPct"))
+    w = Window.orderBy("SourceYear")  # one row per year
+    return y.select("SourceYear", "DigitalPct", (F.col("DigitalPct") - F.lag("DigitalPct").over(w)).alias("ChangePts"))
