@@ -239,3 +239,365 @@ def m7(m):
         (F.count_if(F.col("IsDigital")).cast("double") * 100.0 / _cnt()).alias("DigitalPct"))
     w = Window.orderBy("SourceYear")  # one row per year
     return y.select("SourceYear", "DigitalPct", (F.col("DigitalPct") - F.lag("DigitalPct").over(w)).alias("ChangePts"))
+
+
+# ---------------------------------------------------------------------- M8
+@query("M8_bnpl_and_high_value", """
+  SELECT count(*) FILTER (WHERE PaymentMethodKey = 7) AS BNPLOrders,
+    CAST(sum(OrderValue) FILTER (WHERE PaymentMethodKey = 7) AS DOUBLE) AS BNPLValue,
+    CAST(sum(OrderValue) FILTER (WHERE PaymentMethodKey = 7) AS DOUBLE) / nullif(count(*) FILTER (WHERE PaymentMethodKey = 7), 0) AS BNPLAvgOrderValue,
+    count(*) FILTER (WHERE OrderValue > 500) AS HighValueOrders,
+    count(*) FILTER (WHERE OrderValue > 500 AND PaymentMethodKey = 4) AS BankTransferHighValueOrders,
+    CAST(count(*) FILTER (WHERE OrderValue > 500 AND PaymentMethodKey = 4) AS DOUBLE) * 100.0
+      / nullif(count(*) FILTER (WHERE OrderValue > 500), 0) AS BankTransferPctOfHighValue
+  FROM gen_order_payment""", ("gen_order_payment",))
+def m8(m):
+    """M8: BNPL exposure and average order value; bank-transfer share of orders above 500."""
+    p = m.get(gen.gen_order_payment)
+    bnpl, hv = F.col("PaymentMethodKey") == 7, F.col("OrderValue") > 500
+    g = p.agg(F.count_if(bnpl).alias("BNPLOrders"), F.sum(F.when(bnpl, F.col("OrderValue"))).alias("bv"),
+              F.count_if(hv).alias("HighValueOrders"),
+              F.count_if(hv & (F.col("PaymentMethodKey") == 4)).alias("BankTransferHighValueOrders"))
+    return g.select("BNPLOrders", _d("bv").alias("BNPLValue"), safe_div("bv", "BNPLOrders").alias("BNPLAvgOrderValue"),
+                    "HighValueOrders", "BankTransferHighValueOrders",
+                    safe_div(_d("BankTransferHighValueOrders") * 100.0, "HighValueOrders")
+                    .alias("BankTransferPctOfHighValue"))
+
+
+# ---------------------------------------------------------------------- M9
+register_sql("order_customer", """
+  SELECT op.SalesOrderNumber, op.CustomerKey, coalesce(g.ContinentName, 'Unknown') AS CustomerContinent
+  FROM order_profile op LEFT JOIN dim_customer c ON op.CustomerKey = c.CustomerKey
+  LEFT JOIN dim_geography g ON c.GeographyKey = g.GeographyKey""", ("order_profile", "dim_customer", "dim_geography"))
+
+
+def order_customer(m) -> DataFrame:
+    """Order -> customer and customer continent (order grain)."""
+    op = gen.order_profile(m).select("SalesOrderNumber", "CustomerKey")
+    c = m.dim_customer.select("CustomerKey", "GeographyKey").join(
+        m.dim_geography.select("GeographyKey", "ContinentName"), "GeographyKey", "left")
+    return op.join(c, "CustomerKey", "left").select(
+        "SalesOrderNumber", "CustomerKey", F.coalesce("ContinentName", F.lit("Unknown")).alias("CustomerContinent"))
+
+
+@query("M9_payment_by_region", f"""
+  SELECT oc.CustomerContinent, p.PaymentMethodKey, count(*) AS Orders,
+    {sql_share('count(*)', 'oc.CustomerContinent')} AS PctWithinRegion
+  FROM gen_order_payment p JOIN order_customer oc ON p.SalesOrderNumber = oc.SalesOrderNumber
+  GROUP BY oc.CustomerContinent, p.PaymentMethodKey""", ("gen_order_payment", "order_customer"))
+def m9(m):
+    """M9: payment-method mix by customer continent (order-grain join, then aggregate)."""
+    j = m.get(gen.gen_order_payment).select("SalesOrderNumber", "PaymentMethodKey").join(
+        order_customer(m).select("SalesOrderNumber", "CustomerContinent"), "SalesOrderNumber")
+    g = j.groupBy("CustomerContinent", "PaymentMethodKey").agg(_cnt().alias("Orders"))
+    return share(g, "Orders", "PctWithinRegion", ["CustomerContinent"])
+
+
+# --------------------------------------------------------------------- M10
+@query("M10_payment_return_cancel_rates", """
+  SELECT p.PaymentMethodKey, count(*) AS Orders,
+    count(*) FILTER (WHERE f.FulfillmentStatus = 'Cancelled') AS CancelledOrders,
+    count(*) FILTER (WHERE f.FulfillmentStatus = 'Returned') AS ReturnedOrders,
+    count(*) FILTER (WHERE r.SalesOrderNumber IS NOT NULL) AS OrdersWithLineReturns,
+    CAST(count(*) FILTER (WHERE f.FulfillmentStatus = 'Cancelled') AS DOUBLE) * 100.0 / count(*) AS CancelRatePct,
+    CAST(count(*) FILTER (WHERE f.FulfillmentStatus = 'Returned' OR r.SalesOrderNumber IS NOT NULL) AS DOUBLE) * 100.0 / count(*) AS ReturnRatePct
+  FROM gen_order_payment p JOIN gen_order_fulfillment f ON p.SalesOrderNumber = f.SalesOrderNumber
+  LEFT JOIN (SELECT DISTINCT SalesOrderNumber FROM gen_online_returns) r ON p.SalesOrderNumber = r.SalesOrderNumber
+  GROUP BY p.PaymentMethodKey""", ("gen_order_payment", "gen_order_fulfillment", "gen_online_returns"))
+def m10(m):
+    """Cancel and return rates by payment method (cash on delivery is key 5),
+    all joins at order grain; line returns are reduced to one row per order first."""
+    r = m.get(gen.gen_online_returns).groupBy("SalesOrderNumber").agg(F.lit(True).alias("has_ret"))
+    j = (m.get(gen.gen_order_payment).select("SalesOrderNumber", "PaymentMethodKey")
+         .join(m.get(gen.gen_order_fulfillment).select("SalesOrderNumber", "FulfillmentStatus"), "SalesOrderNumber")
+         .join(r, "SalesOrderNumber", "left"))
+    st, hr = F.col("FulfillmentStatus"), F.col("has_ret").isNotNull()
+    g = j.groupBy("PaymentMethodKey").agg(
+        _cnt().alias("Orders"), F.count_if(st == "Cancelled").alias("CancelledOrders"),
+        F.count_if(st == "Returned").alias("ReturnedOrders"), F.count_if(hr).alias("OrdersWithLineReturns"),
+        F.count_if((st == "Returned") | hr).alias("ret"))
+    return g.select("PaymentMethodKey", "Orders", "CancelledOrders", "ReturnedOrders", "OrdersWithLineReturns",
+                    (_d("CancelledOrders") * 100.0 / F.col("Orders")).alias("CancelRatePct"),
+                    (_d("ret") * 100.0 / F.col("Orders")).alias("ReturnRatePct"))
+
+
+# --------------------------------------------------------------- M11 / M12
+@query("M11_on_time_by_method_region", """
+  SELECT f.ShippingMethod, oc.CustomerContinent, count(*) AS Orders, CAST(sum(f.IsOnTime) AS BIGINT) AS OnTimeOrders,
+    CAST(sum(f.IsOnTime) AS DOUBLE) * 100.0 / count(*) AS OnTimePct
+  FROM v_order_fulfillment f JOIN order_customer oc ON f.SalesOrderNumber = oc.SalesOrderNumber
+  GROUP BY f.ShippingMethod, oc.CustomerContinent""", ("v_order_fulfillment", "order_customer"))
+def m11(m):
+    """On-time % (delivered within 7 days / all orders) by shipping method and region."""
+    j = m.get(checks_fulfilment.v_order_fulfillment).select("SalesOrderNumber", "ShippingMethod", "IsOnTime") \
+        .join(order_customer(m).select("SalesOrderNumber", "CustomerContinent"), "SalesOrderNumber")
+    g = j.groupBy("ShippingMethod", "CustomerContinent").agg(_cnt().alias("Orders"),
+                                                            F.sum("IsOnTime").cast("long").alias("OnTimeOrders"))
+    return g.withColumn("OnTimePct", _d("OnTimeOrders") * 100.0 / F.col("Orders"))
+
+
+@query("M12_delay_root_cause", f"""
+  SELECT DelayRootCause, count(*) AS Orders, {sql_share('count(*)')} AS PctOfCompleted,
+    CAST(sum(TotalFulfillmentDays) AS DOUBLE) / count(*) AS AvgTotalDays
+  FROM v_order_fulfillment WHERE DelayRootCause IS NOT NULL GROUP BY DelayRootCause""", ("v_order_fulfillment",))
+def m12(m):
+    """Split of completed orders by delay root cause."""
+    v = m.get(checks_fulfilment.v_order_fulfillment).where(F.col("DelayRootCause").isNotNull())
+    g = v.groupBy("DelayRootCause").agg(_cnt().alias("Orders"),
+                                        (F.sum("TotalFulfillmentDays").cast("double") / _cnt()).alias("AvgTotalDays"))
+    return share(g, "Orders", "PctOfCompleted")
+
+
+# --------------------------------------------------------------------- M13
+@query("M13_nps_csat_trend", """
+  SELECT year(SurveyDate) * 100 + month(SurveyDate) AS YearMonthKey, count(*) AS Responses,
+    CAST(sum(NPSContribution) AS DOUBLE) * 100.0 / count(*) AS NPS,
+    CAST(sum(IsSatisfied) AS DOUBLE) * 100.0 / count(*) AS CSATPct
+  FROM v_customer_survey GROUP BY 1""", ("v_customer_survey",))
+def m13(m):
+    """NPS (% promoters - % detractors) and CSAT % by survey month."""
+    v = m.get(checks_survey.v_customer_survey)
+    return v.groupBy((F.year("SurveyDate") * 100 + F.month("SurveyDate")).alias("YearMonthKey")).agg(
+        _cnt().alias("Responses"), (F.sum("NPSContribution").cast("double") * 100.0 / _cnt()).alias("NPS"),
+        (F.sum("IsSatisfied").cast("double") * 100.0 / _cnt()).alias("CSATPct"))
+
+
+# --------------------------------------------------------------------- M14
+@query("M14_nps_by_channel", """
+  SELECT a.AcquisitionChannelKey, count(*) AS Respondents, CAST(sum(s.n) AS BIGINT) AS Responses,
+    CAST(sum(s.contrib) AS DOUBLE) * 100.0 / sum(s.n) AS NPS, CAST(sum(s.sat) AS DOUBLE) * 100.0 / sum(s.n) AS CSATPct,
+    CAST(sum(cs.net) AS DOUBLE) / count(*) AS AvgCLVOfRespondents,
+    CAST(coalesce(sum(cs.net) FILTER (WHERE s.detractor), 0) AS DOUBLE) AS RevenueAtRisk
+  FROM (SELECT CustomerKey, count(*) AS n, sum(NPSContribution) AS contrib, sum(IsSatisfied) AS sat,
+          bool_or(NPSContribution = -1) AS detractor FROM v_customer_survey GROUP BY CustomerKey) s
+  JOIN gen_customer_acquisition a ON s.CustomerKey = a.CustomerKey
+  JOIN customer_sales cs ON s.CustomerKey = cs.CustomerKey
+  GROUP BY a.AcquisitionChannelKey""", ("v_customer_survey", "gen_customer_acquisition", "customer_sales"))
+def m14(m):
+    """NPS and CSAT by acquisition channel, CLV of respondents and the net
+    sales of customers who gave a detractor score (revenue at risk)."""
+    s = m.get(checks_survey.v_customer_survey).groupBy("CustomerKey").agg(
+        _cnt().alias("n"), F.sum("NPSContribution").alias("contrib"), F.sum("IsSatisfied").alias("sat"),
+        F.max((F.col("NPSContribution") == -1).cast("int")).alias("det"))
+    j = s.join(m.get(gen.gen_customer_acquisition).select("CustomerKey", "AcquisitionChannelKey"), "CustomerKey") \
+        .join(customer_sales(m).select("CustomerKey", "net"), "CustomerKey")
+    g = j.groupBy("AcquisitionChannelKey").agg(
+        _cnt().alias("Respondents"), F.sum("n").cast("long").alias("Responses"),
+        F.sum("contrib").alias("c"), F.sum("sat").alias("st"), F.sum("net").alias("net"),
+        F.sum(F.when(F.col("det") == 1, F.col("net"))).alias("risk"))
+    return g.select("AcquisitionChannelKey", "Respondents", "Responses",
+                    (_d("c") * 100.0 / F.col("Responses")).alias("NPS"),
+                    (_d("st") * 100.0 / F.col("Responses")).alias("CSATPct"),
+                    (_d("net") / F.col("Respondents")).alias("AvgCLVOfRespondents"),
+                    F.coalesce(_d("risk"), F.lit(0.0)).alias("RevenueAtRisk"))
+
+
+# --------------------------------------------------------------------- M16
+@query("M16_refunds_by_reason_channel", """
+  SELECT v.ReturnChannel, r.ReturnReasonName, count(*) AS Returns, CAST(sum(v.RefundAmount) AS DOUBLE) AS RefundLiability,
+    CAST(count(*) FILTER (WHERE v.IsRefunded) AS DOUBLE) * 100.0 / count(*) AS RefundRatePct
+  FROM v_returns v JOIN ref_return_reason r ON v.ReturnReasonKey = r.ReturnReasonKey
+  GROUP BY v.ReturnChannel, r.ReturnReasonName""", ("v_returns", "ref_return_reason"))
+def m16(m):
+    """Refund liability and refund rate by reason and channel."""
+    v = checks_returns.v_returns_unkeyed(m)
+    g = v.groupBy("ReturnChannel", "ReturnReasonKey").agg(
+        _cnt().alias("Returns"), F.sum("RefundAmount").cast("double").alias("RefundLiability"),
+        F.count_if(F.col("IsRefunded")).alias("ref"))
+    g = g.join(m.ref_return_reason.select("ReturnReasonKey", "ReturnReasonName"), "ReturnReasonKey")
+    return g.select("ReturnChannel", "ReturnReasonName", "Returns", "RefundLiability",
+                    (_d("ref") * 100.0 / F.col("Returns")).alias("RefundRatePct"))
+
+
+# --------------------------------------------------------------------- M17
+@query("M17_operational_failure_share", """
+  SELECT p.CategoryName, count(*) AS Returns, count(*) FILTER (WHERE r.IsOperationalFailure) AS OperationalFailureReturns,
+    CAST(count(*) FILTER (WHERE r.IsOperationalFailure) AS DOUBLE) * 100.0 / count(*) AS OperationalFailurePct
+  FROM v_returns v JOIN ref_return_reason r ON v.ReturnReasonKey = r.ReturnReasonKey
+  JOIN v_product p ON v.ProductKey = p.ProductKey
+  GROUP BY p.CategoryName""", ("v_returns", "ref_return_reason", "v_product"))
+def m17(m):
+    """Share of returns caused by operational failures, by product category
+    (returns reduced to product grain before the product join)."""
+    v = checks_returns.v_returns_unkeyed(m).join(
+        m.ref_return_reason.select("ReturnReasonKey", "IsOperationalFailure"), "ReturnReasonKey")
+    g = v.groupBy("ProductKey").agg(_cnt().alias("n"), F.count_if(F.col("IsOperationalFailure")).alias("op"))
+    g = g.join(m.get(dims.v_product).select("ProductKey", "CategoryName"), "ProductKey")
+    g = g.groupBy("CategoryName").agg(F.sum("n").alias("Returns"), F.sum("op").alias("OperationalFailureReturns"))
+    return g.withColumn("OperationalFailurePct", _d("OperationalFailureReturns") * 100.0 / F.col("Returns"))
+
+
+# --------------------------------------------------------------------- M18
+@query("M18_return_cohort", """
+  SELECT year(OriginalSaleDate) * 100 + month(OriginalSaleDate) AS SaleYearMonth, ReturnChannel, count(*) AS Returns,
+    CAST(sum(ReturnAmount) AS DOUBLE) AS ReturnAmount, CAST(sum(ReturnLagDays) AS DOUBLE) / count(*) AS AvgLagDays
+  FROM v_returns GROUP BY 1, 2""", ("v_returns",))
+def m18(m):
+    """Returns by the month of the original sale (the inactive date of the returns fact)."""
+    v = checks_returns.v_returns_unkeyed(m)
+    return v.groupBy((F.year("OriginalSaleDate") * 100 + F.month("OriginalSaleDate")).alias("SaleYearMonth"),
+                     "ReturnChannel").agg(
+        _cnt().alias("Returns"), F.sum("ReturnAmount").cast("double").alias("ReturnAmount"),
+        (F.sum("ReturnLagDays").cast("double") / _cnt()).alias("AvgLagDays"))
+
+
+# --------------------------------------------------------------------- M19
+@query("M19_current_stock", """
+  SELECT StockStatus, count(*) AS Positions, CAST(sum(OnHandQuantity) AS BIGINT) AS OnHandQuantity,
+    CAST(sum(InventoryValue) AS DOUBLE) AS InventoryValue
+  FROM v_inventory WHERE IsCurrentSnapshot = 1 GROUP BY StockStatus""", ("v_inventory",))
+def m19(m):
+    """Current stock only (latest snapshot); snapshots are never summed across dates."""
+    v = m.get(checks_marts.v_inventory).where(F.col("IsCurrentSnapshot") == 1)
+    return v.groupBy("StockStatus").agg(_cnt().alias("Positions"),
+                                        F.sum("OnHandQuantity").cast("long").alias("OnHandQuantity"),
+                                        F.sum("InventoryValue").cast("double").alias("InventoryValue"))
+
+
+# --------------------------------------------------------------------- M20
+@query("M20_quota_vs_actual", """
+  SELECT q.CalendarYear, q.ChannelName, CAST(q.quota AS DOUBLE) AS QuotaAmount, CAST(a.actual AS DOUBLE) AS ActualAmount,
+    CAST(a.actual AS DOUBLE) * 100.0 / nullif(CAST(q.quota AS DOUBLE), 0) AS AttainmentPct
+  FROM (SELECT year(SalesQuotaDate) AS CalendarYear, ChannelName, sum(SalesAmountQuota) AS quota
+        FROM v_sales_quota WHERE ScenarioName = 'Budget' GROUP BY 1, 2) q
+  LEFT JOIN (SELECT year(s.SaleDate) AS CalendarYear, ch.ChannelName, sum(s.SalesAmount) AS actual
+             FROM v_store_sales s JOIN dim_channel ch ON s.ChannelKey = ch.ChannelKey GROUP BY 1, 2) a
+    ON q.CalendarYear = a.CalendarYear AND q.ChannelName = a.ChannelName""",
+       ("v_sales_quota", "v_store_sales", "dim_channel"))
+def m20(m, scenario: str = "Budget"):
+    """Quota vs actual store sales by year and channel, one scenario at a time."""
+    q = m.get(checks_marts.v_sales_quota).where(F.col("ScenarioName") == scenario) \
+        .groupBy(F.year("SalesQuotaDate").alias("CalendarYear"), "ChannelName") \
+        .agg(F.sum("SalesAmountQuota").alias("quota"))
+    a = m.get(facts.v_store_sales).groupBy(F.year("SaleDate").alias("CalendarYear"), "ChannelKey") \
+        .agg(F.sum("SalesAmount").alias("actual")) \
+        .join(m.dim_channel.select("ChannelKey", "ChannelName"), "ChannelKey") \
+        .groupBy("CalendarYear", "ChannelName").agg(F.sum("actual").alias("actual"))
+    j = q.join(a, ["CalendarYear", "ChannelName"], "left")
+    return j.select("CalendarYear", "ChannelName", _d("quota").alias("QuotaAmount"), _d("actual").alias("ActualAmount"),
+                    safe_div(_d("actual") * 100.0, "quota").alias("AttainmentPct"))
+
+
+# --------------------------------------------------------------------- M21
+@query("M21_fx_conversion", """
+  SELECT s.CurrencyKey, CAST(sum(s.amt) AS DOUBLE) AS SalesAmount,
+    CAST(sum(s.amt * CAST(r.AverageRate AS DECIMAL(12,6))) AS DOUBLE) AS ConvertedAmount,
+    CAST(sum(CAST(r.AverageRate AS DECIMAL(12,6))) FILTER (WHERE NOT r.IsBaseCurrency) AS DOUBLE)
+      / count(*) FILTER (WHERE NOT r.IsBaseCurrency) AS AvgRateExBase
+  FROM (SELECT CurrencyKey, year(OrderDate) * 100 + month(OrderDate) AS YearMonthKey, sum(SalesAmount) AS amt
+        FROM v_online_sales GROUP BY 1, 2) s
+  JOIN v_exchange_rate r ON s.CurrencyKey = r.CurrencyKey AND s.YearMonthKey = r.YearMonthKey
+  GROUP BY s.CurrencyKey""", ("v_online_sales", "v_exchange_rate"))
+def m21(m):
+    """Sales converted at the monthly average rate of their currency; sales are
+    aggregated to (currency, month) before the rate join. Base-currency rows are
+    left out of the average rate."""
+    s = m.get(facts.v_online_sales).groupBy(
+        "CurrencyKey", (F.year("OrderDate") * 100 + F.month("OrderDate")).alias("YearMonthKey")).agg(
+        F.sum("SalesAmount").alias("amt"))
+    r = m.get(checks_marts.v_exchange_rate).select("CurrencyKey", "YearMonthKey", "AverageRate", "IsBaseCurrency")
+    j = s.join(F.broadcast(r), ["CurrencyKey", "YearMonthKey"])  # currencies x months: bounded by the calendar
+    rate = F.col("AverageRate").cast("decimal(12,6)")  # exact sums, so the result is order-independent
+    return j.groupBy("CurrencyKey").agg(
+        F.sum("amt").cast("double").alias("SalesAmount"),
+        F.sum(F.col("amt") * rate).cast("double").alias("ConvertedAmount"),
+        (F.sum(F.when(~F.col("IsBaseCurrency"), rate)).cast("double")
+         / F.count_if(~F.col("IsBaseCurrency"))).alias("AvgRateExBase"))
+
+
+# --------------------------------------------------------------------- M22
+@query("M22_promo_vs_nonpromo", """
+  SELECT PromotionKey <> 1 AS IsPromotion, count(*) AS Lines, CAST(sum(SalesAmount) AS DOUBLE) AS SalesAmount,
+    CAST(sum(DiscountAmount) AS DOUBLE) AS DiscountAmount,
+    CAST(sum(DiscountAmount) AS DOUBLE) * 100.0 / nullif(CAST(sum(SalesAmount) + sum(DiscountAmount) AS DOUBLE), 0) AS DiscountPct
+  FROM v_online_sales GROUP BY 1""", ("v_online_sales",))
+def m22(m):
+    """Promoted (PromotionKey <> 1) vs full-price lines."""
+    g = m.get(facts.v_online_sales).groupBy((F.col("PromotionKey") != 1).alias("IsPromotion")).agg(
+        _cnt().alias("Lines"), F.sum("SalesAmount").alias("s"), F.sum("DiscountAmount").alias("d"))
+    return g.select("IsPromotion", "Lines", _d("s").alias("SalesAmount"), _d("d").alias("DiscountAmount"),
+                    safe_div(_d("d") * 100.0, (F.col("s") + F.col("d")).cast("double")).alias("DiscountPct"))
+
+
+# --------------------------------------------------------------------- M23
+@query("M23_repeat_and_basket", """
+  SELECT count(*) AS Orders, count(DISTINCT CustomerKey) AS Customers,
+    (SELECT count(*) FROM (SELECT CustomerKey FROM order_profile GROUP BY CustomerKey HAVING count(*) >= 2) x) AS RepeatCustomers,
+    CAST(sum(ItemCount) AS DOUBLE) / count(*) AS AvgBasketLines, CAST(sum(OrderValue) AS DOUBLE) / count(*) AS AvgOrderValue
+  FROM order_profile""", ("order_profile",))
+def m23(m):
+    """Repeat-purchase customers and basket size per order (order grain)."""
+    op = gen.order_profile(m)
+    per_c = op.groupBy("CustomerKey").agg(_cnt().alias("n"))
+    a = op.agg(_cnt().alias("Orders"), F.sum("ItemCount").alias("items"), F.sum("OrderValue").alias("val"))
+    c = per_c.agg(_cnt().alias("Customers"), F.count_if(F.col("n") >= 2).alias("RepeatCustomers"))
+    j = a.crossJoin(c)
+    return j.select("Orders", "Customers", "RepeatCustomers", (_d("items") / F.col("Orders")).alias("AvgBasketLines"),
+                    (_d("val") / F.col("Orders")).alias("AvgOrderValue"))
+
+
+# --------------------------------------------------------------------- M24
+@query("M24_return_band_clv", """
+  SELECT CASE WHEN b.ReturnRate = 0 THEN '1 none' WHEN b.ReturnRate < 0.05 THEN '2 low' WHEN b.ReturnRate < 0.15 THEN '3 mid'
+              ELSE '4 high' END AS ReturnBand,
+    count(*) AS Customers, CAST(sum(cs.net) AS DOUBLE) / count(*) AS AvgCLV
+  FROM customer_behaviour b JOIN customer_sales cs ON b.CustomerKey = cs.CustomerKey GROUP BY 1""",
+       ("customer_behaviour", "customer_sales"))
+def m24(m):
+    """High-return customers vs their lifetime value (return-rate bands of the survey model)."""
+    b = gen.customer_behaviour(m).select("CustomerKey", "ReturnRate").join(
+        customer_sales(m).select("CustomerKey", "net"), "CustomerKey")
+    rr = F.col("ReturnRate")
+    band = F.when(rr == 0, "1 none").when(rr < 0.05, "2 low").when(rr < 0.15, "3 mid").otherwise("4 high")
+    return b.groupBy(band.alias("ReturnBand")).agg(_cnt().alias("Customers"),
+                                                   (F.sum("net").cast("double") / _cnt()).alias("AvgCLV"))
+
+
+@query("M24_csat_by_segment", """
+  SELECT c.AgeGroup, c.IncomeGroup, count(*) AS Responses, CAST(sum(s.IsSatisfied) AS DOUBLE) * 100.0 / count(*) AS CSATPct
+  FROM v_customer_survey s JOIN v_customer c ON s.CustomerKey = c.CustomerKey
+  GROUP BY c.AgeGroup, c.IncomeGroup""", ("v_customer_survey", "v_customer"))
+def m24b(m):
+    """CSAT by age and income segment (worst segments sort first by CSATPct)."""
+    j = m.get(checks_survey.v_customer_survey).select("CustomerKey", "IsSatisfied").join(
+        m.get(dims.v_customer).select("CustomerKey", "AgeGroup", "IncomeGroup"), "CustomerKey")
+    return j.groupBy("AgeGroup", "IncomeGroup").agg(
+        _cnt().alias("Responses"), (F.sum("IsSatisfied").cast("double") * 100.0 / _cnt()).alias("CSATPct"))
+
+
+# --------------------------------------------------------------------- M25
+@query("M25_spend_vs_season", """
+  SELECT s.YearMonth, CAST(s.sp AS DOUBLE) AS Spend, CAST(si.SeasonIndex AS DOUBLE) AS SeasonIndex,
+    CAST(s.sp * count(*) OVER () AS DOUBLE) / CAST(sum(s.sp) OVER () AS DOUBLE) AS SpendIndex
+  FROM (SELECT YearMonth, sum(MonthlySpend) AS sp FROM gen_marketing_spend GROUP BY YearMonth) s
+  LEFT JOIN monthly_seasonality si ON s.YearMonth = si.YearMonth""", ("gen_marketing_spend", "monthly_seasonality"))
+def m25(m):
+    """Monthly spend index next to the revenue season index."""
+    s = m.get(gen.gen_marketing_spend).groupBy("YearMonth").agg(F.sum("MonthlySpend").alias("sp"))
+    j = s.join(gen.monthly_seasonality(m).select("YearMonth", "SeasonIndex"), "YearMonth", "left")
+    w = Window.partitionBy()  # one row per month
+    return j.select("YearMonth", _d("sp").alias("Spend"), _d("SeasonIndex").alias("SeasonIndex"),
+                    ((F.col("sp") * F.count(F.lit(1)).over(w)).cast("double") / F.sum("sp").over(w).cast("double"))
+                    .alias("SpendIndex"))
+
+
+# --------------------------------------------------------------------- M26
+_ORG_SQL = """
+  WITH RECURSIVE org(EmployeeKey, ParentEmployeeKey, Depth, Path) AS (
+    SELECT EmployeeKey, ParentEmployeeKey, 0, CAST(EmployeeKey AS {s})
+    FROM {t} e WHERE ParentEmployeeKey IS NULL
+       OR NOT EXISTS (SELECT 1 FROM {t} p WHERE p.EmployeeKey = e.ParentEmployeeKey)
+    UNION ALL
+    SELECT c.EmployeeKey, c.ParentEmployeeKey, o.Depth + 1, o.Path || '/' || CAST(c.EmployeeKey AS {s})
+    FROM {t} c JOIN org o ON c.ParentEmployeeKey = o.EmployeeKey
+  )
+  SELECT EmployeeKey, ParentEmployeeKey, Depth, Path FROM org"""
+
+
+@query("M26_org_chart", "SELECT * FROM (" + _ORG_SQL.format(s="VARCHAR", t="dim_employee") + ") o", ("dim_employee",))
+def m26(m):
+    """Org chart depth and path from the self-referencing parent key (WITH RECURSIVE;
+    one join per level, so depth - not headcount - bounds the iterations)."""
+    name = f"tessera_employee_{id(m)}"
+    m.dim_employee.select("EmployeeKey", "ParentEmployeeKey").createOrReplaceTempView(name)
+    return m.spark.sql(_ORG_SQL.format(s="STRING", t=name))
