@@ -10,7 +10,6 @@ of recomputed - the analogue of the reference's persisted ``gen`` schema.
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,7 +147,13 @@ class Mart:
     # ---- persisted generated tables -------------------------------------
     def _gen(self, name: str, build) -> DataFrame:
         if self.gen_dir:
-            path = os.path.join(self.gen_dir, name)
-            if os.path.exists(path):
+            path = f"{self.gen_dir.rstrip('/')}/{name}"
+            if self._exists(f"{path}/_SUCCESS"):
                 return self.spark.read.parquet(path)
         return build()
+
+    def _exists(self, path: str) -> bool:
+        """Existence check through Hadoop's FileSystem (works for HDFS/object stores)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

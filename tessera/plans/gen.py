@@ -197,18 +197,35 @@ PM_VALUE = {1: ([(500, 1.30), (100, 1.10)], 0.90), 2: ([], 1.00), 3: ([(500, 0.8
 # -----------------------------------------------------------------------------
 
 
+def order_number(order_key) -> Column:
+    """SalesOrderNumber of a numeric order key ('SO' + 10 digits)."""
+    return F.concat(F.lit("SO"), F.lpad(F.col(order_key).cast("string"), 10, "0"))
+
+
 def order_profile(m) -> DataFrame:
     """Order grain: date, value, item count, customer. Grouped on the numeric
-    order key the adapter already partitions by, so this adds no exchange."""
+    order key the adapter already partitions by, so this adds no exchange, and
+    with numeric aggregates only, so it stays a hash aggregate; the order number
+    is derived from the key afterwards."""
     f = m.fact_online_sales
-    return f.groupBy("OrderKey").agg(
-        F.first("SalesOrderNumber").alias("SalesOrderNumber"),
+    g = f.groupBy("OrderKey").agg(
         F.min("DateKey").cast("date").alias("OrderDate"),
         F.sum("SalesAmount").cast("decimal(19,4)").alias("OrderValue"),
         F.count(F.lit(1)).alias("ItemCount"),
         F.min("CustomerKey").alias("CustomerKey"),
         F.min("StoreKey").alias("StoreKey"),
     )
+    return g.select("OrderKey", order_number("OrderKey").alias("SalesOrderNumber"), "OrderDate", "OrderValue",
+                    "ItemCount", "CustomerKey", "StoreKey")
+
+
+def fact_date_bounds(m) -> DataFrame:
+    """One row: first/last year and last date of the online fact (the reference's
+    scalars hoisted before the CTE chain). Reads only the date column, so it does
+    not re-run the order-grain pipeline it is joined back to."""
+    f = m.fact_online_sales.select("DateKey")
+    return f.agg(F.min(F.year("DateKey")).alias("lo"), F.max(F.year("DateKey")).alias("hi"),
+                 F.max("DateKey").cast("date").alias("maxd"))
 
 
 def _p2_score(k: int) -> Column:
@@ -224,7 +241,7 @@ def _p2_score(k: int) -> Column:
 def gen_order_payment(m) -> DataFrame:
     """One payment method per order (argmax of 7 scores)."""
     op = order_profile(m)
-    yrs = op.agg(F.min(F.year("OrderDate")).alias("lo"), F.max(F.year("OrderDate")).alias("hi"))
+    yrs = fact_date_bounds(m).select("lo", "hi")
     c = m.dim_customer.select("CustomerKey", "GeographyKey")
     g = m.dim_geography.select("GeographyKey", "ContinentName")
     x = op.join(c, "CustomerKey").join(g, "GeographyKey", "left").crossJoin(F.broadcast(yrs))
@@ -286,28 +303,38 @@ FUL_STATUS_CUTS = [(2, "Cancelled"), (3, "Returned")]   # status seed < cut, els
 # -----------------------------------------------------------------------------
 
 
+def _geo_ranked(m) -> DataFrame:
+    """Geography with integer ranks of country and continent names (25 rows), so
+    per-order MIN(name) becomes a hash-aggregated MIN(rank)."""
+    from pyspark.sql import Window
+
+    g = m.dim_geography.select("GeographyKey", "RegionCountryName", "ContinentName")
+    return g.select("GeographyKey", "RegionCountryName", "ContinentName",
+                    F.dense_rank().over(Window.orderBy("RegionCountryName")).alias("country_rank"),
+                    F.dense_rank().over(Window.orderBy("ContinentName")).alias("continent_rank"))
+
+
 def _fulfilment_base(m) -> DataFrame:
-    f = m.fact_online_sales.select("OrderKey", "SalesOrderNumber", "DateKey", "SalesAmount", "SalesQuantity",
-                                   "CustomerKey", "StoreKey")
-    sg = m.dim_store.select("StoreKey", "GeographyKey").join(
-        m.dim_geography.select("GeographyKey", F.col("RegionCountryName").alias("sc"),
-                               F.col("ContinentName").alias("sk")), "GeographyKey", "left").drop("GeographyKey")
-    lines = f.join(sg, "StoreKey", "left")
+    f = m.fact_online_sales.select("OrderKey", "DateKey", "SalesAmount", "SalesQuantity", "CustomerKey", "StoreKey")
+    geo = F.broadcast(_geo_ranked(m))  # fixed-size
+    # bare store dim first (its size estimate stays small), then the 25-row geography
+    lines = f.join(m.dim_store.select("StoreKey", "GeographyKey"), "StoreKey", "left") \
+        .join(geo.select("GeographyKey", "country_rank", "continent_rank"), "GeographyKey", "left")
     ob = lines.groupBy("OrderKey").agg(
-        F.first("SalesOrderNumber").alias("SalesOrderNumber"),
         F.min("DateKey").cast("date").alias("OrderDate"),
         F.sum("SalesAmount").cast("decimal(19,4)").alias("OrderValue"),
         F.sum("SalesQuantity").alias("TotalItems"),
         F.min("CustomerKey").alias("CustomerKey"),
-        F.min("sc").alias("sc"), F.min("sk").alias("sk"),
+        F.min("country_rank").alias("scr"), F.min("continent_rank").alias("skr"),
     )
-    cg = m.dim_customer.select("CustomerKey", "GeographyKey").join(
+    names_c = geo.select(F.col("country_rank").alias("scr"), F.col("RegionCountryName").alias("sc")).distinct()
+    names_k = geo.select(F.col("continent_rank").alias("skr"), F.col("ContinentName").alias("sk")).distinct()
+    ob = ob.join(F.broadcast(names_c), "scr", "left").join(F.broadcast(names_k), "skr", "left")
+    ob = ob.withColumn("SalesOrderNumber", order_number("OrderKey"))
+    ob = ob.join(m.dim_customer.select("CustomerKey", "GeographyKey"), "CustomerKey").join(
         m.dim_geography.select("GeographyKey", F.col("RegionCountryName").alias("cc"),
-                               F.col("ContinentName").alias("ck")), "GeographyKey", "left").drop("GeographyKey")
-    ob = ob.join(cg, "CustomerKey")
-    yrs = ob.agg(F.min(F.year("OrderDate")).alias("lo"), F.max(F.year("OrderDate")).alias("hi"),
-                 F.max("OrderDate").alias("maxd"))
-    ob = ob.crossJoin(F.broadcast(yrs))
+                               F.col("ContinentName").alias("ck")), "GeographyKey", "left")
+    ob = ob.crossJoin(F.broadcast(fact_date_bounds(m)))
     k = "SalesOrderNumber"
     return ob.select(
         "SalesOrderNumber", "OrderDate",

@@ -274,9 +274,10 @@ register_sql("order_customer", """
 def order_customer(m) -> DataFrame:
     """Order -> customer and customer continent (order grain)."""
     op = gen.order_profile(m).select("SalesOrderNumber", "CustomerKey")
-    c = m.dim_customer.select("CustomerKey", "GeographyKey").join(
-        m.dim_geography.select("GeographyKey", "ContinentName"), "GeographyKey", "left")
-    return op.join(c, "CustomerKey", "left").select(
+    c = m.dim_customer.select("CustomerKey", "GeographyKey")
+    j = op.join(c, "CustomerKey", "left").join(m.dim_geography.select("GeographyKey", "ContinentName"),
+                                                "GeographyKey", "left")
+    return j.select(
         "SalesOrderNumber", "CustomerKey", F.coalesce("ContinentName", F.lit("Unknown")).alias("CustomerContinent"))
 
 

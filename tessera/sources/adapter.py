@@ -100,7 +100,7 @@ def fact_online_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "DateKey", "StoreKey", "ProductKey", "PromotionKey",
         (draw("currency", 3, "LineId") + 1).cast("int").alias("CurrencyKey"),
         "CustomerKey",
-        F.concat(F.lit("SO"), F.lpad(F.col("OrderKey").cast("string"), 10, "0")).alias("SalesOrderNumber"),
+        F.concat(F.lit("SO"), F.lpad(F.col("OrderKey").cast("string"), 10, "0")).alias("SalesOrderNumber"),  # = gen.order_number
         F.col("LineNumber").alias("SalesOrderLineNumber"),
         *_MEASURES,
         "OrderKey",
