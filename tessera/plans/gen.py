@@ -221,7 +221,8 @@ def order_profile(m) -> DataFrame:
 
 def fact_date_bounds(m) -> DataFrame:
     """One row: first/last year and last date of the online fact (the reference's
-    scalars hoisted before the CTE chain). Reads only the date column, so it does
+    scalars, computed once before the CTE chain). Reads only the fact's date
+    column (order key + status from the lines, date from the orders), so it does
     not re-run the order-grain pipeline it is joined back to."""
     f = m.fact_online_sales.select("DateKey")
     return f.agg(F.min(F.year("DateKey")).alias("lo"), F.max(F.year("DateKey")).alias("hi"),
