@@ -21,26 +21,37 @@ from tessera.sources import adapter, reference
 
 class Mart:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: MartConfig | None = None,
-                 gen_dir: str | None = None):
+                 gen_dir: str | None = None, source_dir: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.cfg = cfg or MartConfig()
         self.gen_dir = gen_dir
+        self.source_dir = source_dir
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         ensure_checkpoint_dir(spark)
 
     # ---- source tables -------------------------------------------------
     @cached_property
     def fact_online_sales(self) -> DataFrame:
-        return adapter.fact_online_sales(self.spark, self.sf_dir)
+        return self._source("fact_online_sales", lambda: adapter.fact_online_sales(self.spark, self.sf_dir))
+
+    @cached_property
+    def online_lines(self) -> DataFrame:
+        """Online sales lines without line keys (for aggregations)."""
+        return self._source("fact_online_sales", lambda: adapter.online_lines(self.spark, self.sf_dir))
+
+    @cached_property
+    def store_lines(self) -> DataFrame:
+        """Store sales lines without the line key (for aggregations)."""
+        return self._source("fact_sales", lambda: adapter.store_lines(self.spark, self.sf_dir))
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return adapter.fact_sales(self.spark, self.sf_dir)
+        return self._source("fact_sales", lambda: adapter.fact_sales(self.spark, self.sf_dir))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return adapter.dim_customer(self.spark, self.sf_dir)
+        return self._source("dim_customer", lambda: adapter.dim_customer(self.spark, self.sf_dir))
 
     @cached_property
     def dim_geography(self) -> DataFrame:
@@ -48,31 +59,31 @@ class Mart:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return adapter.dim_product(self.spark, self.sf_dir)
+        return self._source("dim_product", lambda: adapter.dim_product(self.spark, self.sf_dir))
 
     @cached_property
     def dim_product_subcategory(self) -> DataFrame:
-        return adapter.dim_product_subcategory(self.spark, self.sf_dir)
+        return self._source("dim_product_subcategory", lambda: adapter.dim_product_subcategory(self.spark, self.sf_dir))
 
     @cached_property
     def dim_product_category(self) -> DataFrame:
-        return adapter.dim_product_category(self.spark, self.sf_dir)
+        return self._source("dim_product_category", lambda: adapter.dim_product_category(self.spark, self.sf_dir))
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return adapter.dim_store(self.spark, self.sf_dir)
+        return self._source("dim_store", lambda: adapter.dim_store(self.spark, self.sf_dir))
 
     @cached_property
     def dim_promotion(self) -> DataFrame:
-        return adapter.dim_promotion(self.spark, self.sf_dir)
+        return self._source("dim_promotion", lambda: adapter.dim_promotion(self.spark, self.sf_dir))
 
     @cached_property
     def dim_employee(self) -> DataFrame:
-        return adapter.dim_employee(self.spark, self.sf_dir)
+        return self._source("dim_employee", lambda: adapter.dim_employee(self.spark, self.sf_dir))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return adapter.dim_date(self.spark, self.sf_dir)
+        return self._source("dim_date", lambda: adapter.dim_date(self.spark, self.sf_dir))
 
     @cached_property
     def dim_channel(self) -> DataFrame:
@@ -88,15 +99,15 @@ class Mart:
 
     @cached_property
     def fact_exchange_rate(self) -> DataFrame:
-        return adapter.fact_exchange_rate(self.spark, self.sf_dir)
+        return self._source("fact_exchange_rate", lambda: adapter.fact_exchange_rate(self.spark, self.sf_dir))
 
     @cached_property
     def fact_inventory(self) -> DataFrame:
-        return adapter.fact_inventory(self.spark, self.sf_dir)
+        return self._source("fact_inventory", lambda: adapter.fact_inventory(self.spark, self.sf_dir))
 
     @cached_property
     def fact_sales_quota(self) -> DataFrame:
-        return adapter.fact_sales_quota(self.spark, self.sf_dir)
+        return self._source("fact_sales_quota", lambda: adapter.fact_sales_quota(self.spark, self.sf_dir))
 
     # ---- reference dims (literal, 7/7/8 rows) ---------------------------
     @cached_property
@@ -144,7 +155,15 @@ class Mart:
             memo[key] = self._gen(gen_name, lambda: fn(self)) if gen_name else fn(self)
         return memo[key]
 
-    # ---- persisted generated tables -------------------------------------
+    # ---- persisted source / generated tables -----------------------------
+    def _source(self, name: str, build) -> DataFrame:
+        """Adapted source table: read from ``source_dir`` when it was loaded there."""
+        if self.source_dir:
+            path = f"{self.source_dir.rstrip('/')}/{name}"
+            if self._exists(f"{path}/_SUCCESS"):
+                return self.spark.read.parquet(path)
+        return build()
+
     def _gen(self, name: str, build) -> DataFrame:
         if self.gen_dir:
             path = f"{self.gen_dir.rstrip('/')}/{name}"

@@ -39,11 +39,16 @@ _CAT_KEY = "(CASE " + " ".join(f"WHEN p_type = '{t}' THEN {i + 1}" for i, t in e
 _BRAND_NO = "CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER)"
 
 
+_LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
+
+
 def _sales_lines(status: str) -> str:
     return f"""
-    SELECT l.l_orderkey * 1000 + l.rn AS LineId, l.l_orderkey AS OrderKey, CAST(l.rn AS INTEGER) AS LineNumber,
+    SELECT row_number() OVER (ORDER BY {_LINE_ORDER}) AS LineId, l.l_orderkey AS OrderKey,
+      CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {_LINE_ORDER}) AS INTEGER) AS LineNumber,
       o.o_orderdate AS DateKey, CAST(l.l_suppkey AS INTEGER) AS StoreKey, CAST(l.l_partkey AS INTEGER) AS ProductKey,
       CAST(round(l.l_discount * 100) AS INTEGER) + 1 AS PromotionKey,
+      CAST({draw('currency', 3, 'l.l_orderkey')} + 1 AS INTEGER) AS CurrencyKey,
       CAST(o.o_custkey AS INTEGER) AS CustomerKey,
       CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS ChannelKey,
       CAST(trunc(l.l_quantity) AS INTEGER) AS SalesQuantity,
@@ -56,8 +61,7 @@ def _sales_lines(status: str) -> str:
       CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) * 0.004 AS DECIMAL(19,4)) * 0.6 AS DECIMAL(19,4)) AS TotalCost,
       l.l_extendedprice / l.l_quantity / 250 * 0.6 AS UnitCost,
       l.l_extendedprice / l.l_quantity / 250 AS UnitPrice
-    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS rn
-          FROM lineitem WHERE l_linestatus = '{status}') l
+    FROM (SELECT * FROM lineitem WHERE l_linestatus = '{status}') l
     JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 
@@ -72,13 +76,13 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "src_store_lines": (_sales_lines("F"), ()),
     "fact_online_sales": (f"""
     SELECT LineId AS OnlineSalesKey, DateKey, StoreKey, ProductKey, PromotionKey,
-      CAST({draw('currency', 3, 'LineId')} + 1 AS INTEGER) AS CurrencyKey, CustomerKey,
+      CurrencyKey, CustomerKey,
       'SO' || lpad(CAST(OrderKey AS VARCHAR), 10, '0') AS SalesOrderNumber, LineNumber AS SalesOrderLineNumber,
       {_MEASURES}, OrderKey
     FROM src_online_lines""", ("src_online_lines",)),
     "fact_sales": (f"""
     SELECT LineId AS SalesKey, DateKey, ChannelKey, StoreKey, ProductKey, PromotionKey,
-      CAST({draw('currency', 3, 'LineId')} + 1 AS INTEGER) AS CurrencyKey, {_MEASURES}
+      CurrencyKey, {_MEASURES}
     FROM src_store_lines""", ("src_store_lines",)),
     "dim_geography": (f"""
     SELECT CAST(n_nationkey AS INTEGER) AS GeographyKey,

@@ -60,13 +60,28 @@ def _write(df: DataFrame, path: str, year_of: str | None) -> None:
         df.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).parquet(path)
 
 
-def build_gen(spark: SparkSession, sf_dir: str, out_dir: str, cfg: MartConfig | None = None) -> Mart:
-    """Write P1-P7 and return a Mart that reads them back."""
+SOURCE_TABLES = ["fact_online_sales", "fact_sales", "dim_customer", "dim_product", "dim_product_subcategory",
+                 "dim_product_category", "dim_store", "dim_promotion", "dim_employee", "dim_date",
+                 "fact_exchange_rate", "fact_inventory", "fact_sales_quota"]
+
+
+def build_sources(spark: SparkSession, sf_dir: str, out_dir: str, tables=None) -> str:
+    """Load the adapted source tables (the source database of the reference) once."""
+    src_dir = f"{out_dir.rstrip('/')}/source"
+    m = Mart(spark, sf_dir)
+    for t in tables or SOURCE_TABLES:
+        getattr(m, t).write.mode("overwrite").parquet(f"{src_dir}/{t}")
+    return src_dir
+
+
+def build_gen(spark: SparkSession, sf_dir: str, out_dir: str, cfg: MartConfig | None = None,
+              source_dir: str | None = None, only=None) -> Mart:
+    """Write P1-P7 (or ``only`` of them) and return a Mart that reads them back."""
     gen_dir = f"{out_dir.rstrip('/')}/gen"
-    for fn in GEN_ORDER:
-        m = Mart(spark, sf_dir, cfg, gen_dir=gen_dir)  # fresh mart: sees tables written so far
+    for fn in only or GEN_ORDER:
+        m = Mart(spark, sf_dir, cfg, gen_dir=gen_dir, source_dir=source_dir)  # sees tables written so far
         fn(m).write.mode("overwrite").parquet(f"{gen_dir}/{fn.gen_table}")  # build fresh, read deps back
-    return Mart(spark, sf_dir, cfg, gen_dir=gen_dir)
+    return Mart(spark, sf_dir, cfg, gen_dir=gen_dir, source_dir=source_dir)
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str, cfg: MartConfig | None = None) -> Mart:

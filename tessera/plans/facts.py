@@ -18,27 +18,33 @@ def _shifted(col: str):
     return shift(F.col(col).cast("date"), SHIFT)
 
 
-def v_online_sales(m) -> DataFrame:
-    """V12 fact.vOnlineSales: shifted date-key pair, keys, measures, GrossProfit."""
-    f = m.fact_online_sales
+def _v12(f: DataFrame, keyed: bool) -> DataFrame:
     d = _shifted("DateKey")
     return f.select(
-        "OnlineSalesKey",
+        *(["OnlineSalesKey"] if keyed else []),
         date_key(d).alias("DateKey"),
         d.alias("OrderDate"),
         "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey", "CustomerKey",
-        "SalesOrderNumber", "SalesOrderLineNumber",
+        "SalesOrderNumber", *(["SalesOrderLineNumber"] if keyed else []),
         *_MEAS,
         (F.col("SalesAmount") - F.col("TotalCost")).alias("GrossProfit"),
     )
 
 
-def v_store_sales(m) -> DataFrame:
-    """V13 fact.vStoreSales: same at store grain with ChannelKey."""
-    f = m.fact_sales
+def v_online_sales(m) -> DataFrame:
+    """V12 fact.vOnlineSales: shifted date-key pair, keys, measures, GrossProfit."""
+    return _v12(m.fact_online_sales, True)
+
+
+def v_online_sales_lines(m) -> DataFrame:
+    """V12 without the line keys: what aggregating reports read."""
+    return _v12(m.online_lines, False)
+
+
+def _v13(f: DataFrame, keyed: bool) -> DataFrame:
     d = _shifted("DateKey")
     return f.select(
-        "SalesKey",
+        *(["SalesKey"] if keyed else []),
         date_key(d).alias("DateKey"),
         d.alias("SaleDate"),
         "ChannelKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey",
@@ -47,6 +53,16 @@ def v_store_sales(m) -> DataFrame:
     )
 
 
+def v_store_sales(m) -> DataFrame:
+    """V13 fact.vStoreSales: same at store grain with ChannelKey."""
+    return _v13(m.fact_sales, True)
+
+
+def v_store_sales_lines(m) -> DataFrame:
+    """V13 without the line key."""
+    return _v13(m.store_lines, False)
+
+
 _SQL_DK = f"CAST(CAST(DateKey AS DATE) + INTERVAL {SHIFT} YEAR AS DATE)"
 _SQL_MEAS = ", ".join(_MEAS)
 register("v_online_sales", f"""

@@ -207,7 +207,7 @@ def order_profile(m) -> DataFrame:
     order key the adapter already partitions by, so this adds no exchange, and
     with numeric aggregates only, so it stays a hash aggregate; the order number
     is derived from the key afterwards."""
-    f = m.fact_online_sales
+    f = m.online_lines
     g = f.groupBy("OrderKey").agg(
         F.min("DateKey").cast("date").alias("OrderDate"),
         F.sum("SalesAmount").cast("decimal(19,4)").alias("OrderValue"),
@@ -224,7 +224,7 @@ def fact_date_bounds(m) -> DataFrame:
     scalars, computed once before the CTE chain). Reads only the fact's date
     column (order key + status from the lines, date from the orders), so it does
     not re-run the order-grain pipeline it is joined back to."""
-    f = m.fact_online_sales.select("DateKey")
+    f = m.online_lines.select("DateKey")
     return f.agg(F.min(F.year("DateKey")).alias("lo"), F.max(F.year("DateKey")).alias("hi"),
                  F.max("DateKey").cast("date").alias("maxd"))
 
@@ -316,7 +316,7 @@ def _geo_ranked(m) -> DataFrame:
 
 
 def _fulfilment_base(m) -> DataFrame:
-    f = m.fact_online_sales.select("OrderKey", "DateKey", "SalesAmount", "SalesQuantity", "CustomerKey", "StoreKey")
+    f = m.online_lines.select("OrderKey", "DateKey", "SalesAmount", "SalesQuantity", "CustomerKey", "StoreKey")
     geo = F.broadcast(_geo_ranked(m))  # fixed-size
     # bare store dim first (its size estimate stays small), then the 25-row geography
     lines = f.join(m.dim_store.select("StoreKey", "GeographyKey"), "StoreKey", "left") \
@@ -579,7 +579,7 @@ def customer_behaviour(m) -> DataFrame:
     Built from the order grain (one customer per order), so COUNT(DISTINCT
     order) is a plain count and every step is a partial aggregation - a hot
     customer is pre-combined map-side instead of landing in one task."""
-    f = m.fact_online_sales
+    f = m.online_lines
     o = f.groupBy("OrderKey").agg(
         F.min("CustomerKey").alias("CustomerKey"), F.sum("SalesAmount").alias("amt"),
         F.sum("ReturnQuantity").alias("rq"), F.sum("SalesQuantity").alias("sq"),
@@ -737,7 +737,7 @@ MS_CLICK_NOISE = (0.80, 400)
 
 def monthly_seasonality(m) -> DataFrame:
     """Month revenue and its index against the average month (tens of rows)."""
-    f = m.fact_online_sales
+    f = m.online_lines
     g = f.groupBy((F.year("DateKey") * 100 + F.month("DateKey")).alias("YearMonth")).agg(
         F.sum("SalesAmount").cast("decimal(19,4)").alias("MonthRevenue"))
     tot = g.agg(F.sum("MonthRevenue").alias("tot"), F.count(F.lit(1)).alias("n"))

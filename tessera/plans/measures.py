@@ -37,7 +37,7 @@ def _r4(c):
 def m15(m) -> DataFrame:
     """M1 + M15: net sales (sales - returns - discounts), gross profit and
     return rate (returned qty / sold qty) by product category and year."""
-    s = m.get(facts.v_online_sales)
+    s = m.get(facts.v_online_sales_lines)
     a = s.groupBy("ProductKey", F.year("OrderDate").alias("CalendarYear")).agg(
         F.sum("SalesAmount").alias("s"), F.sum("ReturnAmount").alias("ra"), F.sum("DiscountAmount").alias("da"),
         F.sum("GrossProfit").alias("gp"), F.sum("SalesQuantity").alias("q"), F.sum("ReturnQuantity").alias("rq"),
@@ -76,7 +76,7 @@ def _d(c):
 
 def customer_sales(m) -> DataFrame:
     """Per-customer sales, net sales and gross profit (partial aggregation on the fact)."""
-    f = m.fact_online_sales
+    f = m.online_lines
     return f.groupBy("CustomerKey").agg(
         F.sum("SalesAmount").alias("sales"),
         F.sum(F.col("SalesAmount") - F.col("ReturnAmount") - F.col("DiscountAmount")).alias("net"),
@@ -98,7 +98,7 @@ register_sql("customer_sales", """
   FROM v_online_sales GROUP BY 1""", ("v_online_sales",))
 def m1(m):
     """M1 net sales = sales - returns - discounts, by (shifted) month."""
-    s = m.get(facts.v_online_sales)
+    s = m.get(facts.v_online_sales_lines)
     g = s.groupBy((F.year("OrderDate") * 100 + F.month("OrderDate")).alias("YearMonthKey")).agg(
         F.sum("SalesAmount").alias("s"), F.sum("ReturnAmount").alias("r"), F.sum("DiscountAmount").alias("d"))
     return g.select("YearMonthKey", _d("s").alias("SalesAmount"), _d("r").alias("ReturnAmount"),
@@ -470,7 +470,7 @@ def m20(m, scenario: str = "Budget"):
     q = m.get(checks_marts.v_sales_quota).where(F.col("ScenarioName") == scenario) \
         .groupBy(F.year("SalesQuotaDate").alias("CalendarYear"), "ChannelName") \
         .agg(F.sum("SalesAmountQuota").alias("quota"))
-    a = m.get(facts.v_store_sales).groupBy(F.year("SaleDate").alias("CalendarYear"), "ChannelKey") \
+    a = m.get(facts.v_store_sales_lines).groupBy(F.year("SaleDate").alias("CalendarYear"), "ChannelKey") \
         .agg(F.sum("SalesAmount").alias("actual")) \
         .join(m.dim_channel.select("ChannelKey", "ChannelName"), "ChannelKey") \
         .groupBy("CalendarYear", "ChannelName").agg(F.sum("actual").alias("actual"))
@@ -482,7 +482,7 @@ def m20(m, scenario: str = "Budget"):
 # --------------------------------------------------------------------- M21
 @query("M21_fx_conversion", """
   SELECT s.CurrencyKey, CAST(sum(s.amt) AS DOUBLE) AS SalesAmount,
-    CAST(sum(s.amt * CAST(r.AverageRate AS DECIMAL(12,6))) AS DOUBLE) AS ConvertedAmount,
+    CAST(sum(CAST(s.amt AS DECIMAL(18,4)) * CAST(r.AverageRate AS DECIMAL(12,6))) AS DOUBLE) AS ConvertedAmount,
     CAST(sum(CAST(r.AverageRate AS DECIMAL(12,6))) FILTER (WHERE NOT r.IsBaseCurrency) AS DOUBLE)
       / count(*) FILTER (WHERE NOT r.IsBaseCurrency) AS AvgRateExBase
   FROM (SELECT CurrencyKey, year(OrderDate) * 100 + month(OrderDate) AS YearMonthKey, sum(SalesAmount) AS amt
@@ -493,7 +493,7 @@ def m21(m):
     """Sales converted at the monthly average rate of their currency; sales are
     aggregated to (currency, month) before the rate join. Base-currency rows are
     left out of the average rate."""
-    s = m.get(facts.v_online_sales).groupBy(
+    s = m.get(facts.v_online_sales_lines).groupBy(
         "CurrencyKey", (F.year("OrderDate") * 100 + F.month("OrderDate")).alias("YearMonthKey")).agg(
         F.sum("SalesAmount").alias("amt"))
     r = m.get(checks_marts.v_exchange_rate).select("CurrencyKey", "YearMonthKey", "AverageRate", "IsBaseCurrency")
@@ -501,7 +501,8 @@ def m21(m):
     rate = F.col("AverageRate").cast("decimal(12,6)")  # exact sums, so the result is order-independent
     return j.groupBy("CurrencyKey").agg(
         F.sum("amt").cast("double").alias("SalesAmount"),
-        F.sum(F.col("amt") * rate).cast("double").alias("ConvertedAmount"),
+        # (18,4) x (12,6) stays within 38 digits, so the products are exact
+        F.sum(F.col("amt").cast("decimal(18,4)") * rate).cast("double").alias("ConvertedAmount"),
         (F.sum(F.when(~F.col("IsBaseCurrency"), rate)).cast("double")
          / F.count_if(~F.col("IsBaseCurrency"))).alias("AvgRateExBase"))
 
@@ -514,7 +515,7 @@ def m21(m):
   FROM v_online_sales GROUP BY 1""", ("v_online_sales",))
 def m22(m):
     """Promoted (PromotionKey <> 1) vs full-price lines."""
-    g = m.get(facts.v_online_sales).groupBy((F.col("PromotionKey") != 1).alias("IsPromotion")).agg(
+    g = m.get(facts.v_online_sales_lines).groupBy((F.col("PromotionKey") != 1).alias("IsPromotion")).agg(
         _cnt().alias("Lines"), F.sum("SalesAmount").alias("s"), F.sum("DiscountAmount").alias("d"))
     return g.select("IsPromotion", "Lines", _d("s").alias("SalesAmount"), _d("d").alias("DiscountAmount"),
                     safe_div(_d("d") * 100.0, (F.col("s") + F.col("d")).cast("double")).alias("DiscountPct"))

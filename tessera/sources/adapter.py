@@ -8,11 +8,12 @@ the DuckDB twin in ``tessera.oracle.adapter_sql`` computes identical values.
 
 Scale notes
 -----------
-* The two sales facts share one exchange of ``lineitem`` on ``l_orderkey``:
-  the per-order line numbering window and the sort-merge join with
-  ``orders`` both require that clustering, so Spark plans a single shuffle.
-  The numeric ``OrderKey`` is carried along so order-grain pipelines can
-  aggregate without a fresh exchange.
+* Aggregating consumers read ``online_lines``/``store_lines`` (no line keys):
+  one join with ``orders`` and, for order-grain pipelines, one shuffle on the
+  carried numeric ``OrderKey``.
+* Line keys (``OnlineSalesKey``, ``SalesOrderLineNumber``, ``SalesKey``) come
+  from a range-sorted global row number, not a per-order window, so one huge
+  order cannot land in a single task (``number_lines``).
 * Dimensions derived from ``customer/part/supplier`` grow with the data, so
   they are never force-broadcast; AQE converts those joins to broadcasts
   only when the runtime size is below ``autoBroadcastJoinThreshold``.
@@ -47,16 +48,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    """Lines of one status joined to their order, numbered within the order."""
+# Identity of a sales line: the order key plus the columns that make a line
+# unique within its order ((order, line number) alone is not unique in the data).
+LINE_ORDER = ["OrderKey", "_ln", "_pk", "_sk", "_sd", "_ep"]
+
+
+def sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """Lines of one status joined to their order, with measures; no line keys.
+
+    Aggregating consumers (order, customer, month grain) read these, so they
+    never pay for the line numbering below."""
     li = read(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
     )
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
-    )
-    li = li.withColumn("rn", F.row_number().over(w))
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     ext = F.col("l_extendedprice").cast("decimal(15,2)")
@@ -64,15 +69,15 @@ def _sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     sales_amount = (ext * (F.lit(1) - disc) * D("0.004")).cast("decimal(19,4)")
     qty = F.col("l_quantity").cast("int")
     return j.select(
-        (F.col("l_orderkey") * 1000 + F.col("rn")).alias("LineId"),
         F.col("l_orderkey").alias("OrderKey"),
-        F.col("rn").cast("int").alias("LineNumber"),
         F.col("o_orderdate").alias("DateKey"),
         F.col("l_suppkey").cast("int").alias("StoreKey"),
         F.col("l_partkey").cast("int").alias("ProductKey"),
         (F.round(F.col("l_discount") * 100).cast("int") + 1).alias("PromotionKey"),
+        (draw("currency", 3, "l_orderkey") + 1).cast("int").alias("CurrencyKey"),  # one currency per order
         F.col("o_custkey").cast("int").alias("CustomerKey"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("ChannelKey"),
+        F.concat(F.lit("SO"), F.lpad(F.col("l_orderkey").cast("string"), 10, "0")).alias("SalesOrderNumber"),
         qty.alias("SalesQuantity"),
         sales_amount.alias("SalesAmount"),
         F.when(F.col("l_returnflag") == "R", qty).otherwise(0).alias("ReturnQuantity"),
@@ -83,39 +88,61 @@ def _sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
         (sales_amount * D("0.6")).cast("decimal(19,4)").alias("TotalCost"),
         (F.col("l_extendedprice") / F.col("l_quantity") / 250 * 0.6).alias("UnitCost"),
         (F.col("l_extendedprice") / F.col("l_quantity") / 250).alias("UnitPrice"),
+        F.col("l_linenumber").alias("_ln"), F.col("l_partkey").alias("_pk"), F.col("l_suppkey").alias("_sk"),
+        F.col("l_shipdate").alias("_sd"), F.col("l_extendedprice").alias("_ep"),
     )
 
 
+def number_lines(lines: DataFrame, key: str) -> DataFrame:
+    """Line keys without a per-order window.
+
+    ``key`` = global row number over (order, line identity): the range sort
+    splits even a single huge order across tasks (operators.with_row_number).
+    Lines of an order are contiguous in that order, so the line number within
+    the order is ``key - min(key of the order) + 1``; the per-order minimum is a
+    partial aggregate and the join back is an equi-join AQE can split if one
+    order is hot."""
+    from tessera.operators import with_row_number
+
+    k = with_row_number(lines, LINE_ORDER, key)
+    first = k.groupBy("OrderKey").agg(F.min(key).alias("_first"))
+    k = k.join(first, "OrderKey")
+    return k.withColumn("LineNumber", (F.col(key) - F.col("_first") + 1).cast("int")).drop("_first")
+
+
 _MEASURES = [
     "SalesQuantity", "SalesAmount", "ReturnQuantity", "ReturnAmount", "DiscountQuantity",
     "DiscountAmount", "TotalCost", "UnitCost", "UnitPrice",
 ]
 
 
+def online_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FactOnlineSales without the line keys (for aggregating consumers)."""
+    s = sales_lines(spark, sf_dir, "O")
+    return s.select("DateKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey", "CustomerKey",
+                    "SalesOrderNumber", *_MEASURES, "OrderKey")
+
+
+def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FactSales without the line key."""
+    s = sales_lines(spark, sf_dir, "F")
+    return s.select("DateKey", "ChannelKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey", *_MEASURES)
+
+
 def fact_online_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FactOnlineSales: open lines ('O'), order and customer grain available."""
-    s = _sales_lines(spark, sf_dir, "O")
+    """FactOnlineSales: open lines ('O') with OnlineSalesKey and SalesOrderLineNumber."""
+    s = number_lines(sales_lines(spark, sf_dir, "O"), "OnlineSalesKey")
     return s.select(
-        F.col("LineId").alias("OnlineSalesKey"),
-        "DateKey", "StoreKey", "ProductKey", "PromotionKey",
-        (draw("currency", 3, "LineId") + 1).cast("int").alias("CurrencyKey"),
-        "CustomerKey",
-        F.concat(F.lit("SO"), F.lpad(F.col("OrderKey").cast("string"), 10, "0")).alias("SalesOrderNumber"),  # = gen.order_number
-        F.col("LineNumber").alias("SalesOrderLineNumber"),
-        *_MEASURES,
-        "OrderKey",
+        "OnlineSalesKey", "DateKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey", "CustomerKey",
+        "SalesOrderNumber", F.col("LineNumber").alias("SalesOrderLineNumber"), *_MEASURES, "OrderKey",
     )
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FactSales (store channel): fulfilled lines ('F'); no order or customer."""
-    s = _sales_lines(spark, sf_dir, "F")
-    return s.select(
-        F.col("LineId").alias("SalesKey"),
-        "DateKey", "ChannelKey", "StoreKey", "ProductKey", "PromotionKey",
-        (draw("currency", 3, "LineId") + 1).cast("int").alias("CurrencyKey"),
-        *_MEASURES,
-    )
+    """FactSales (store channel): fulfilled lines ('F') with SalesKey; no order or customer."""
+    s = number_lines(sales_lines(spark, sf_dir, "F"), "SalesKey")
+    return s.select("SalesKey", "DateKey", "ChannelKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey",
+                    *_MEASURES)
 
 
 def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,7 +450,7 @@ def fact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_sales_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly quota per store x product x channel for three scenarios."""
-    fs = fact_sales(spark, sf_dir)
+    fs = store_lines(spark, sf_dir)
     g = fs.groupBy(
         F.trunc(F.col("DateKey").cast("date"), "month").alias("m"), "StoreKey", "ProductKey", "ChannelKey"
     ).agg(
