@@ -7,6 +7,8 @@ after a lost executor, and the DuckDB oracle all agree.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,14 +19,39 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def noise(salt: str, *keys: ColumnOrName) -> Column:
-    """Uniform draw in [0, 2**32): first 8 hex digits of md5('salt:k1:k2...').
+# Integer hash modulo the Mersenne prime 2^31 - 1. Each key enters through a
+# salt-specific multiply-add plus its own square (nonlinear in the key), and the
+# state is squared once at the end. Every intermediate stays below 2^62, so there
+# is no overflow (Spark's ANSI mode would raise) and any SQL engine with 64-bit
+# integers computes the same value - pure arithmetic inside whole-stage codegen
+# (an md5 per draw costs ~20x more). The state is referenced once per round, so
+# the expression grows linearly with the number of keys.
+HASH_P = 2147483647
+HASH_ADD = 12345
+
+
+def salt_seed(salt: str) -> int:
+    """Per-salt starting state (fixed at plan time)."""
+    return int(hashlib.md5(salt.encode()).hexdigest()[:8], 16) % HASH_P
 
-    DuckDB twin: ``cast('0x' || substr(md5(concat_ws(':', salt, k...)), 1, 8) as bigint)``.
-    """
-    parts = [F.lit(salt)] + [_col(k).cast("string") for k in keys]
-    h = F.substring(F.md5(F.concat_ws(":", *parts)), 1, 8)
-    return F.conv(h, 16, 10).cast("long")
+
+def salt_mul(salt: str) -> int:
+    """Per-salt multiplier in [2^20, 2^30)."""
+    return (1 << 20) + int(hashlib.md5(("m:" + salt).encode()).hexdigest()[:8], 16) % ((1 << 30) - (1 << 20))
+
+
+def noise(salt: str, *keys: ColumnOrName) -> Column:
+    """Uniform draw in [0, 2**31 - 1) from integer keys.
+
+    DuckDB twin: ``tessera.oracle.adapter_sql.noise`` (same arithmetic)."""
+    p, a = F.lit(HASH_P), salt_mul(salt)
+    h = F.lit(salt_seed(salt)).cast("long")
+    for k in keys:
+        kk = F.pmod(_col(k).cast("long"), p)
+        # h*a < 2^61 and kk*kk < 2^62: the sum stays below 2^63
+        h = F.pmod(h * a + kk * kk + kk + HASH_ADD, p)
+    h = F.pmod(h * a + HASH_ADD, p)
+    return F.pmod(h * h + a, p)
 
 
 def draw(salt: str, n: int, *keys: ColumnOrName) -> Column:

@@ -7,6 +7,7 @@ integer ``/`` is ``//``; ``dayofweek`` is Sunday=0.
 
 from __future__ import annotations
 
+from tessera.functions import HASH_ADD, HASH_P, salt_mul, salt_seed
 from tessera.sources.adapter import (
     CHANNELS, CONTINENTS, CURRENCIES, DEPARTMENTS, EDUCATION, OCCUPATION, PRODUCT_TYPES,
     SCENARIOS, STORE_TYPES,
@@ -17,8 +18,14 @@ from tessera.sources.reference import (
 
 
 def noise(salt: str, *keys: str) -> str:
-    parts = ", ".join([f"'{salt}'"] + [f"CAST({k} AS VARCHAR)" for k in keys])
-    return f"CAST('0x' || substr(md5(concat_ws(':', {parts})), 1, 8) AS BIGINT)"
+    """Same integer hash as ``tessera.functions.noise``."""
+    p, a = HASH_P, salt_mul(salt)
+    h = f"CAST({salt_seed(salt)} AS BIGINT)"
+    for k in keys:
+        kk = f"((CAST({k} AS BIGINT) % {p} + {p}) % {p})"
+        h = f"(({h}) * {a} + {kk} * {kk} + {kk} + {HASH_ADD}) % {p}"
+    h = f"(({h}) * {a} + {HASH_ADD}) % {p}"
+    return f"((({h}) * ({h}) + {a}) % {p})"
 
 
 def draw(salt: str, n: int, *keys: str) -> str:
@@ -68,7 +75,8 @@ def _sales_lines(status: str) -> str:
 _MEASURES = ("SalesQuantity, SalesAmount, ReturnQuantity, ReturnAmount, DiscountQuantity, "
              "DiscountAmount, TotalCost, UnitCost, UnitPrice")
 
-_INV_KEYS = ("m", "s", "p")
+_DK = "(year(d) * 10000 + month(d) * 100 + day(d))"
+_INV_KEYS = ("(year(m) * 100 + month(m))", "s", "p")
 
 # name -> (sql body, dependencies)
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -200,9 +208,9 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                                 ["CurrencyKey", "CurrencyLabel", "CurrencyName", "CurrencyDescription"]), ()),
     "fact_exchange_rate": (f"""
     SELECT CurrencyKey, CAST(d AS TIMESTAMP) AS DateKey, avg_rate AS AverageRate,
-      avg_rate * CASE WHEN CurrencyKey IN (2, 3) THEN 1 + ({draw('fxe', 21, 'CurrencyKey', 'd')} - 10) / 1000.0 ELSE 1.0 END AS EndOfDayRate
+      avg_rate * CASE WHEN CurrencyKey IN (2, 3) THEN 1 + ({draw('fxe', 21, 'CurrencyKey', _DK)} - 10) / 1000.0 ELSE 1.0 END AS EndOfDayRate
     FROM (SELECT *, CASE WHEN CurrencyKey = 1 THEN 1.0 WHEN CurrencyKey = 2 THEN 0.85 WHEN CurrencyKey = 3 THEN 0.65 ELSE 0.0 END
-                 + CASE WHEN CurrencyKey IN (2, 3) THEN ({draw('fx', 100, 'CurrencyKey', 'd')} - 50) / 1000.0 ELSE 0.0 END AS avg_rate
+                 + CASE WHEN CurrencyKey IN (2, 3) THEN ({draw('fx', 100, 'CurrencyKey', _DK)} - 50) / 1000.0 ELSE 0.0 END AS avg_rate
           FROM (SELECT CAST(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS DATE) AS d
                 FROM order_bounds) m
           CROSS JOIN (SELECT CurrencyKey FROM (VALUES {', '.join(f'({k})' for k, _, _ in CURRENCIES)}) t(CurrencyKey)) c) x""",

@@ -235,7 +235,7 @@ def _p2_score(k: int) -> Column:
     time = F.lit(a) + F.lit(b) * F.col("yp")
     cuts, other = PM_VALUE[k]
     value = _bands_gt(F.col("OrderValue"), cuts, other)
-    return base * time * value * _noise_factor("pay", "SalesOrderNumber", F.lit(k))
+    return base * time * value * _noise_factor("pay", "OrderKey", F.lit(k))
 
 
 @gen_table("order_payment")
@@ -247,7 +247,7 @@ def gen_order_payment(m) -> DataFrame:
     g = m.dim_geography.select("GeographyKey", "ContinentName")
     x = op.join(c, "CustomerKey").join(g, "GeographyKey", "left").crossJoin(F.broadcast(yrs))
     x = x.select(
-        "SalesOrderNumber", "OrderDate", "OrderValue",
+        "OrderKey", "SalesOrderNumber", "OrderDate", "OrderValue",
         F.coalesce("ContinentName", F.lit("Unknown")).alias("continent"),
         _year_progress(F.year("OrderDate"), F.col("lo"), F.col("hi")).alias("yp"),
     )
@@ -265,7 +265,7 @@ def _sql_p2_score(k: int) -> str:
     time = f"(CAST({a} AS DOUBLE) + CAST({b} AS DOUBLE) * yp)"
     cuts, other = PM_VALUE[k]
     value = _sql_bands("OrderValue", ">", cuts, other)
-    return f"{base} * {time} * {value} * {_sql_noise_factor('pay', 'SalesOrderNumber', str(k))}"
+    return f"{base} * {time} * {value} * {_sql_noise_factor('pay', 'OrderKey', str(k))}"
 
 
 register("order_profile", """
@@ -280,7 +280,7 @@ register("gen_order_payment", f"""
       row_number() OVER (PARTITION BY SalesOrderNumber ORDER BY score DESC, k) AS rk
     FROM (SELECT p.*, pm.k,
             CASE pm.k {' '.join(f'WHEN {k} THEN {_sql_p2_score(k)}' for k in PM_TIME)} END AS score
-          FROM (SELECT op.SalesOrderNumber, op.OrderDate, op.OrderValue,
+          FROM (SELECT op.OrderKey, op.SalesOrderNumber, op.OrderDate, op.OrderValue,
                   coalesce(g.ContinentName, 'Unknown') AS continent,
                   {_sql_year_progress('year(op.OrderDate)', 'y.lo', 'y.hi')} AS yp
                 FROM order_profile op JOIN dim_customer c ON op.CustomerKey = c.CustomerKey
@@ -336,7 +336,7 @@ def _fulfilment_base(m) -> DataFrame:
         m.dim_geography.select("GeographyKey", F.col("RegionCountryName").alias("cc"),
                                F.col("ContinentName").alias("ck")), "GeographyKey", "left")
     ob = ob.crossJoin(F.broadcast(fact_date_bounds(m)))
-    k = "SalesOrderNumber"
+    k = "OrderKey"
     return ob.select(
         "SalesOrderNumber", "OrderDate",
         F.coalesce("cc", F.lit("Unknown")).alias("cc"), F.coalesce("ck", F.lit("Unknown")).alias("ck"),
@@ -396,7 +396,7 @@ def gen_order_fulfillment(m) -> DataFrame:
     )
 
 
-_K = "SalesOrderNumber"
+_K = "OrderKey"
 register("gen_order_fulfillment", f"""
   SELECT SalesOrderNumber, OrderDate,
     CASE WHEN status <> 'Cancelled' THEN CAST(OrderDate + proc AS DATE) END AS ShipDate,

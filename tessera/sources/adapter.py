@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import draw, noise
@@ -399,9 +399,10 @@ def fact_exchange_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("CurrencyKey") == 3, F.lit(0.65))
         .otherwise(F.lit(0.0))
     )
-    wiggle = F.when(F.col("CurrencyKey").isin(2, 3), (draw("fx", 100, "CurrencyKey", "d") - 50) / 1000.0).otherwise(0.0)
+    dk = F.year("d") * 10000 + F.month("d") * 100 + F.dayofmonth("d")  # integer noise key
+    wiggle = F.when(F.col("CurrencyKey").isin(2, 3), (draw("fx", 100, "CurrencyKey", dk) - 50) / 1000.0).otherwise(0.0)
     avg = base + wiggle
-    eod = avg * F.when(F.col("CurrencyKey").isin(2, 3), 1 + (draw("fxe", 21, "CurrencyKey", "d") - 10) / 1000.0).otherwise(1.0)
+    eod = avg * F.when(F.col("CurrencyKey").isin(2, 3), 1 + (draw("fxe", 21, "CurrencyKey", dk) - 10) / 1000.0).otherwise(1.0)
     return x.select(
         "CurrencyKey",
         F.col("d").cast("timestamp").alias("DateKey"),
@@ -419,19 +420,30 @@ def fact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias("m"),
         F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"),
     ).agg(F.sum("l_quantity").alias("q"))
-    keys = ("m", "s", "p")
-    ss = (draw("inv_ss", 40, *keys) + 5).cast("int")
-    mult = draw("inv_mult", 100, *keys)
+    keys = (F.year("m") * 100 + F.month("m"), "s", "p")  # integer noise keys
+    # Each draw is computed once into a column; the expressions below only
+    # reference them (keeps the generated aggregate-output method small).
+    d = g.select(
+        "m", "s", "p", "q",
+        (draw("inv_ss", 40, *keys) + 5).cast("int").alias("ss"),
+        draw("inv_mult", 100, *keys).alias("mult"),
+        draw("inv_lo", 100, *keys).alias("lo"), draw("inv_mid", 3, *keys).alias("mid"),
+        draw("inv_hi", 50, *keys).alias("hi"), draw("inv_cost", 2000, *keys).alias("cost"),
+        draw("inv_days", 365, *keys).alias("days"), draw("inv_min", 30, *keys).alias("mn"),
+        draw("inv_max", 300, *keys).alias("mx"), draw("inv_age0", 10, *keys).alias("age0"),
+        draw("inv_age", 365, *keys).alias("age"),
+    )
+    ss, mult = F.col("ss"), F.col("mult")
     on_hand = (
         F.when(mult < 2, F.lit(0))
-        .when(mult < 17, F.floor(ss * (draw("inv_lo", 100, *keys) / 100.0)))
-        .when(mult < 86, ss + 1 + draw("inv_mid", 3, *keys) * ss)
-        .when(mult < 99, 4 * ss + 1 + draw("inv_hi", 50, *keys))
+        .when(mult < 17, F.floor(ss * (F.col("lo") / 100.0)))
+        .when(mult < 86, ss + 1 + F.col("mid") * ss)
+        .when(mult < 99, 4 * ss + 1 + F.col("hi"))
         .otherwise(9 * ss)
         .cast("int")
     )
-    return g.select(
-        F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("inv"), *[F.col(c).cast("string") for c in keys])), 1, 15), 16, 10)
+    return d.select(
+        F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("inv"), *[F.col(c).cast("string") for c in ("m", "s", "p")])), 1, 15), 16, 10)
         .cast("long").alias("InventoryKey"),
         F.col("m").cast("timestamp").alias("DateKey"),
         F.col("s").cast("int").alias("StoreKey"),
@@ -440,11 +452,11 @@ def fact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_hand.alias("OnHandQuantity"),
         F.col("q").cast("int").alias("OnOrderQuantity"),
         ss.alias("SafetyStockQuantity"),
-        (F.lit(Decimal("1.5")) + draw("inv_cost", 2000, *keys) / 100).cast("decimal(19,4)").alias("UnitCost"),
-        draw("inv_days", 365, *keys).cast("int").alias("DaysInStock"),
-        draw("inv_min", 30, *keys).cast("int").alias("MinDayInStock"),
-        (draw("inv_min", 30, *keys) + draw("inv_max", 300, *keys)).cast("int").alias("MaxDayInStock"),
-        F.when(draw("inv_age0", 10, *keys) != 0, draw("inv_age", 365, *keys).cast("int")).alias("Aging"),
+        (F.lit(Decimal("1.5")) + F.col("cost") / 100).cast("decimal(19,4)").alias("UnitCost"),
+        F.col("days").cast("int").alias("DaysInStock"),
+        F.col("mn").cast("int").alias("MinDayInStock"),
+        (F.col("mn") + F.col("mx")).cast("int").alias("MaxDayInStock"),
+        F.when(F.col("age0") != 0, F.col("age").cast("int")).alias("Aging"),
     )
 
 

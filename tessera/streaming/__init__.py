@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming sources, watermarks, windows or state - every
+pipeline is a batch rebuild. The stateless parts of the mart (the sales fact
+views, the return-event derivation) are plain projections and joins against
+fixed-size tables and would run unchanged on a ``readStream`` source, but no
+streaming operator is built because the reference defines none.
+"""
