@@ -65,28 +65,56 @@ SOURCE_TABLES = ["fact_online_sales", "fact_sales", "dim_customer", "dim_product
                  "fact_exchange_rate", "fact_inventory", "fact_sales_quota"]
 
 
-def build_sources(spark: SparkSession, sf_dir: str, out_dir: str, tables=None) -> str:
-    """Load the adapted source tables (the source database of the reference) once."""
+def build_sources(spark: SparkSession, sf_dir: str, out_dir: str, tables=None, parallel: int = 4) -> str:
+    """Load the adapted source tables (the source database of the reference) once.
+
+    The tables are independent, so their writes are submitted as concurrent
+    Spark jobs (driver threads only submit; all work runs on the executors):
+    a stage with few tasks in one job no longer leaves the rest of the cluster
+    idle."""
+    from concurrent.futures import ThreadPoolExecutor
+
     src_dir = f"{out_dir.rstrip('/')}/source"
-    m = Mart(spark, sf_dir)
-    for t in tables or SOURCE_TABLES:
-        getattr(m, t).write.mode("overwrite").parquet(f"{src_dir}/{t}")
+
+    def write(t: str) -> None:
+        getattr(Mart(spark, sf_dir), t).write.mode("overwrite").parquet(f"{src_dir}/{t}")
+
+    names = list(tables or SOURCE_TABLES)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(write, t) for t in names]:
+            f.result()  # re-raise the first failure
     return src_dir
 
 
 def build_gen(spark: SparkSession, sf_dir: str, out_dir: str, cfg: MartConfig | None = None,
-              source_dir: str | None = None, only=None) -> Mart:
-    """Write P1-P7 (or ``only`` of them) and return a Mart that reads them back."""
+              source_dir: str | None = None, only=None, parallel: int = 1) -> Mart:
+    """Write P1-P7 (or ``only`` of them) and return a Mart that reads them back.
+
+    With ``parallel > 1`` the pipelines that do not read another generated table
+    are submitted as concurrent jobs; P4 (reads P1) runs after them."""
+    from concurrent.futures import ThreadPoolExecutor
+
     gen_dir = f"{out_dir.rstrip('/')}/gen"
-    for fn in only or GEN_ORDER:
+
+    def write(fn) -> None:
         m = Mart(spark, sf_dir, cfg, gen_dir=gen_dir, source_dir=source_dir)  # sees tables written so far
         fn(m).write.mode("overwrite").parquet(f"{gen_dir}/{fn.gen_table}")  # build fresh, read deps back
+
+    todo = list(only or GEN_ORDER)
+    if parallel > 1:
+        first = [fn for fn in todo if fn is not gen.gen_marketing_spend]
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            for f in [pool.submit(write, fn) for fn in first]:
+                f.result()
+        todo = [fn for fn in todo if fn is gen.gen_marketing_spend]
+    for fn in todo:
+        write(fn)
     return Mart(spark, sf_dir, cfg, gen_dir=gen_dir, source_dir=source_dir)
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str, cfg: MartConfig | None = None) -> Mart:
     """Generated tables, then the parquet export of every view."""
-    m = build_gen(spark, sf_dir, out_dir, cfg)
+    m = build_gen(spark, sf_dir, out_dir, cfg, parallel=4)
     base = out_dir.rstrip("/")
     for name, (fn, year_of) in FACT_EXPORTS.items():
         _write(fn(m), f"{base}/fact/{name}", year_of)
