@@ -31,35 +31,67 @@ class MartConfig:
     survey_recency_date: date = date(2009, 12, 31)
 
 
+# Settings for a large cluster (100 TB class inputs). Applied by
+# ``get_session(cluster=True)`` only where the cluster config has not set them.
+CLUSTER_DEFAULTS = {
+    # AQE: start with many shuffle partitions and let AQE coalesce to ~256 MB
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    # skewed join partitions (a hot customer/order/store) are split at runtime
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    # size-checked broadcast: dimensions under this size become broadcast joins
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    # scan splits sized for executor memory
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "tessera",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session with the settings the mart relies on.
 
     AQE is on so that joins against customer/product-sized dimensions are
     converted to broadcasts only when the runtime size is under the
     threshold, and skewed join partitions are split.
+
+    ``cluster=True`` leaves master, memory and partition counts to the
+    cluster (spark-submit / spark-defaults) and only fills the keys of
+    ``CLUSTER_DEFAULTS`` that it did not set.
     """
-    master = master or os.environ.get("TESSERA_MASTER", "local[*]")
-    b = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.parquet.filterPushdown", "true")
-    )
+    b = SparkSession.builder.appName(app_name).config("spark.ui.showConsoleProgress", "false")
+    if not cluster:
+        b = (
+            b.master(master or os.environ.get("TESSERA_MASTER", "local[*]"))
+            .config("spark.ui.enabled", "false")
+            .config("spark.sql.session.timeZone", "UTC")
+            .config("spark.sql.adaptive.enabled", "true")
+            .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+            .config("spark.sql.adaptive.skewJoin.enabled", "true")
+            .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+            .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+            .config("spark.sql.parquet.filterPushdown", "true")
+        )
+    elif master:
+        b = b.master(master)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    if cluster:
+        conf = spark.sparkContext.getConf()
+        for k, v in CLUSTER_DEFAULTS.items():
+            if not conf.contains(k) and k not in (extra or {}):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
