@@ -7,11 +7,13 @@ aggregates - never the raw facts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import r, safe_div
-from tessera.plans import dims, facts
+from tessera.oracle.adapter_sql import register as register_sql
+from tessera.plans import checks_fulfilment, checks_marts, checks_returns, checks_survey, dims, facts, gen
+from tessera.plans.common import share, sql_share
 from tessera.plans.registry import query
 
 
@@ -59,11 +61,6 @@ def m15(m) -> DataFrame:
 
 
 # ----------------------------------------------------------------- helpers
-from pyspark.sql import Window  # noqa: E402
-
-from tessera.plans import checks_fulfilment, checks_marts, checks_returns, checks_survey, gen  # noqa: E402
-from tessera.oracle.adapter_sql import register as register_sql  # noqa: E402
-from tessera.plans.common import share, sql_share  # noqa: E402
 
 
 def _cnt():
