@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_row_number(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+def with_row_number(df: DataFrame, order: list[Column | str], name: str, keep_pid: bool = False) -> DataFrame:
+    """``keep_pid`` keeps ``_pid``, the index of the range partition a row sits in."""
     s = df.orderBy(*order).checkpoint(eager=True)
     s = s.withColumn("_pid", F.spark_partition_id())
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -30,4 +31,5 @@ def with_row_number(df: DataFrame, order: list[Column | str], name: str) -> Data
     local = F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)
     s = s.withColumn("_local", local)
     out = s.join(F.broadcast(offsets), "_pid")  # one row per partition: bounded by the partition count
-    return out.withColumn(name, (F.col("_off") + F.col("_local") + 1).cast("long")).drop("_pid", "_off", "_local")
+    out = out.withColumn(name, (F.col("_off") + F.col("_local") + 1).cast("long")).drop("_off", "_local")
+    return out if keep_pid else out.drop("_pid")

@@ -99,15 +99,18 @@ def number_lines(lines: DataFrame, key: str) -> DataFrame:
     ``key`` = global row number over (order, line identity): the range sort
     splits even a single huge order across tasks (operators.with_row_number).
     Lines of an order are contiguous in that order, so the line number within
-    the order is ``key - min(key of the order) + 1``; the per-order minimum is a
-    partial aggregate and the join back is an equi-join AQE can split if one
-    order is hot."""
+    the order is ``key - min(key of the order) + 1``. The minimum is taken per
+    (range partition, order) first - a hot order has at most one such row per
+    partition it spans - and the lines join back on (partition, order), so a
+    hot order stays split across the range partitions that hold it."""
     from tessera.operators import with_row_number
 
-    k = with_row_number(lines, LINE_ORDER, key)
-    first = k.groupBy("OrderKey").agg(F.min(key).alias("_first"))
-    k = k.join(first, "OrderKey")
-    return k.withColumn("LineNumber", (F.col(key) - F.col("_first") + 1).cast("int")).drop("_first")
+    k = with_row_number(lines, LINE_ORDER, key, keep_pid=True)
+    local = k.groupBy("_pid", "OrderKey").agg(F.min(key).alias("_lmin"))
+    first = local.groupBy("OrderKey").agg(F.min("_lmin").alias("_first"))
+    bridge = local.join(first, "OrderKey").select("_pid", "OrderKey", "_first")
+    k = k.join(bridge, ["_pid", "OrderKey"])
+    return k.withColumn("LineNumber", (F.col(key) - F.col("_first") + 1).cast("int")).drop("_first", "_pid")
 
 
 _MEASURES = [

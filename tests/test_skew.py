@@ -63,3 +63,34 @@ def test_hot_customer_is_split_and_orders_stay_whole(spark):
     assert tuple(row) == tuple(base) and row.n == row.d == orders
     split = [ln for ln in plan.splitlines() if "SortMergeJoin(skew=true)" in ln and "CustomerKey" in ln]
     assert split and "AQEShuffleRead skewed" in plan, plan
+
+
+def test_hot_order_numbering_join_is_split(spark):
+    """One order holding most lines: the per-order minimum is joined back on
+    (range partition, order), so the hot order stays spread over the range
+    partitions that hold it instead of landing in one join task."""
+    import datetime as dt
+
+    from tessera.sources import adapter
+
+    n = 20000
+    cols = lambda key, ln: [key.cast("long").alias("OrderKey"), ln.alias("_ln"), F.col("id").alias("_pk"),
+                            F.lit(1).alias("_sk"), F.lit(dt.datetime(2000, 1, 1)).alias("_sd"), F.lit(1.0).alias("_ep")]
+    hot = spark.range(n).select(*cols(F.lit(7), F.col("id") % 5))
+    other = spark.range(2000).select(*cols(F.col("id") + 100, F.lit(1).cast("long")))
+    df = hot.unionByName(other).repartition(8)
+
+    def run():
+        out = adapter.number_lines(df, "K")
+        stats = out.groupBy((F.col("OrderKey") == 7).alias("hot")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("LineNumber").alias("mx"), F.countDistinct("K").alias("keys"))
+        rows = {r.hot: r for r in stats.collect()}
+        return rows, stats._jdf.queryExecution().executedPlan().toString()
+
+    rows, plan = _with_conf(spark, SKEW_CONF, run)
+    assert (rows[True].n, rows[True].mx, rows[True].keys) == (n, n, n)
+    assert (rows[False].n, rows[False].mx) == (2000, 1)
+    joins = [ln for ln in plan.splitlines() if "Join [" in ln and "OrderKey" in ln]
+    # lines join on (partition, order); the only OrderKey-only join is the
+    # bridge of per-partition minima (at most one row per order and partition)
+    assert any("_pid" in ln for ln in joins), joins
