@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_lsh, winnow
+from . import embed_lsh, packing, winnow
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,9 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edit_trial(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return pieces
