@@ -66,7 +66,7 @@ def maybe_in(df: DataFrame, col: str, ids: DataFrame, bits: int = BITMAP_BITS) -
     bitmap lets everything through; the exact join decides either way.
     """
     h = F.pmod(F.xxhash64("id"), F.lit(bits))
-    words = ids.select(F.shiftright(h, 5).alias("w"), F.shiftleft(F.lit(1).cast("long"), (h % 32).cast("int")).alias("v"))
+    words = ids.select(F.shiftright(h, 5).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (h % 32).cast("int")).alias("v"))
     words = words.groupBy("w").agg(F.bit_or("v").alias("v"))
     m = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m"))
     n = bits // 32
@@ -74,7 +74,8 @@ def maybe_in(df: DataFrame, col: str, ids: DataFrame, bits: int = BITMAP_BITS) -
                                lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("_bitmap"))
     row = cut(row)
     g = F.pmod(F.xxhash64(F.col(col)), F.lit(bits))
-    hit = F.shiftright(F.get("_bitmap", F.shiftright(g, 5).cast("int")), (g % 32).cast("int")).bitwiseAND(F.lit(1)) == 1
+    word = F.get("_bitmap", F.shiftright(g, 5).cast("int"))
+    hit = F.call_function("shiftright", word, (g % 32).cast("int")).bitwiseAND(F.lit(1)) == 1
     return df.join(F.broadcast(row), hit, "left_semi")
 
 
