@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.config import ensure_checkpoint_dir
@@ -93,12 +92,14 @@ def salted(post: DataFrame, every: int = 64, part: int = 4096) -> DataFrame:
         "salt", F.coalesce(F.pmod(F.xxhash64("id", F.lit(7)), F.col("_parts")), F.lit(0).cast("long"))).drop("_parts")
 
 
-def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool = False) -> DataFrame:
+def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool = False,
+         near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Links ``a, b`` that connect every pair which shares a key and verifies.
 
     ``post(key, id)`` are the ids under each key; ``verify`` takes candidate
     pairs ``a, b, shared`` (number of keys shared) and returns those linked.
-    Copies are not expanded into all pairs:
+    With ``near``, ``post`` also has a ``mark`` by id, and pairs whose marks
+    are not near are no candidates. Copies are not expanded into all pairs:
 
     1. star: each id is compared with the smallest id under each of its keys
        (``best``: only the one it shares most keys with);
@@ -108,21 +109,24 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
     So two ids that share a key and verify end up in one component.
     """
     w = Window.partitionBy("key", "salt")
-    rows = salted(post).withColumn("piv", F.min("id").over(w)).withColumn("n", F.count("*").over(w))
-    multi = cut(rows.where("n > 1 or salt > 0").select("key", "id", "piv"))
-    stars = multi.where("id <> piv").groupBy(F.col("id").alias("a"), F.col("piv").alias("b")).agg(F.count("*").alias("shared"))
+    rows = salted(post).withColumn("n", F.count("*").over(w))
+    if near:
+        rows = rows.withColumn("p", F.min(F.struct("id", "mark")).over(w)).select("key", "salt", "id", "mark", "n", F.col("p.id").alias("piv"), F.col("p.mark").alias("piv_mark"))
+        rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark"))).drop("piv_mark")
+    else:
+        rows = rows.withColumn("piv", F.min("id").over(w)).withColumn("close", F.lit(True))
+    multi = cut(rows.where("n > 1 or salt > 0").drop("n", "salt"))
+    stars = multi.where("id <> piv and close").groupBy(F.col("id").alias("a"), F.col("piv").alias("b")).agg(F.count("*").alias("shared"))
     if best:
         stars = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"), F.max("shared").alias("shared"))
     one = cut(verify(stars))
     comp = components(one)
-    rows = multi.select("key", "id").join(comp, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("comp"))
+    rows = multi.drop("piv", "close").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     rows = cut(rows.join(mixed, "key", "left_semi"))
-    pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")))
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
+    if near:
+        apart = apart & near(F.col("x.mark"), F.col("y.mark"))
+    pairs = rows.alias("x").join(rows.alias("y"), apart)
     pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("shared"))
     return one.unionByName(cut(verify(pairs)))
-
-
-def as_long(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(T.LongType())

@@ -130,23 +130,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tables: int = 8
     usable = src.where("vec_id is not null and label is not null and embedding is not null")
     vecs = cut(usable.mapInArrow(_hasher(tables, hashes, width, seed),
                                  "vec_id long, label long, unit binary, sketch long, keys array<long>"))
-    post = vecs.select(F.explode("keys").alias("k"), "label", F.col("vec_id").alias("id"))
-    post = post.select(F.xxhash64("k", "label").alias("key"), "id").distinct()
+    post = vecs.select(F.explode("keys").alias("k"), "label", F.col("vec_id").alias("id"), F.col("sketch").alias("mark"))
+    post = post.select(F.xxhash64("k", "label").alias("key"), "id", "mark")
 
     angle = math.acos(min(1.0, threshold)) / math.pi
     most = math.ceil(64 * angle + 6 * math.sqrt(64 * angle * (1 - angle)))
-    small = vecs.select(F.col("vec_id").alias("id"), "label", "sketch")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        p = pairs.join(small.select(F.col("id").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("sa")), "a")
-        p = p.join(small.select(F.col("id").alias("b"), F.col("label").alias("lb"), F.col("sketch").alias("sb")), "b")
-        p = p.where((F.col("la") == F.col("lb")) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= most)).select("a", "b", "la").distinct()
-        p = p.join(vecs.select(F.col("vec_id").alias("a"), F.col("label").alias("la"), F.col("unit").alias("u")), ["a", "la"])
+        p = pairs.join(vecs.select(F.col("vec_id").alias("a"), F.col("label").alias("la"), F.col("unit").alias("u")), "a")
         p = p.join(vecs.select(F.col("vec_id").alias("b"), F.col("label").alias("la"), F.col("unit").alias("v")), ["b", "la"])
         p = p.select("a", "b", "u", "v").mapInArrow(_cosines, "a long, b long, cos double")
         return p.where(F.col("cos") >= threshold).select("a", "b").distinct()
 
-    comp = cut(components(link(post, verify)))
+    comp = cut(components(link(post, verify, near=lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= most)))
 
     # links per vector: blocks of a component and label against each other
     rows = vecs.select("vec_id", "label", "unit", F.monotonically_increasing_id().alias("row"))
