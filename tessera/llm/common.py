@@ -130,3 +130,17 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
     pairs = rows.alias("x").join(rows.alias("y"), apart)
     pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("shared"))
     return one.unionByName(cut(verify(pairs)))
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text``: all columns of ``docs`` in one struct, so that
+    no name of an operator's own meets one of them, and the two it works on."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+
+
+def unboxed(df: DataFrame, docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` again; with ``text``, that text and, if there
+    is a column ``n_chars``, its length."""
+    new = {} if text is None else {"text": text, "n_chars": F.length(text)}
+    return df.select(*[(new[f.name].cast(f.dataType) if f.name in new else F.col("row").getField(f.name)).alias(f.name) for f in docs.schema])

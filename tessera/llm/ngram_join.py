@@ -32,8 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import components, cut, link, maybe_in
+from .common import boxed, components, cut, link, maybe_in, unboxed
 
 SLICE = 1 << 20  # bytes hashed at once
 HOT_SHINGLES = 200_000  # at most so many are ranked by count; the others by hash
@@ -250,3 +251,14 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
     comp = components(same.unionByName(link(post, verify, best=True)))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, num: int = 75, den: int = 100, words: int = 5) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names its component: one document of
+    each group. Of rows that repeat a doc_id the first by text stays; rows
+    without a doc_id all stay."""
+    heads = near_documents(docs, num, den, words).where("component_id = doc_id").select("doc_id").distinct()
+    src = boxed(docs)
+    order = Window.partitionBy("doc_id").orderBy("text")
+    kept = src.join(cut(heads), "doc_id").withColumn("n", F.row_number().over(order)).where("n = 1")
+    return unboxed(kept.select("row").unionByName(src.where("doc_id is null").select("row")), docs)

@@ -29,6 +29,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import boxed, unboxed
+
 # The forms asked for and the least length of what they find.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 6
@@ -154,17 +156,19 @@ def _thresholds(texts: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` and two columns: ``_base`` and ``_all``, spans of the fixed
-    forms and of all kinds, as ``array<struct<start, kind, end>>`` in order."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    least = F.broadcast(_thresholds(docs.select(text.alias("text"))))  # one row of at most 25 entries
+    """``row, doc_id, text, base, spans`` for each row of ``docs``: the row
+    itself, and the spans of the fixed forms and of all kinds, as
+    ``array<struct<start, kind, end>>`` in order."""
+    src = boxed(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    text = F.col("text")
+    least = F.broadcast(_thresholds(src.select("text")))  # one row of at most 25 entries
     valued = lambda x: F.length(F.regexp_extract(x["body"], ASSIGN, 1)) >= ASSIGN_LEAST
     base = F.concat(_as_spans(F.filter(_found(text, ASSIGN), valued), 0),
                     F.when(F.contains(text, F.lit("AKIA")), _as_spans(_found(text, ACCESS), 1)).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>")),
                     _as_spans(_found(text, HEX), 2))
     random = F.filter(_runs(text), lambda r: r["bin"] >= F.try_element_at("_least", r["class"]))
-    out = docs.crossJoin(least).withColumns({"_base": F.sort_array(base), "_random": _as_spans(random, 3)})
-    return out.withColumn("_all", F.sort_array(F.concat("_base", "_random"))).drop("_random", "_least")
+    out = src.crossJoin(least).withColumns({"base": F.sort_array(base), "random": _as_spans(random, 3)})
+    return out.withColumn("spans", F.sort_array(F.concat("base", "random"))).drop("random", "_least")
 
 
 def _listed(spans: Column) -> Column:
@@ -174,18 +178,17 @@ def _listed(spans: Column) -> Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random``."""
-    found = scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
+    found = scan(docs.select("doc_id", "text"))
     count = lambda k, c: F.size(F.filter(c, lambda s: s["kind"] == k)).cast("long")
-    return found.select("doc_id", count(0, "_base").alias("n_assign"), count(1, "_base").alias("n_access"), count(2, "_base").alias("n_hex"),
-                        F.sha2(_listed(F.col("_base")), 256).alias("base_sha256"), _listed(F.col("_all")).alias("spans"),
-                        count(3, "_all").alias("n_random"))
+    return found.select("doc_id", count(0, "base").alias("n_assign"), count(1, "base").alias("n_access"), count(2, "base").alias("n_hex"),
+                        F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
+                        count(3, "spans").alias("n_random"))
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span of the text replaced by ``mark``, overlapping
     ones as one, and the new length in ``n_chars``."""
-    found = scan(docs)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found, text = scan(docs), F.col("text")
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(done: Column, s: Column) -> Column:
@@ -194,7 +197,5 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                         F.when(s["start"] >= done["at"], F.concat(done["parts"], F.array(before))).otherwise(done["parts"]).alias("parts"))
 
     whole = lambda d: F.concat(F.array_join(d["parts"], ""), F.substring(text, d["at"] + 1, F.length(text)))
-    clean = F.when(F.size("_all") == 0, text).otherwise(F.aggregate("_all", empty, step, whole))
-    out = found.withColumn("_clean", clean)
-    out = out.withColumns({"text": F.col("_clean"), "n_chars": F.length("_clean").cast(docs.schema["n_chars"].dataType)})
-    return out.select(*docs.columns)
+    clean = F.when(F.size("spans") == 0, text).otherwise(F.aggregate("spans", empty, step, whole))
+    return unboxed(found.select("row", clean.alias("text")), docs, F.col("text"))
