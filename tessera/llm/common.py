@@ -67,11 +67,9 @@ def maybe_in(df: DataFrame, col: str, ids: DataFrame, bits: int = BITMAP_BITS) -
     h = F.pmod(F.xxhash64("id"), F.lit(bits))
     words = ids.select(F.shiftright(h, 5).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (h % 32).cast("int")).alias("v"))
     words = words.groupBy("w").agg(F.bit_or("v").alias("v"))
-    m = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m"))
-    n = bits // 32
-    row = m.select(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")),
-                               lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("_bitmap"))
-    row = cut(row)
+    every = df.sparkSession.range(bits // 32).join(words, F.col("id") == F.col("w"), "left")
+    listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("v", F.lit(0).cast("long")).alias("v"))))
+    row = cut(every.agg(F.transform(listed, lambda x: x["v"]).alias("_bitmap")))
     g = F.pmod(F.xxhash64(F.col(col)), F.lit(bits))
     word = F.get("_bitmap", F.shiftright(g, 5).cast("int"))
     hit = F.call_function("shiftright", word, (g % 32).cast("int")).bitwiseAND(F.lit(1)) == 1
