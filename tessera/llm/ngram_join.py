@@ -38,7 +38,7 @@ from .common import boxed, components, cut, link, maybe_in, unboxed
 
 SLICE = 1 << 20  # bytes hashed at once
 HOT_SHINGLES = 200_000  # at most so many are ranked by count; the others by hash
-HOT_IN_BATCH = 8
+BATCH, HOT_IN_BATCH = 1 << 21, 6  # shingles in a batch, and occurrences there that make one hot
 FRAGMENTS = 8
 PART = 256  # members of a star compared in one group
 
@@ -102,7 +102,18 @@ def _long_word(word: bytes) -> int:
 
 
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+    """The sorted distinct shingle hashes of each text, some texts at a time."""
+    few, size = [], 0
+    for t in texts:
+        few.append(t)
+        size += len(t or "")
+        if size >= 2 * SLICE:
+            yield from _sets(few, words)
+            few, size = [], 0
+    yield from _sets(few, words)
+
+
+def _sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
     with np.errstate(over="ignore"):
         bodies = [(t or "").encode("utf-8", "replace") for t in texts]
         ends = np.cumsum([len(b) + 1 for b in bodies])
@@ -129,12 +140,22 @@ def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
 def _hot(words: int):
     """Shingles that repeat in a batch of documents, with counts."""
 
+    def much(sets):
+        h, n = np.unique(np.concatenate(sets), return_counts=True)
+        hot = n >= HOT_IN_BATCH
+        return pa.RecordBatch.from_arrays([pa.array(h[hot].view(np.int64)), pa.array(n[hot], pa.int64())], names=["shingle", "n"])
+
     def run(batches):
+        sets, size = [], 0
         for batch in batches:
-            sets = list(shingle_sets(batch.column("text").to_pylist(), words))
-            h, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            much = n >= HOT_IN_BATCH
-            yield pa.RecordBatch.from_arrays([pa.array(h[much].view(np.int64)), pa.array(n[much], pa.int64())], names=["shingle", "n"])
+            for s in shingle_sets(batch.column("text").to_pylist(), words):
+                sets.append(s)
+                size += len(s)
+                if size >= BATCH:
+                    yield much(sets)
+                    sets, size = [], 0
+        if sets:
+            yield much(sets)
 
     return run
 
