@@ -27,13 +27,16 @@ from pyspark.sql import functions as F
 from .common import boxed, cut, unboxed
 
 HEURISTICS = ["symbols", "capitals", "columns", "echoes", "variety", "decorated", "function_words", "sentences"]
+# Kinds of junk by the heuristics that see them, and how far a vote for junk is trusted at the start.
+KINDS = [["symbols", "decorated"], ["capitals"], ["columns"], ["echoes", "variety"], ["function_words", "sentences"]]
+TRUST = dict.fromkeys(HEURISTICS, 0.9) | dict.fromkeys(["variety", "function_words", "sentences"], 0.3)
 SHAPES = 1 << 12  # hashed dimensions of the scorer
 FIT_ROWS = 4000  # documents that the scorer is fitted on, about
 NONE, GOOD, JUNK = 0, 1, 2
 
 # classes of characters: space, newline, lower, upper, digit, other letters, marks; then ASCII symbols by themselves
 _SPACE, _LINE, _LOWER, _UPPER, _DIGIT, _LETTER, _OTHER, _SYMBOL = range(8)
-_KINDS = 48
+_CLASSES = 48
 
 
 @lru_cache(maxsize=1)
@@ -106,8 +109,8 @@ def features(text: str | None, shapes: bool = True) -> tuple[list[int], np.ndarr
     ]
     if not shapes:
         return votes, None
-    k = np.minimum(kind, _KINDS - 1).astype(np.int64)
-    grams = (k[:-2] * _KINDS + k[1:-1]) * _KINDS + k[2:]
+    k = np.minimum(kind, _CLASSES - 1).astype(np.int64)
+    grams = (k[:-2] * _CLASSES + k[1:-1]) * _CLASSES + k[2:]
     x = np.bincount((grams * 40503 >> 4) % (SHAPES - 64), minlength=SHAPES).astype(np.float64)
     x = np.sqrt(x / max(1, len(grams)))
     for i, v in enumerate((symbols, capitals, columns, echoes, variety, decorated, function, sentences)):
@@ -123,32 +126,44 @@ def _votes(pattern: int) -> list[int]:
     return [pattern // 3 ** i % 3 for i in range(len(HEURISTICS))]
 
 
-def accuracies(counts: dict[int, int], rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """Share of good and of junk documents, and of each vote of each heuristic
-    on them where it votes: ``prior[2], table[class, heuristic, vote]``, from
-    the counts of vote patterns. Begins with the majority of votes."""
-    votes = np.array([_votes(p) for p in counts] or np.zeros((0, len(HEURISTICS)), int))
+def accuracies(counts: dict[int, int], rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of good documents and of each kind of junk, and of the votes of
+    each heuristic on them where it votes: ``prior[class], table[class,
+    heuristic, vote]``, from the counts of vote patterns; class 0 is good.
+
+    Junk of one kind is good in the eyes of the heuristics for others, so each
+    kind is a class of its own, inside which heuristics err independently. A
+    vote for a defect is trusted at the start with ``TRUST``."""
+    votes = np.array([_votes(p) for p in counts], int).reshape(-1, len(HEURISTICS))
     n = np.array(list(counts.values()), float)
-    balance = (votes == JUNK).sum(axis=1) - 0.5 * (votes == GOOD).sum(axis=1)
-    junk = 1 / (1 + np.exp(-2 * (balance + 0.5)))
-    prior, table = np.array([0.5, 0.5]), np.ones((2, len(HEURISTICS), 3))
+    bad = votes == JUNK
+    hits = np.array([bad[:, [HEURISTICS.index(h) for h in kind]].sum(axis=1) for kind in KINDS]).reshape(len(KINDS), -1).T
+    trust = np.max(np.where(bad, [TRUST[h] for h in HEURISTICS], 0.01), axis=1, initial=0.01)
+    share = np.column_stack([1 - trust, (hits + 1e-3) / (hits + 1e-3).sum(axis=1, keepdims=True) * trust[:, None]])
+    prior, table = np.ones(share.shape[1]), np.ones((share.shape[1], len(HEURISTICS), 3))
     for _ in range(rounds):
-        for c, share in enumerate((1 - junk, junk)):
-            weight = n * share
-            prior[c] = weight.sum() + 1
-            for v in (GOOD, JUNK):
-                table[c, :, v] = ((votes == v) * weight[:, None]).sum(axis=0) + 0.5
-        prior = prior / prior.sum()
+        weight = n[:, None] * share
+        prior = (weight.sum(axis=0) + 1) / (weight.sum() + len(prior))
+        for v in (GOOD, JUNK):
+            table[:, :, v] = weight.T @ (votes == v) + 0.5
         table[:, :, 1:] /= table[:, :, 1:].sum(axis=2, keepdims=True)
-        before, junk = junk, _posterior(votes, prior, table)
-        if len(junk) == 0 or np.abs(junk - before).max() < 1e-9:
+        before, share = share, _shares(votes, prior, table)
+        if not len(n) or np.abs(share - before).max() < 1e-9:
             break
     return prior, table
 
 
-def _posterior(votes: np.ndarray, prior: np.ndarray, table: np.ndarray) -> np.ndarray:
-    log = np.log(prior)[:, None] + np.array([[np.log(table[c, range(len(v)), v]).sum() for v in votes] for c in (0, 1)]).reshape(2, -1)
-    return 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
+def _shares(votes: np.ndarray, prior: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Probability of each class for each pattern."""
+    log = np.log(prior) + sum((np.log(table[:, h, votes[:, h]]).T for h in range(votes.shape[1])), np.zeros((len(votes), len(prior))))
+    log -= log.max(axis=1, keepdims=True, initial=-1e9)
+    return np.exp(log) / np.exp(log).sum(axis=1, keepdims=True)
+
+
+def posteriors(counts: dict[int, int]) -> dict[int, float]:
+    """Probability of good for each vote pattern."""
+    prior, table = accuracies(counts)
+    return dict(zip(counts, _shares(np.array([_votes(p) for p in counts], int).reshape(-1, len(HEURISTICS)), prior, table)[:, 0]))
 
 
 def fit(x: np.ndarray, good: np.ndarray, rounds: int = 400, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -180,7 +195,7 @@ def _sampled(batches):
              pa.array([x[i] for _, i, x in rows], pa.list_(pa.float64()))], names=["pattern", "at", "value"])
 
 
-def judge(docs: DataFrame, threshold: float = 0.5, fit_rows: int = FIT_ROWS) -> DataFrame:
+def judge(docs: DataFrame, threshold: float = 0.4, fit_rows: int = FIT_ROWS) -> DataFrame:
     """``row, doc_id, votes, weak_good, score, keep`` for each row of ``docs``:
     the row itself, a letter j, g or - for each heuristic, the posterior of
     good, the scorer's probability of good and its decision. About ``fit_rows`` documents, chosen by a hash of doc_id, fit
@@ -188,8 +203,7 @@ def judge(docs: DataFrame, threshold: float = 0.5, fit_rows: int = FIT_ROWS) ->
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = text.select("text").mapInArrow(_patterns, "pattern long").where("pattern is not null").groupBy("pattern").count()
     counts = {r["pattern"]: r["count"] for r in counts.orderBy("pattern").collect()}  # at most 3^8 rows
-    prior, table = accuracies(counts)
-    weak = dict(zip(counts, 1 - _posterior(np.array([_votes(p) for p in counts]), prior, table))) if counts else {}
+    weak = posteriors(counts)
 
     share = min(1.0, fit_rows / max(1, sum(counts.values())))
     few = text.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).where("doc_id is not null")
