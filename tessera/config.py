@@ -15,20 +15,14 @@ class MartConfig:
     """Knobs of the mart build.
 
     ``max_date`` and ``reference_date`` default to values derived from the
-    data (latest order date, and 31 Dec of its year + ``shift_years``); they
-    stay lazy one-row aggregates unless overridden here.
+    data (latest order date, and 31 Dec of its year + 16); they stay lazy one-row aggregates unless overridden here.
     ``as_of`` replaces GETDATE() in the "current period" flags; ``None`` means
     the reference date, so reruns are reproducible.
     """
 
-    shift_years: int = 16
     max_date: date | None = None
     reference_date: date | None = None
     as_of: date | None = None
-    # Days before max date that count as "recent" (still in transit).
-    recent_days: int = 21
-    # Date the survey recency is measured against (pre-shift calendar).
-    survey_recency_date: date = date(2009, 12, 31)
 
 
 # Settings for a large cluster (100 TB class inputs). Applied by
@@ -70,6 +64,8 @@ def get_session(
     ``CLUSTER_DEFAULTS`` that it did not set.
     """
     b = SparkSession.builder.appName(app_name).config("spark.ui.showConsoleProgress", "false")
+    # checkpoint files go when nothing refers to them any more
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if not cluster:
         b = (
             b.master(master or os.environ.get("TESSERA_MASTER", "local[*]"))
@@ -92,7 +88,7 @@ def get_session(
         for k, v in CLUSTER_DEFAULTS.items():
             if not conf.contains(k) and k not in (extra or {}):
                 spark.conf.set(k, v)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -100,13 +96,22 @@ def get_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared (HDFS/object-store) folder and
-    is left untouched. Only when it is unset (local tests) do we point it
-    at a fresh scratch folder.
+    On a cluster this setting must name a shared (HDFS/object-store) folder; it
+    is left untouched, and an error is raised where it is missing, since other
+    machines cannot read a local folder. Only on a ``local`` master (tests,
+    one machine) is a fresh scratch folder made.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        master = spark.sparkContext.master
+        if not is_local(master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines share (master {master})")
         cur = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)
     return cur
+
+
+def is_local(master: str) -> bool:
+    """Driver and executors are one process."""
+    return master == "local" or master.startswith("local[")

@@ -65,18 +65,18 @@ def date_key(d: ColumnOrName) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def pad(c: ColumnOrName, n: int) -> Column:
+    """The value as text, zero-padded on the left to at least ``n`` characters.
+    Longer values stay whole (plain ``lpad`` would cut them)."""
+    s = _col(c).cast("string")
+    return F.lpad(s, F.greatest(F.length(s), F.lit(n)), F.lit("0"))
+
+
 def year_month_key(d: ColumnOrName) -> Column:
     d = _col(d)
     return (F.year(d) * 100 + F.month(d)).cast("int")
 
 
-def key_to_date(k: ColumnOrName) -> Column:
-    """YYYYMMDD int -> DATE."""
-    k = _col(k)
-    return F.make_date((k / 10000).cast("int"), F.pmod(F.floor(k / 100), F.lit(100)).cast("int"),
-                       F.pmod(k, F.lit(100)).cast("int"))
-
-
 def shift(d: ColumnOrName, years: int) -> Column:
     """DATEADD(YEAR, n, d): Feb 29 maps to Feb 28/29 like add_months."""
     return F.add_months(_col(d).cast("date"), 12 * years)
@@ -87,13 +87,6 @@ def year_diff(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.year(_col(b)) - F.year(_col(a))
 
 
-def exact_age(birth: ColumnOrName, at: ColumnOrName) -> Column:
-    """Whole years between birth and ``at`` (birthday not yet reached -> -1)."""
-    birth, at = _col(birth), _col(at)
-    later = (F.month(birth) * 100 + F.dayofmonth(birth)) > (F.month(at) * 100 + F.dayofmonth(at))
-    return year_diff(birth, at) - F.when(later, 1).otherwise(0)
-
-
 def us_week(d: ColumnOrName) -> Column:
     """DATEPART(WEEK): Jan 1 is in week 1, weeks start on Sunday."""
     d = _col(d)

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tessera.config import MartConfig, ensure_checkpoint_dir
 from tessera.sources import adapter, reference
 
+SHIFT = 16  # years added to every source date (fixed value of the reference)
+
 
 class Mart:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: MartConfig | None = None,
@@ -40,6 +42,25 @@ class Mart:
         """Online sales lines without line keys (for aggregations)."""
         return self._source("fact_online_sales", lambda: adapter.online_lines(self.spark, self.sf_dir))
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Online sales lines with their order key and measures, not joined to the orders."""
+        if self._loaded("fact_online_sales"):
+            return self.online_lines
+        return adapter.line_measures(self.spark, self.sf_dir, "O")
+
+    @cached_property
+    def store_line_sums(self) -> DataFrame:
+        """Store sales lines with their measures, not joined to the orders."""
+        if self._loaded("fact_sales"):
+            return self.store_lines
+        return adapter.line_measures(self.spark, self.sf_dir, "F")
+
+    @cached_property
+    def order_heads(self) -> DataFrame:
+        """Date and customer of every order."""
+        return adapter.order_heads(self.spark, self.sf_dir)
+
     @cached_property
     def store_lines(self) -> DataFrame:
         """Store sales lines without the line key (for aggregations)."""
@@ -136,7 +157,7 @@ class Mart:
         if cfg.max_date is not None:
             row = row.select(F.lit(cfg.max_date).alias("max_date"))
         ref = (F.lit(cfg.reference_date) if cfg.reference_date is not None
-               else F.make_date(F.year("max_date") + cfg.shift_years, F.lit(12), F.lit(31)))
+               else F.make_date(F.year("max_date") + SHIFT, F.lit(12), F.lit(31)))
         row = row.withColumn("reference_date", ref)
         as_of = F.lit(cfg.as_of) if cfg.as_of is not None else F.col("reference_date")
         return F.broadcast(row.withColumn("as_of", as_of))
@@ -158,12 +179,13 @@ class Mart:
     # ---- persisted source / generated tables -----------------------------
     def _source(self, name: str, build) -> DataFrame:
         """Adapted source table: read from ``source_dir`` when it was loaded there."""
-        if self.source_dir:
-            path = f"{self.source_dir.rstrip('/')}/{name}"
-            if self._exists(f"{path}/_SUCCESS"):
-                return self.spark.read.parquet(path)
+        if self._loaded(name):
+            return self.spark.read.parquet(f"{self.source_dir.rstrip('/')}/{name}")
         return build()
 
+    def _loaded(self, name: str) -> bool:
+        return bool(self.source_dir) and self._exists(f"{self.source_dir.rstrip('/')}/{name}/_SUCCESS")
+
     def _gen(self, name: str, build) -> DataFrame:
         if self.gen_dir:
             path = f"{self.gen_dir.rstrip('/')}/{name}"

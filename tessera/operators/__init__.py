@@ -1,7 +1,7 @@
 """Reusable DataFrame operators the plans are composed from."""
 
 from tessera.operators.argmax import argmax_key
-from tessera.operators.metrics import metric_rows
+from tessera.operators.metrics import metric_rows, missing_in, sql_metric_rows
 from tessera.operators.surrogate_key import with_row_number
 
-__all__ = ["argmax_key", "metric_rows", "with_row_number"]
+__all__ = ["argmax_key", "metric_rows", "missing_in", "sql_metric_rows", "with_row_number"]

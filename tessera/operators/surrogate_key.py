@@ -4,26 +4,27 @@
 every row into one partition (``Exchange SinglePartition``) - a single task
 for the whole table. Instead:
 
-1. range-partition + sort on the order columns (``orderBy``), then
-   ``checkpoint()`` it into the shared checkpoint folder - range bounds are
+1. range-partition + sort the order columns alone (``orderBy``), then
+   ``checkpoint()`` them into the shared checkpoint folder - range bounds are
    sampled, so two evaluations could disagree; the checkpoint pins one
    layout and also cuts the lineage (a lost executor re-reads the files);
 2. count rows per partition (one tiny row per partition) and turn the
    counts into starting offsets with a window over those few rows;
-3. broadcast the offsets and add each row's position within its partition.
+3. broadcast the offsets, add each row's position within its partition, and
+   join the numbers back to the rows on the order columns.
 
-The order columns must be unique for the numbering to be deterministic.
+The order columns must be unique and without nulls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_row_number(df: DataFrame, order: list[Column | str], name: str, keep_pid: bool = False) -> DataFrame:
-    """``keep_pid`` keeps ``_pid``, the index of the range partition a row sits in."""
-    s = df.orderBy(*order).checkpoint(eager=True)
+def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``name``, its rows' numbers from 1 in the order of ``order``."""
+    s = df.select(*order).orderBy(*order).checkpoint(eager=True)
     s = s.withColumn("_pid", F.spark_partition_id())
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -31,5 +32,5 @@ def with_row_number(df: DataFrame, order: list[Column | str], name: str, keep_pi
     local = F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)
     s = s.withColumn("_local", local)
     out = s.join(F.broadcast(offsets), "_pid")  # one row per partition: bounded by the partition count
-    out = out.withColumn(name, (F.col("_off") + F.col("_local") + 1).cast("long")).drop("_off", "_local")
-    return out if keep_pid else out.drop("_pid")
+    out = out.withColumn(name, (F.col("_off") + F.col("_local") + 1).cast("long")).drop("_off", "_local", "_pid")
+    return df.join(out, order)

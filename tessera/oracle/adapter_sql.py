@@ -32,6 +32,12 @@ def draw(salt: str, n: int, *keys: str) -> str:
     return f"({noise(salt, *keys)} % {n})"
 
 
+def pad(x: str, n: int) -> str:
+    """Same as ``tessera.functions.pad``: never shortens."""
+    s = f"CAST({x} AS VARCHAR)"
+    return f"lpad({s}, CAST(greatest(length({s}), {n}) AS INTEGER), '0')"
+
+
 def pick(values, idx: str) -> str:
     whens = " ".join(f"WHEN {idx} = {i} THEN '{v}'" for i, v in enumerate(values))
     return f"(CASE {whens} END)"
@@ -51,12 +57,12 @@ _LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_ext
 
 def _sales_lines(status: str) -> str:
     return f"""
-    SELECT row_number() OVER (ORDER BY {_LINE_ORDER}) AS LineId, l.l_orderkey AS OrderKey,
-      CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {_LINE_ORDER}) AS INTEGER) AS LineNumber,
-      o.o_orderdate AS DateKey, CAST(l.l_suppkey AS INTEGER) AS StoreKey, CAST(l.l_partkey AS INTEGER) AS ProductKey,
+    SELECT CAST(CAST(l.l_orderkey AS HUGEINT) * 1000000000000 + l.place AS DECIMAL(38,0)) AS LineId, l.l_orderkey AS OrderKey,
+      l.place AS LineNumber,
+      o.o_orderdate AS DateKey, CAST(l.l_suppkey AS BIGINT) AS StoreKey, CAST(l.l_partkey AS BIGINT) AS ProductKey,
       CAST(round(l.l_discount * 100) AS INTEGER) + 1 AS PromotionKey,
       CAST({draw('currency', 3, 'l.l_orderkey')} + 1 AS INTEGER) AS CurrencyKey,
-      CAST(o.o_custkey AS INTEGER) AS CustomerKey,
+      CAST(o.o_custkey AS BIGINT) AS CustomerKey,
       CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS ChannelKey,
       CAST(trunc(l.l_quantity) AS INTEGER) AS SalesQuantity,
       CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) * 0.004 AS DECIMAL(19,4)) AS SalesAmount,
@@ -68,7 +74,8 @@ def _sales_lines(status: str) -> str:
       CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) * 0.004 AS DECIMAL(19,4)) * 0.6 AS DECIMAL(19,4)) AS TotalCost,
       l.l_extendedprice / l.l_quantity / 250 * 0.6 AS UnitCost,
       l.l_extendedprice / l.l_quantity / 250 AS UnitPrice
-    FROM (SELECT * FROM lineitem WHERE l_linestatus = '{status}') l
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS place
+          FROM lineitem WHERE l_linestatus = '{status}') l
     JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 
@@ -85,12 +92,12 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fact_online_sales": (f"""
     SELECT LineId AS OnlineSalesKey, DateKey, StoreKey, ProductKey, PromotionKey,
       CurrencyKey, CustomerKey,
-      'SO' || lpad(CAST(OrderKey AS VARCHAR), 10, '0') AS SalesOrderNumber, LineNumber AS SalesOrderLineNumber,
+      'SO' || {pad('OrderKey', 10)} AS SalesOrderNumber, LineNumber AS SalesOrderLineNumber,
       {_MEASURES}, OrderKey
     FROM src_online_lines""", ("src_online_lines",)),
     "fact_sales": (f"""
     SELECT LineId AS SalesKey, DateKey, ChannelKey, StoreKey, ProductKey, PromotionKey,
-      CurrencyKey, {_MEASURES}
+      CurrencyKey, {_MEASURES}, OrderKey, LineNumber
     FROM src_store_lines""", ("src_store_lines",)),
     "dim_geography": (f"""
     SELECT CAST(n_nationkey AS INTEGER) AS GeographyKey,
@@ -98,7 +105,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
       n_name AS RegionCountryName, n_name || ' State' AS StateProvinceName, n_name || ' City' AS CityName
     FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""", ()),
     "dim_customer": (f"""
-    SELECT CAST(c_custkey AS INTEGER) AS CustomerKey, CAST(c_nationkey AS INTEGER) AS GeographyKey,
+    SELECT CAST(c_custkey AS BIGINT) AS CustomerKey, CAST(c_nationkey AS INTEGER) AS GeographyKey,
       'Customer' AS FirstName,
       CASE WHEN {draw('mid', 4, 'c_custkey')} = 0 THEN ' ' WHEN {draw('mid', 4, 'c_custkey')} = 1 THEN 'J' END AS MiddleName,
       regexp_extract(c_name, '#(.*)$', 1) AS LastName,
@@ -114,7 +121,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
       CAST({draw('cars', 5, 'c_custkey')} AS INTEGER) AS NumberCarsOwned,
       CAST({draw('addr', 9000, 'c_custkey')} AS VARCHAR) || ' Main St' AS AddressLine1,
       CAST(NULL AS VARCHAR) AS AddressLine2,
-      '555-' || lpad(CAST({draw('phone', 10000, 'c_custkey')} AS VARCHAR), 4, '0') AS Phone,
+      '555-' || {pad(draw('phone', 10000, 'c_custkey'), 4)} AS Phone,
       'customer' || regexp_extract(c_name, '#(.*)$', 1) || '@example.com' AS EmailAddress,
       CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Company' ELSE 'Person' END AS CustomerType,
       CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name END AS CompanyName,
@@ -122,8 +129,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     FROM customer LEFT JOIN (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS DateFirstPurchase FROM orders GROUP BY o_custkey) f
       ON c_custkey = f.o_custkey""", ()),
     "dim_product": (f"""
-    SELECT CAST(p_partkey AS INTEGER) AS ProductKey, {_CAT_KEY} * 100 + {_BRAND_NO} AS ProductSubcategoryKey,
-      lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS ProductLabel, p_name AS ProductName,
+    SELECT CAST(p_partkey AS BIGINT) AS ProductKey, {_CAT_KEY} * 100 + {_BRAND_NO} AS ProductSubcategoryKey,
+      {pad('p_partkey', 7)} AS ProductLabel, p_name AS ProductName,
       p_name || ' (' || p_type || ')' AS ProductDescription,
       'Manufacturer ' || CAST({_BRAND_NO} % 5 AS VARCHAR) AS Manufacturer, p_brand AS BrandName,
       CASE WHEN p_size < 15 THEN 'Economy' WHEN p_size < 35 THEN 'Regular' ELSE 'Deluxe' END AS ClassName,
@@ -143,12 +150,12 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "dim_product_category": (f"SELECT DISTINCT {_CAT_KEY} AS ProductCategoryKey, p_type AS ProductCategoryName FROM part", ()),
     "dim_store": (f"""
     SELECT *, CASE WHEN CloseDate IS NOT NULL THEN 'Lease expired' END AS CloseReason,
-      '555-1' || lpad(CAST(StoreKey AS VARCHAR), 3, '0') AS StorePhone, '555-2' || lpad(CAST(StoreKey AS VARCHAR), 3, '0') AS StoreFax,
+      '555-1' || {pad('StoreKey', 3)} AS StorePhone, '555-2' || {pad('StoreKey', 3)} AS StoreFax,
       CAST({draw('saddr', 900, 'StoreKey')} AS VARCHAR) || ' Market St' AS AddressLine1, CAST(NULL AS VARCHAR) AS AddressLine2,
-      lpad(CAST({draw('zip', 100000, 'StoreKey')} AS VARCHAR), 5, '0') AS ZipCode
+      {pad(draw('zip', 100000, 'StoreKey'), 5)} AS ZipCode
     FROM (SELECT *, CAST(OpenDate + CAST({draw('remodel', 2000, 'StoreKey')} AS INTEGER) AS DATE) AS LastRemodelDate FROM (
       SELECT *, CASE WHEN {draw('close', 8, 'StoreKey')} = 0 THEN CAST(OpenDate + CAST(3650 + {draw('closeday', 3000, 'StoreKey')} AS INTEGER) AS DATE) END AS CloseDate
-      FROM (SELECT CAST(s_suppkey AS INTEGER) AS StoreKey, CAST(s_nationkey AS INTEGER) AS GeographyKey, s_name AS StoreName,
+      FROM (SELECT CAST(s_suppkey AS BIGINT) AS StoreKey, CAST(s_nationkey AS INTEGER) AS GeographyKey, s_name AS StoreName,
         {pick(STORE_TYPES, draw('stype', 4, 's_suppkey'))} AS StoreType, s_name || ' store' AS StoreDescription,
         CAST({draw('manager', 100, 's_suppkey')} + 1 AS INTEGER) AS StoreManager,
         CAST({draw('staff', 60, 's_suppkey')} + 5 AS INTEGER) AS EmployeeCount,
@@ -156,7 +163,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         CAST(DATE '1985-01-01' + CAST({draw('open', 3650, 's_suppkey')} AS INTEGER) AS DATE) AS OpenDate
       FROM supplier) a) b) c""", ()),
     "dim_promotion": (f"""
-    SELECT PromotionKey, lpad(CAST(PromotionKey AS VARCHAR), 3, '0') AS PromotionLabel,
+    SELECT PromotionKey, {pad('PromotionKey', 3)} AS PromotionLabel,
       CASE WHEN PromotionKey = 1 THEN 'No Discount' ELSE 'Discount ' || CAST(PromotionKey - 1 AS VARCHAR) || '%' END AS PromotionName,
       CASE WHEN PromotionKey = 1 THEN 'No Discount' ELSE 'Volume Discount' END AS PromotionDescription,
       CASE WHEN PromotionKey = 1 THEN 'No Discount' ELSE 'Seasonal Discount' END AS PromotionType,
@@ -166,12 +173,12 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
       CASE WHEN {draw('pend', 3, 'PromotionKey')} <> 0 THEN CAST(DATE '1997-01-01' + CAST({draw('pendday', 2000, 'PromotionKey')} AS INTEGER) AS DATE) END AS EndDate
     FROM (SELECT DISTINCT l_discount, CAST(round(l_discount * 100) AS INTEGER) + 1 AS PromotionKey FROM lineitem) d""", ()),
     "dim_employee": (f"""
-    SELECT EmployeeKey, CASE WHEN EmployeeKey // 10 > 0 THEN CAST(EmployeeKey // 10 AS INTEGER) END AS ParentEmployeeKey,
+    SELECT EmployeeKey, CASE WHEN EmployeeKey // 10 > 0 THEN EmployeeKey // 10 END AS ParentEmployeeKey,
       'Employee' AS FirstName, CASE WHEN {draw('emid', 3, 'EmployeeKey')} = 0 THEN '' END AS MiddleName,
-      lpad(CAST(EmployeeKey AS VARCHAR), 5, '0') AS LastName,
+      {pad('EmployeeKey', 5)} AS LastName,
       CASE WHEN EmployeeKey // 10 = 0 THEN 'Director' ELSE 'Associate' END AS Title,
       'employee' || CAST(EmployeeKey AS VARCHAR) || '@example.com' AS EmailAddress,
-      '555-3' || lpad(CAST(EmployeeKey AS VARCHAR), 4, '0') AS Phone,
+      '555-3' || {pad('EmployeeKey', 4)} AS Phone,
       CASE WHEN {draw('egender', 2, 'EmployeeKey')} = 0 THEN 'M' ELSE 'F' END AS Gender,
       CASE WHEN {draw('emarital', 2, 'EmployeeKey')} = 0 THEN 'M' ELSE 'S' END AS MaritalStatus,
       {pick(DEPARTMENTS, draw('dept', 5, 'EmployeeKey'))} AS DepartmentName,
@@ -185,7 +192,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
       CAST(NULL AS DATE) AS EndDate,
       CAST(DATE '1950-01-01' + CAST({draw('ebirth', 15000, 'EmployeeKey')} AS INTEGER) AS DATE) AS BirthDate,
       CASE WHEN {draw('status', 10, 'EmployeeKey')} <> 0 THEN 'Current' END AS Status
-    FROM (SELECT CAST(s_suppkey + 1 AS INTEGER) AS EmployeeKey FROM supplier) e""", ()),
+    FROM (SELECT CAST(s_suppkey AS BIGINT) + 1 AS EmployeeKey FROM supplier) e""", ()),
     "order_bounds": ("SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders", ()),
     "dim_date": ("""
     SELECT Datekey,
@@ -216,14 +223,14 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
           CROSS JOIN (SELECT CurrencyKey FROM (VALUES {', '.join(f'({k})' for k, _, _ in CURRENCIES)}) t(CurrencyKey)) c) x""",
                            ("order_bounds",)),
     "fact_inventory": (f"""
-    SELECT CAST('0x' || substr(md5(concat_ws(':', 'inv', CAST(m AS VARCHAR), CAST(s AS VARCHAR), CAST(p AS VARCHAR))), 1, 15) AS BIGINT) AS InventoryKey,
-      CAST(m AS TIMESTAMP) AS DateKey, CAST(s AS INTEGER) AS StoreKey, CAST(p AS INTEGER) AS ProductKey, 1 AS CurrencyKey,
+    SELECT concat_ws('-', strftime(m, '%Y%m'), CAST(s AS VARCHAR), CAST(p AS VARCHAR)) AS InventoryKey,
+      CAST(m AS TIMESTAMP) AS DateKey, CAST(s AS BIGINT) AS StoreKey, CAST(p AS BIGINT) AS ProductKey, 1 AS CurrencyKey,
       CAST(CASE WHEN mult < 2 THEN 0
                 WHEN mult < 17 THEN floor(ss * ({draw('inv_lo', 100, *_INV_KEYS)} / 100.0))
                 WHEN mult < 86 THEN ss + 1 + {draw('inv_mid', 3, *_INV_KEYS)} * ss
                 WHEN mult < 99 THEN 4 * ss + 1 + {draw('inv_hi', 50, *_INV_KEYS)}
                 ELSE 9 * ss END AS INTEGER) AS OnHandQuantity,
-      CAST(trunc(q) AS INTEGER) AS OnOrderQuantity, ss AS SafetyStockQuantity,
+      CAST(trunc(q) AS BIGINT) AS OnOrderQuantity, ss AS SafetyStockQuantity,
       CAST(1.5 + {draw('inv_cost', 2000, *_INV_KEYS)} / 100 AS DECIMAL(19,4)) AS UnitCost,
       CAST({draw('inv_days', 365, *_INV_KEYS)} AS INTEGER) AS DaysInStock,
       CAST({draw('inv_min', 30, *_INV_KEYS)} AS INTEGER) AS MinDayInStock,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import date_key, shift
-from tessera.operators import metric_rows, with_row_number
+from tessera.operators import metric_rows, missing_in, sql_metric_rows, with_row_number
 from tessera.oracle.adapter_sql import register
 from tessera.plans import gen
 from tessera.plans.common import SHIFT, share, sql_share
@@ -48,16 +48,16 @@ _V14_COLS = ["ReturnEventID", "ReturnDateKey", "ReturnDate", "OriginalSaleDateKe
 
 def _v14_part(df: DataFrame, prefix: str, id_col: str, channel: str, online: bool) -> DataFrame:
     rd, od = shift(F.col("ReturnDate"), SHIFT), shift(F.col("OriginalSaleDate"), SHIFT)
-    null_int = F.lit(None).cast("int")
+    null_key = F.lit(None).cast("long")
     return df.select(
         F.concat(F.lit(prefix), F.col(id_col).cast("string")).alias("ReturnEventID"),
         date_key(rd).alias("ReturnDateKey"), rd.alias("ReturnDate"),
         date_key(od).alias("OriginalSaleDateKey"), od.alias("OriginalSaleDate"),
-        (F.col("CustomerKey") if online else null_int).alias("CustomerKey"),
-        (null_int if online else F.col("StoreKey")).alias("StoreKey"),
+        (F.col("CustomerKey") if online else null_key).alias("CustomerKey"),
+        (null_key if online else F.col("StoreKey")).alias("StoreKey"),
         "ProductKey", "ReturnReasonKey",
         (F.col("SalesOrderNumber") if online else F.lit(None).cast("string")).alias("SalesOrderNumber"),
-        (F.col("SalesOrderLineNumber") if online else null_int).alias("SalesOrderLineNumber"),
+        (F.col("SalesOrderLineNumber") if online else null_key).alias("SalesOrderLineNumber"),
         "ReturnQuantity", "ReturnAmount", "RefundAmount", "IsRefunded", "ReturnLagDays",
         F.lit(channel).alias("ReturnChannel"),
     )
@@ -84,10 +84,10 @@ def _sql_v14_part(src, prefix, id_col, channel, online):
 
     return f"""SELECT '{prefix}' || CAST({id_col} AS VARCHAR) AS ReturnEventID, {dk('rd')} AS ReturnDateKey, rd AS ReturnDate,
       {dk('od')} AS OriginalSaleDateKey, od AS OriginalSaleDate,
-      {'CustomerKey' if online else 'CAST(NULL AS INTEGER)'} AS CustomerKey,
-      {'CAST(NULL AS INTEGER)' if online else 'StoreKey'} AS StoreKey, ProductKey, ReturnReasonKey,
+      {'CustomerKey' if online else 'CAST(NULL AS BIGINT)'} AS CustomerKey,
+      {'CAST(NULL AS BIGINT)' if online else 'StoreKey'} AS StoreKey, ProductKey, ReturnReasonKey,
       {'SalesOrderNumber' if online else 'CAST(NULL AS VARCHAR)'} AS SalesOrderNumber,
-      {'SalesOrderLineNumber' if online else 'CAST(NULL AS INTEGER)'} AS SalesOrderLineNumber,
+      {'SalesOrderLineNumber' if online else 'CAST(NULL AS BIGINT)'} AS SalesOrderLineNumber,
       ReturnQuantity, ReturnAmount, RefundAmount, IsRefunded, ReturnLagDays, '{channel}' AS ReturnChannel
     FROM (SELECT *, CAST(ReturnDate + INTERVAL {SHIFT} YEAR AS DATE) AS rd,
             CAST(OriginalSaleDate + INTERVAL {SHIFT} YEAR AS DATE) AS od FROM {src}) s"""
@@ -189,42 +189,44 @@ def q43(m):
         F.sum("RefundAmount").cast("double").alias("TotalRefunded"))
 
 
-def _refund_mismatch():
-    return F.count_if((F.col("IsRefunded") & (F.col("RefundAmount") == 0))
-                      | (~F.col("IsRefunded") & (F.col("RefundAmount") > 0)))
+# --- fixed values: check labels ----------------------------------------------
+Q44_LABELS = ["Orphan CustomerKeys", "Orphan ProductKeys", "Orphan ReturnReasonKeys",
+              "Duplicate (OrderNumber, LineNumber) pairs", "ReturnDate after MaxDate", "ReturnLagDays < 1",
+              "RefundAmount mismatch (IsRefunded=1 must have > 0)"]
+Q50_LABELS = ["Orphan StoreKeys", "Orphan ProductKeys", "Orphan ReturnReasonKeys", "Duplicate SourceSalesKey values",
+              "ReturnDate after MaxDate", "ReturnLagDays < 0", "RefundAmount mismatch (IsRefunded=1 must have > 0)"]
+# -----------------------------------------------------------------------------
+
 
+def _sql_integrity(table: str, dim: str, key: str, grain: str, least_lag: int, labels: list[str]) -> str:
+    """All rules of a return table as columns of one aggregate."""
+    return sql_metric_rows(f"""
+      SELECT count(*) - count(d.{key}) AS c1, count(*) - count(p.ProductKey) AS c2, count(*) - count(r.ReturnReasonKey) AS c3,
+        count(*) - count(DISTINCT {grain}) AS c4, sum(CASE WHEN e.ReturnDate > s.max_date THEN 1 ELSE 0 END) AS c5,
+        sum(CASE WHEN e.ReturnLagDays < {least_lag} THEN 1 ELSE 0 END) AS c6,
+        sum(CASE WHEN e.IsRefunded <> (e.RefundAmount > 0) THEN 1 ELSE 0 END) AS c7
+      FROM {table} e LEFT JOIN {dim} d ON d.{key} = e.{key} LEFT JOIN dim_product p ON p.ProductKey = e.ProductKey
+      LEFT JOIN ref_return_reason r ON r.ReturnReasonKey = e.ReturnReasonKey CROSS JOIN scalars s""",
+                           [(label, f"c{i + 1}") for i, label in enumerate(labels)], "Check")
 
-_SQL_MISMATCH = ("count(*) FILTER (WHERE (IsRefunded AND RefundAmount = 0) OR (NOT IsRefunded AND RefundAmount > 0))")
 
+def _integrity(m, events: DataFrame, dim: DataFrame, key: str, grain: list[str], least_lag: int, labels: list[str]) -> DataFrame:
+    """The same in one pass: each dimension marks its rows by a left join."""
+    e = missing_in(missing_in(events, dim, key, "o1"), m.dim_product, "ProductKey", "o2")
+    e = m.with_scalars(missing_in(e, m.ref_return_reason, "ReturnReasonKey", "o3"), "max_date")
+    rules = [F.col("o1"), F.col("o2"), F.col("o3"), None, F.col("ReturnDate") > F.col("max_date"),
+             F.col("ReturnLagDays") < least_lag, F.col("IsRefunded") != (F.col("RefundAmount") > 0)]
+    row = e.agg(*[F.count_if(rule).alias(f"c{i}") for i, rule in enumerate(rules) if rule is not None],
+                (_cnt() - F.countDistinct(*grain)).alias("c3"))
+    return metric_rows(row, [(label, F.col(f"c{i}")) for i, label in enumerate(labels)], "Check", "Value")
 
-@query("Q44_online_return_integrity", f"""
-  SELECT 'Orphan CustomerKeys' AS "Check", count(*) AS Value FROM gen_online_returns e
-    WHERE NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.CustomerKey = e.CustomerKey)
-  UNION ALL SELECT 'Orphan ProductKeys', count(*) FROM gen_online_returns e
-    WHERE NOT EXISTS (SELECT 1 FROM dim_product p WHERE p.ProductKey = e.ProductKey)
-  UNION ALL SELECT 'Orphan ReturnReasonKeys', count(*) FROM gen_online_returns e
-    WHERE NOT EXISTS (SELECT 1 FROM ref_return_reason r WHERE r.ReturnReasonKey = e.ReturnReasonKey)
-  UNION ALL SELECT 'Duplicate (OrderNumber, LineNumber) pairs',
-    count(*) - count(DISTINCT (SalesOrderNumber, SalesOrderLineNumber)) FROM gen_online_returns
-  UNION ALL SELECT 'ReturnDate after MaxDate', count(*) FILTER (WHERE ReturnDate > (SELECT max_date FROM scalars)) FROM gen_online_returns
-  UNION ALL SELECT 'ReturnLagDays < 1', count(*) FILTER (WHERE ReturnLagDays < 1) FROM gen_online_returns
-  UNION ALL SELECT 'RefundAmount mismatch (IsRefunded=1 must have > 0)', {_SQL_MISMATCH} FROM gen_online_returns""",
+
+@query("Q44_online_return_integrity", _sql_integrity("gen_online_returns", "dim_customer", "CustomerKey",
+                                                     "(SalesOrderNumber, SalesOrderLineNumber)", 1, Q44_LABELS),
        ("gen_online_returns", "dim_customer", "dim_product", "ref_return_reason", "scalars"))
 def q44(m):
-    r = m.get(gen.gen_online_returns)
-    oc = r.join(m.dim_customer.select("CustomerKey"), "CustomerKey", "left_anti").agg(_cnt().alias("oc"))
-    op = r.join(m.dim_product.select("ProductKey"), "ProductKey", "left_anti").agg(_cnt().alias("op"))
-    orr = r.join(m.ref_return_reason.select("ReturnReasonKey"), "ReturnReasonKey", "left_anti").agg(_cnt().alias("orr"))
-    a = m.with_scalars(r, "max_date").agg(
-        (_cnt() - F.countDistinct("SalesOrderNumber", "SalesOrderLineNumber")).alias("dup"),
-        F.count_if(F.col("ReturnDate") > F.col("max_date")).alias("late"),
-        F.count_if(F.col("ReturnLagDays") < 1).alias("lag"),
-        _refund_mismatch().alias("mm"))
-    return metric_rows(oc.crossJoin(op).crossJoin(orr).crossJoin(a), [
-        ("Orphan CustomerKeys", F.col("oc")), ("Orphan ProductKeys", F.col("op")),
-        ("Orphan ReturnReasonKeys", F.col("orr")), ("Duplicate (OrderNumber, LineNumber) pairs", F.col("dup")),
-        ("ReturnDate after MaxDate", F.col("late")), ("ReturnLagDays < 1", F.col("lag")),
-        ("RefundAmount mismatch (IsRefunded=1 must have > 0)", F.col("mm"))], "Check", "Value")
+    return _integrity(m, m.get(gen.gen_online_returns), m.dim_customer, "CustomerKey",
+                      ["SalesOrderNumber", "SalesOrderLineNumber"], 1, Q44_LABELS)
 
 
 @query("Q45_store_vs_online_returns", f"""
@@ -277,33 +279,10 @@ def q49(m):
             .select("StoreKey", "StoreName", "StoreType", "ReturnCount", "PctOfTotal", "TotalReturnAmount"))
 
 
-@query("Q50_store_return_integrity", f"""
-  SELECT 'Orphan StoreKeys' AS "Check", count(*) AS Value FROM gen_store_returns e
-    WHERE NOT EXISTS (SELECT 1 FROM dim_store s WHERE s.StoreKey = e.StoreKey)
-  UNION ALL SELECT 'Orphan ProductKeys', count(*) FROM gen_store_returns e
-    WHERE NOT EXISTS (SELECT 1 FROM dim_product p WHERE p.ProductKey = e.ProductKey)
-  UNION ALL SELECT 'Orphan ReturnReasonKeys', count(*) FROM gen_store_returns e
-    WHERE NOT EXISTS (SELECT 1 FROM ref_return_reason r WHERE r.ReturnReasonKey = e.ReturnReasonKey)
-  UNION ALL SELECT 'Duplicate SourceSalesKey values', count(*) - count(DISTINCT SourceSalesKey) FROM gen_store_returns
-  UNION ALL SELECT 'ReturnDate after MaxDate', count(*) FILTER (WHERE ReturnDate > (SELECT max_date FROM scalars)) FROM gen_store_returns
-  UNION ALL SELECT 'ReturnLagDays < 0', count(*) FILTER (WHERE ReturnLagDays < 0) FROM gen_store_returns
-  UNION ALL SELECT 'RefundAmount mismatch (IsRefunded=1 must have > 0)', {_SQL_MISMATCH} FROM gen_store_returns""",
+@query("Q50_store_return_integrity", _sql_integrity("gen_store_returns", "dim_store", "StoreKey", "SourceSalesKey", 0, Q50_LABELS),
        ("gen_store_returns", "dim_store", "dim_product", "ref_return_reason", "scalars"))
 def q50(m):
-    r = m.get(gen.gen_store_returns)
-    os_ = r.join(m.dim_store.select("StoreKey"), "StoreKey", "left_anti").agg(_cnt().alias("os"))
-    op = r.join(m.dim_product.select("ProductKey"), "ProductKey", "left_anti").agg(_cnt().alias("op"))
-    orr = r.join(m.ref_return_reason.select("ReturnReasonKey"), "ReturnReasonKey", "left_anti").agg(_cnt().alias("orr"))
-    a = m.with_scalars(r, "max_date").agg(
-        (_cnt() - F.countDistinct("SourceSalesKey")).alias("dup"),
-        F.count_if(F.col("ReturnDate") > F.col("max_date")).alias("late"),
-        F.count_if(F.col("ReturnLagDays") < 0).alias("lag"),
-        _refund_mismatch().alias("mm"))
-    return metric_rows(os_.crossJoin(op).crossJoin(orr).crossJoin(a), [
-        ("Orphan StoreKeys", F.col("os")), ("Orphan ProductKeys", F.col("op")),
-        ("Orphan ReturnReasonKeys", F.col("orr")), ("Duplicate SourceSalesKey values", F.col("dup")),
-        ("ReturnDate after MaxDate", F.col("late")), ("ReturnLagDays < 0", F.col("lag")),
-        ("RefundAmount mismatch (IsRefunded=1 must have > 0)", F.col("mm"))], "Check", "Value")
+    return _integrity(m, m.get(gen.gen_store_returns), m.dim_store, "StoreKey", ["SourceSalesKey"], 0, Q50_LABELS)
 
 
 @query("Q66_returns_null_audit", """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import date_key, shift
-from tessera.operators import metric_rows
+from tessera.operators import metric_rows, missing_in, sql_metric_rows
 from tessera.oracle.adapter_sql import register
 from tessera.plans import gen
 from tessera.plans.common import SHIFT, share, sql_share
@@ -129,7 +129,7 @@ def q36(m):
   SELECT s.NPSCategory, count(DISTINCT s.CustomerKey) AS UniqueCustomers,
     CAST(sum(b.TotalOrders) AS DOUBLE) / count(*) AS AvgOrders,
     CAST(sum(b.TotalSpend) AS DOUBLE) / count(*) AS AvgLifetimeSpend,
-    sum(b.ReturnRate) / count(*) AS AvgReturnRate
+    CAST(sum(CAST(b.ReturnRate AS DECIMAL(18,12))) AS DOUBLE) / count(*) AS AvgReturnRate
   FROM gen_customer_survey s JOIN customer_behaviour b ON s.CustomerKey = b.CustomerKey
   GROUP BY s.NPSCategory""", ("gen_customer_survey", "customer_behaviour"))
 def q37(m):
@@ -141,37 +141,33 @@ def q37(m):
         F.countDistinct("CustomerKey").alias("UniqueCustomers"),
         (F.sum("TotalOrders").cast("double") / _cnt()).alias("AvgOrders"),
         (F.sum("TotalSpend").cast("double") / _cnt()).alias("AvgLifetimeSpend"),
-        (F.sum("ReturnRate") / _cnt()).alias("AvgReturnRate"))
-
-
-@query("Q38_survey_integrity", f"""
-  SELECT 'Orphan CustomerKeys' AS "Check", count(*) AS Value FROM gen_customer_survey s
-    WHERE NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.CustomerKey = s.CustomerKey)
-  UNION ALL SELECT 'Duplicate (CustomerKey, SurveyTrigger) pairs', count(*) - count(DISTINCT {_SQL_GRAIN}) FROM gen_customer_survey
-  UNION ALL SELECT 'NPSScore out of range (0–10)', count(*) FILTER (WHERE NPSScore NOT BETWEEN 0 AND 10) FROM gen_customer_survey
-  UNION ALL SELECT 'CSATScore out of range (1–5)', count(*) FILTER (WHERE CSATScore NOT BETWEEN 1 AND 5) FROM gen_customer_survey
-  UNION ALL SELECT 'WouldRecommend mismatch (NPSScore >= 9 must = 1)',
-    count(*) FILTER (WHERE (NPSScore >= 9 AND NOT WouldRecommend) OR (NPSScore < 9 AND WouldRecommend)) FROM gen_customer_survey
-  UNION ALL SELECT 'SurveyDate after MaxDate', count(*) FILTER (WHERE SurveyDate > (SELECT max_date FROM scalars)) FROM gen_customer_survey
-  UNION ALL SELECT 'Invalid SurveyTrigger value',
-    count(*) FILTER (WHERE SurveyTrigger NOT IN ('Post-Purchase', 'Quarterly', 'Annual')) FROM gen_customer_survey""",
-       ("gen_customer_survey", "dim_customer", "scalars"))
+        # exact decimals: the sum does not depend on the order of rows
+        (F.sum(F.col("ReturnRate").cast("decimal(18,12)")).cast("double") / _cnt()).alias("AvgReturnRate"))
+
+
+# --- fixed values: check labels ----------------------------------------------
+Q38_LABELS = ["Orphan CustomerKeys", "Duplicate (CustomerKey, SurveyTrigger) pairs", "NPSScore out of range (0–10)",
+              "CSATScore out of range (1–5)", "WouldRecommend mismatch (NPSScore >= 9 must = 1)",
+              "SurveyDate after MaxDate", "Invalid SurveyTrigger value"]
+# -----------------------------------------------------------------------------
+
+
+@query("Q38_survey_integrity", sql_metric_rows(f"""
+    SELECT count(*) - count(c.CustomerKey) AS c1, count(*) - count(DISTINCT (s.CustomerKey, s.SurveyTrigger)) AS c2,
+      sum(CASE WHEN NPSScore < 0 OR NPSScore > 10 THEN 1 ELSE 0 END) AS c3, sum(CASE WHEN CSATScore < 1 OR CSATScore > 5 THEN 1 ELSE 0 END) AS c4,
+      sum(CASE WHEN WouldRecommend <> (NPSScore >= 9) THEN 1 ELSE 0 END) AS c5, sum(CASE WHEN SurveyDate > max_date THEN 1 ELSE 0 END) AS c6,
+      sum(CASE WHEN list_contains([{', '.join(f"'{t}'" for t in TRIGGERS)}], SurveyTrigger) THEN 0 ELSE 1 END) AS c7
+    FROM gen_customer_survey s LEFT JOIN dim_customer c ON c.CustomerKey = s.CustomerKey CROSS JOIN scalars""",
+    [(label, f"c{i + 1}") for i, label in enumerate(Q38_LABELS)], "Check"), ("gen_customer_survey", "dim_customer", "scalars"))
 def q38(m):
-    s = m.get(gen.gen_customer_survey)
-    orphan = s.join(m.dim_customer.select("CustomerKey"), "CustomerKey", "left_anti").agg(_cnt().alias("o"))
-    n, w = F.col("NPSScore"), F.col("WouldRecommend")
-    a = m.with_scalars(s, "max_date").agg(
-        (_cnt() - F.countDistinct(_grain_code())).alias("dup"),
-        F.count_if(~n.between(0, 10)).alias("nps"),
-        F.count_if(~F.col("CSATScore").between(1, 5)).alias("csat"),
-        F.count_if(((n >= 9) & ~w) | ((n < 9) & w)).alias("wr"),
-        F.count_if(F.col("SurveyDate") > F.col("max_date")).alias("late"),
-        F.count_if(~F.col("SurveyTrigger").isin(*TRIGGERS)).alias("trig"))
-    return metric_rows(orphan.crossJoin(a), [
-        ("Orphan CustomerKeys", F.col("o")), ("Duplicate (CustomerKey, SurveyTrigger) pairs", F.col("dup")),
-        ("NPSScore out of range (0–10)", F.col("nps")), ("CSATScore out of range (1–5)", F.col("csat")),
-        ("WouldRecommend mismatch (NPSScore >= 9 must = 1)", F.col("wr")),
-        ("SurveyDate after MaxDate", F.col("late")), ("Invalid SurveyTrigger value", F.col("trig"))], "Check", "Value")
+    """Survey rules in one pass."""
+    s = m.with_scalars(missing_in(m.get(gen.gen_customer_survey), m.dim_customer, "CustomerKey", "orphan"), "max_date")
+    rules = [F.col("orphan"), None, ~F.col("NPSScore").between(0, 10), ~F.col("CSATScore").between(1, 5),
+             F.col("WouldRecommend") != (F.col("NPSScore") >= 9), F.col("SurveyDate") > F.col("max_date"),
+             ~F.col("SurveyTrigger").isin(*TRIGGERS)]
+    row = s.agg(*[F.count_if(rule).alias(f"c{i}") for i, rule in enumerate(rules) if rule is not None],
+                (_cnt() - F.countDistinct("CustomerKey", "SurveyTrigger")).alias("c1"))
+    return metric_rows(row, [(label, F.col(f"c{i}")) for i, label in enumerate(Q38_LABELS)], "Check", "Value")
 
 
 @query("Q71_nps_trigger_satisfied", f"""

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.mart import SHIFT
 from tessera.oracle.adapter_sql import register
 
-SHIFT = 16  # years added to every source date (fixed value of the reference)
 
 register("scalars", f"""
   SELECT max_date, make_date(year(max_date) + {SHIFT}, 12, 31) AS reference_date,

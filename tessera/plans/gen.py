@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import date_key, draw, noise
+from tessera.functions import date_key, draw, noise, pad
 from tessera.operators import argmax_key
 from tessera.oracle.adapter_sql import draw as sdraw
 from tessera.oracle.adapter_sql import noise as snoise
@@ -114,10 +114,9 @@ def _sql_exact_age(birth: str, at: str) -> str:
 
 
 def _p1_profile(m) -> DataFrame:
-    c = m.dim_customer.where(
-        (F.col("CustomerType") == "Person") & F.col("DateFirstPurchase").isNotNull() & F.col("BirthDate").isNotNull()
-    )
-    yrs = c.agg(F.min(F.year("DateFirstPurchase")).alias("lo"), F.max(F.year("DateFirstPurchase")).alias("hi"))
+    buyers = m.dim_customer.where((F.col("CustomerType") == "Person") & F.col("DateFirstPurchase").isNotNull())
+    c = buyers.where(F.col("BirthDate").isNotNull())
+    yrs = buyers.agg(F.min(F.year("DateFirstPurchase")).alias("lo"), F.max(F.year("DateFirstPurchase")).alias("hi"))
     c = c.join(m.dim_geography.select("GeographyKey", "ContinentName"), "GeographyKey", "left")
     c = c.crossJoin(F.broadcast(yrs))  # one-row scalar (S4)
     return c.select(
@@ -170,8 +169,7 @@ register("gen_customer_acquisition", f"""
                   {_sql_year_progress('year(c.DateFirstPurchase)', 'y.lo', 'y.hi')} AS yp
                 FROM dim_customer c LEFT JOIN dim_geography g ON c.GeographyKey = g.GeographyKey
                 CROSS JOIN (SELECT min(year(DateFirstPurchase)) AS lo, max(year(DateFirstPurchase)) AS hi
-                            FROM dim_customer WHERE CustomerType = 'Person' AND DateFirstPurchase IS NOT NULL
-                              AND BirthDate IS NOT NULL) y
+                            FROM dim_customer WHERE CustomerType = 'Person' AND DateFirstPurchase IS NOT NULL) y
                 WHERE c.CustomerType = 'Person' AND c.DateFirstPurchase IS NOT NULL AND c.BirthDate IS NOT NULL) p
           CROSS JOIN (SELECT unnest(range(1, 8)) AS k) ch) s) r
   WHERE rk = 1""", ("dim_customer", "dim_geography"))
@@ -198,35 +196,38 @@ PM_VALUE = {1: ([(500, 1.30), (100, 1.10)], 0.90), 2: ([], 1.00), 3: ([(500, 0.8
 
 
 def order_number(order_key) -> Column:
-    """SalesOrderNumber of a numeric order key ('SO' + 10 digits)."""
-    return F.concat(F.lit("SO"), F.lpad(F.col(order_key).cast("string"), 10, "0"))
+    """SalesOrderNumber of a numeric order key ('SO' + at least 10 digits)."""
+    return F.concat(F.lit("SO"), pad(order_key, 10))
+
+
+def order_totals(m) -> DataFrame:
+    """Order grain: date, customer and the sums of the order's lines.
+
+    The lines are summed by order first (a hot order is combined map-side) and
+    the orders joined to the sums, which are already dealt by order. Numeric
+    aggregates only, so it stays a hash aggregate."""
+    sums = m.order_lines.groupBy("OrderKey").agg(
+        F.sum("SalesAmount").alias("amt"), F.sum("ReturnAmount").alias("ra"), F.sum("DiscountAmount").alias("da"),
+        F.sum("TotalCost").alias("cost"), F.sum("SalesQuantity").alias("sq"), F.sum("ReturnQuantity").alias("rq"),
+        F.count(F.lit(1)).alias("ItemCount"), F.min("StoreKey").alias("StoreKey"))
+    return sums.join(m.order_heads, "OrderKey")
 
 
 def order_profile(m) -> DataFrame:
-    """Order grain: date, value, item count, customer. Grouped on the numeric
-    order key the adapter already partitions by, so this adds no exchange, and
-    with numeric aggregates only, so it stays a hash aggregate; the order number
-    is derived from the key afterwards."""
-    f = m.online_lines
-    g = f.groupBy("OrderKey").agg(
-        F.min("DateKey").cast("date").alias("OrderDate"),
-        F.sum("SalesAmount").cast("decimal(19,4)").alias("OrderValue"),
-        F.count(F.lit(1)).alias("ItemCount"),
-        F.min("CustomerKey").alias("CustomerKey"),
-        F.min("StoreKey").alias("StoreKey"),
-    )
-    return g.select("OrderKey", order_number("OrderKey").alias("SalesOrderNumber"), "OrderDate", "OrderValue",
-                    "ItemCount", "CustomerKey", "StoreKey")
+    """Order grain: date, value, item count, customer; the order number is
+    derived from the key afterwards."""
+    return order_totals(m).select("OrderKey", order_number("OrderKey").alias("SalesOrderNumber"), "OrderDate",
+                                  F.col("amt").cast("decimal(19,4)").alias("OrderValue"), "ItemCount", "CustomerKey", "StoreKey")
 
 
 def fact_date_bounds(m) -> DataFrame:
     """One row: first/last year and last date of the online fact (the reference's
-    scalars, computed once before the CTE chain). Reads only the fact's date
-    column (order key + status from the lines, date from the orders), so it does
-    not re-run the order-grain pipeline it is joined back to."""
-    f = m.online_lines.select("DateKey")
-    return f.agg(F.min(F.year("DateKey")).alias("lo"), F.max(F.year("DateKey")).alias("hi"),
-                 F.max("DateKey").cast("date").alias("maxd"))
+    scalars, computed once before the CTE chain). Reads the lines' order keys,
+    one per order after the map-side combine, and the orders' dates. A
+    configured ``max_date`` replaces the last date."""
+    f = order_totals(m).select("OrderDate")
+    last = F.max("OrderDate") if m.cfg.max_date is None else F.max(F.lit(m.cfg.max_date))
+    return f.agg(F.min(F.year("OrderDate")).alias("lo"), F.max(F.year("OrderDate")).alias("hi"), last.alias("maxd"))
 
 
 def _p2_score(k: int) -> Column:
@@ -316,18 +317,13 @@ def _geo_ranked(m) -> DataFrame:
 
 
 def _fulfilment_base(m) -> DataFrame:
-    f = m.online_lines.select("OrderKey", "DateKey", "SalesAmount", "SalesQuantity", "CustomerKey", "StoreKey")
+    f = m.order_lines.select("OrderKey", "StoreKey")
     geo = F.broadcast(_geo_ranked(m))  # fixed-size
     # bare store dim first (its size estimate stays small), then the 25-row geography
     lines = f.join(m.dim_store.select("StoreKey", "GeographyKey"), "StoreKey", "left") \
         .join(geo.select("GeographyKey", "country_rank", "continent_rank"), "GeographyKey", "left")
-    ob = lines.groupBy("OrderKey").agg(
-        F.min("DateKey").cast("date").alias("OrderDate"),
-        F.sum("SalesAmount").cast("decimal(19,4)").alias("OrderValue"),
-        F.sum("SalesQuantity").alias("TotalItems"),
-        F.min("CustomerKey").alias("CustomerKey"),
-        F.min("country_rank").alias("scr"), F.min("continent_rank").alias("skr"),
-    )
+    ob = lines.groupBy("OrderKey").agg(F.min("country_rank").alias("scr"), F.min("continent_rank").alias("skr"))
+    ob = ob.join(m.order_heads, "OrderKey")
     names_c = geo.select(F.col("country_rank").alias("scr"), F.col("RegionCountryName").alias("sc")).distinct()
     names_k = geo.select(F.col("continent_rank").alias("skr"), F.col("ContinentName").alias("sk")).distinct()
     ob = ob.join(F.broadcast(names_c), "scr", "left").join(F.broadcast(names_k), "skr", "left")
@@ -462,11 +458,14 @@ def _eligible_reasons(m, scope) -> DataFrame:
                     F.count(F.lit(1)).over(Window.partitionBy()).alias("n_reasons"))
 
 
-def _returns(m, lines: DataFrame, key: str, salt: str, lag: dict, refund: dict, scope) -> DataFrame:
-    """Shared body of P6/P7: narrow map over returned lines + broadcast reason lookup."""
+def _returns(m, lines: DataFrame, keys: tuple[str, ...], salt: str, lag: dict, refund: dict, scope) -> DataFrame:
+    """Shared body of P6/P7: narrow map over returned lines + broadcast reason lookup.
+
+    Draws are keyed on the line's order and its number there, so they do not
+    move when lines of other orders come or go."""
     amt = F.col("ReturnAmount")
     tier = F.when(amt < RET_TIER_CUTS[0], 1).when(amt < RET_TIER_CUTS[1], 2).otherwise(3)
-    na, nb, nc = (noise(f"{salt}_{x}", key) for x in "abc")
+    na, nb, nc = (noise(f"{salt}_{x}", *keys) for x in "abc")
     lag_days = F.lit(0)
     refunded = F.lit(False)
     for t in (3, 2, 1):
@@ -501,9 +500,9 @@ _RET_COLS = ["OriginalSaleDateKey", "OriginalSaleDate", "ReturnDateKey", "Return
 @gen_table("online_return_events")
 def gen_online_returns(m) -> DataFrame:
     """One return event per returned online line (id = the sales line key)."""
-    f = m.fact_online_sales.select("OnlineSalesKey", "SalesOrderNumber", "SalesOrderLineNumber", "CustomerKey",
+    f = m.fact_online_sales.select("OnlineSalesKey", "OrderKey", "SalesOrderNumber", "SalesOrderLineNumber", "CustomerKey",
                                    "ProductKey", "DateKey", "ReturnQuantity", "ReturnAmount")
-    x = _returns(m, f, "OnlineSalesKey", "oret", ONLINE_LAG, ONLINE_REFUND_PCT, ONLINE_REASON_SCOPE)
+    x = _returns(m, f, ("OrderKey", "SalesOrderLineNumber"), "oret", ONLINE_LAG, ONLINE_REFUND_PCT, ONLINE_REASON_SCOPE)
     return x.select(F.col("OnlineSalesKey").alias("OnlineReturnEventID"), "SalesOrderNumber",
                     "SalesOrderLineNumber", "CustomerKey", "ProductKey", *_RET_COLS)
 
@@ -511,14 +510,14 @@ def gen_online_returns(m) -> DataFrame:
 @gen_table("physical_return_events")
 def gen_store_returns(m) -> DataFrame:
     """One return event per returned store line."""
-    f = m.fact_sales.select("SalesKey", "StoreKey", "ProductKey", "DateKey", "ReturnQuantity", "ReturnAmount")
-    x = _returns(m, f, "SalesKey", "pret", STORE_LAG, STORE_REFUND_PCT, STORE_REASON_SCOPE)
+    f = m.fact_sales.select("SalesKey", "OrderKey", "LineNumber", "StoreKey", "ProductKey", "DateKey", "ReturnQuantity", "ReturnAmount")
+    x = _returns(m, f, ("OrderKey", "LineNumber"), "pret", STORE_LAG, STORE_REFUND_PCT, STORE_REASON_SCOPE)
     return x.select(F.col("SalesKey").alias("PhysicalReturnEventID"), F.col("SalesKey").alias("SourceSalesKey"),
                     "StoreKey", "ProductKey", *_RET_COLS)
 
 
-def _sql_returns(src: str, key: str, salt: str, lag: dict, refund: dict, scope, cols: str) -> str:
-    na, nb, nc = (snoise(f"{salt}_{x}", key) for x in "abc")
+def _sql_returns(src: str, keys: tuple[str, ...], salt: str, lag: dict, refund: dict, scope, cols: str) -> str:
+    na, nb, nc = (snoise(f"{salt}_{x}", *keys) for x in "abc")
     lag_case = "CASE tier " + " ".join(f"WHEN {t} THEN {b} + na % {md}" for t, (b, md) in lag.items()) + " END"
     ref_case = "CASE tier " + " ".join(f"WHEN {t} THEN nc % 100 < {p}" for t, p in refund.items()) + " END"
     scope_sql = ", ".join(f"'{s}'" for s in scope)
@@ -541,11 +540,11 @@ def _sql_returns(src: str, key: str, salt: str, lag: dict, refund: dict, scope,
 
 
 register("gen_online_returns", _sql_returns(
-    "fact_online_sales", "OnlineSalesKey", "oret", ONLINE_LAG, ONLINE_REFUND_PCT, ONLINE_REASON_SCOPE,
+    "fact_online_sales", ("OrderKey", "SalesOrderLineNumber"), "oret", ONLINE_LAG, ONLINE_REFUND_PCT, ONLINE_REASON_SCOPE,
     "OnlineSalesKey AS OnlineReturnEventID, SalesOrderNumber, SalesOrderLineNumber, CustomerKey, ProductKey"),
     ("fact_online_sales", "scalars", "ref_return_reason"))
 register("gen_store_returns", _sql_returns(
-    "fact_sales", "SalesKey", "pret", STORE_LAG, STORE_REFUND_PCT, STORE_REASON_SCOPE,
+    "fact_sales", ("OrderKey", "LineNumber"), "pret", STORE_LAG, STORE_REFUND_PCT, STORE_REASON_SCOPE,
     "SalesKey AS PhysicalReturnEventID, SalesKey AS SourceSalesKey, StoreKey, ProductKey"),
     ("fact_sales", "scalars", "ref_return_reason"))
 
@@ -579,15 +578,11 @@ def customer_behaviour(m) -> DataFrame:
     Built from the order grain (one customer per order), so COUNT(DISTINCT
     order) is a plain count and every step is a partial aggregation - a hot
     customer is pre-combined map-side instead of landing in one task."""
-    f = m.online_lines
-    o = f.groupBy("OrderKey").agg(
-        F.min("CustomerKey").alias("CustomerKey"), F.sum("SalesAmount").alias("amt"),
-        F.sum("ReturnQuantity").alias("rq"), F.sum("SalesQuantity").alias("sq"),
-        F.min("DateKey").cast("date").alias("first"), F.max("DateKey").cast("date").alias("last"))
+    o = order_totals(m)
     b = o.groupBy("CustomerKey").agg(
         F.count(F.lit(1)).alias("TotalOrders"), F.sum("amt").alias("TotalSpend"),
         F.sum("rq").alias("TotalReturnQty"), F.sum("sq").alias("TotalSalesQty"),
-        F.max("last").alias("LastPurchaseDate"), F.min("first").alias("FirstPurchaseDate"))
+        F.max("OrderDate").alias("LastPurchaseDate"), F.min("OrderDate").alias("FirstPurchaseDate"))
     return b.withColumn("ReturnRate", F.when(F.col("TotalSalesQty") > 0,
                                              F.col("TotalReturnQty").cast("double") / F.col("TotalSalesQty"))
                         .otherwise(F.lit(0.0)))
@@ -737,9 +732,8 @@ MS_CLICK_NOISE = (0.80, 400)
 
 def monthly_seasonality(m) -> DataFrame:
     """Month revenue and its index against the average month (tens of rows)."""
-    f = m.online_lines
-    g = f.groupBy((F.year("DateKey") * 100 + F.month("DateKey")).alias("YearMonth")).agg(
-        F.sum("SalesAmount").cast("decimal(19,4)").alias("MonthRevenue"))
+    g = order_totals(m).groupBy((F.year("OrderDate") * 100 + F.month("OrderDate")).alias("YearMonth")).agg(
+        F.sum("amt").cast("decimal(19,4)").alias("MonthRevenue"))
     tot = g.agg(F.sum("MonthRevenue").alias("tot"), F.count(F.lit(1)).alias("n"))
     g = g.crossJoin(F.broadcast(tot))
     # revenue / avg(revenue) = revenue * n / total, as one exact-input division
@@ -755,26 +749,29 @@ def gen_marketing_spend(m) -> DataFrame:
                     "AcquisitionChannelKey").agg(F.count(F.lit(1)).alias("n"))
     ch = m.ref_acquisition_channel.select(
         "AcquisitionChannelKey",
-        ((F.col("EstimatedCACLow") + F.col("EstimatedCACHigh")) / 2).cast("decimal(10,2)").alias("mid"))
+        ((F.col("EstimatedCACLow") + F.col("EstimatedCACHigh")) / 2).cast("decimal(8,2)").alias("mid"))
     si = monthly_seasonality(m).select("YearMonth", "SeasonIndex")
     x = ma.join(ch, "AcquisitionChannelKey").join(F.broadcast(si), "YearMonth", "left")  # months: bounded by calendar
     keys = ("YearMonth", "AcquisitionChannelKey")
     lo, span = MS_SPEND_NOISE
     factor = ((F.lit(lo) + draw("ms_spend", span, *keys)) * F.lit(Decimal("0.001"))).cast("decimal(6,3)")
-    spend = (F.col("n").cast("decimal(9,0)") * F.col("mid")
-             * F.coalesce(F.col("SeasonIndex"), F.lit(Decimal("1.0"))).cast("decimal(10,4)") * factor) \
+    # 12 + 8 + 8 + 6 digits: the product stays exact within 38
+    spend = (F.col("n").cast("decimal(12,0)") * F.col("mid")
+             * F.coalesce(F.col("SeasonIndex"), F.lit(Decimal("1.0"))).cast("decimal(8,4)") * factor) \
         .cast("decimal(19,4)")
-    x = x.withColumn("spend", F.greatest(spend, F.lit(Decimal("0")).cast("decimal(19,4)")))
+    # each draw is a column of its own, made once
+    x = x.select("YearMonth", "AcquisitionChannelKey", "n", F.greatest(spend, F.lit(Decimal("0")).cast("decimal(19,4)")).alias("spend"),
+                 noise("ms_imp", *keys).alias("r_imp"), noise("ms_clk", *keys).alias("r_clk"))
     k = F.col("AcquisitionChannelKey")
     ilo, ispan = MS_IMPR_SPEND_NOISE
     imp = F.lit(0).cast("long")
     for key in sorted(MS_IMPRESSIONS, reverse=True):
         spec = MS_IMPRESSIONS[key]
         if spec[0] == "n":
-            e = F.col("n").cast("long") * (spec[1] + draw("ms_imp", spec[2], *keys))
+            e = F.col("n").cast("long") * (spec[1] + F.pmod(F.col("r_imp"), F.lit(spec[2])))
         else:
             e = F.floor(F.col("spend").cast("double") / spec[1] * 1000.0
-                        * (F.lit(ilo) + draw("ms_imp", ispan, *keys) / 1000.0))
+                        * (F.lit(ilo) + F.pmod(F.col("r_imp"), F.lit(ispan)) / 1000.0))
         imp = F.when(k == key, e.cast("long")).otherwise(imp)
     x = x.withColumn("imp", imp)
     clo, cspan = MS_CLICK_NOISE
@@ -782,7 +779,7 @@ def gen_marketing_spend(m) -> DataFrame:
     for key in sorted(MS_CTR, reverse=True):
         ctr = MS_CTR[key]
         if ctr is not None:
-            e = F.floor(F.col("imp") * ctr * (F.lit(clo) + draw("ms_clk", cspan, *keys) / 1000.0)).cast("long")
+            e = F.floor(F.col("imp") * ctr * (F.lit(clo) + F.pmod(F.col("r_clk"), F.lit(cspan)) / 1000.0)).cast("long")
             clk = F.when(k == key, e).otherwise(clk)
     x = x.withColumn("clk", F.greatest(F.col("n").cast("long"), clk))
     n = F.col("n").cast("long")
@@ -791,9 +788,9 @@ def gen_marketing_spend(m) -> DataFrame:
         "YearMonth", (F.col("YearMonth") * 100 + 1).alias("MonthStartDateKey"), "AcquisitionChannelKey",
         F.col("spend").alias("MonthlySpend"), F.col("imp").alias("Impressions"), F.col("clk").alias("Clicks"),
         n.alias("NewCustomersAcquired"),
-        F.when(F.col("clk") > 0, F.col("spend").cast("double") / F.col("clk")).alias("CostPerClick"),
-        F.when(n > 0, F.col("spend").cast("double") / n).alias("CostPerAcquisition"),
-        F.when(F.col("imp") > 0, F.col("clk") * 100.0 / F.col("imp")).alias("ClickThroughRate"),
+        F.when(F.col("clk") > 0, F.col("spend").cast("double") / F.col("clk")).cast("decimal(19,4)").alias("CostPerClick"),
+        F.when(n > 0, F.col("spend").cast("double") / n).cast("decimal(19,4)").alias("CostPerAcquisition"),
+        F.when(F.col("imp") > 0, F.col("clk") * 100.0 / F.col("imp")).cast("decimal(5,2)").alias("ClickThroughRate"),
     )
 
 
@@ -833,14 +830,14 @@ register("gen_marketing_spend", f"""
   SELECT CAST(YearMonth AS BIGINT) * 10 + AcquisitionChannelKey AS MarketingSpendID, YearMonth,
     YearMonth * 100 + 1 AS MonthStartDateKey, AcquisitionChannelKey, spend AS MonthlySpend, imp AS Impressions,
     clk AS Clicks, CAST(n AS BIGINT) AS NewCustomersAcquired,
-    CASE WHEN clk > 0 THEN CAST(spend AS DOUBLE) / clk END AS CostPerClick,
-    CASE WHEN n > 0 THEN CAST(spend AS DOUBLE) / n END AS CostPerAcquisition,
-    CASE WHEN imp > 0 THEN CAST(clk AS DOUBLE) * 100.0 / imp END AS ClickThroughRate
+    CAST(CASE WHEN clk > 0 THEN CAST(spend AS DOUBLE) / clk END AS DECIMAL(19,4)) AS CostPerClick,
+    CAST(CASE WHEN n > 0 THEN CAST(spend AS DOUBLE) / n END AS DECIMAL(19,4)) AS CostPerAcquisition,
+    CAST(CASE WHEN imp > 0 THEN CAST(clk AS DOUBLE) * 100.0 / imp END AS DECIMAL(5,2)) AS ClickThroughRate
   FROM (SELECT *, greatest(CAST(n AS BIGINT), {_sql_clk_case()}) AS clk
     FROM (SELECT *, {_sql_imp_case()} AS imp
       FROM (SELECT ma.YearMonth, ma.AcquisitionChannelKey, ma.n,
-              greatest(CAST(CAST(ma.n AS DECIMAL(9,0)) * CAST((ch.EstimatedCACLow + ch.EstimatedCACHigh) / 2 AS DECIMAL(10,2))
-                * CAST(coalesce(si.SeasonIndex, 1.0) AS DECIMAL(10,4))
+              greatest(CAST(CAST(ma.n AS DECIMAL(12,0)) * CAST((ch.EstimatedCACLow + ch.EstimatedCACHigh) / 2 AS DECIMAL(8,2))
+                * CAST(coalesce(si.SeasonIndex, 1.0) AS DECIMAL(8,4))
                 * CAST(({MS_SPEND_NOISE[0]} + {sdraw('ms_spend', MS_SPEND_NOISE[1], 'ma.YearMonth', 'ma.AcquisitionChannelKey')}) * 0.001 AS DECIMAL(6,3))
                 AS DECIMAL(19,4)), CAST(0 AS DECIMAL(19,4))) AS spend
             FROM (SELECT year(AcquisitionDate) * 100 + month(AcquisitionDate) AS YearMonth, AcquisitionChannelKey, count(*) AS n

@@ -72,13 +72,10 @@ def _d(c):
 
 
 def customer_sales(m) -> DataFrame:
-    """Per-customer sales, net sales and gross profit (partial aggregation on the fact)."""
-    f = m.online_lines
-    return f.groupBy("CustomerKey").agg(
-        F.sum("SalesAmount").alias("sales"),
-        F.sum(F.col("SalesAmount") - F.col("ReturnAmount") - F.col("DiscountAmount")).alias("net"),
-        F.sum(F.col("SalesAmount") - F.col("TotalCost")).alias("gp"),
-        F.min("DateKey").cast("date").alias("first"))
+    """Per-customer sales, net sales and gross profit, from the order grain."""
+    return gen.order_totals(m).groupBy("CustomerKey").agg(
+        F.sum("amt").alias("sales"), F.sum(F.col("amt") - F.col("ra") - F.col("da")).alias("net"),
+        F.sum(F.col("amt") - F.col("cost")).alias("gp"), F.min("OrderDate").alias("first"))
 
 
 register_sql("customer_sales", """
@@ -269,13 +266,17 @@ register_sql("order_customer", """
 
 
 def order_customer(m) -> DataFrame:
-    """Order -> customer and customer continent (order grain)."""
-    op = gen.order_profile(m).select("SalesOrderNumber", "CustomerKey")
+    """Order -> customer and customer continent, from the orders alone; joined on
+    the numeric order key."""
     c = m.dim_customer.select("CustomerKey", "GeographyKey")
-    j = op.join(c, "CustomerKey", "left").join(m.dim_geography.select("GeographyKey", "ContinentName"),
-                                                "GeographyKey", "left")
-    return j.select(
-        "SalesOrderNumber", "CustomerKey", F.coalesce("ContinentName", F.lit("Unknown")).alias("CustomerContinent"))
+    j = m.order_heads.select("OrderKey", "CustomerKey").join(c, "CustomerKey", "left") \
+        .join(m.dim_geography.select("GeographyKey", "ContinentName"), "GeographyKey", "left")
+    return j.select("OrderKey", "CustomerKey", F.coalesce("ContinentName", F.lit("Unknown")).alias("CustomerContinent"))
+
+
+def _order_key():
+    """Numeric key of 'SO<key>'."""
+    return F.substring("SalesOrderNumber", 3, 40).cast("long").alias("OrderKey")
 
 
 @query("M9_payment_by_region", f"""
@@ -285,8 +286,8 @@ def order_customer(m) -> DataFrame:
   GROUP BY oc.CustomerContinent, p.PaymentMethodKey""", ("gen_order_payment", "order_customer"))
 def m9(m):
     """M9: payment-method mix by customer continent (order-grain join, then aggregate)."""
-    j = m.get(gen.gen_order_payment).select("SalesOrderNumber", "PaymentMethodKey").join(
-        order_customer(m).select("SalesOrderNumber", "CustomerContinent"), "SalesOrderNumber")
+    j = m.get(gen.gen_order_payment).select(_order_key(), "PaymentMethodKey").join(
+        order_customer(m).select("OrderKey", "CustomerContinent"), "OrderKey")
     g = j.groupBy("CustomerContinent", "PaymentMethodKey").agg(_cnt().alias("Orders"))
     return share(g, "Orders", "PctWithinRegion", ["CustomerContinent"])
 
@@ -327,8 +328,8 @@ def m10(m):
   GROUP BY f.ShippingMethod, oc.CustomerContinent""", ("v_order_fulfillment", "order_customer"))
 def m11(m):
     """On-time % (delivered within 7 days / all orders) by shipping method and region."""
-    j = m.get(checks_fulfilment.v_order_fulfillment).select("SalesOrderNumber", "ShippingMethod", "IsOnTime") \
-        .join(order_customer(m).select("SalesOrderNumber", "CustomerContinent"), "SalesOrderNumber")
+    j = m.get(checks_fulfilment.v_order_fulfillment).select(_order_key(), "ShippingMethod", "IsOnTime") \
+        .join(order_customer(m).select("OrderKey", "CustomerContinent"), "OrderKey")
     g = j.groupBy("ShippingMethod", "CustomerContinent").agg(_cnt().alias("Orders"),
                                                             F.sum("IsOnTime").cast("long").alias("OnTimeOrders"))
     return g.withColumn("OnTimePct", _d("OnTimeOrders") * 100.0 / F.col("Orders"))
@@ -503,8 +504,8 @@ def m21(m):
     rate = F.col("AverageRate").cast("decimal(12,6)")  # exact sums, so the result is order-independent
     return j.groupBy("CurrencyKey").agg(
         F.sum("amt").cast("double").alias("SalesAmount"),
-        # (18,4) x (12,6) stays within 38 digits, so the products are exact
-        F.sum(F.col("amt").cast("decimal(18,4)") * rate).cast("double").alias("ConvertedAmount"),
+        # (25,4) x (12,6) stays within 38 digits, so the products are exact
+        F.sum(F.col("amt").cast("decimal(25,4)") * rate).cast("double").alias("ConvertedAmount"),
         (F.sum(F.when(~F.col("IsBaseCurrency"), rate)).cast("double")
          / F.count_if(~F.col("IsBaseCurrency"))).alias("AvgRateExBase"))
 
@@ -600,8 +601,128 @@ _ORG_SQL = """
 
 @query("M26_org_chart", "SELECT * FROM (" + _ORG_SQL.format(s="VARCHAR", t="dim_employee") + ") o", ("dim_employee",))
 def m26(m):
-    """Org chart depth and path from the self-referencing parent key (WITH RECURSIVE;
-    one join per level, so depth - not headcount - bounds the iterations)."""
-    name = f"tessera_employee_{id(m)}"
-    m.dim_employee.select("EmployeeKey", "ParentEmployeeKey").createOrReplaceTempView(name)
-    return m.spark.sql(_ORG_SQL.format(s="STRING", t=name))
+    """Org chart depth and path from the self-referencing parent key. One
+    join per level until a level is empty: depth, not headcount, bounds the
+    rounds. Each level is checkpointed to the shared folder."""
+    staff = m.dim_employee.select("EmployeeKey", "ParentEmployeeKey")
+    known = staff.select(F.col("EmployeeKey").alias("_boss"))
+    top = staff.join(known, F.col("ParentEmployeeKey") == F.col("_boss"), "left_anti")
+    level = top.select("EmployeeKey", "ParentEmployeeKey", F.lit(0).alias("Depth"), F.col("EmployeeKey").cast("string").alias("Path"))
+    out = level = level.checkpoint()
+    while not level.isEmpty():
+        bosses = level.select(F.col("EmployeeKey").alias("_boss"), F.col("Depth").alias("_depth"), F.col("Path").alias("_path"))
+        level = staff.join(bosses, F.col("ParentEmployeeKey") == F.col("_boss")).select(
+            "EmployeeKey", "ParentEmployeeKey", (F.col("_depth") + 1).alias("Depth"),
+            F.concat_ws("/", "_path", F.col("EmployeeKey").cast("string")).alias("Path")).checkpoint()
+        out = out.unionByName(level)
+    return out
+
+
+# ------------------------------------------- M14, M15, M17, M23 by other axes
+def _return_rate(g: DataFrame, *by: str) -> DataFrame:
+    return g.select(*by, _r4("s").alias("SalesAmount"), F.col("q").cast("long").alias("SalesQuantity"), F.col("rq").cast("long").alias("ReturnQuantity"),
+                    F.round(safe_div(F.col("rq") * 100.0, F.col("q")), 4).alias("ReturnRatePct"))
+
+
+def _sums():
+    return [F.sum("SalesAmount").alias("s"), F.sum("SalesQuantity").alias("q"), F.sum("ReturnQuantity").alias("rq")]
+
+
+_SQL_RATE = """round(CAST(sum(SalesAmount) AS DOUBLE), 4) AS SalesAmount, CAST(sum(SalesQuantity) AS BIGINT) AS SalesQuantity,
+    CAST(sum(ReturnQuantity) AS BIGINT) AS ReturnQuantity,
+    round(CAST(sum(ReturnQuantity) AS DOUBLE) * 100.0 / nullif(CAST(sum(SalesQuantity) AS DOUBLE), 0), 4) AS ReturnRatePct"""
+_SQL_BOTH = """(SELECT 'Online' AS SalesChannel, StoreKey, ProductKey, SalesAmount, SalesQuantity, ReturnQuantity FROM fact_online_sales
+    UNION ALL SELECT 'Store', StoreKey, ProductKey, SalesAmount, SalesQuantity, ReturnQuantity FROM fact_sales)"""
+
+
+def _both_channels(m, *by: str) -> DataFrame:
+    """Online and in-store sales and returns, summed by channel and ``by``."""
+    cols = [*by, "SalesAmount", "SalesQuantity", "ReturnQuantity"]
+    on = m.order_lines.select(F.lit("Online").alias("SalesChannel"), *cols)
+    st = m.store_line_sums.select(F.lit("Store").alias("SalesChannel"), *cols)
+    return on.unionByName(st).groupBy("SalesChannel", *by).agg(*_sums())
+
+
+def _again(g: DataFrame, *by: str) -> DataFrame:
+    return g.groupBy(*by).agg(F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum("rq").alias("rq"))
+
+
+@query("M15_channel_returns", f"SELECT SalesChannel, {_SQL_RATE} FROM {_SQL_BOTH} x GROUP BY SalesChannel", ("fact_online_sales", "fact_sales"))
+def m15_channel(m):
+    """Sales and return rate online against in store."""
+    return _return_rate(_both_channels(m), "SalesChannel")
+
+
+@query("M15_store_returns", f"""SELECT SalesChannel, x.StoreKey, any_value(s.StoreName) AS StoreName, {_SQL_RATE}
+  FROM {_SQL_BOTH} x JOIN v_store s ON s.StoreKey = x.StoreKey GROUP BY SalesChannel, x.StoreKey""", ("fact_online_sales", "fact_sales", "v_store"))
+def m15_store(m):
+    """Return rate of every store, online and in store."""
+    g = _both_channels(m, "StoreKey").join(m.get(dims.v_store).select("StoreKey", "StoreName"), "StoreKey")
+    return _return_rate(g, "SalesChannel", "StoreKey", "StoreName")
+
+
+@query("M15_subcategory_returns", f"""SELECT SalesChannel, p.CategoryName, p.SubcategoryName, {_SQL_RATE}
+  FROM {_SQL_BOTH} x JOIN v_product p ON p.ProductKey = x.ProductKey GROUP BY SalesChannel, p.CategoryName, p.SubcategoryName""",
+       ("fact_online_sales", "fact_sales", "v_product"))
+def m15_subcategory(m):
+    """Return rate by category and subcategory, online and in store."""
+    g = _both_channels(m, "ProductKey").join(m.get(dims.v_product).select("ProductKey", "CategoryName", "SubcategoryName"), "ProductKey")
+    return _return_rate(_again(g, "SalesChannel", "CategoryName", "SubcategoryName"), "SalesChannel", "CategoryName", "SubcategoryName")
+
+
+@query("M14_clv_by_nps_category", """
+  SELECT s.NPSCategory, count(*) AS Customers, CAST(sum(cs.net) AS DOUBLE) / count(*) AS AvgCLV, CAST(sum(cs.net) AS DOUBLE) AS TotalCLV
+  FROM (SELECT DISTINCT CustomerKey, NPSCategory FROM v_customer_survey) s JOIN customer_sales cs ON cs.CustomerKey = s.CustomerKey
+  GROUP BY s.NPSCategory""", ("v_customer_survey", "customer_sales"))
+def m14_clv(m):
+    """Lifetime value of the customers that ever answered in each NPS category."""
+    s = m.get(checks_survey.v_customer_survey).select("CustomerKey", "NPSCategory").distinct()
+    g = s.join(customer_sales(m).select("CustomerKey", "net"), "CustomerKey").groupBy("NPSCategory").agg(_cnt().alias("Customers"), F.sum("net").alias("net"))
+    return g.select("NPSCategory", "Customers", (_d("net") / F.col("Customers")).alias("AvgCLV"), _d("net").alias("TotalCLV"))
+
+
+@query("M14_csat_vs_return_rate", """
+  SELECT CASE WHEN b.ReturnRate = 0 THEN '1 none' WHEN b.ReturnRate < 0.05 THEN '2 low' WHEN b.ReturnRate < 0.15 THEN '3 mid' ELSE '4 high' END AS ReturnBand,
+    count(*) AS Responses, CAST(sum(s.CSATScore) AS DOUBLE) / count(*) AS AvgCSATScore, CAST(sum(s.IsSatisfied) AS DOUBLE) * 100.0 / count(*) AS CSATPct
+  FROM v_customer_survey s JOIN customer_behaviour b ON b.CustomerKey = s.CustomerKey GROUP BY 1""", ("v_customer_survey", "customer_behaviour"))
+def m14_csat(m):
+    """Satisfaction by the customer's return rate (bands of the survey model)."""
+    rr = F.col("ReturnRate")
+    band = F.when(rr == 0, "1 none").when(rr < 0.05, "2 low").when(rr < 0.15, "3 mid").otherwise("4 high")
+    s = m.get(checks_survey.v_customer_survey).groupBy("CustomerKey").agg(_cnt().alias("n"), F.sum("CSATScore").alias("score"), F.sum("IsSatisfied").alias("sat"))
+    j = s.join(gen.customer_behaviour(m).select("CustomerKey", "ReturnRate"), "CustomerKey")
+    g = j.groupBy(band.alias("ReturnBand")).agg(F.sum("n").alias("Responses"), F.sum("score").alias("score"), F.sum("sat").alias("sat"))
+    return g.select("ReturnBand", "Responses", (_d("score") / F.col("Responses")).alias("AvgCSATScore"),
+                    (_d("sat") * 100.0 / F.col("Responses")).alias("CSATPct"))
+
+
+@query("M17_product_failures", """
+  SELECT v.ReturnChannel, v.ProductKey, any_value(p.ProductName) AS ProductName, any_value(p.CategoryName) AS CategoryName, count(*) AS Returns,
+    count(*) FILTER (WHERE r.IsOperationalFailure) AS OperationalFailureReturns,
+    CAST(count(*) FILTER (WHERE r.IsOperationalFailure) AS DOUBLE) * 100.0 / count(*) AS OperationalFailurePct
+  FROM v_returns v JOIN ref_return_reason r ON v.ReturnReasonKey = r.ReturnReasonKey JOIN v_product p ON v.ProductKey = p.ProductKey
+  GROUP BY v.ReturnChannel, v.ProductKey""", ("v_returns", "ref_return_reason", "v_product"))
+def m17_product(m):
+    """Returns and operational failures of every product, by channel."""
+    v = checks_returns.v_returns_unkeyed(m).join(m.ref_return_reason.select("ReturnReasonKey", "IsOperationalFailure"), "ReturnReasonKey")
+    g = v.groupBy("ReturnChannel", "ProductKey").agg(_cnt().alias("Returns"), F.count_if(F.col("IsOperationalFailure")).alias("OperationalFailureReturns"))
+    g = g.join(m.get(dims.v_product).select("ProductKey", "ProductName", "CategoryName"), "ProductKey")
+    return g.select("ReturnChannel", "ProductKey", "ProductName", "CategoryName", "Returns", "OperationalFailureReturns",
+                    (_d("OperationalFailureReturns") * 100.0 / F.col("Returns")).alias("OperationalFailurePct"))
+
+
+@query("M23_purchase_cohort", """
+  SELECT year(f) * 100 + month(f) AS CohortMonth, (year(OrderDate) * 12 + month(OrderDate)) - (year(f) * 12 + month(f)) AS MonthsSince,
+    count(DISTINCT CustomerKey) AS ActiveCustomers, count(*) AS Orders, CAST(sum(OrderValue) AS DOUBLE) AS Revenue
+  FROM (SELECT *, min(OrderDate) OVER (PARTITION BY CustomerKey) AS f FROM order_profile) x GROUP BY 1, 2""", ("order_profile",))
+def m23_cohort(m):
+    """Cohorts of first purchase by months since: active customers, orders
+    and revenue. Orders are summed per customer and month first."""
+    month = F.year("OrderDate") * 12 + F.month("OrderDate")
+    per = gen.order_profile(m).groupBy("CustomerKey", month.alias("mo")).agg(_cnt().alias("n"), F.sum("OrderValue").alias("v"))
+    first = per.groupBy("CustomerKey").agg(F.min("mo").alias("f"))
+    j = per.join(first, "CustomerKey")
+    g = j.groupBy("f", (F.col("mo") - F.col("f")).alias("MonthsSince")).agg(
+        _cnt().alias("ActiveCustomers"), F.sum("n").alias("Orders"), F.sum("v").cast("double").alias("Revenue"))
+    cohort = F.floor((F.col("f") - 1) / 12) * 100 + F.pmod(F.col("f") - 1, F.lit(12)) + 1
+    return g.select(cohort.cast("int").alias("CohortMonth"), "MonthsSince", "ActiveCustomers", "Orders", "Revenue")

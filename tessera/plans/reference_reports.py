@@ -2,7 +2,7 @@
 
 They read nothing but the 7/7/8-row seeded tables, so they are one small
 job each and are exposed as library functions (tested in
-``tests/test_reference_reports.py``) rather than registered data queries.
+``tests/test_operators.py``) rather than registered data queries.
 """
 
 from __future__ import annotations

@@ -8,12 +8,13 @@ the DuckDB twin in ``tessera.oracle.adapter_sql`` computes identical values.
 
 Scale notes
 -----------
-* Aggregating consumers read ``online_lines``/``store_lines`` (no line keys):
-  one join with ``orders`` and, for order-grain pipelines, one shuffle on the
-  carried numeric ``OrderKey``.
-* Line keys (``OnlineSalesKey``, ``SalesOrderLineNumber``, ``SalesKey``) come
-  from a range-sorted global row number, not a per-order window, so one huge
-  order cannot land in a single task (``number_lines``).
+* Aggregating consumers read ``online_lines``/``store_lines`` (no line keys);
+  order-grain pipelines aggregate ``line_measures`` by order and join the
+  orders afterwards.
+* Keys are 64-bit; padded text keys are never shortened.
+* Line keys (``OnlineSalesKey``, ``SalesOrderLineNumber``, ``SalesKey``) are
+  numbered in ranges of an order's lines, so one huge order is spread over
+  tasks, and do not move when other orders change (``number_lines``).
 * Dimensions derived from ``customer/part/supplier`` grow with the data, so
   they are never force-broadcast; AQE converts those joins to broadcasts
   only when the runtime size is below ``autoBroadcastJoinThreshold``.
@@ -27,7 +28,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import draw, noise
+from tessera.functions import draw, pad
 
 D = lambda s: F.lit(Decimal(s))  # noqa: E731  decimal literal (Spark's lit(0.6) is DOUBLE)
 
@@ -51,33 +52,31 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Identity of a sales line: the order key plus the columns that make a line
 # unique within its order ((order, line number) alone is not unique in the data).
 LINE_ORDER = ["OrderKey", "_ln", "_pk", "_sk", "_sd", "_ep"]
+# Lines of an order are numbered in groups of line number and this many parts.
+PARTS_IN_GROUP = 1024
+LINES_PER_ORDER = 10**12  # room for the line number in a line key
 
 
-def sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    """Lines of one status joined to their order, with measures; no line keys.
+def line_measures(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """Lines of one status with their measures, from lineitem alone.
 
-    Aggregating consumers (order, customer, month grain) read these, so they
-    never pay for the line numbering below."""
+    Order-grain pipelines aggregate these by order before they join the
+    orders, so a hot order is combined map-side."""
     li = read(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
     )
-    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     ext = F.col("l_extendedprice").cast("decimal(15,2)")
     disc = F.col("l_discount").cast("decimal(4,2)")
     sales_amount = (ext * (F.lit(1) - disc) * D("0.004")).cast("decimal(19,4)")
     qty = F.col("l_quantity").cast("int")
-    return j.select(
-        F.col("l_orderkey").alias("OrderKey"),
-        F.col("o_orderdate").alias("DateKey"),
-        F.col("l_suppkey").cast("int").alias("StoreKey"),
-        F.col("l_partkey").cast("int").alias("ProductKey"),
+    return li.select(
+        F.col("l_orderkey").cast("long").alias("OrderKey"),
+        F.col("l_suppkey").cast("long").alias("StoreKey"),
+        F.col("l_partkey").cast("long").alias("ProductKey"),
         (F.round(F.col("l_discount") * 100).cast("int") + 1).alias("PromotionKey"),
         (draw("currency", 3, "l_orderkey") + 1).cast("int").alias("CurrencyKey"),  # one currency per order
-        F.col("o_custkey").cast("int").alias("CustomerKey"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("ChannelKey"),
-        F.concat(F.lit("SO"), F.lpad(F.col("l_orderkey").cast("string"), 10, "0")).alias("SalesOrderNumber"),
+        F.concat(F.lit("SO"), pad("l_orderkey", 10)).alias("SalesOrderNumber"),
         qty.alias("SalesQuantity"),
         sales_amount.alias("SalesAmount"),
         F.when(F.col("l_returnflag") == "R", qty).otherwise(0).alias("ReturnQuantity"),
@@ -93,24 +92,47 @@ def sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     )
 
 
-def number_lines(lines: DataFrame, key: str) -> DataFrame:
-    """Line keys without a per-order window.
+def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``OrderKey, OrderDate, CustomerKey`` of every order."""
+    return read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("long").alias("OrderKey"), F.col("o_orderdate").cast("date").alias("OrderDate"),
+        F.col("o_custkey").cast("long").alias("CustomerKey"))
+
+
+def with_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines with the date, customer and channel of their order."""
+    o = read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("long").alias("OrderKey"), F.col("o_orderdate").alias("DateKey"),
+        F.col("o_custkey").cast("long").alias("CustomerKey"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("ChannelKey"))
+    return lines.join(o, "OrderKey")
 
-    ``key`` = global row number over (order, line identity): the range sort
-    splits even a single huge order across tasks (operators.with_row_number).
-    Lines of an order are contiguous in that order, so the line number within
-    the order is ``key - min(key of the order) + 1``. The minimum is taken per
-    (range partition, order) first - a hot order has at most one such row per
-    partition it spans - and the lines join back on (partition, order), so a
-    hot order stays split across the range partitions that hold it."""
-    from tessera.operators import with_row_number
 
-    k = with_row_number(lines, LINE_ORDER, key, keep_pid=True)
-    local = k.groupBy("_pid", "OrderKey").agg(F.min(key).alias("_lmin"))
-    first = local.groupBy("OrderKey").agg(F.min("_lmin").alias("_first"))
-    bridge = local.join(first, "OrderKey").select("_pid", "OrderKey", "_first")
-    k = k.join(bridge, ["_pid", "OrderKey"])
-    return k.withColumn("LineNumber", (F.col(key) - F.col("_first") + 1).cast("int")).drop("_first", "_pid")
+def sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """Lines of one status joined to their order, with measures; no line keys."""
+    return with_orders(spark, sf_dir, line_measures(spark, sf_dir, status))
+
+
+def number_lines(lines: DataFrame, key: str) -> DataFrame:
+    """Adds ``LineNumber``, a line's place among its order's lines by identity,
+    and ``key``, the exact pair (order, line number) as one decimal.
+
+    Lines are numbered inside groups of (order, line number, range of parts),
+    so the lines of one huge order are sorted in many tasks; a group's start
+    is the number of lines in the order's groups before it, from one row per
+    group. A new line moves only later lines of its own order."""
+    from pyspark.sql import Window
+
+    group = ["OrderKey", "_ln", "_range"]
+    k = lines.withColumn("_range", F.floor(F.col("_pk") / PARTS_IN_GROUP))
+    inside = Window.partitionBy(*group).orderBy(*LINE_ORDER[2:])
+    k = k.withColumn("_place", F.row_number().over(inside))
+    sizes = k.groupBy(*group).agg(F.max("_place").alias("_n"))
+    before = Window.partitionBy("OrderKey").orderBy("_ln", "_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    k = k.join(starts, group).withColumn("LineNumber", (F.col("_start") + F.col("_place")).cast("long"))
+    pair = F.col("OrderKey").cast("decimal(20,0)") * F.lit(Decimal(LINES_PER_ORDER)) + F.col("LineNumber")
+    return k.withColumn(key, pair.cast("decimal(38,0)")).drop("_start", "_place", "_range")
 
 
 _MEASURES = [
@@ -134,7 +156,7 @@ def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_online_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FactOnlineSales: open lines ('O') with OnlineSalesKey and SalesOrderLineNumber."""
-    s = number_lines(sales_lines(spark, sf_dir, "O"), "OnlineSalesKey")
+    s = with_orders(spark, sf_dir, number_lines(line_measures(spark, sf_dir, "O"), "OnlineSalesKey"))
     return s.select(
         "OnlineSalesKey", "DateKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey", "CustomerKey",
         "SalesOrderNumber", F.col("LineNumber").alias("SalesOrderLineNumber"), *_MEASURES, "OrderKey",
@@ -142,10 +164,10 @@ def fact_online_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FactSales (store channel): fulfilled lines ('F') with SalesKey; no order or customer."""
-    s = number_lines(sales_lines(spark, sf_dir, "F"), "SalesKey")
+    """FactSales (store channel): fulfilled lines ('F') with SalesKey; no customer."""
+    s = with_orders(spark, sf_dir, number_lines(line_measures(spark, sf_dir, "F"), "SalesKey"))
     return s.select("SalesKey", "DateKey", "ChannelKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey",
-                    *_MEASURES)
+                    *_MEASURES, "OrderKey", "LineNumber")
 
 
 def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +205,7 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffix = F.regexp_extract("c_name", "#(.*)$", 1)
     df = c.join(first, c.c_custkey == first.o_custkey, "left")
     return df.select(
-        k.cast("int").alias("CustomerKey"),
+        k.cast("long").alias("CustomerKey"),
         F.col("c_nationkey").cast("int").alias("GeographyKey"),
         F.lit("Customer").alias("FirstName"),
         F.when(draw("mid", 4, k) == 0, F.lit(" ")).when(draw("mid", 4, k) == 1, F.lit("J"))
@@ -202,7 +224,7 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         draw("cars", 5, k).cast("int").alias("NumberCarsOwned"),
         F.concat(draw("addr", 9000, k).cast("string"), F.lit(" Main St")).alias("AddressLine1"),
         F.lit(None).cast("string").alias("AddressLine2"),
-        F.concat(F.lit("555-"), F.lpad(draw("phone", 10000, k).cast("string"), 4, "0")).alias("Phone"),
+        F.concat(F.lit("555-"), pad(draw("phone", 10000, k), 4)).alias("Phone"),
         F.concat(F.lit("customer"), suffix, F.lit("@example.com")).alias("EmailAddress"),
         F.when(company, "Company").otherwise("Person").alias("CustomerType"),
         F.when(company, F.col("c_name")).alias("CompanyName"),
@@ -227,9 +249,9 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = (F.col("p_retailprice").cast("decimal(15,2)") * D("0.004")).cast("decimal(19,4)")
     avail = F.date_add(F.lit("1994-01-01").cast("date"), draw("avail", 730, k).cast("int"))
     return p.select(
-        k.cast("int").alias("ProductKey"),
+        k.cast("long").alias("ProductKey"),
         (_category_key() * 100 + _brand_no()).alias("ProductSubcategoryKey"),
-        F.lpad(k.cast("string"), 7, "0").alias("ProductLabel"),
+        pad(k, 7).alias("ProductLabel"),
         F.col("p_name").alias("ProductName"),
         F.concat(F.col("p_name"), F.lit(" ("), F.col("p_type"), F.lit(")")).alias("ProductDescription"),
         F.concat(F.lit("Manufacturer "), F.pmod(_brand_no(), F.lit(5)).cast("string")).alias("Manufacturer"),
@@ -273,7 +295,7 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     open_d = F.date_add(F.lit("1985-01-01").cast("date"), draw("open", 3650, k).cast("int"))
     close_d = F.when(draw("close", 8, k) == 0, F.date_add(open_d, (3650 + draw("closeday", 3000, k)).cast("int")))
     return s.select(
-        k.cast("int").alias("StoreKey"),
+        k.cast("long").alias("StoreKey"),
         F.col("s_nationkey").cast("int").alias("GeographyKey"),
         F.col("s_name").alias("StoreName"),
         _pick(STORE_TYPES, draw("stype", 4, k)).alias("StoreType"),
@@ -285,11 +307,11 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         close_d.alias("CloseDate"),
         F.date_add(open_d, draw("remodel", 2000, k).cast("int")).alias("LastRemodelDate"),
         F.when(close_d.isNotNull(), F.lit("Lease expired")).alias("CloseReason"),
-        F.concat(F.lit("555-1"), F.lpad(k.cast("string"), 3, "0")).alias("StorePhone"),
-        F.concat(F.lit("555-2"), F.lpad(k.cast("string"), 3, "0")).alias("StoreFax"),
+        F.concat(F.lit("555-1"), pad(k, 3)).alias("StorePhone"),
+        F.concat(F.lit("555-2"), pad(k, 3)).alias("StoreFax"),
         F.concat(draw("saddr", 900, k).cast("string"), F.lit(" Market St")).alias("AddressLine1"),
         F.lit(None).cast("string").alias("AddressLine2"),
-        F.lpad(draw("zip", 100000, k).cast("string"), 5, "0").alias("ZipCode"),
+        pad(draw("zip", 100000, k), 5).alias("ZipCode"),
     )
 
 
@@ -298,7 +320,7 @@ def dim_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = (F.round(F.col("l_discount") * 100).cast("int") + 1)
     return d.select(
         k.alias("PromotionKey"),
-        F.lpad(k.cast("string"), 3, "0").alias("PromotionLabel"),
+        pad(k, 3).alias("PromotionLabel"),
         F.when(k == 1, F.lit("No Discount"))
         .otherwise(F.concat(F.lit("Discount "), (k - 1).cast("string"), F.lit("%"))).alias("PromotionName"),
         F.when(k == 1, F.lit("No Discount")).otherwise(F.lit("Volume Discount")).alias("PromotionDescription"),
@@ -315,17 +337,18 @@ def dim_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    k = (F.col("s_suppkey") + 1).cast("int")
+    k = F.col("s_suppkey").cast("long") + 1
+    boss = F.expr("(cast(s_suppkey as bigint) + 1) div 10")
     hire = F.date_add(F.lit("1996-01-01").cast("date"), draw("hire", 4000, k).cast("int"))
     return s.select(
         k.alias("EmployeeKey"),
-        F.when(F.floor(k / 10) > 0, F.floor(k / 10).cast("int")).alias("ParentEmployeeKey"),
+        F.when(boss > 0, boss).alias("ParentEmployeeKey"),
         F.lit("Employee").alias("FirstName"),
         F.when(draw("emid", 3, k) == 0, F.lit("")).alias("MiddleName"),
-        F.lpad(k.cast("string"), 5, "0").alias("LastName"),
-        F.when(F.floor(k / 10) == 0, "Director").otherwise("Associate").alias("Title"),
+        pad(k, 5).alias("LastName"),
+        F.when(boss == 0, "Director").otherwise("Associate").alias("Title"),
         F.concat(F.lit("employee"), k.cast("string"), F.lit("@example.com")).alias("EmailAddress"),
-        F.concat(F.lit("555-3"), F.lpad(k.cast("string"), 4, "0")).alias("Phone"),
+        F.concat(F.lit("555-3"), pad(k, 4)).alias("Phone"),
         F.when(draw("egender", 2, k) == 0, "M").otherwise("F").alias("Gender"),
         F.when(draw("emarital", 2, k) == 0, "M").otherwise("S").alias("MaritalStatus"),
         _pick(DEPARTMENTS, draw("dept", 5, k)).alias("DepartmentName"),
@@ -446,14 +469,14 @@ def fact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("int")
     )
     return d.select(
-        F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("inv"), *[F.col(c).cast("string") for c in ("m", "s", "p")])), 1, 15), 16, 10)
-        .cast("long").alias("InventoryKey"),
+        # the exact key: month, store and product
+        F.concat_ws("-", F.date_format("m", "yyyyMM"), F.col("s").cast("string"), F.col("p").cast("string")).alias("InventoryKey"),
         F.col("m").cast("timestamp").alias("DateKey"),
-        F.col("s").cast("int").alias("StoreKey"),
-        F.col("p").cast("int").alias("ProductKey"),
+        F.col("s").cast("long").alias("StoreKey"),
+        F.col("p").cast("long").alias("ProductKey"),
         F.lit(1).alias("CurrencyKey"),
         on_hand.alias("OnHandQuantity"),
-        F.col("q").cast("int").alias("OnOrderQuantity"),
+        F.col("q").cast("long").alias("OnOrderQuantity"),
         ss.alias("SafetyStockQuantity"),
         (F.lit(Decimal("1.5")) + F.col("cost") / 100).cast("decimal(19,4)").alias("UnitCost"),
         F.col("days").cast("int").alias("DaysInStock"),

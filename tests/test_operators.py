@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import exact_age, shift, us_week
+from tessera.functions import pad, shift, us_week
 from tessera.mart import Mart
 from tessera.operators import argmax_key, metric_rows, with_row_number
 from tessera.plans import checks_fulfilment, checks_marts, gen, reference_reports
@@ -49,7 +49,6 @@ def test_dates(spark):
     ages = spark.createDataFrame([(dt.date(2000, 2, 29), dt.date(2001, 2, 28)), (dt.date(2000, 5, 1), dt.date(2010, 4, 30)),
                                   (dt.date(2000, 5, 1), dt.date(2010, 5, 1))], "b date, a date")
     assert [r.x for r in ages.select(gen._exact_age(F.col("b"), F.col("a")).alias("x")).collect()] == [1, 9, 10]
-    assert [r.x for r in ages.select(exact_age("b", "a").alias("x")).collect()] == [0, 9, 10]
 
 
 def test_fulfilment_tiers_at_the_cuts(spark):
@@ -94,7 +93,7 @@ def test_return_tiers_and_exclusions(spark):
          (3, dt.datetime(1996, 1, 1), 1, Decimal("200")), (4, dt.datetime(1996, 1, 1), 2, Decimal("0")),
          (5, dt.datetime(2100, 1, 1), 1, Decimal("10"))],
         "k long, DateKey timestamp, ReturnQuantity int, ReturnAmount decimal(19,4)")
-    out = {r.k: r for r in gen._returns(m, lines, "k", "t", gen.ONLINE_LAG, gen.ONLINE_REFUND_PCT,
+    out = {r.k: r for r in gen._returns(m, lines, ("k",), "t", gen.ONLINE_LAG, gen.ONLINE_REFUND_PCT,
                                        gen.ONLINE_REASON_SCOPE).collect()}
     assert set(out) == {1, 2, 3, 5}  # zero-amount return excluded
     assert out[1].tier == 1 and out[2].tier == 2 and out[3].tier == 3
@@ -123,36 +122,142 @@ def test_reference_reports(spark):
 
 
 def test_line_numbering_matches_per_order_window(spark):
-    """Skew-safe numbering (range-sorted global key, key - min(order) + 1) equals
-    row_number() over (partition by order order by line identity)."""
+    """Numbering in ranges of parts equals row_number() over (partition by
+    order order by line identity); the key holds the pair exactly."""
     from tessera.sources import adapter
 
-    lines = adapter.sales_lines(spark, SF_SMALL, "O")
-    got = adapter.number_lines(lines, "K").select("OrderKey", "_ln", "_pk", "_sk", "_sd", "_ep", "K", "LineNumber") \
-        .toPandas()
     order = ["OrderKey", "_ln", "_pk", "_sk", "_sd", "_ep"]
-    exp = got[order].sort_values(order).reset_index(drop=True)
-    exp["K"] = range(1, len(exp) + 1)
-    exp["LineNumber"] = exp.groupby("OrderKey").cumcount() + 1
+    got = adapter.number_lines(adapter.line_measures(spark, SF_SMALL, "O"), "K").select(*order, "K", "LineNumber").toPandas()
     got = got.sort_values(order).reset_index(drop=True)
-    assert list(got["K"]) == list(exp["K"])
-    assert list(got["LineNumber"]) == list(exp["LineNumber"])
+    assert list(got["LineNumber"]) == list(got.groupby("OrderKey").cumcount() + 1)
+    assert [int(k) for k in got["K"]] == [o * 10**12 + n for o, n in zip(got["OrderKey"], got["LineNumber"])]
+
+
+def _lines(spark, n, order, parts):
+    return spark.range(n).select(F.lit(order).cast("long").alias("OrderKey"), (F.col("id") % 5).alias("_ln"), (F.col("id") * parts).alias("_pk"),
+                                 F.lit(1).alias("_sk"), F.lit(dt.datetime(2000, 1, 1)).alias("_sd"), F.lit(1.0).alias("_ep"))
 
 
 def test_line_numbering_with_one_hot_order(spark):
-    """One order holding most rows is still numbered exactly (spread over range partitions)."""
+    """One order holding most rows is numbered exactly, in many groups."""
     from tessera.sources import adapter
 
     n = 20000
-    hot = spark.range(n).select(F.lit(7).cast("long").alias("OrderKey"), (F.col("id") % 5).alias("_ln"),
-                                F.col("id").alias("_pk"), F.lit(1).alias("_sk"),
-                                F.lit(dt.datetime(2000, 1, 1)).alias("_sd"), F.lit(1.0).alias("_ep"))
-    other = spark.range(100).select((F.col("id") + 100).alias("OrderKey"), F.lit(1).cast("long").alias("_ln"),
-                                    F.col("id").alias("_pk"), F.lit(1).alias("_sk"),
-                                    F.lit(dt.datetime(2000, 1, 1)).alias("_sd"), F.lit(1.0).alias("_ep"))
-    df = hot.unionByName(other).repartition(8)
+    df = _lines(spark, n, 7, 3).unionByName(_lines(spark, 100, 8, 1)).repartition(8)
     out = adapter.number_lines(df, "K")
-    nums = out.where(F.col("OrderKey") == 7).agg(F.min("LineNumber"), F.max("LineNumber"),
-                                                  F.countDistinct("LineNumber")).first()
-    assert tuple(nums) == (1, n, n)
-    assert out.where(F.col("OrderKey") != 7).agg(F.max("LineNumber")).first()[0] == 1
+    nums = {r["OrderKey"]: tuple(r)[1:] for r in out.groupBy("OrderKey").agg(
+        F.min("LineNumber"), F.max("LineNumber"), F.countDistinct("LineNumber"), F.countDistinct("K")).collect()}
+    assert nums == {7: (1, n, n, n), 8: (1, 100, 100, 100)}
+
+
+def test_padding_never_shortens(spark):
+    df = spark.createDataFrame([(7,), (123456,), (98765432101,)], "k long")
+    assert [r.p for r in df.select(pad("k", 4).alias("p")).collect()] == ["0007", "123456", "98765432101"]
+
+
+def test_a_new_line_moves_no_other_orders_returns(spark, tmp_path):
+    """Draws and ids hang on the line's order and its number there."""
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    low = li.where("l_linestatus = 'O'").orderBy("l_orderkey", "l_linenumber").limit(1)
+    first = low.first()["l_orderkey"]
+    li.unionByName(low.withColumn("l_linenumber", F.lit(0).cast(li.schema["l_linenumber"].dataType))).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for t in ("orders", "customer", "part", "supplier", "nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    for fn in (gen.gen_online_returns, gen.gen_store_returns):
+        before, after = fn(Mart(spark, SF_SMALL)), fn(Mart(spark, str(tmp_path)))
+        key = before.columns[0]
+        others = lambda d: {tuple(r) for r in d.where(F.expr(f"{key} div 1000000000000") != first).collect()}
+        assert others(before) and others(before) == others(after), fn.__name__
+
+
+def test_keys_of_twelve_digits(spark, tmp_path):
+    """Order, customer, product, store and employee keys beyond 32 bits and the
+    old widths: order numbers stay unique and every pipeline runs."""
+    from tessera.plans.registry import REGISTRY
+
+    far = 123_456_000_000
+    shift_keys = {"lineitem": ["l_orderkey", "l_partkey", "l_suppkey"], "orders": ["o_orderkey", "o_custkey"], "customer": ["c_custkey"],
+                  "part": ["p_partkey"], "supplier": ["s_suppkey"], "nation": [], "region": []}
+    for t, keys in shift_keys.items():
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        df.withColumns({k: F.col(k).cast("long") + far for k in keys}).write.parquet(str(tmp_path / f"{t}.parquet"))
+    m = Mart(spark, str(tmp_path))
+    near = Mart(spark, SF_SMALL)
+    for name in ("P1_customer_acquisition", "P2_order_payment", "P3_order_fulfillment", "P4_marketing_spend", "P5_customer_survey",
+                 "P6_online_returns", "P7_store_returns", "V12_online_sales", "V14_returns", "V15_inventory", "M9_payment_by_region",
+                 "M10_payment_return_cancel_rates", "M11_on_time_by_method_region"):
+        assert REGISTRY[name].fn(m).count() > 0, name
+    pay = REGISTRY["P2_order_payment"].fn(m)
+    assert pay.count() == pay.select("SalesOrderNumber").distinct().count() == REGISTRY["P2_order_payment"].fn(near).count()
+    assert pay.where(F.length("SalesOrderNumber") != 14).count() == 0
+    inv = REGISTRY["V15_inventory"].fn(m)
+    assert inv.count() == inv.select("InventoryKey").distinct().count()
+
+
+def test_org_chart_has_no_row_limit(spark):
+    """More employees than Spark's recursion limit of a million rows."""
+    from tessera.plans import measures
+
+    n = 1_200_000
+    m = Mart(spark, SF_SMALL)
+    k = F.col("id") + 1
+    m.__dict__["dim_employee"] = spark.range(n).select(k.alias("EmployeeKey"), F.when(k >= 1000, F.floor(k / 1000)).alias("ParentEmployeeKey"))
+    got = measures.m26(m)
+    assert got.count() == n
+    assert {r["EmployeeKey"]: (r["Depth"], r["Path"]) for r in got.where("EmployeeKey in (5, 5123, 1200000)").collect()} == {
+        5: (0, "5"), 5123: (1, "5/5123"), 1200000: (2, "1/1200/1200000")}
+
+
+def test_max_date_bounds_every_pipeline(spark):
+    from tessera.config import MartConfig
+
+    last = dt.date(1997, 1, 1)
+    m = Mart(spark, SF_SMALL, MartConfig(max_date=last))
+    recent = m.get(gen.gen_order_fulfillment).where(F.col("FulfillmentStatus") == "Shipped")
+    assert recent.where(F.col("OrderDate") < F.date_sub(F.lit(last), gen.FUL_RECENT_DAYS)).count() == 0
+    assert m.get(gen.gen_customer_survey).where(F.col("SurveyDate") > last).count() == 0
+    assert m.get(gen.gen_online_returns).where(F.col("ReturnDate") > last).count() == 0
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    from tessera.config import ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_views_by_name(spark):
+    from tessera.plans.build import register_views
+
+    names = register_views(Mart(spark, SF_SMALL))
+    assert len(names) == 22
+    got = spark.sql("SELECT count(*) AS n FROM fact_vOnlineSales s JOIN dim_vProduct p ON p.ProductKey = s.ProductKey").first()
+    assert got["n"] == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_linestatus = 'O'").count()
+
+
+def test_spend_rows_by_hand(spark):
+    """P4 and its tier with literal inputs: 10 customers of channel 5 (clicks are
+    customers, impressions 3 to 7 each) and decimals as the columns promise."""
+    m = Mart(spark, SF_SMALL)
+    inject(m, gen.gen_customer_acquisition, spark.createDataFrame(
+        [(i, 5, dt.date(1996, 3, 5)) for i in range(10)], "CustomerKey long, AcquisitionChannelKey int, AcquisitionDate date"))
+    (r,) = m.get(gen.gen_marketing_spend).collect()
+    assert (r.YearMonth, r.MonthStartDateKey, r.AcquisitionChannelKey, r.NewCustomersAcquired, r.Clicks) == (199603, 19960301, 5, 10, 10)
+    assert 30 <= r.Impressions <= 70
+    types = dict(m.get(gen.gen_marketing_spend).dtypes)
+    assert (types["CostPerClick"], types["CostPerAcquisition"], types["ClickThroughRate"]) == ("decimal(19,4)", "decimal(19,4)", "decimal(5,2)")
+    cents = (r.MonthlySpend / 10).quantize(Decimal("0.0001"), rounding="ROUND_HALF_UP")
+    assert r.CostPerClick == r.CostPerAcquisition == cents
+    assert r.ClickThroughRate == (Decimal(1000) / r.Impressions).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
+    assert dict(m.get(checks_marts.v_sales_quota).dtypes)["GrossMarginQuotaPct"] == "decimal(10,4)"

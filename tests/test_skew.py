@@ -41,13 +41,14 @@ def _with_conf(spark, conf, fn):
 
 def test_hot_customer_is_split_and_orders_stay_whole(spark):
     m = Mart(spark, SF_MID)
-    lines = m.online_lines
-    hot_key = lines.agg(F.min("CustomerKey")).first()[0]
+    heads = m.order_heads
+    hot_key = heads.agg(F.min("CustomerKey")).first()[0]
     # every third order moves to one customer: a third of all orders on one key
-    m.__dict__["online_lines"] = lines.withColumn(
+    m.__dict__["order_heads"] = heads.withColumn(
         "CustomerKey", F.when(F.col("OrderKey") % 3 == 0, F.lit(hot_key)).otherwise(F.col("CustomerKey")))
-    orders = m.online_lines.select("OrderKey").distinct().count()
-    hot_orders = m.online_lines.where(F.col("CustomerKey") == hot_key).select("OrderKey").distinct().count()
+    profile = gen.order_profile(m)
+    orders = profile.count()
+    hot_orders = profile.where(F.col("CustomerKey") == hot_key).count()
     assert hot_orders * 4 > orders  # the key really is hot
 
     def run():
@@ -65,32 +66,36 @@ def test_hot_customer_is_split_and_orders_stay_whole(spark):
     assert split and "AQEShuffleRead skewed" in plan, plan
 
 
-def test_hot_order_numbering_join_is_split(spark):
-    """One order holding most lines: the per-order minimum is joined back on
-    (range partition, order), so the hot order stays spread over the range
-    partitions that hold it instead of landing in one join task."""
-    import datetime as dt
+def test_hot_order_is_combined_before_the_shuffle(spark):
+    """Most lines on one order: the lines are summed by order map-side, below
+    the exchange, and joined to the orders afterwards (P2 and P5)."""
+    m = Mart(spark, SF_MID)
+    lines = m.order_lines
+    hot = lines.agg(F.min("OrderKey")).first()[0]
+    m.__dict__["order_lines"] = lines.withColumn("OrderKey", F.when(F.col("ProductKey") % 5 < 3, F.lit(hot)).otherwise(F.col("OrderKey")))
+    total = m.order_lines.count()
 
+    def run():
+        df = gen.order_totals(m)
+        row = df.agg(F.sum("ItemCount").alias("n"), F.max("ItemCount").alias("top"))
+        got = row.collect()[0]
+        return got, gen.gen_order_payment(m)._jdf.queryExecution().executedPlan().toString(), \
+            gen.gen_customer_survey(m)._jdf.queryExecution().executedPlan().toString()
+
+    got, *plans = _with_conf(spark, SKEW_CONF, run)
+    assert got["n"] == total and got["top"] * 2 > total
+    for plan in plans:
+        rows = plan.splitlines()
+        for i, row in enumerate(rows):
+            if "Exchange hashpartitioning(OrderKey" in row and "l_orderkey" in "\n".join(rows[i:i + 12]):
+                assert "partial_" in "\n".join(rows[i + 1:i + 4]), row
+        assert "hashpartitioning(l_orderkey" not in plan
+
+
+def test_hot_order_is_numbered_in_many_groups(spark):
+    """Windows of the line numbering are dealt by ranges of an order's lines."""
     from tessera.sources import adapter
 
-    n = 20000
-    cols = lambda key, ln: [key.cast("long").alias("OrderKey"), ln.alias("_ln"), F.col("id").alias("_pk"),
-                            F.lit(1).alias("_sk"), F.lit(dt.datetime(2000, 1, 1)).alias("_sd"), F.lit(1.0).alias("_ep")]
-    hot = spark.range(n).select(*cols(F.lit(7), F.col("id") % 5))
-    other = spark.range(2000).select(*cols(F.col("id") + 100, F.lit(1).cast("long")))
-    df = hot.unionByName(other).repartition(8)
-
-    def run():
-        out = adapter.number_lines(df, "K")
-        stats = out.groupBy((F.col("OrderKey") == 7).alias("hot")).agg(
-            F.count(F.lit(1)).alias("n"), F.max("LineNumber").alias("mx"), F.countDistinct("K").alias("keys"))
-        rows = {r.hot: r for r in stats.collect()}
-        return rows, stats._jdf.queryExecution().executedPlan().toString()
-
-    rows, plan = _with_conf(spark, SKEW_CONF, run)
-    assert (rows[True].n, rows[True].mx, rows[True].keys) == (n, n, n)
-    assert (rows[False].n, rows[False].mx) == (2000, 1)
-    joins = [ln for ln in plan.splitlines() if "Join [" in ln and "OrderKey" in ln]
-    # lines join on (partition, order); the only OrderKey-only join is the
-    # bridge of per-partition minima (at most one row per order and partition)
-    assert any("_pid" in ln for ln in joins), joins
+    plan = adapter.fact_online_sales(spark, SF_MID)._jdf.queryExecution().executedPlan().toString()
+    dealt = [row for row in plan.splitlines() if "Exchange hashpartitioning(OrderKey" in row and "_ln" in row and "_range" in row]
+    assert dealt
