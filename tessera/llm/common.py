@@ -11,8 +11,8 @@ from pyspark.sql.window import Window
 
 from tessera.config import ensure_checkpoint_dir
 
-# The bitmap of `maybe_in` has this many bits whatever the input's size (512 KB).
-BITMAP_BITS = 1 << 22
+# The bitmap of `maybe_in` has this many bits whatever the input's size (512 KB as 64-bit words).
+BITMAP_BITS = 1 << 21
 # At most so many hot keys are broadcast by `salted` (16 bytes each).
 HOT_KEYS = 10_000
 
@@ -96,8 +96,9 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
 
     ``post(key, id)`` are the ids under each key; ``verify`` takes candidate
     pairs ``a, b, shared`` (number of keys shared) and returns those linked.
-    With ``near``, ``post`` also has a ``mark`` by id, and pairs whose marks
-    are not near are no candidates. Copies are not expanded into all pairs:
+    With ``near``, ``post`` also has a ``mark``; keys under which two marks are
+    not near do not count, and ``verify`` also gets the pair's largest marks
+    ``ma, mb``. Copies are not expanded into all pairs:
 
     1. star: each id is compared with the smallest id under each of its keys
        (``best``: only the one it shares most keys with);
@@ -110,23 +111,26 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
     rows = salted(post).withColumn("n", F.count("*").over(w))
     if near:
         rows = rows.withColumn("p", F.min(F.struct("id", "mark")).over(w)).select("key", "salt", "id", "mark", "n", F.col("p.id").alias("piv"), F.col("p.mark").alias("piv_mark"))
-        rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark"))).drop("piv_mark")
+        rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark")))
     else:
         rows = rows.withColumn("piv", F.min("id").over(w)).withColumn("close", F.lit(True))
     multi = cut(rows.where("n > 1 or salt > 0").drop("n", "salt"))
-    stars = multi.where("id <> piv and close").groupBy(F.col("id").alias("a"), F.col("piv").alias("b")).agg(F.count("*").alias("shared"))
+    stars = multi.where("id <> piv and close").groupBy(F.col("id").alias("a"), F.col("piv").alias("b"))
+    stars = stars.agg(F.count("*").alias("shared"), *([F.max("mark").alias("ma"), F.max("piv_mark").alias("mb")] if near else []))
     if best:
-        stars = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"), F.max("shared").alias("shared"))
+        rest = [c for c in stars.columns if c != "a"]
+        stars = stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("last"), *rest[2:], "b")).alias("p")).select("a", *[f"p.{c}" for c in rest])
     one = cut(verify(stars))
     comp = components(one)
-    rows = multi.drop("piv", "close").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    rows = multi.drop("piv", "piv_mark", "close").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     rows = cut(rows.join(mixed, "key", "left_semi"))
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
     if near:
         apart = apart & near(F.col("x.mark"), F.col("y.mark"))
     pairs = rows.alias("x").join(rows.alias("y"), apart)
-    pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("shared"))
+    pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(
+        F.count("*").alias("shared"), *([F.max("x.mark").alias("ma"), F.max("y.mark").alias("mb")] if near else []))
     return one.unionByName(cut(verify(pairs)))
 
 

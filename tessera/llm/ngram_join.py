@@ -30,15 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import boxed, components, cut, link, maybe_in, unboxed
 
 SLICE = 1 << 20  # bytes hashed at once
-HOT_SHINGLES = 200_000  # at most so many are ranked by count; the others by hash
-BATCH, HOT_IN_BATCH = 1 << 21, 6  # shingles in a batch, and occurrences there that make one hot
+HOT_SHINGLES = 500_000  # at most so many are ranked by count; the others by hash
+BATCH, HOT_IN_BATCH = 1 << 21, 3  # shingles in a batch, and occurrences there that make one hot
+MEETINGS, MEETING_EVERY = 6, 20  # `l` is 1, and 1 more for every 20 shingles, to 6
 FRAGMENTS = 8
 PART = 256  # members of a star compared in one group
 
@@ -161,12 +162,25 @@ def _hot(words: int):
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
-    """Shingles of the prefix of a set of ``n``, and the longer ones' extra."""
-    return n - -(-num * n // den) + _least_shared(n)
+    """Shingles of the prefix of a set of ``n``."""
+    return n - -(-num * n // den) + 1 + min(MEETINGS - 1, n // MEETING_EVERY)
 
 
-def _least_shared(n: int) -> int:
-    return 1 + min(4, n // 50)
+def _meetings(x: Column, y: Column) -> Column:
+    """Shingles that two sets of these sizes share in their prefixes at least."""
+    return 1 + F.least(F.lit(MEETINGS - 1), F.floor(F.least(x, y) / MEETING_EVERY))
+
+
+def _may_reach(num: int, den: int):
+    """Whether two sets that share a shingle may reach the threshold if it is
+    among the first ``l`` shared, from their marks (size and place of the shingle)."""
+
+    def near(x: Column, y: Column) -> Column:
+        size, left = (lambda m: F.shiftright(m, 32)), (lambda m: F.shiftright(m, 32) - m.bitwiseAND(F.lit((1 << 32) - 1)))
+        most = F.least(left(x), left(y)) + _meetings(size(x), size(y)) - 1
+        return most * den >= (size(x) + size(y) - most) * num
+
+    return near
 
 
 def _prefixes(words: int, num: int, den: int, hot):
@@ -247,14 +261,11 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
     marks = sets.where("n > 0 and doc_id is not null").select("doc_id", "n", "h1", "h2")
     firsts = cut(marks.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("b"), F.count("*").alias("c")).where("c > 1").drop("c"))
     same = marks.join(firsts, ["n", "h1", "h2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
-    post = sets.where("keys is not null").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    sizes = marks.groupBy("doc_id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    post = sets.where("keys is not null").select(F.posexplode("keys").alias("at", "key"), F.col("doc_id").alias("id"), "n")
+    post = post.select("key", "id", (F.shiftleft("n", 32) + F.col("at")).alias("mark"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        for c in "ab":
-            pairs = pairs.join(sizes.select(F.col("doc_id").alias(c), F.col("least").alias(f"l{c}"), F.col("most").alias(f"m{c}")), c)
-        enough = 1 + F.least(F.lit(4), F.floor(F.least("la", "lb") / 50))
-        pairs = pairs.where((F.col("shared") >= enough) & (F.col("la") * num <= F.col("mb") * den) & (F.col("lb") * num <= F.col("ma") * den))
+        pairs = pairs.where(F.col("shared") >= _meetings(F.shiftright("ma", 32), F.shiftright("mb", 32)))
         pairs = cut(pairs.select("a", "b"))
         parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
         text = maybe_in(src, "doc_id", pairs.select(F.col("a").alias("id")))
@@ -269,7 +280,7 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
         linked = F.col("same") * den >= (F.col("na") + F.col("nb") - F.col("same")) * num
         return summed.where(linked).select("a", "b").distinct()
 
-    comp = components(same.unionByName(link(post, verify, best=True)))
+    comp = components(same.unionByName(link(post, verify, best=True, near=_may_reach(num, den))))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
