@@ -69,3 +69,30 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+_REACH = """
+  reach(id, c) AS (SELECT {id}, {id} FROM {table} UNION SELECT r.id, l.b FROM reach r JOIN link l ON l.a = r.c),
+  low AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)"""
+
+ORACLE_SQL["op1_embedding_near_dedup"] = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+           WHERE list_cosine_similarity(x.e, y.e) >= 0.93),{_REACH.format(id="vec_id", table="embeddings")}
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN low ON id = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) k ON a = vec_id"""
+
+ORACLE_SQL["op7_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM words),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  link AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+                             GROUP BY 1, 2) p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+           WHERE 100 * i >= 75 * (na.n + nb.n - i)),{_REACH.format(id="doc_id", table="documents")}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents JOIN low ON id = doc_id LEFT JOIN n USING (doc_id)"""
