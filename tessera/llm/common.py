@@ -114,7 +114,8 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
         rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark")))
     else:
         rows = rows.withColumn("piv", F.min("id").over(w)).withColumn("close", F.lit(True))
-    multi = cut(rows.where("n > 1 or salt > 0").drop("n", "salt"))
+    # a key with two ids that are not near has no candidate
+    multi = cut(rows.where("n > 2 or salt > 0 or (n = 2 and close)").drop("n", "salt"))
     stars = multi.where("id <> piv and close").groupBy(F.col("id").alias("a"), F.col("piv").alias("b"))
     stars = stars.agg(F.count("*").alias("shared"), *([F.max("mark").alias("ma"), F.max("piv_mark").alias("mb")] if near else []))
     if best:
