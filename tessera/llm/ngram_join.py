@@ -39,7 +39,7 @@ from .common import boxed, components, cut, link, maybe_in, unboxed
 SLICE = 1 << 20  # bytes hashed at once
 HOT_SHINGLES = 500_000  # at most so many are ranked by count; the others by hash
 BATCH, HOT_IN_BATCH = 1 << 21, 3  # shingles in a batch, and occurrences there that make one hot
-MEETINGS, MEETING_EVERY = 6, 20  # `l` is 1, and 1 more for every 20 shingles, to 6
+MEETINGS, MEETING_EVERY = 3, 20  # `l` is 1, and 1 more for every 20 shingles, to 3
 FRAGMENTS = 8
 PART = 256  # members of a star compared in one group
 
