@@ -112,10 +112,12 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
     if near:
         rows = rows.withColumn("p", F.min(F.struct("id", "mark")).over(w)).select("key", "salt", "id", "mark", "n", F.col("p.id").alias("piv"), F.col("p.mark").alias("piv_mark"))
         rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark")))
+        # a mark need not be near itself: two ids are judged by the other one
+        rows = rows.withColumn("pair", F.max(F.col("close") & (F.col("id") != F.col("piv"))).over(w))
     else:
-        rows = rows.withColumn("piv", F.min("id").over(w)).withColumn("close", F.lit(True))
+        rows = rows.withColumn("piv", F.min("id").over(w)).withColumns({"close": F.lit(True), "pair": F.lit(True)})
     # a key with two ids that are not near has no candidate
-    multi = cut(rows.where("n > 2 or salt > 0 or (n = 2 and close)").drop("n", "salt"))
+    multi = cut(rows.where("n > 2 or salt > 0 or (n = 2 and pair)").drop("n", "salt", "pair"))
     stars = multi.where("id <> piv and close").groupBy(F.col("id").alias("a"), F.col("piv").alias("b"))
     stars = stars.agg(F.count("*").alias("shared"), *([F.max("mark").alias("ma"), F.max("piv_mark").alias("mb")] if near else []))
     if best:
