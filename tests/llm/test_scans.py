@@ -213,3 +213,16 @@ def test_accuracies_of_known_heuristics():
     right = sum(truth[p] if weak[p] >= 0.5 else n - truth[p] for p, n in counts.items())
     assert right > 0.9 * 20000
     assert quality.posteriors({}) == {}
+
+
+def test_html_boilerplate_on_two_pages_of_a_dealt_host(spark, monkeypatch):
+    body = [" ".join(f"p{i}x{j}" for j in range(40)) for i in range(40)]
+    passage = "seen on two pages of this host only"
+    body[3], body[29] = f"{body[3]} {passage}", f"{passage} {body[29]}"
+    rows = [(i, f"http://h.example/{i}", f"<html><body><p>{b}</p></body></html>") for i, b in enumerate(body)]
+    rows.append((40, "http://h.example/again", rows[5][2]))  # a repeat is no other page
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: b.replace(passage, "").strip() for i, b in enumerate(body)} | {40: body[5]}
+    for size in (html_extract.GROUP_BYTES, 300):
+        monkeypatch.setattr(html_extract, "GROUP_BYTES", size)
+        assert {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()} == want
