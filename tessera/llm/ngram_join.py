@@ -1,10 +1,10 @@
-"""Jaccard self-join on word n-grams by vertical partitioning.
+"""Jaccard self-join on word n-grams by a prefix filter.
 
 A document is the set of its distinct 5-word shingles, as 64-bit hashes. All
 sets are kept in one global order, rarest first: shingles that repeat much in
 some batch of documents come last, by count, all others before them by hash.
-The order is cut into fragments; the overlap of a pair is counted in each
-fragment separately and summed per pair, by Spark.
+A pair's texts meet in one task; their overlap is counted in each of eight hash
+ranges (fragments) separately and summed per pair, by Spark.
 
 Which pairs are counted follows from the order too. Two sets that reach the
 threshold share a shingle of their prefixes, the first ``n - ceil(t n) + 1``
@@ -215,7 +215,7 @@ def _prefixes(words: int, num: int, den: int, hot):
 
 def _overlaps(words: int):
     """Of rows sorted by group, representatives first: the overlap of each
-    member with the representatives in each fragment of the order."""
+    member with the representatives in each hash range."""
 
     def run(batches):
         group, heads = None, []
