@@ -8,6 +8,7 @@ after a lost executor, and the DuckDB oracle all agree.
 from __future__ import annotations
 
 import hashlib
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,6 +101,26 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.when(den != 0, num / den)
 
 
+def ratio(num: ColumnOrName, den: ColumnOrName, digits: int, precision: int = 19, scale: int = 0, den_scale: int = 0) -> Column:
+    """num / den rounded half away from zero to ``digits`` decimals, exactly, as
+    DECIMAL(precision, digits); NULL when den is 0 or NULL.
+
+    ``scale`` and ``den_scale`` are the decimals of num and den. Both become
+    integers a and b, and (2|a| + |b|) div (2|b|) is the rounded quotient, so a
+    tie is a tie in every engine (a division of DOUBLEs rounds a binary
+    fraction). |num| up to 10^18 units of its last decimal; the rounded
+    quotient must fit 64 bits."""
+    more = max(scale - digits, den_scale, 0)
+
+    def whole(c: Column, has: int, up: int) -> Column:
+        return (c.cast(f"decimal({22 + has},{has})") * F.lit(Decimal(10 ** up))).cast("decimal(34,0)")
+
+    a, b = whole(_col(num), scale, digits + more), whole(_col(den), den_scale, more)
+    half_up = F.call_function("div", F.abs(a) * 2 + F.abs(b), F.nullif(F.abs(b) * 2, F.lit(0).cast("decimal(36,0)")))
+    signed = F.when((a < 0) != (b < 0), -half_up).otherwise(half_up)
+    return (signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal({precision},{digits})")
+
+
 def pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
     """Rounded percentage, 100 * num / den."""
     return F.round(safe_div(_col(num).cast("double") * 100.0, den), digits)

@@ -5,11 +5,15 @@ on first access and memoised for the lifetime of the object, so a report that
 touches the same view twice shares one logical subtree (and Spark's exchange
 reuse shares the shuffle). If ``gen_dir`` is given, generated tables that were
 written there by :func:`tessera.plans.build.build_all` are read back instead
-of recomputed - the analogue of the reference's persisted ``gen`` schema.
+of recomputed - the analogue of the reference's persisted ``gen`` schema. A
+table is read back only if it was built from the same input files, code and
+configuration (``tessera.store``); a stale one is recomputed with a warning,
+or refused with ``stale="refuse"``.
 """
 
 from __future__ import annotations
 
+import warnings
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,18 +21,25 @@ from pyspark.sql import functions as F
 
 from tessera.config import MartConfig, ensure_checkpoint_dir
 from tessera.sources import adapter, reference
+from tessera.store import PrerequisiteError, TableStore, inputs_digest
 
 SHIFT = 16  # years added to every source date (fixed value of the reference)
 
 
+RAW_TABLES = ["lineitem", "orders", "customer", "part", "supplier", "nation", "region"]
+
+
 class Mart:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: MartConfig | None = None,
-                 gen_dir: str | None = None, source_dir: str | None = None):
+                 gen_dir: str | None = None, source_dir: str | None = None, stale: str = "rebuild",
+                 staged: dict[str, dict] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.cfg = cfg or MartConfig()
         self.gen_dir = gen_dir
         self.source_dir = source_dir
+        self.stale = stale
+        self.staged = staged or {}  # versions of this build, not published yet
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         ensure_checkpoint_dir(spark)
 
@@ -177,24 +188,47 @@ class Mart:
         return memo[key]
 
     # ---- persisted source / generated tables -----------------------------
+    @cached_property
+    def source_digest(self) -> str:
+        """What the source tables are built from: input files and code."""
+        return inputs_digest(self.spark, self.sf_dir, RAW_TABLES, "source")
+
+    @cached_property
+    def gen_digest(self) -> str:
+        """What the generated tables are built from: also the configuration."""
+        return inputs_digest(self.spark, self.sf_dir, RAW_TABLES, repr(self.cfg))
+
+    def _stored(self, root: str | None, name: str, digest: str) -> DataFrame | None:
+        """The table, if the store has it and it was built from ``digest``."""
+        if not root:
+            return None
+        store = TableStore(self.spark, root)
+        entry = self.staged.get(name) or self._entries(root).get(name)
+        if entry is None:
+            return None
+        if entry["digest"] == digest:
+            return store.read(name, entry)
+        said = f"{root}/{name} was built from other inputs, code or configuration"
+        if self.stale == "refuse":
+            raise PrerequisiteError(said)
+        warnings.warn(f"{said}; it is computed anew", stacklevel=2)
+        return None
+
+    def _entries(self, root: str) -> dict[str, dict]:
+        """The store's pointer, read once: a mart sees one state of it."""
+        seen = self.__dict__.setdefault("_pointers", {})
+        if root not in seen:
+            seen[root] = TableStore(self.spark, root).entries()
+        return seen[root]
+
     def _source(self, name: str, build) -> DataFrame:
         """Adapted source table: read from ``source_dir`` when it was loaded there."""
-        if self._loaded(name):
-            return self.spark.read.parquet(f"{self.source_dir.rstrip('/')}/{name}")
-        return build()
+        got = self._stored(self.source_dir, name, self.source_digest) if self.source_dir else None
+        return build() if got is None else got
 
     def _loaded(self, name: str) -> bool:
-        return bool(self.source_dir) and self._exists(f"{self.source_dir.rstrip('/')}/{name}/_SUCCESS")
+        return bool(self.source_dir) and self._stored(self.source_dir, name, self.source_digest) is not None
 
     def _gen(self, name: str, build) -> DataFrame:
-        if self.gen_dir:
-            path = f"{self.gen_dir.rstrip('/')}/{name}"
-            if self._exists(f"{path}/_SUCCESS"):
-                return self.spark.read.parquet(path)
-        return build()
-
-    def _exists(self, path: str) -> bool:
-        """Existence check through Hadoop's FileSystem (works for HDFS/object stores)."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        got = self._stored(self.gen_dir, name, self.gen_digest) if self.gen_dir else None
+        return build() if got is None else got

@@ -1,19 +1,21 @@
-"""Distributed ROW_NUMBER() over a global order (a surrogate key).
+"""Distributed ROW_NUMBER() over a global order of text ids (a surrogate key).
 
 ``row_number() OVER (ORDER BY ...)`` without PARTITION BY makes Spark move
-every row into one partition (``Exchange SinglePartition``) - a single task
-for the whole table. Instead:
+every row into one partition. Range partitioning needs sampled cuts, a job of
+its own and a checkpoint to pin them. Here the cuts are fixed: ids are dealt
+by their leading characters, which any order of texts keeps together.
 
-1. range-partition + sort the order columns alone (``orderBy``), then
-   ``checkpoint()`` them into the shared checkpoint folder - range bounds are
-   sampled, so two evaluations could disagree; the checkpoint pins one
-   layout and also cuts the lineage (a lost executor re-reads the files);
-2. count rows per partition (one tiny row per partition) and turn the
-   counts into starting offsets with a window over those few rows;
-3. broadcast the offsets, add each row's position within its partition, and
-   join the numbers back to the rows on the order columns.
+1. Ids are counted by their longest prefix (``steps``), combined map-side.
+2. Each prefix starts after the ids of its group under smaller prefixes: the
+   counts are added up level by level, each under the next shorter prefix, so
+   a window never holds more than the different continuations of a prefix.
+3. A row's number is its prefix's start plus its place among the ids with that
+   prefix; rows are shuffled once, by prefix.
 
-The order columns must be unique and without nulls.
+All of it is one lazy plan: nothing runs while it is built, and two
+evaluations agree. Ids must be unique in a group and not null. ``steps``
+bounds both sides: ids with a common prefix as long as the last step are
+numbered in one task, and continuations between two steps are in one window.
 """
 
 from __future__ import annotations
@@ -22,15 +24,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``df`` with ``name``, its rows' numbers from 1 in the order of ``order``."""
-    s = df.select(*order).orderBy(*order).checkpoint(eager=True)
-    s = s.withColumn("_pid", F.spark_partition_id())
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    local = F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)
-    s = s.withColumn("_local", local)
-    out = s.join(F.broadcast(offsets), "_pid")  # one row per partition: bounded by the partition count
-    out = out.withColumn(name, (F.col("_off") + F.col("_local") + 1).cast("long")).drop("_off", "_local", "_pid")
-    return df.join(out, order)
+def with_row_number(df: DataFrame, group: str, order: str, name: str, steps: tuple[int, ...] = (7, 12, 17, 22)) -> DataFrame:
+    """``df`` with ``name``, its rows' numbers from 1 in the order of
+    ``group`` and then the text ``order``."""
+    prefixes = [f"_p{n}" for n in steps]
+    cut = [F.left(F.col(order), F.lit(n)).alias(p) for n, p in zip(steps, prefixes)]
+    level = df.groupBy(F.col(group), *cut).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    levels = []
+    for k in range(len(steps), 0, -1):
+        above = [group, *prefixes[:k - 1]]
+        before = F.coalesce(F.sum("_n").over(earlier(*above).orderBy(prefixes[k - 1])), F.lit(0))
+        levels.append((above, level.withColumn(f"_before{k}", before)))
+        level = level.groupBy(*above).agg(F.sum("_n").alias("_n"))
+    # one row for each group: the groups are few (here, two channels)
+    starts = level.select(group, F.coalesce(F.sum("_n").over(earlier().orderBy(group)), F.lit(0)).alias("_start"))
+    for above, counted in reversed(levels):
+        starts = counted.drop("_n").join(starts, above)
+    total = sum((F.col(f"_before{k}") for k in range(1, len(steps) + 1)), F.col("_start"))
+    starts = starts.select(F.col(group), F.col(prefixes[-1]).alias("_last"), total.alias("_start"))
+    place = F.row_number().over(Window.partitionBy(group, "_last").orderBy(order))
+    out = df.withColumn("_last", F.left(F.col(order), F.lit(steps[-1]))).withColumn("_place", place).join(starts, [group, "_last"])
+    return out.withColumn(name, (F.col("_start") + F.col("_place")).cast("long")).drop("_last", "_place", "_start")

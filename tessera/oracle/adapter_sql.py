@@ -7,6 +7,8 @@ integer ``/`` is ``//``; ``dayofweek`` is Sunday=0.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from tessera.functions import HASH_ADD, HASH_P, salt_mul, salt_seed
 from tessera.sources.adapter import (
     CHANNELS, CONTINENTS, CURRENCIES, DEPARTMENTS, EDUCATION, OCCUPATION, PRODUCT_TYPES,
@@ -32,6 +34,20 @@ def draw(salt: str, n: int, *keys: str) -> str:
     return f"({noise(salt, *keys)} % {n})"
 
 
+def ratio(num: str, den: str, digits: int, precision: int = 19, scale: int = 0, den_scale: int = 0) -> str:
+    """Same exact rounded quotient as ``tessera.functions.ratio``."""
+    more = max(scale - digits, den_scale, 0)
+
+    def whole(x: str, has: int, up: int) -> str:
+        if not has:
+            return f"(CAST({x} AS HUGEINT) * {10 ** up})"
+        return f"CAST(CAST({x} AS DECIMAL({22 + has},{has})) * CAST({10 ** up} AS DECIMAL({up + 1},0)) AS HUGEINT)"
+
+    a, b = whole(num, scale, digits + more), whole(den, den_scale, more)
+    q = f"(sign({a}) * sign({b}) * ((abs({a}) * 2 + abs({b})) // nullif(abs({b}) * 2, 0)))"
+    return f"CAST(CAST({q} AS DECIMAL(20,0)) * CAST({Decimal(1).scaleb(-digits)} AS DECIMAL({digits + 1},{digits})) AS DECIMAL({precision},{digits}))"
+
+
 def pad(x: str, n: int) -> str:
     """Same as ``tessera.functions.pad``: never shortens."""
     s = f"CAST({x} AS VARCHAR)"
@@ -74,7 +90,7 @@ def _sales_lines(status: str) -> str:
       CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) * 0.004 AS DECIMAL(19,4)) * 0.6 AS DECIMAL(19,4)) AS TotalCost,
       l.l_extendedprice / l.l_quantity / 250 * 0.6 AS UnitCost,
       l.l_extendedprice / l.l_quantity / 250 AS UnitPrice
-    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS place
+    FROM (SELECT *, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS place
           FROM lineitem WHERE l_linestatus = '{status}') l
     JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import date_key, shift
-from tessera.operators import metric_rows, missing_in, sql_metric_rows, with_row_number
+from tessera.operators import metric_rows, missing_in, ordered_listagg, sql_metric_rows, with_row_number
 from tessera.oracle.adapter_sql import register
 from tessera.plans import gen
 from tessera.plans.common import SHIFT, share, sql_share
@@ -74,7 +74,7 @@ def v_returns(m) -> DataFrame:
     """V14 fact.vReturns with ReturnEventKey = ROW_NUMBER over (channel, string id),
     computed without a single-partition exchange (see operators.surrogate_key)."""
     u = v_returns_unkeyed(m)
-    k = with_row_number(u, ["ReturnChannel", "ReturnEventID"], "ReturnEventKey")
+    k = with_row_number(u, "ReturnChannel", "ReturnEventID", "ReturnEventKey")
     return k.select("ReturnEventKey", *_V14_COLS)
 
 
@@ -301,3 +301,17 @@ def q66(m):
         F.count_if(F.col("OriginalSaleDateKey").isNull()).alias("NullOriginalSaleDateKeys"),
         F.min("ReturnDate").alias("MinReturnDate"), F.max("ReturnDate").alias("MaxReturnDate"),
         F.sum("RefundAmount").cast("double").alias("TotalRefundAmount"))
+
+
+@query("A4_return_reasons_by_product", """
+  SELECT e.ProductKey, count(*) AS ReturnCount, string_agg(DISTINCT r.ReturnReasonCode, ', ' ORDER BY r.ReturnReasonCode) AS ReasonCodes,
+    string_agg(r.ReturnReasonCode, ', ' ORDER BY e.ReturnDate, e.ReturnEventID) AS ReasonHistory
+  FROM v_returns e JOIN ref_return_reason r ON r.ReturnReasonKey = e.ReturnReasonKey GROUP BY e.ProductKey""", ("v_returns", "ref_return_reason"))
+def a4(m):
+    """Return reasons of every product: its different codes, and the code of
+    each of its returns in order of date (STRING_AGG over data-sized groups)."""
+    codes = m.ref_return_reason.select("ReturnReasonKey", "ReturnReasonCode")
+    e = v_returns_unkeyed(m).select("ProductKey", "ReturnReasonKey", "ReturnDate", "ReturnEventID").join(codes, "ReturnReasonKey")
+    kinds = e.groupBy("ProductKey", "ReturnReasonCode").agg(_cnt().alias("n")).groupBy("ProductKey").agg(  # at most 8 codes a product
+        F.sum("n").alias("ReturnCount"), F.array_join(F.sort_array(F.collect_list("ReturnReasonCode")), ", ").alias("ReasonCodes"))
+    return kinds.join(ordered_listagg(e, ["ProductKey"], "ReturnReasonCode", ["ReturnDate", "ReturnEventID"], "ReasonHistory"), "ProductKey")

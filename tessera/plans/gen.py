@@ -13,10 +13,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import date_key, draw, noise, pad
+from tessera.functions import date_key, draw, noise, pad, ratio
 from tessera.operators import argmax_key
 from tessera.oracle.adapter_sql import draw as sdraw
 from tessera.oracle.adapter_sql import noise as snoise
+from tessera.oracle.adapter_sql import ratio as sratio
 from tessera.oracle.adapter_sql import register
 
 
@@ -220,14 +221,18 @@ def order_profile(m) -> DataFrame:
                                   F.col("amt").cast("decimal(19,4)").alias("OrderValue"), "ItemCount", "CustomerKey", "StoreKey")
 
 
-def fact_date_bounds(m) -> DataFrame:
-    """One row: first/last year and last date of the online fact (the reference's
-    scalars, computed once before the CTE chain). Reads the lines' order keys,
-    one per order after the map-side combine, and the orders' dates. A
-    configured ``max_date`` replaces the last date."""
-    f = order_totals(m).select("OrderDate")
-    last = F.max("OrderDate") if m.cfg.max_date is None else F.max(F.lit(m.cfg.max_date))
-    return f.agg(F.min(F.year("OrderDate")).alias("lo"), F.max(F.year("OrderDate")).alias("hi"), last.alias("maxd"))
+def date_bounds(m, orders: DataFrame) -> DataFrame:
+    """One row ``lo, hi, maxd``: first and last year and last date of
+    ``orders`` (the reference's scalars, computed once before the CTE chain).
+
+    ``orders`` is the frame that the pipeline goes on with: the extremes carry
+    all its columns, so nothing of it is pruned here and Spark runs the lines'
+    sums once and reuses their exchange. A configured ``max_date`` replaces the
+    last date."""
+    every = F.struct("OrderDate", *[c for c in orders.columns if c != "OrderDate"])
+    f = orders.agg(F.min(every).alias("first"), F.max(every).alias("last"))
+    last = F.col("last.OrderDate") if m.cfg.max_date is None else F.lit(m.cfg.max_date)
+    return f.select(F.year("first.OrderDate").alias("lo"), F.year("last.OrderDate").alias("hi"), last.alias("maxd"))
 
 
 def _p2_score(k: int) -> Column:
@@ -242,13 +247,13 @@ def _p2_score(k: int) -> Column:
 @gen_table("order_payment")
 def gen_order_payment(m) -> DataFrame:
     """One payment method per order (argmax of 7 scores)."""
-    op = order_profile(m)
-    yrs = fact_date_bounds(m).select("lo", "hi")
+    op = order_totals(m).select("OrderKey", "OrderDate", "amt", "CustomerKey")
+    yrs = date_bounds(m, op).select("lo", "hi")
     c = m.dim_customer.select("CustomerKey", "GeographyKey")
     g = m.dim_geography.select("GeographyKey", "ContinentName")
     x = op.join(c, "CustomerKey").join(g, "GeographyKey", "left").crossJoin(F.broadcast(yrs))
     x = x.select(
-        "OrderKey", "SalesOrderNumber", "OrderDate", "OrderValue",
+        "OrderKey", order_number("OrderKey").alias("SalesOrderNumber"), "OrderDate", F.col("amt").cast("decimal(19,4)").alias("OrderValue"),
         F.coalesce("ContinentName", F.lit("Unknown")).alias("continent"),
         _year_progress(F.year("OrderDate"), F.col("lo"), F.col("hi")).alias("yp"),
     )
@@ -317,13 +322,15 @@ def _geo_ranked(m) -> DataFrame:
 
 
 def _fulfilment_base(m) -> DataFrame:
-    f = m.order_lines.select("OrderKey", "StoreKey")
     geo = F.broadcast(_geo_ranked(m))  # fixed-size
+    # an order's different stores first, so that no line is shuffled by store
+    f = m.order_lines.select("OrderKey", "StoreKey").distinct()
     # bare store dim first (its size estimate stays small), then the 25-row geography
-    lines = f.join(m.dim_store.select("StoreKey", "GeographyKey"), "StoreKey", "left") \
+    pairs = f.join(m.dim_store.select("StoreKey", "GeographyKey"), "StoreKey", "left") \
         .join(geo.select("GeographyKey", "country_rank", "continent_rank"), "GeographyKey", "left")
-    ob = lines.groupBy("OrderKey").agg(F.min("country_rank").alias("scr"), F.min("continent_rank").alias("skr"))
+    ob = pairs.groupBy("OrderKey").agg(F.min("country_rank").alias("scr"), F.min("continent_rank").alias("skr"))
     ob = ob.join(m.order_heads, "OrderKey")
+    bounds = date_bounds(m, ob)
     names_c = geo.select(F.col("country_rank").alias("scr"), F.col("RegionCountryName").alias("sc")).distinct()
     names_k = geo.select(F.col("continent_rank").alias("skr"), F.col("ContinentName").alias("sk")).distinct()
     ob = ob.join(F.broadcast(names_c), "scr", "left").join(F.broadcast(names_k), "skr", "left")
@@ -331,7 +338,7 @@ def _fulfilment_base(m) -> DataFrame:
     ob = ob.join(m.dim_customer.select("CustomerKey", "GeographyKey"), "CustomerKey").join(
         m.dim_geography.select("GeographyKey", F.col("RegionCountryName").alias("cc"),
                                F.col("ContinentName").alias("ck")), "GeographyKey", "left")
-    ob = ob.crossJoin(F.broadcast(fact_date_bounds(m)))
+    ob = ob.crossJoin(F.broadcast(bounds))
     k = "OrderKey"
     return ob.select(
         "SalesOrderNumber", "OrderDate",
@@ -722,11 +729,11 @@ register("gen_customer_survey", f"""
 # --- fixed values ------------------------------------------------------------
 MS_SPEND_NOISE = (800, 400)     # spend factor = (800 + 0..399) / 1000
 # impressions: ("per_customer", base, modulus) or ("per_spend", cost per mille divisor)
-MS_IMPRESSIONS = {1: ("n", 80, 40), 2: ("spend", 40.0), 3: ("spend", 12.0), 4: ("n", 35, 25),
-                  5: ("n", 3, 5), 6: ("n", 12, 13), 7: ("spend", 15.0)}
-MS_IMPR_SPEND_NOISE = (0.85, 300)   # 0.85 + (0..299)/1000
-MS_CTR = {1: 0.035, 2: 0.035, 3: 0.009, 4: 0.035, 5: None, 6: 0.050, 7: 0.015}  # None: clicks = customers
-MS_CLICK_NOISE = (0.80, 400)
+MS_IMPRESSIONS = {1: ("n", 80, 40), 2: ("spend", 40), 3: ("spend", 12), 4: ("n", 35, 25),
+                  5: ("n", 3, 5), 6: ("n", 12, 13), 7: ("spend", 15)}
+MS_IMPR_SPEND_NOISE = (850, 300)    # (850 + 0..299) / 1000
+MS_CTR = {1: 35, 2: 35, 3: 9, 4: 35, 5: None, 6: 50, 7: 15}  # thousandths; None: clicks = customers
+MS_CLICK_NOISE = (800, 400)         # (800 + 0..399) / 1000
 # -----------------------------------------------------------------------------
 
 
@@ -736,9 +743,9 @@ def monthly_seasonality(m) -> DataFrame:
         F.sum("amt").cast("decimal(19,4)").alias("MonthRevenue"))
     tot = g.agg(F.sum("MonthRevenue").alias("tot"), F.count(F.lit(1)).alias("n"))
     g = g.crossJoin(F.broadcast(tot))
-    # revenue / avg(revenue) = revenue * n / total, as one exact-input division
-    si = (F.col("MonthRevenue") * F.col("n")).cast("double") / F.nullif(F.col("tot"), F.lit(0)).cast("double")
-    return g.select("YearMonth", "MonthRevenue", si.cast("decimal(19,4)").alias("SeasonIndex"))
+    # revenue / avg(revenue) = revenue * n / total, as one exact division
+    si = ratio(F.col("MonthRevenue") * F.col("n").cast("decimal(6,0)"), "tot", 4, scale=4, den_scale=4)
+    return g.select("YearMonth", "MonthRevenue", si.alias("SeasonIndex"))
 
 
 @gen_table("marketing_spend")
@@ -749,7 +756,7 @@ def gen_marketing_spend(m) -> DataFrame:
                     "AcquisitionChannelKey").agg(F.count(F.lit(1)).alias("n"))
     ch = m.ref_acquisition_channel.select(
         "AcquisitionChannelKey",
-        ((F.col("EstimatedCACLow") + F.col("EstimatedCACHigh")) / 2).cast("decimal(8,2)").alias("mid"))
+        ratio(F.col("EstimatedCACLow") + F.col("EstimatedCACHigh"), F.lit(2), 2, 8, scale=4).alias("mid"))
     si = monthly_seasonality(m).select("YearMonth", "SeasonIndex")
     x = ma.join(ch, "AcquisitionChannelKey").join(F.broadcast(si), "YearMonth", "left")  # months: bounded by calendar
     keys = ("YearMonth", "AcquisitionChannelKey")
@@ -770,8 +777,9 @@ def gen_marketing_spend(m) -> DataFrame:
         if spec[0] == "n":
             e = F.col("n").cast("long") * (spec[1] + F.pmod(F.col("r_imp"), F.lit(spec[2])))
         else:
-            e = F.floor(F.col("spend").cast("double") / spec[1] * 1000.0
-                        * (F.lit(ilo) + F.pmod(F.col("r_imp"), F.lit(ispan)) / 1000.0))
+            # floor(spend / cost per mille * 1000 * (850 + draw) / 1000), in integers
+            units = (F.col("spend") * F.lit(Decimal(10000))).cast("decimal(24,0)") * (F.lit(ilo) + F.pmod(F.col("r_imp"), F.lit(ispan))).cast("decimal(5,0)")
+            e = F.call_function("div", units, F.lit(Decimal(spec[1] * 10000)))
         imp = F.when(k == key, e.cast("long")).otherwise(imp)
     x = x.withColumn("imp", imp)
     clo, cspan = MS_CLICK_NOISE
@@ -779,7 +787,7 @@ def gen_marketing_spend(m) -> DataFrame:
     for key in sorted(MS_CTR, reverse=True):
         ctr = MS_CTR[key]
         if ctr is not None:
-            e = F.floor(F.col("imp") * ctr * (F.lit(clo) + F.pmod(F.col("r_clk"), F.lit(cspan)) / 1000.0)).cast("long")
+            e = F.call_function("div", F.col("imp") * ctr * (F.lit(clo) + F.pmod(F.col("r_clk"), F.lit(cspan))), F.lit(1000000).cast("long"))
             clk = F.when(k == key, e).otherwise(clk)
     x = x.withColumn("clk", F.greatest(F.col("n").cast("long"), clk))
     n = F.col("n").cast("long")
@@ -788,9 +796,9 @@ def gen_marketing_spend(m) -> DataFrame:
         "YearMonth", (F.col("YearMonth") * 100 + 1).alias("MonthStartDateKey"), "AcquisitionChannelKey",
         F.col("spend").alias("MonthlySpend"), F.col("imp").alias("Impressions"), F.col("clk").alias("Clicks"),
         n.alias("NewCustomersAcquired"),
-        F.when(F.col("clk") > 0, F.col("spend").cast("double") / F.col("clk")).cast("decimal(19,4)").alias("CostPerClick"),
-        F.when(n > 0, F.col("spend").cast("double") / n).cast("decimal(19,4)").alias("CostPerAcquisition"),
-        F.when(F.col("imp") > 0, F.col("clk") * 100.0 / F.col("imp")).cast("decimal(5,2)").alias("ClickThroughRate"),
+        F.when(F.col("clk") > 0, ratio("spend", "clk", 4, scale=4)).alias("CostPerClick"),
+        F.when(n > 0, ratio("spend", n, 4, scale=4)).alias("CostPerAcquisition"),
+        F.when(F.col("imp") > 0, ratio(F.col("clk") * 100, "imp", 2, 5)).alias("ClickThroughRate"),
     )
 
 
@@ -803,9 +811,8 @@ def _sql_imp_case() -> str:
         if spec[0] == "n":
             parts.append(f"WHEN {key} THEN CAST(n AS BIGINT) * ({spec[1]} + {sdraw('ms_imp', spec[2], *_MK)})")
         else:
-            parts.append(f"WHEN {key} THEN CAST(floor(CAST(spend AS DOUBLE) / {spec[1]} * 1000.0 * "
-                         f"(CAST({MS_IMPR_SPEND_NOISE[0]} AS DOUBLE) + {sdraw('ms_imp', MS_IMPR_SPEND_NOISE[1], *_MK)}"
-                         f" / CAST(1000.0 AS DOUBLE))) AS BIGINT)")
+            parts.append(f"WHEN {key} THEN CAST((CAST(spend * 10000 AS HUGEINT) * ({MS_IMPR_SPEND_NOISE[0]} + "
+                         f"{sdraw('ms_imp', MS_IMPR_SPEND_NOISE[1], *_MK)})) // {spec[1] * 10000} AS BIGINT)")
     return "CASE AcquisitionChannelKey " + " ".join(parts) + " ELSE 0 END"
 
 
@@ -813,14 +820,13 @@ def _sql_clk_case() -> str:
     parts = []
     for key, ctr in MS_CTR.items():
         if ctr is not None:
-            parts.append(f"WHEN {key} THEN CAST(floor(CAST(imp AS DOUBLE) * CAST({ctr} AS DOUBLE) * (CAST({MS_CLICK_NOISE[0]} AS DOUBLE) + "
-                         f"{sdraw('ms_clk', MS_CLICK_NOISE[1], *_MK)} / CAST(1000.0 AS DOUBLE))) AS BIGINT)")
+            parts.append(f"WHEN {key} THEN (CAST(imp AS BIGINT) * {ctr} * ({MS_CLICK_NOISE[0]} + {sdraw('ms_clk', MS_CLICK_NOISE[1], *_MK)})) // 1000000")
     return "CASE AcquisitionChannelKey " + " ".join(parts) + " ELSE CAST(n AS BIGINT) END"
 
 
-register("monthly_seasonality", """
+register("monthly_seasonality", f"""
   SELECT YearMonth, MonthRevenue,
-    CAST(CAST(MonthRevenue * n AS DOUBLE) / CAST(nullif(tot, 0) AS DOUBLE) AS DECIMAL(19,4)) AS SeasonIndex
+    {sratio('MonthRevenue * CAST(n AS DECIMAL(6,0))', 'tot', 4, scale=4, den_scale=4)} AS SeasonIndex
   FROM (SELECT year(DateKey) * 100 + month(DateKey) AS YearMonth, CAST(sum(SalesAmount) AS DECIMAL(19,4)) AS MonthRevenue
         FROM fact_online_sales GROUP BY 1) g
   CROSS JOIN (SELECT sum(MonthRevenue) AS tot, count(*) AS n FROM (
@@ -830,13 +836,13 @@ register("gen_marketing_spend", f"""
   SELECT CAST(YearMonth AS BIGINT) * 10 + AcquisitionChannelKey AS MarketingSpendID, YearMonth,
     YearMonth * 100 + 1 AS MonthStartDateKey, AcquisitionChannelKey, spend AS MonthlySpend, imp AS Impressions,
     clk AS Clicks, CAST(n AS BIGINT) AS NewCustomersAcquired,
-    CAST(CASE WHEN clk > 0 THEN CAST(spend AS DOUBLE) / clk END AS DECIMAL(19,4)) AS CostPerClick,
-    CAST(CASE WHEN n > 0 THEN CAST(spend AS DOUBLE) / n END AS DECIMAL(19,4)) AS CostPerAcquisition,
-    CAST(CASE WHEN imp > 0 THEN CAST(clk AS DOUBLE) * 100.0 / imp END AS DECIMAL(5,2)) AS ClickThroughRate
+    CASE WHEN clk > 0 THEN {sratio('spend', 'clk', 4, scale=4)} END AS CostPerClick,
+    CASE WHEN n > 0 THEN {sratio('spend', 'n', 4, scale=4)} END AS CostPerAcquisition,
+    CASE WHEN imp > 0 THEN {sratio('clk * 100', 'imp', 2, 5)} END AS ClickThroughRate
   FROM (SELECT *, greatest(CAST(n AS BIGINT), {_sql_clk_case()}) AS clk
     FROM (SELECT *, {_sql_imp_case()} AS imp
       FROM (SELECT ma.YearMonth, ma.AcquisitionChannelKey, ma.n,
-              greatest(CAST(CAST(ma.n AS DECIMAL(12,0)) * CAST((ch.EstimatedCACLow + ch.EstimatedCACHigh) / 2 AS DECIMAL(8,2))
+              greatest(CAST(CAST(ma.n AS DECIMAL(12,0)) * {sratio('ch.EstimatedCACLow + ch.EstimatedCACHigh', '2', 2, 8, scale=4)}
                 * CAST(coalesce(si.SeasonIndex, 1.0) AS DECIMAL(8,4))
                 * CAST(({MS_SPEND_NOISE[0]} + {sdraw('ms_spend', MS_SPEND_NOISE[1], 'ma.YearMonth', 'ma.AcquisitionChannelKey')}) * 0.001 AS DECIMAL(6,3))
                 AS DECIMAL(19,4)), CAST(0 AS DECIMAL(19,4))) AS spend

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import r, safe_div
+from tessera.operators import forest
 from tessera.oracle.adapter_sql import register as register_sql
 from tessera.plans import checks_fulfilment, checks_marts, checks_returns, checks_survey, dims, facts, gen
 from tessera.plans.common import share, sql_share
@@ -601,21 +602,9 @@ _ORG_SQL = """
 
 @query("M26_org_chart", "SELECT * FROM (" + _ORG_SQL.format(s="VARCHAR", t="dim_employee") + ") o", ("dim_employee",))
 def m26(m):
-    """Org chart depth and path from the self-referencing parent key. One
-    join per level until a level is empty: depth, not headcount, bounds the
-    rounds. Each level is checkpointed to the shared folder."""
-    staff = m.dim_employee.select("EmployeeKey", "ParentEmployeeKey")
-    known = staff.select(F.col("EmployeeKey").alias("_boss"))
-    top = staff.join(known, F.col("ParentEmployeeKey") == F.col("_boss"), "left_anti")
-    level = top.select("EmployeeKey", "ParentEmployeeKey", F.lit(0).alias("Depth"), F.col("EmployeeKey").cast("string").alias("Path"))
-    out = level = level.checkpoint()
-    while not level.isEmpty():
-        bosses = level.select(F.col("EmployeeKey").alias("_boss"), F.col("Depth").alias("_depth"), F.col("Path").alias("_path"))
-        level = staff.join(bosses, F.col("ParentEmployeeKey") == F.col("_boss")).select(
-            "EmployeeKey", "ParentEmployeeKey", (F.col("_depth") + 1).alias("Depth"),
-            F.concat_ws("/", "_path", F.col("EmployeeKey").cast("string")).alias("Path")).checkpoint()
-        out = out.unionByName(level)
-    return out
+    """Org chart depth and path from the self-referencing parent key, by
+    pointer doubling: rounds grow with the logarithm of the depth."""
+    return forest(m.dim_employee, "EmployeeKey", "ParentEmployeeKey")[0]
 
 
 # ------------------------------------------- M14, M15, M17, M23 by other axes

@@ -13,8 +13,9 @@ Scale notes
   orders afterwards.
 * Keys are 64-bit; padded text keys are never shortened.
 * Line keys (``OnlineSalesKey``, ``SalesOrderLineNumber``, ``SalesKey``) are
-  numbered in ranges of an order's lines, so one huge order is spread over
-  tasks, and do not move when other orders change (``number_lines``).
+  numbered on the lines' identity alone, in ranges of an order's lines, so one
+  huge order is spread over tasks, and do not move when other orders change
+  (``line_numbers``). Lines with their measures are shuffled once, by identity.
 * Dimensions derived from ``customer/part/supplier`` grow with the data, so
   they are never force-broadcast; AQE converts those joins to broadcasts
   only when the runtime size is below ``autoBroadcastJoinThreshold``.
@@ -99,40 +100,59 @@ def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("long").alias("CustomerKey"))
 
 
-def with_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    """Lines with the date, customer and channel of their order."""
-    o = read(spark, sf_dir, "orders").select(
+def orders_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a line takes from its order: date, customer and channel."""
+    return read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("long").alias("OrderKey"), F.col("o_orderdate").alias("DateKey"),
         F.col("o_custkey").cast("long").alias("CustomerKey"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("ChannelKey"))
-    return lines.join(o, "OrderKey")
 
 
 def sales_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     """Lines of one status joined to their order, with measures; no line keys."""
-    return with_orders(spark, sf_dir, line_measures(spark, sf_dir, status))
+    return line_measures(spark, sf_dir, status).join(orders_of_lines(spark, sf_dir), "OrderKey")
+
 
+def line_identities(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """The identity columns of the lines of one status."""
+    return read(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status).select(
+        F.col("l_orderkey").cast("long").alias("OrderKey"), F.col("l_linenumber").alias("_ln"), F.col("l_partkey").alias("_pk"),
+        F.col("l_suppkey").alias("_sk"), F.col("l_shipdate").alias("_sd"), F.col("l_extendedprice").alias("_ep"))
 
-def number_lines(lines: DataFrame, key: str) -> DataFrame:
-    """Adds ``LineNumber``, a line's place among its order's lines by identity,
-    and ``key``, the exact pair (order, line number) as one decimal.
 
-    Lines are numbered inside groups of (order, line number, range of parts),
-    so the lines of one huge order are sorted in many tasks; a group's start
-    is the number of lines in the order's groups before it, from one row per
-    group. A new line moves only later lines of its own order."""
+def line_numbers(identities: DataFrame, orders: DataFrame) -> DataFrame:
+    """Each identity once, with ``LineNumber``, its place among its order's
+    identities, and the columns of ``orders(OrderKey, ..)``.
+
+    Identities are numbered inside groups of (order, line number, range of
+    parts), so the lines of one huge order are sorted in many tasks; a group's
+    start is the number of identities in the order's groups before it. The
+    starts, one row for each group, carry the order's columns, so the
+    identities are shuffled by group only. A new line moves only later lines
+    of its own order; lines that repeat a whole identity share its number."""
     from pyspark.sql import Window
 
     group = ["OrderKey", "_ln", "_range"]
-    k = lines.withColumn("_range", F.floor(F.col("_pk") / PARTS_IN_GROUP))
+    k = identities.withColumn("_range", F.floor(F.col("_pk") / PARTS_IN_GROUP))
     inside = Window.partitionBy(*group).orderBy(*LINE_ORDER[2:])
-    k = k.withColumn("_place", F.row_number().over(inside))
+    k = k.withColumn("_place", F.dense_rank().over(inside)).groupBy(*group, *LINE_ORDER[2:]).agg(F.first("_place").alias("_place"))
     sizes = k.groupBy(*group).agg(F.max("_place").alias("_n"))
     before = Window.partitionBy("OrderKey").orderBy("_ln", "_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    k = k.join(starts, group).withColumn("LineNumber", (F.col("_start") + F.col("_place")).cast("long"))
+    starts = sizes.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")).join(orders, "OrderKey")
+    return k.join(starts, group).withColumn("LineNumber", (F.col("_start") + F.col("_place")).cast("long")).drop("_start", "_place", "_range")
+
+
+def line_key(name: str) -> F.Column:
+    """The exact pair (order, line number) as one decimal."""
     pair = F.col("OrderKey").cast("decimal(20,0)") * F.lit(Decimal(LINES_PER_ORDER)) + F.col("LineNumber")
-    return k.withColumn(key, pair.cast("decimal(38,0)")).drop("_start", "_place", "_range")
+    return pair.cast("decimal(38,0)").alias(name)
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """Lines of one status with measures, order columns and ``LineNumber``.
+    The join on the whole identity has no hot key."""
+    numbers = line_numbers(line_identities(spark, sf_dir, status), orders_of_lines(spark, sf_dir))
+    return line_measures(spark, sf_dir, status).join(numbers, LINE_ORDER)
 
 
 _MEASURES = [
@@ -156,17 +176,17 @@ def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_online_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FactOnlineSales: open lines ('O') with OnlineSalesKey and SalesOrderLineNumber."""
-    s = with_orders(spark, sf_dir, number_lines(line_measures(spark, sf_dir, "O"), "OnlineSalesKey"))
+    s = numbered_lines(spark, sf_dir, "O")
     return s.select(
-        "OnlineSalesKey", "DateKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey", "CustomerKey",
+        line_key("OnlineSalesKey"), "DateKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey", "CustomerKey",
         "SalesOrderNumber", F.col("LineNumber").alias("SalesOrderLineNumber"), *_MEASURES, "OrderKey",
     )
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FactSales (store channel): fulfilled lines ('F') with SalesKey; no customer."""
-    s = with_orders(spark, sf_dir, number_lines(line_measures(spark, sf_dir, "F"), "SalesKey"))
-    return s.select("SalesKey", "DateKey", "ChannelKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey",
+    s = numbered_lines(spark, sf_dir, "F")
+    return s.select(line_key("SalesKey"), "DateKey", "ChannelKey", "StoreKey", "ProductKey", "PromotionKey", "CurrencyKey",
                     *_MEASURES, "OrderKey", "LineNumber")
 
 

@@ -18,14 +18,80 @@ def inject(m, fn, df):
     m.__dict__.setdefault("_memo", {})[fn.__module__ + "." + fn.__name__] = df
 
 
-def test_row_number_matches_brute_force(spark):
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").repartition(7)
-    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
-    got = with_row_number(li, order, "rn").toPandas().sort_values("rn").reset_index(drop=True)
-    exp = li.toPandas().sort_values(order).reset_index(drop=True)
-    assert list(got["rn"]) == list(range(1, len(exp) + 1))
-    pd.testing.assert_frame_equal(got[order], exp[order], check_dtype=False)
+IDS = [f"{c}-{k}" for c in "AB" for k in [*range(1, 3000, 7), *range(10**9, 10**9 + 500), *(10**12 * o + n for o in (1, 12, 120, 1200, 99) for n in range(1, 40))]]
+
+
+@pytest.mark.parametrize("steps", [(7, 12, 17, 22), (1, 2, 3), (30,)])
+def test_row_number_matches_brute_force(spark, steps):
+    """Ids of many lengths, common prefixes and prefixes of each other."""
+    ids = [*IDS, "A-", "B-1 ", "Bé"]
+    df = spark.createDataFrame([(i[0], i, n) for n, i in enumerate(ids)], "g string, i string, n long").repartition(7)
+    got = with_row_number(df, "g", "i", "rn", steps).collect()
+    want = {i: n for n, i in enumerate(sorted(ids, key=lambda i: (i[0], i.encode())), 1)}
+    assert {r["i"]: r["rn"] for r in got} == want and {r["i"]: r["n"] for r in got} == {i: n for n, i in enumerate(ids)}
+    assert with_row_number(df.limit(0), "g", "i", "rn", steps).count() == 0
+
+
+def test_row_number_runs_no_job_and_repeats(spark):
+    df = spark.createDataFrame([(i[0], i) for i in IDS], "g string, i string").repartition(5)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("row-number", "")
+    try:
+        out = with_row_number(df, "g", "i", "rn")
+        assert not tracker.getJobIdsForGroup("row-number")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert out.exceptAll(with_row_number(df.repartition(3), "g", "i", "rn")).count() == 0
+
+
+def test_ratio_rounds_ties_exactly(spark):
+    """Ties half away from zero, signs, zero divisors, large values; both twins."""
+    import duckdb
+
+    from tessera.functions import ratio
+    from tessera.oracle.adapter_sql import ratio as sratio
+
+    rows = [("23.2477", 2), ("-23.2477", 2), ("0.0001", 2), ("0.0001", 3), ("0.0002", 3), ("1.0000", 0), ("0.0000", 7), ("1", None), (None, 3),
+            ("99999999999999.9999", 7), ("23.2477", -2), ("0.0003", 20000)]
+    df = spark.createDataFrame([(None if a is None else Decimal(a), b) for a, b in rows], "a decimal(19,4), b long")
+    got = df.select(ratio("a", "b", 4, scale=4).alias("x"), ratio("b", "a", 4, 38, den_scale=4).alias("y")).collect()
+
+    def half_up(x, y):
+        return None if x is None or not y else (Decimal(x) / Decimal(y)).quantize(Decimal("0.0001"), rounding="ROUND_HALF_UP")
+
+    assert [r["x"] for r in got] == [half_up(a, b) for a, b in rows]
+    assert [r["y"] for r in got] == [half_up(b, None if a is None else Decimal(a)) for a, b in rows]
+    assert str(got[0]["x"]) == "11.6239"
+    body = ", ".join(f"({'NULL' if a is None else a}::DECIMAL(19,4), {'NULL' if b is None else b}::BIGINT)" for a, b in rows)
+    duck = duckdb.sql(f"SELECT {sratio('a', 'b', 4, scale=4)} AS x, {sratio('b', 'a', 4, 38, den_scale=4)} AS y FROM (VALUES {body}) t(a, b)").fetchall()
+    assert duck == [(r["x"], r["y"]) for r in got]
+
+
+def test_listagg_with_a_hot_group(spark):
+    from tessera.operators import ordered_listagg
+
+    rows = [("hot", i * 7919 % 10007, f"v{i % 3}") for i in range(3000)] + [("a", 2, "x"), ("a", 1, "y"), ("a", 1, "b"), ("n", 1, None), (None, 1, "z"), ("a", 3, None)]
+    df = spark.createDataFrame(rows, "g string, o int, v string").repartition(6)
+    got = {r["g"]: r["t"] for r in ordered_listagg(df, ["g"], "v", ["o"], "t", sep="|", salts=8).collect()}
+    groups = {}
+    for g, o, v in rows:
+        groups.setdefault(g, []).extend([(o, v)] if v is not None else [])
+    assert got == {g: "|".join(v for _, v in sorted(vs)) for g, vs in groups.items()}
+
+
+def test_forest_of_a_long_chain(spark):
+    """Rounds by the logarithm of the depth; cycles and those under them are left out."""
+    from tessera.operators import forest
+
+    n = 10_000
+    chain = spark.range(n).select((F.col("id") + 1).alias("k"), F.when(F.col("id") > 0, F.col("id")).alias("p"))
+    extra = spark.createDataFrame([(20001, 20002), (20002, 20001), (20003, 20001), (30000, 99999), (30001, 30000), (30002, 30002)], "k long, p long")
+    out, rounds = forest(chain.unionByName(extra), "k", "p")
+    assert rounds <= 20
+    depth = {r["k"]: (r["Depth"], r["n"], r["end"]) for r in out.select("k", "Depth", F.size(F.split("Path", "/")).alias("n"), F.right("Path", F.lit(11)).alias("end")).collect()}
+    assert len(depth) == n + 2
+    assert all(depth[k][:2] == (k - 1, k) for k in range(1, n + 1)) and depth[10_000][2] == "/9999/10000"
+    assert depth[30000] == (0, 1, "30000") and depth[30001] == (1, 2, "30000/30001")
 
 
 def test_argmax_ties_go_to_lowest_key(spark):
@@ -121,14 +187,21 @@ def test_reference_reports(spark):
     assert reference_reports.q6_reasons(m).count() == 8
 
 
+NO_ORDERS = "OrderKey long, CustomerKey long"
+
+
 def test_line_numbering_matches_per_order_window(spark):
-    """Numbering in ranges of parts equals row_number() over (partition by
-    order order by line identity); the key holds the pair exactly."""
+    """Numbering in ranges of parts equals numbering each order's identities at
+    once; lines that repeat an identity share its number; the key holds the pair."""
     from tessera.sources import adapter
 
     order = ["OrderKey", "_ln", "_pk", "_sk", "_sd", "_ep"]
-    got = adapter.number_lines(adapter.line_measures(spark, SF_SMALL, "O"), "K").select(*order, "K", "LineNumber").toPandas()
+    ids = adapter.line_identities(spark, SF_SMALL, "O")
+    ids = ids.unionByName(ids.limit(50))
+    orders = adapter.orders_of_lines(spark, SF_SMALL)
+    got = adapter.line_numbers(ids, orders).select(*order, "LineNumber", adapter.line_key("K")).toPandas()
     got = got.sort_values(order).reset_index(drop=True)
+    assert len(got) == ids.distinct().count() < ids.count()
     assert list(got["LineNumber"]) == list(got.groupby("OrderKey").cumcount() + 1)
     assert [int(k) for k in got["K"]] == [o * 10**12 + n for o, n in zip(got["OrderKey"], got["LineNumber"])]
 
@@ -144,7 +217,7 @@ def test_line_numbering_with_one_hot_order(spark):
 
     n = 20000
     df = _lines(spark, n, 7, 3).unionByName(_lines(spark, 100, 8, 1)).repartition(8)
-    out = adapter.number_lines(df, "K")
+    out = adapter.line_numbers(df, spark.createDataFrame([(7, 1), (8, 2)], NO_ORDERS)).withColumn("K", adapter.line_key("K"))
     nums = {r["OrderKey"]: tuple(r)[1:] for r in out.groupBy("OrderKey").agg(
         F.min("LineNumber"), F.max("LineNumber"), F.countDistinct("LineNumber"), F.countDistinct("K")).collect()}
     assert nums == {7: (1, n, n, n), 8: (1, 100, 100, 100)}
