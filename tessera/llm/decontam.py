@@ -48,7 +48,7 @@ PIECE_WORDS = 1 << 20
 PASS_WORDS = 1 << 20  # words of test items in a pass
 AT_ONCE = 1 << 18  # candidates in a step
 
-INDEX = ("row array<long>, doc_id array<long>, at array<long>, own_from array<int>, own_to array<int>, whole array<boolean>, "
+INDEX = ("row array<long>, doc_id array<long>, at array<long>, first array<int>, own_from array<int>, own_to array<int>, whole array<boolean>, "
          "terms array<binary>, ends array<int>, positions array<int>")
 
 
@@ -75,7 +75,7 @@ class _Block:
         self.codes, self.places, self.texts, self.size = [], [], [], 0
 
     def add(self, row, doc, at, words, own_from, own_to, whole):
-        self.texts.append((row, doc, at, self.size + own_from, self.size + own_to, whole))
+        self.texts.append((row, doc, at, self.size, self.size + own_from, self.size + own_to, whole))
         self.codes.append(np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words)))
         self.places.append(np.arange(self.size, self.size + len(words), dtype=np.int32))
         self.size += len(words) + self.gap
@@ -84,11 +84,11 @@ class _Block:
         codes = np.concatenate(self.codes)
         positions = np.concatenate(self.places)[np.argsort(codes, kind="stable")]
         ends = np.cumsum(np.bincount(codes, minlength=len(self.ids)))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
         cols = [pa.array([list(c)], pa.list_(k)) for c, k in zip(zip(*self.texts), kinds)]
         whole = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
         cols += [whole(pa.array(list(self.ids), pa.binary())), whole(pa.array(ends.astype(np.int32))), whole(pa.array(positions))]
-        return pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "at", "own_from", "own_to", "whole", "terms", "ends", "positions"])
+        return pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "at", "first", "own_from", "own_to", "whole", "terms", "ends", "positions"])
 
 
 def build(docs: DataFrame, around: int = WINDOW - 1, block_words: int = BLOCK_WORDS, piece_words: int = PIECE_WORDS) -> DataFrame:
@@ -246,7 +246,7 @@ def _search(index: DataFrame, items: DataFrame, window: int, span: int | None, p
                 for i in range(batch.num_rows):
                     col = lambda n: batch.column(n)[i].values  # noqa: B023, E731
                     post = _Postings(col("terms"), col("ends").to_numpy(), col("positions").to_numpy(), w.vocabulary)
-                    texts = [col(n).to_numpy() for n in ("row", "at", "own_from", "own_to")]
+                    texts = [col(n).to_numpy() for n in ("row", "at", "first", "own_from", "own_to")]
                     out += _answers(post, w, texts, span)
                 cols = list(zip(*out)) if out else [()] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -264,23 +264,23 @@ def _search(index: DataFrame, items: DataFrame, window: int, span: int | None, p
 
 
 def _answers(post: _Postings, w: _Windows, texts: list[np.ndarray], span: int | None) -> list[tuple]:
-    row, at, own_from, own_to = texts
-    # the text that a place belongs to; places behind its own words count for none
-    text_of = lambda place: np.searchsorted(own_to, place, side="right")
+    row, at, first, own_from, own_to = texts
+    text_of = lambda place: np.searchsorted(first, place, side="right") - 1
     cover = np.zeros(int(post.positions.max(initial=0)) + 2, np.int64)
     pairs, near = [], []
     for n, table in w.tables.items():
         window, start, close, place = matches(post, table, span)
         np.add.at(cover, start, 1)
         np.add.at(cover, start + n, -1)
-        pairs.append(_with_items(window, text_of(start), start, n, w.items[n], own_from, own_to))
-        near.append(_with_items(close, text_of(place), place, 1, w.items[n], own_from, own_to))
+        # matches in the context count as well: a document's items are a set
+        pairs.append(_with_items(window, text_of(start), w.items[n]))
+        near.append(_with_items(close, text_of(place), w.items[n]))
     hit = np.cumsum(cover) > 0
     edge = np.diff(hit.astype(np.int8), prepend=0, append=0)
     lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     spans = defaultdict(list)
     for j, a, b in zip(text_of(lo), lo, hi):
-        if j < len(row) and (x := max(a, own_from[j])) < (y := min(b, own_to[j])):
+        if (x := max(a, own_from[j])) < (y := min(b, own_to[j])):
             spans[j].append((int(at[j] + x - own_from[j]), int(at[j] + y - own_from[j])))
     named, close = _grouped(pairs), _grouped(near)
     out = []
@@ -290,13 +290,9 @@ def _answers(post: _Postings, w: _Windows, texts: list[np.ndarray], span: int |
     return out
 
 
-def _with_items(window, text, start, n, lists, own_from, own_to) -> np.ndarray:
-    """Distinct ``text, item`` of matches that touch words the text owns."""
+def _with_items(window: np.ndarray, text: np.ndarray, lists: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Distinct ``text, item`` of matches."""
     firsts, items = lists
-    own = text < len(own_to)
-    window, text, start = window[own], text[own], start[own]
-    own = (start < own_to[text]) & (start + n > own_from[text])
-    window, text = window[own], text[own]
     which, nth = _spread((firsts[1:] - firsts[:-1])[window])
     return np.unique((text[which] << 32) + items[firsts[window][which] + nth])
 
