@@ -1,6 +1,6 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-`build` makes the index: documents are dealt into blocks of about a million
+`build` makes the index: documents are dealt into blocks of about half a million
 words, and for each block the postings of every word (its sorted positions)
 are stored as one row, by the tasks that read the texts; no posting is
 shuffled. `phrases` and `nearby` search the stored index with windows of test
@@ -43,7 +43,7 @@ from .words import byte_table, text_rows, word_slices
 WORD = byte_table(digits=True)
 WINDOW = 10
 SPAN = 15  # words that a proximity match may take
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 PIECE_WORDS = 1 << 20
 PASS_WORDS = 1 << 20  # words of test items in a pass
 AT_ONCE = 1 << 18  # candidates in a step
