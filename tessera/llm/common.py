@@ -78,7 +78,8 @@ def maybe_in(df: DataFrame, col: str, ids: DataFrame, bits: int = BITMAP_BITS) -
 
 def salted(post: DataFrame, every: int = 64, part: int = 4096) -> DataFrame:
     """Adds ``salt`` to ``post(key, id)``: 0, but spread over ids for keys with
-    over about ``part`` ids, so that no group reaches one task whole.
+    over about ``part`` rows, so that no group reaches one task whole, and
+    ``hot`` for these keys.
 
     Hot keys are found on one id in ``every``. A key that this misses is only
     dealt less evenly; results do not depend on the salt.
@@ -86,19 +87,20 @@ def salted(post: DataFrame, every: int = 64, part: int = 4096) -> DataFrame:
     hot = post.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).groupBy("key").count()
     hot = hot.where(F.col("count") * every >= part).orderBy(F.desc("count"), "key").limit(HOT_KEYS)
     hot = hot.select("key", F.ceil(F.col("count") * every / F.lit(part)).alias("_parts"))
-    return post.join(F.broadcast(hot), "key", "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64("id", F.lit(7)), F.col("_parts")), F.lit(0).cast("long"))).drop("_parts")
+    return post.join(F.broadcast(hot), "key", "left").withColumns({
+        "salt": F.coalesce(F.pmod(F.xxhash64("id", F.lit(7)), F.col("_parts")), F.lit(0).cast("long")),
+        "hot": F.col("_parts").isNotNull()}).drop("_parts")
 
 
 def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool = False,
-         near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+         near: Callable[[Column, Column], Column] | None = None, carry: bool = True) -> DataFrame:
     """Links ``a, b`` that connect every pair which shares a key and verifies.
 
     ``post(key, id)`` are the ids under each key; ``verify`` takes candidate
     pairs ``a, b, shared`` (number of keys shared) and returns those linked.
     With ``near``, ``post`` also has a ``mark``; keys under which two marks are
-    not near do not count, and ``verify`` also gets the pair's largest marks
-    ``ma, mb``. Copies are not expanded into all pairs:
+    not near do not count, and with ``carry`` ``verify`` also gets the pair's
+    largest marks ``ma, mb``. Copies are not expanded into all pairs:
 
     1. star: each id is compared with the smallest id under each of its keys
        (``best``: only the one it shares most keys with);
@@ -110,16 +112,16 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
     w = Window.partitionBy("key", "salt")
     rows = salted(post).withColumn("n", F.count("*").over(w))
     if near:
-        rows = rows.withColumn("p", F.min(F.struct("id", "mark")).over(w)).select("key", "salt", "id", "mark", "n", F.col("p.id").alias("piv"), F.col("p.mark").alias("piv_mark"))
+        rows = rows.withColumn("p", F.min(F.struct("id", "mark")).over(w)).select("key", "salt", "hot", "id", "mark", "n", F.col("p.id").alias("piv"), F.col("p.mark").alias("piv_mark"))
         rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark")))
         # a mark need not be near itself: two ids are judged by the other one
         rows = rows.withColumn("pair", F.max(F.col("close") & (F.col("id") != F.col("piv"))).over(w))
     else:
         rows = rows.withColumn("piv", F.min("id").over(w)).withColumns({"close": F.lit(True), "pair": F.lit(True)})
-    # a key with two ids that are not near has no candidate
-    multi = cut(rows.where("n > 2 or salt > 0 or (n = 2 and pair)").drop("n", "salt", "pair"))
+    # a key with two ids that are not near has no candidate; of a hot key, n counts a part only
+    multi = cut(rows.where("hot or n > 2 or (n = 2 and pair)").drop("n", "salt", "hot", "pair"))
     stars = multi.where("id <> piv and close").groupBy(F.col("id").alias("a"), F.col("piv").alias("b"))
-    stars = stars.agg(F.count("*").alias("shared"), *([F.max("mark").alias("ma"), F.max("piv_mark").alias("mb")] if near else []))
+    stars = stars.agg(F.count("*").alias("shared"), *([F.max("mark").alias("ma"), F.max("piv_mark").alias("mb")] if near and carry else []))
     if best:
         rest = [c for c in stars.columns if c != "a"]
         stars = stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("last"), *rest[2:], "b")).alias("p")).select("a", *[f"p.{c}" for c in rest])
@@ -133,7 +135,7 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
         apart = apart & near(F.col("x.mark"), F.col("y.mark"))
     pairs = rows.alias("x").join(rows.alias("y"), apart)
     pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(
-        F.count("*").alias("shared"), *([F.max("x.mark").alias("ma"), F.max("y.mark").alias("mb")] if near else []))
+        F.count("*").alias("shared"), *([F.max("x.mark").alias("ma"), F.max("y.mark").alias("mb")] if near and carry else []))
     return one.unionByName(cut(verify(pairs)))
 
 

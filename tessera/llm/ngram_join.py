@@ -286,11 +286,20 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
 
 
 def first_of_each(docs: DataFrame, num: int = 75, den: int = 100, words: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component: one document of
-    each group. Of rows that repeat a doc_id the first by text stays; rows
-    without a doc_id all stay."""
-    heads = near_documents(docs, num, den, words).where("component_id = doc_id").select("doc_id").distinct()
-    src = boxed(docs)
+    """One row of ``docs`` of each group of near documents: that with the
+    smallest doc_id. Rows that repeat a doc_id are told apart by their texts:
+    each different text under such an id is a document of its own, behind all
+    others, and of rows that repeat both one stays. Rows without a doc_id all
+    stay."""
+    src = boxed(docs).withColumn("mark", F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.coalesce("text", F.lit("")))))
+    several = src.groupBy("doc_id").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo < hi")
+    several = src.join(several.select(F.col("doc_id").alias("of")), F.col("doc_id") == F.col("of"), "left_semi").select("doc_id", "mark").distinct()
+    last = src.agg(F.max("doc_id")).first()[0] or 0  # one number
+    # new ids are fixed by being written
+    several = cut(several.select(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark"), (F.monotonically_increasing_id() + F.lit(last + 1)).alias("new")))
+    named = src.join(several, (F.col("doc_id") == F.col("of")) & (F.col("mark") == F.col("of_mark")), "left")
+    named = named.select("row", F.coalesce("new", "doc_id").alias("doc_id"), "text")
+    heads = cut(near_documents(named, num, den, words).where("component_id = doc_id").select("doc_id").distinct())
     order = Window.partitionBy("doc_id").orderBy("text")
-    kept = src.join(cut(heads), "doc_id").withColumn("n", F.row_number().over(order)).where("n = 1")
+    kept = named.join(heads, "doc_id").withColumn("n", F.row_number().over(order)).where("n = 1")
     return unboxed(kept.select("row").unionByName(src.where("doc_id is null").select("row")), docs)

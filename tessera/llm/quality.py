@@ -17,6 +17,7 @@ is judged by its text (but does not enter the fitted sample).
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -183,8 +184,9 @@ def fit(x: np.ndarray, good: np.ndarray, rounds: int = 400, ridge: float = 1e-3)
 
 def _patterns(batches):
     for batch in batches:
-        got = [features(t, shapes=False) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([_pattern(g[0]) if g else None for g in got], pa.int64())], names=["pattern"])
+        for at in range(0, batch.num_rows, 256):
+            got = [features(t, shapes=False) for t in batch.column("text").slice(at, 256).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_pattern(g[0]) if g else None for g in got], pa.int64())], names=["pattern"])
 
 
 def _sampled(batches):
@@ -213,25 +215,30 @@ def judge(docs: DataFrame, threshold: float = 0.4, fit_rows: int = FIT_ROWS) ->
         row[r["at"]] = r["value"]
     w, b = fit(x, np.array([weak[r["pattern"]] for r in few]))
 
-    src = boxed(docs).select("row", "doc_id", "text")
+    model = docs.sparkSession.sparkContext.broadcast((weak, w, b))
 
-    def run(batches):
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        weak, w, b = model.value
         for batch in batches:
-            out = []
-            for t in batch.column("text").to_pylist():
-                got = features(t)
-                if got is None:
-                    out.append(("-" * len(HEURISTICS), 0.0, 0.0, False))
-                    continue
-                score = float(1 / (1 + np.exp(-(got[1] @ w + b))))
-                out.append(("".join("-gj"[v] for v in got[0]), float(weak.get(_pattern(got[0]), 0.5)), score, score >= threshold))
-            cols = list(zip(*out)) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.float64(), pa.float64(), pa.bool_())))],
-                names=["row", "doc_id", "votes", "weak_good", "score", "keep"])
-
-    kinds = src.drop("text").schema.add("votes", "string").add("weak_good", "double").add("score", "double").add("keep", "boolean")
-    return src.mapInArrow(run, kinds)
+            yield pa.concat_arrays([_scored(batch.slice(at, 256).to_pylist(), weak, w, b, threshold) for at in range(0, max(1, len(batch)), 256)])
+
+    # Only the texts go to Python; the rows stay. It is not to be copied into a filter on its result.
+    judged = F.arrow_udf(scored, "votes string, weak_good double, score double, keep boolean").asNondeterministic()
+    return boxed(docs).select("row", "doc_id", judged("text").alias("judged")).select("row", "doc_id", "judged.*")
+
+
+def _scored(texts: list[str | None], weak: dict[int, float], w: np.ndarray, b: float, threshold: float) -> pa.StructArray:
+    out = []
+    for t in texts:
+        got = features(t)
+        if got is None:
+            out.append(("-" * len(HEURISTICS), 0.0, 0.0, False))
+            continue
+        score = float(1 / (1 + np.exp(-(got[1] @ w + b))))
+        out.append(("".join("-gj"[v] for v in got[0]), float(weak.get(_pattern(got[0]), 0.5)), score, score >= threshold))
+    cols = list(zip(*out)) if out else [()] * 4
+    return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.float64(), pa.float64(), pa.bool_()))],
+                                      names=["votes", "weak_good", "score", "keep"])
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -62,3 +62,11 @@ def test_null_ids_repeats_and_empty_tables(spark):
     assert sorted((r["vec_id"] or -1, r["n_links"], r["component_id"], r["kept"]) for r in got) == [
         (-1, 0, None, False), (4, 2, 4, True), (4, 2, 4, True), (9, 2, 4, False)]
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_links_under_a_hot_key_of_one_id(spark):
+    """A repeated id makes keys hot; the other id's only row counts."""
+    v = np.float32(np.random.default_rng(1).standard_normal(64)).tolist()
+    rows = [(246, [x * (1 + i / 1000) for x in v], 1, 0, "") for i in range(100)] + [(2, v, 1, 0, "")]
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["component_id"] for r in got} == {2}
