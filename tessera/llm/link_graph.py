@@ -2,11 +2,12 @@
 
 A rule (verdict, host, path) fits its host and all subdomains where the url's
 path starts with the rule's; the longest fitting rule decides. Urls without
-one are judged by their host: personalised PageRank carries trust from hosts
-most of whose pages a rule allows along links to the hosts they link
-to, and distrust from hosts mostly blocked against the links, to the hosts
-that link to them. A host is blocked if its distrust outweighs its trust by
-``ratio``.
+one are judged by their host. Hosts whose pages under rules are mostly allowed
+are trusted seeds, those mostly blocked are blocked seeds, weighted by their
+pages under rules (pages without a rule say nothing about their host).
+Personalised PageRank carries trust along links to the hosts they link to, and
+distrust against the links, to the hosts that link to them. A host is blocked
+if its distrust outweighs its trust by ``ratio``.
 
 Host edges come from the pages' absolute links, and join a host with the host
 of its name without the first label (www.a.b and a.b) where both are known.
@@ -15,8 +16,9 @@ are summed before they are shuffled, and sums are combined before, so that a
 host with a third of all links is dealt out.
 
 Cases: a null url or one without ``://`` has empty host and path, no rule and
-the verdict of an unknown host, allow. Null html has no links. Rows that
-repeat are judged each; their links count as often.
+the verdict of an unknown host, allow. Null html has no links; a tag that does not
+end ends at the next one. Rows that repeat are judged each; their links count
+as often. Hosts that no seed reaches are allowed.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from .common import cut
 # The rules asked for.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-LINK = r"""(?is)<[a-z][^>]*?\s(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
+LINK = r"""(?is)<[a-z][^<>]*?\s(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,13 +61,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.union(up).union(up.select("dst", "src", "w")).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 30, enough: float = 1e-9) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, enough: float = 1e-7) -> DataFrame:
     """Personalised PageRank ``kind, host, rank`` along ``edges(kind, src,
     dst, share)`` from ``seeds(kind, host, seed)``, whose seeds sum to 1 for
-    each kind. Mass without a way on returns to the seeds. Stops when the
-    ranks move by less than ``enough`` in all."""
+    each kind. Mass without a way on returns to the seeds. Goes on until the
+    ranks move by less than ``enough`` in all: a round leaves at most
+    ``damping`` of the move before, so that is some 100 rounds at most."""
     rank = cut(seeds.select("kind", "host", F.col("seed").alias("rank")))
-    for _ in range(rounds):
+    while True:
         flow = rank.join(edges, (rank["host"] == edges["src"]) & (rank["kind"] == edges["kind"]))
         flow = flow.select(rank["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         flow = cut(flow.groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
@@ -76,8 +79,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
         moved = moved.agg(F.sum("d")).first()[0] or 0.0
         rank = now
         if moved < enough:
-            break
-    return rank
+            return rank
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, ratio: float = 1.0) -> DataFrame:
@@ -90,7 +92,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, rat
     ruled = src.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
 
     share = ruled.where("host <> ''").groupBy("host").agg(
-        F.avg(F.col("verdict").eqNullSafe("allow").cast("double")).alias("t"), F.avg(F.col("verdict").eqNullSafe("block").cast("double")).alias("d"),
+        F.avg((F.col("verdict") == "allow").cast("double")).alias("t"), F.avg((F.col("verdict") == "block").cast("double")).alias("d"),
         F.count("verdict").alias("n"))
     pair = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("t").alias("v")), F.struct(F.lit("distrust").alias("kind"), F.col("d").alias("v"))))
     seeds = share.where("n > 0").select("host", (F.col("n").cast("double")).alias("n"), pair.alias("p")).where("p.v > 0.5")
