@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 K, WINDOW = 16, 16
@@ -166,7 +166,7 @@ def edit_trial(docs: DataFrame, k: int = K, window: int = WINDOW, buckets: int |
     grid = [i / n for i in range(1, n)]
     cuts = sorted(set(src.agg(F.percentile_approx("doc_id", grid, 10 * n).alias("q")).first()["q"] or []))
     # ranges in use, each with its smallest id: at most `buckets` rows
-    place = F.expr("cast(0 as int)") if not cuts else F.coalesce(F.when(F.col("doc_id").isNull(), 0), _bucket(cuts))
+    place = _bucket(spark, cuts) if cuts else F.expr("cast(0 as int)")
     placed = src.withColumn("bucket", place)
     first = [(r["bucket"], r["low"]) for r in placed.groupBy("bucket").agg(
         F.min(F.struct(F.col("doc_id").isNotNull().alias("set"), F.col("doc_id").alias("id")))["id"].alias("low")).orderBy("bucket").collect()]
@@ -182,12 +182,11 @@ def edit_trial(docs: DataFrame, k: int = K, window: int = WINDOW, buckets: int |
                            "edited_fingerprint string, near_edited double, near_next double")
 
 
-def _bucket(cuts: list[int]):
-    """Number of cuts at or below doc_id, as a binary search."""
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"if(doc_id < {cuts[mid]}, {tree(lo, mid)}, {tree(mid + 1, hi)})"
+def _bucket(spark: SparkSession, cuts: list[int]):
+    """Number of cuts at or below doc_id; 0 for a null one."""
+    held = spark.sparkContext.broadcast(np.array(cuts, np.int64))
 
-    return F.expr(tree(0, len(cuts)))
+    def place(ids: pa.Array) -> pa.Array:
+        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(held.value, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")), pa.int32())
+
+    return F.arrow_udf(place, "int")("doc_id")
