@@ -93,24 +93,28 @@ def salted(post: DataFrame, every: int = 64, part: int = 4096) -> DataFrame:
 
 
 def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool = False,
-         near: Callable[[Column, Column], Column] | None = None, carry: bool = True) -> DataFrame:
+         near: Callable[[Column, Column], Column] | None = None, carry: bool = True, enough: Column | None = None) -> DataFrame:
     """Links ``a, b`` that connect every pair which shares a key and verifies.
 
     ``post(key, id)`` are the ids under each key; ``verify`` takes candidate
     pairs ``a, b, shared`` (number of keys shared) and returns those linked.
     With ``near``, ``post`` also has a ``mark``; keys under which two marks are
-    not near do not count, and with ``carry`` ``verify`` also gets the pair's
-    largest marks ``ma, mb``. Copies are not expanded into all pairs:
+    not near do not count, and with ``carry`` pairs also have their largest
+    marks ``ma, mb``. ``enough`` says of a pair's columns whether it shares
+    enough keys to be verified. Copies are not expanded into all pairs:
 
     1. star: each id is compared with the smallest id under each of its keys
        (``best``: only the one it shares most keys with);
     2. cross: under keys that then still hold several components, ids of
        different components are compared, all of them.
 
-    So two ids that share a key and verify end up in one component.
+    Keys of two ids, most of all that chance makes, take part in the second
+    step only with ``best``, and as the pairs that they are. So two ids that
+    share (enough) keys and verify end up in one component.
     """
     w = Window.partitionBy("key", "salt")
     rows = salted(post).withColumn("n", F.count("*").over(w))
+    marks = ["ma", "mb"] if near and carry else []
     if near:
         rows = rows.withColumn("p", F.min(F.struct("id", "mark")).over(w)).select("key", "salt", "hot", "id", "mark", "n", F.col("p.id").alias("piv"), F.col("p.mark").alias("piv_mark"))
         rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark")))
@@ -119,23 +123,38 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
     else:
         rows = rows.withColumn("piv", F.min("id").over(w)).withColumns({"close": F.lit(True), "pair": F.lit(True)})
     # a key with two ids that are not near has no candidate; of a hot key, n counts a part only
-    multi = cut(rows.where("hot or n > 2 or (n = 2 and pair)").drop("n", "salt", "hot", "pair"))
-    stars = multi.where("id <> piv and close").groupBy(F.col("id").alias("a"), F.col("piv").alias("b"))
-    stars = stars.agg(F.count("*").alias("shared"), *([F.max("mark").alias("ma"), F.max("piv_mark").alias("mb")] if near and carry else []))
+    rows = rows.withColumn("two", ~F.col("hot") & (F.col("n") == 2))
+    multi = cut(rows.where("hot or n > 2 or (two and pair)").drop("n", "salt", "hot", "pair"))
+
+    def candidates(pairs: DataFrame) -> DataFrame:
+        found = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(m).alias(m) for m in marks])
+        return found if enough is None else found.where(enough)
+
+    stars = multi.where("id <> piv and close")
+    stars = stars.select(F.col("id").alias("a"), F.col("piv").alias("b"), "two", *([F.col("mark").alias("ma"), F.col("piv_mark").alias("mb")] if marks else []))
+    first = candidates(stars.drop("two"))
     if best:
-        rest = [c for c in stars.columns if c != "a"]
-        stars = stars.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("last"), *rest[2:], "b")).alias("p")).select("a", *[f"p.{c}" for c in rest])
-    one = cut(verify(stars))
-    comp = components(one)
-    rows = multi.drop("piv", "piv_mark", "close").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+        rest = [c for c in first.columns if c != "a"]
+        first = first.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("last"), *rest[2:], "b")).alias("p")).select("a", *[f"p.{c}" for c in rest])
+    one = cut(verify(first))
+    comp = cut(components(one))
+    rows = multi.where("not two").drop("piv", "piv_mark", "close", "two").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     rows = cut(rows.join(mixed, "key", "left_semi"))
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
     if near:
         apart = apart & near(F.col("x.mark"), F.col("y.mark"))
-    pairs = rows.alias("x").join(rows.alias("y"), apart)
-    pairs = pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(
-        F.count("*").alias("shared"), *([F.max("x.mark").alias("ma"), F.max("y.mark").alias("mb")] if near and carry else []))
+    up = F.col("x.id") > F.col("y.id")
+    turned = lambda c: [F.when(up, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")), F.when(up, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}"))]
+    named = zip(["a", "b", *marks], turned("id") + (turned("mark") if marks else []))
+    pairs = rows.alias("x").join(rows.alias("y"), apart).select(*[c.alias(n) for n, c in named])
+    if best:
+        pairs = pairs.unionByName(stars.where("two").drop("two"))
+    pairs = candidates(pairs)
+    if best:  # of one component by now
+        for c in ("a", "b"):
+            pairs = pairs.join(comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")), c, "left")
+        pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
     return one.unionByName(cut(verify(pairs)))
 
 

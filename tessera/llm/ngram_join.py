@@ -265,7 +265,6 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
     post = post.select("key", "id", (F.shiftleft("n", 32) + F.col("at")).alias("mark"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.where(F.col("shared") >= _meetings(F.shiftright("ma", 32), F.shiftright("mb", 32)))
         pairs = cut(pairs.select("a", "b"))
         parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
         text = maybe_in(src, "doc_id", pairs.select(F.col("a").alias("id")))
@@ -280,7 +279,8 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
         linked = F.col("same") * den >= (F.col("na") + F.col("nb") - F.col("same")) * num
         return summed.where(linked).select("a", "b").distinct()
 
-    comp = components(same.unionByName(link(post, verify, best=True, near=_may_reach(num, den))))
+    enough = F.col("shared") >= _meetings(F.shiftright("ma", 32), F.shiftright("mb", 32))
+    comp = components(same.unionByName(link(post, verify, best=True, near=_may_reach(num, den), enough=enough)))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
