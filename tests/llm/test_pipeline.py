@@ -60,3 +60,22 @@ def test_no_document_is_lost_by_name(spark):
     labels = dict(duckdb.sql(f"select doc_id, quality from '{SF}/labels.parquet'").fetchall())
     kept = {r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).select("doc_id").collect()}
     assert all(i in kept for i, q in labels.items() if q)
+
+
+def test_edge_tables_end_to_end(spark, tmp_path):
+    """Repeated rows, null ids and texts, one id over two texts; no rows at all."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = [tuple(r) for r in docs.join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id"), "doc_id").orderBy("doc_id").limit(12).select(*docs.columns).collect()]
+    own = {r[1].split("\n")[0] for r in good}
+    rows = [*good, good[0], good[0], (None, *good[1][1:]), (good[2][0], *good[3][1:]), (10**9, None, "en", "s", 0), (10**9 + 1, "", None, None, None), (None, None, None, None, None)]
+    spark.createDataFrame(rows, docs.schema).write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = collections.defaultdict(list)
+    for p in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces[p["doc_id"]].append(p)
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = tok.decode([x for ps in pieces.values() for p in sorted(ps, key=lambda p: p["start"]) for x in p["ids"]])
+    assert {good[i][0] for i in (0, 4, 5)} <= set(pieces) and None in pieces
+    assert sum(line in text for line in own) == len(own)
+    assert 10**9 not in pieces  # without a word: not kept
+    spark.createDataFrame([], docs.schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
