@@ -3,15 +3,16 @@ checks Q39-Q50, Q66."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import date_key, shift
-from tessera.operators import metric_rows, missing_in, ordered_listagg, sql_metric_rows, with_row_number
+from tessera.operators import distinct_counts, metric_rows, missing_in, ordered_listagg, sql_metric_rows, with_row_number
 from tessera.oracle.adapter_sql import register
 from tessera.plans import gen
 from tessera.plans.common import SHIFT, share, sql_share
 from tessera.plans.registry import query
+from tessera.sources.adapter import LINES_PER_ORDER
 
 # --- fixed values: value-tier labels of the return reports --------------------
 TIER_LABELS = ["1 - Low  (< $50)", "2 - Mid  ($50–$199)", "3 - High (>= $200)"]
@@ -210,14 +211,16 @@ def _sql_integrity(table: str, dim: str, key: str, grain: str, least_lag: int, l
                            [(label, f"c{i + 1}") for i, label in enumerate(labels)], "Check")
 
 
-def _integrity(m, events: DataFrame, dim: DataFrame, key: str, grain: list[str], least_lag: int, labels: list[str]) -> DataFrame:
-    """The same in one pass: each dimension marks its rows by a left join."""
+def _integrity(m, events: DataFrame, dim: DataFrame, key: str, order: Column, line: Column, least_lag: int, labels: list[str]) -> DataFrame:
+    """The same in one pass: each dimension marks its rows by a left join, and
+    pairs of order and line are counted as bits of the orders under each line
+    number, which are few."""
     e = missing_in(missing_in(events, dim, key, "o1"), m.dim_product, "ProductKey", "o2")
     e = m.with_scalars(missing_in(e, m.ref_return_reason, "ReturnReasonKey", "o3"), "max_date")
     rules = [F.col("o1"), F.col("o2"), F.col("o3"), None, F.col("ReturnDate") > F.col("max_date"),
              F.col("ReturnLagDays") < least_lag, F.col("IsRefunded") != (F.col("RefundAmount") > 0)]
-    row = e.agg(*[F.count_if(rule).alias(f"c{i}") for i, rule in enumerate(rules) if rule is not None],
-                (_cnt() - F.countDistinct(*grain)).alias("c3"))
+    row = distinct_counts(e, order, {"pairs": None}, {"n": _cnt(), **{f"c{i}": F.count_if(rule) for i, rule in enumerate(rules) if rule is not None}}, by=[line])
+    row = row.withColumn("c3", F.col("n") - F.col("pairs"))
     return metric_rows(row, [(label, F.col(f"c{i}")) for i, label in enumerate(labels)], "Check", "Value")
 
 
@@ -226,7 +229,7 @@ def _integrity(m, events: DataFrame, dim: DataFrame, key: str, grain: list[str],
        ("gen_online_returns", "dim_customer", "dim_product", "ref_return_reason", "scalars"))
 def q44(m):
     return _integrity(m, m.get(gen.gen_online_returns), m.dim_customer, "CustomerKey",
-                      ["SalesOrderNumber", "SalesOrderLineNumber"], 1, Q44_LABELS)
+                      F.substring("SalesOrderNumber", 3, 30), F.col("SalesOrderLineNumber"), 1, Q44_LABELS)
 
 
 @query("Q45_store_vs_online_returns", f"""
@@ -282,7 +285,8 @@ def q49(m):
 @query("Q50_store_return_integrity", _sql_integrity("gen_store_returns", "dim_store", "StoreKey", "SourceSalesKey", 0, Q50_LABELS),
        ("gen_store_returns", "dim_store", "dim_product", "ref_return_reason", "scalars"))
 def q50(m):
-    return _integrity(m, m.get(gen.gen_store_returns), m.dim_store, "StoreKey", ["SourceSalesKey"], 0, Q50_LABELS)
+    k, room = F.col("SourceSalesKey"), F.lit(LINES_PER_ORDER).cast("decimal(13,0)")
+    return _integrity(m, m.get(gen.gen_store_returns), m.dim_store, "StoreKey", F.call_function("div", k, room), (k % room).cast("long"), 0, Q50_LABELS)
 
 
 @query("Q66_returns_null_audit", """

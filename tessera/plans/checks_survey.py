@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import date_key, shift
-from tessera.operators import metric_rows, missing_in, sql_metric_rows
+from tessera.operators import distinct_counts, metric_rows, missing_in, sql_metric_rows
 from tessera.oracle.adapter_sql import register
 from tessera.plans import gen
 from tessera.plans.common import SHIFT, share, sql_share
@@ -52,13 +52,6 @@ def v19(m):
     return m.get(v_customer_survey)
 
 
-def _grain_code():
-    code = F.lit(0)
-    for name, c in reversed(list(TRIGGERS.items())):
-        code = F.when(F.col("SurveyTrigger") == name, F.lit(c)).otherwise(code)
-    return F.col("CustomerKey").cast("long") * 100 + code
-
-
 _SQL_GRAIN = ("CAST(CustomerKey AS BIGINT) * 100 + CASE SurveyTrigger "
               + " ".join(f"WHEN '{n}' THEN {c}" for n, c in TRIGGERS.items()) + " ELSE 0 END")
 
@@ -72,12 +65,14 @@ _SQL_GRAIN = ("CAST(CustomerKey AS BIGINT) * 100 + CASE SurveyTrigger "
   FROM gen_customer_survey""", ("gen_customer_survey",))
 def q33(m):
     s = m.get(gen.gen_customer_survey)
-    return s.agg(
-        _cnt().alias("TotalResponses"), F.countDistinct("CustomerKey").alias("UniqueCustomersSurveyed"),
-        F.count_if(F.col("SurveyTrigger") == "Post-Purchase").alias("PostPurchaseRows"),
-        F.count_if(F.col("SurveyTrigger") == "Quarterly").alias("QuarterlyRows"),
-        F.count_if(F.col("SurveyTrigger") == "Annual").alias("AnnualRows"),
-        (_cnt() - F.countDistinct(_grain_code())).alias("DuplicateGrainRows"))
+    at = {name: F.col("SurveyTrigger") == name for name in TRIGGERS}
+    counts = {"PostPurchaseRows": "Post-Purchase", "QuarterlyRows": "Quarterly", "AnnualRows": "Annual"}
+    # customers as a whole and under each trigger; a trigger beyond the known ones counts as one more
+    row = distinct_counts(s, F.col("CustomerKey"), {"UniqueCustomersSurveyed": None, "g0": ~F.coalesce(F.col("SurveyTrigger").isin(*TRIGGERS), F.lit(False)),
+                                                    **{f"g{code}": at[name] for name, code in TRIGGERS.items()}},
+                          {"TotalResponses": _cnt(), **{out: F.count_if(at[name]) for out, name in counts.items()}})
+    grains = sum((F.col(f"g{code}") for code in TRIGGERS.values()), F.col("g0"))
+    return row.select("TotalResponses", "UniqueCustomersSurveyed", *counts, (F.col("TotalResponses") - grains).alias("DuplicateGrainRows"))
 
 
 def _contrib():

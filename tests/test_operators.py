@@ -67,6 +67,22 @@ def test_ratio_rounds_ties_exactly(spark):
     assert duck == [(r["x"], r["y"]) for r in got]
 
 
+def test_distinct_counts_by_bits(spark):
+    """Dense, sparse, negative, null and repeated keys; pairs; conditions."""
+    from tessera.operators import distinct_counts
+
+    rows = [(k, k % 3, k % 5) for k in [*range(-200, 200), *range(-200, 50), *range(10**15, 10**17, 10**15), 2**62, -(2**62)]] + [(None, 1, 1), (5, None, 1)] + [(7, 1, 2)] * 500
+    df = spark.createDataFrame(rows, "k long, b int, c int").repartition(6)
+    got = distinct_counts(df, F.col("k"), {"all": None, "some": F.col("c") == 2, "none": F.lit(False)}, {"n": F.count(F.lit(1)), "twos": F.count_if(F.col("c") == 2)}).first()
+    keys = {k for k, _, _ in rows if k is not None}
+    assert tuple(got) == (len(keys), len({k for k, _, c in rows if c == 2}), 0, len(rows), sum(c == 2 for _, _, c in rows))
+    pairs = distinct_counts(df, F.col("k"), {"p": None}, by=[F.col("b")])
+    assert pairs.first()["p"] == len({(k, b) for k, b, _ in rows if k is not None and b is not None})
+    assert tuple(distinct_counts(df.limit(0), F.col("k"), {"a": None}, {"n": F.count(F.lit(1))}).first()) == (0, 0)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Expand" not in plan and "SortAggregate" not in plan
+
+
 def test_listagg_with_a_hot_group(spark):
     from tessera.operators import ordered_listagg
 
