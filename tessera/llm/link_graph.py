@@ -23,7 +23,9 @@ as often. Hosts that no seed reaches are allowed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -64,22 +66,28 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, enough: float = 1e-7) -> DataFrame:
     """Personalised PageRank ``kind, host, rank`` along ``edges(kind, src,
     dst, share)`` from ``seeds(kind, host, seed)``, whose seeds sum to 1 for
-    each kind. Mass without a way on returns to the seeds. Goes on until the
-    ranks move by less than ``enough`` in all: a round leaves at most
-    ``damping`` of the move before, so that is some 100 rounds at most."""
-    rank = cut(seeds.select("kind", "host", F.col("seed").alias("rank")))
+    each kind. Mass without a way on returns to the seeds.
+
+    Since all that does not flow on starts at the seeds again, the ranks are in
+    proportion to what one start brings in all its steps, ``seed + d P seed +
+    (d P)^2 seed + ..``. A round adds one step, one join; it goes on until what
+    is still to come, at most the last step times d / (1 - d), is below
+    ``enough`` (some 100 rounds at most, fewer where links end)."""
+    step = cut(seeds.select("kind", "host", F.col("seed").alias("rank")))
+    steps = [step]
     while True:
-        flow = rank.join(edges, (rank["host"] == edges["src"]) & (rank["kind"] == edges["kind"]))
-        flow = flow.select(rank["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
-        flow = cut(flow.groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
-        rest = flow.groupBy("kind").agg((1 - F.sum("rank")).alias("rest"))  # teleport and dangling mass, a row for each kind
-        back = seeds.join(F.broadcast(rest), "kind", "left").select("kind", "host", (F.col("seed") * F.coalesce("rest", F.lit(1.0))).alias("rank"))
-        now = cut(flow.unionByName(back).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
-        moved = now.unionByName(rank.withColumn("rank", -F.col("rank"))).groupBy("kind", "host").agg(F.abs(F.sum("rank")).alias("d"))
-        moved = moved.agg(F.sum("d")).first()[0] or 0.0
-        rank = now
-        if moved < enough:
-            return rank
+        flow = step.join(edges, (step["host"] == edges["src"]) & (step["kind"] == edges["kind"]))
+        flow = flow.select(step["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
+        left = Observation()
+        step = cut(flow.groupBy("kind", "host").agg(F.sum("rank").alias("rank")).observe(left, F.sum("rank").alias("mass")))
+        steps.append(step)
+        ended = (left.get.get("mass") or 0.0) * damping / (1 - damping) < enough
+        if ended or len(steps) > 16:
+            steps = [cut(reduce(DataFrame.unionByName, steps).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))]
+        if ended:
+            break
+    total = steps[0].groupBy("kind").agg(F.sum("rank").alias("total"))  # a row for each kind
+    return steps[0].join(F.broadcast(total), "kind").select("kind", "host", (F.col("rank") / F.col("total")).alias("rank"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, ratio: float = 1.0) -> DataFrame:

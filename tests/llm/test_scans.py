@@ -1,6 +1,8 @@
 """Secret scan, fingerprints, pages, urls and quality on small fixtures."""
 
+import collections
 import hashlib
+import math
 import random
 import re
 import time
@@ -50,6 +52,73 @@ def test_battery_adds_random_runs_only(docs):
     assert all(got[100 + i] == "" for i in range(30))
 
 
+def battery(body):
+    """The tests on one run in plain Python: -log10 p in tenths, or None if it
+    fails one; the margin is how near a test came to the other answer."""
+    plain = body.rstrip("=")
+    alphabet = next(a for form, a in secret_scan.ENCODINGS if re.search(form, plain))
+    if alphabet is None:
+        return None, 9.0
+    n, k, x = len(plain), len(alphabet), [alphabet.index(c) for c in plain]
+    counts = collections.Counter(x)
+    square = sum(c * c for c in counts.values())
+    chi = (sum((counts.get(i, 0) - n / k) ** 2 / (n / k) for i in range(k)) - (k - 1)) / math.sqrt(2 * (k - 1))
+    above = [2 * v >= k for v in x]
+    up = sum(above)
+    mean = 2 * up * (n - up) / n + 1
+    spread = (mean - 1) * (mean - 2) / (n - 1)
+    runs = (1 + sum(u != v for u, v in zip(above, above[1:])) - mean) / math.sqrt(spread) if spread > 0 else 99.0
+    middle = sum(x) / n
+    around = sum((v - middle) ** 2 for v in x)
+    serial = (sum((u - middle) * (v - middle) for u, v in zip(x, x[1:])) / around + 1 / n) * math.sqrt(n) if around else 99.0
+    margin = min(abs(secret_scan.REJECT - t) for t in (chi, abs(runs), abs(serial)))
+    if chi > secret_scan.REJECT or abs(runs) > secret_scan.REJECT or abs(serial) > secret_scan.REJECT:
+        return None, margin
+    two = max(secret_scan.PAIR, 2 / k)
+    three = max(secret_scan.TRIPLE, 1.28 * two * two)
+    variance = 2 * n * (n - 1) * two * (1 - two) + 4 * n * (n - 1) * (n - 2) * (three - two * two)
+    z = (n * (n - 1) * two - (square - n)) / math.sqrt(variance)
+    p = math.erfc(z / math.sqrt(2)) / 2
+    return min(secret_scan.BINS, max(0, math.floor(-10 * math.log10(p)) if p > 0 else secret_scan.BINS)), margin
+
+
+def test_battery_and_thresholds_of_plain_python(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    kinds = ["0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+             "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "eeeeaaiottnnssrrhldcumfpg"]
+    bodies = []
+    for _ in range(400):
+        letters = rng.choice(kinds)
+        body = [rng.choice(letters) for _ in range(rng.randint(20, 120))]
+        if rng.random() < 0.3:  # neighbours alike
+            body = [c for c in body for _ in range(rng.randint(1, 3))]
+        if rng.random() < 0.2:
+            body.sort()
+        bodies.append("".join(body) + "=" * rng.choice([0, 0, 1, 2]))
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, text string")
+    runs = df.select("i", "text", F.explode(secret_scan._runs(F.col("text"))).alias("r")).select("i", "text", "r.*").collect()
+    assert len(runs) == len(bodies)
+    passed = 0
+    for r in runs:
+        want, margin = battery(r["text"])
+        if margin > 1e-9:
+            assert (r["bin"] is None) == (want is None), r
+        if want is not None and r["bin"] is not None:
+            passed += 1
+            assert abs(r["bin"] - want) <= 1, (r, want)
+    assert 50 < passed < len(bodies)
+    # Benjamini-Hochberg in each class, from the bins
+    least = secret_scan._thresholds(df).first()["_least"]
+    by_class = collections.defaultdict(list)
+    for r in runs:
+        by_class[r["class"]].append(-1 if r["bin"] is None else r["bin"])
+    for c, bins in by_class.items():
+        good = [b for b in set(bins) if b >= 0 and 10 ** (-b / 10) * len(bins) <= secret_scan.RATE * sum(x >= b for x in bins)]
+        assert least.get(c) == (min(good) if good else None)
+
+
 def test_redaction(docs, secrets):
     df = docs(secrets)
     out = secret_scan.redact(df)
