@@ -93,14 +93,14 @@ def salted(post: DataFrame, every: int = 64, part: int = 4096) -> DataFrame:
 
 
 def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool = False,
-         near: Callable[[Column, Column], Column] | None = None, carry: bool = True, enough: Column | None = None) -> DataFrame:
+         near: Callable[[Column, Column], Column] | None = None, carry: bool = True, enough: Column | None = None, also: str | None = None) -> DataFrame:
     """Links ``a, b`` that connect every pair which shares a key and verifies.
 
     ``post(key, id)`` are the ids under each key; ``verify`` takes candidate
     pairs ``a, b, shared`` (number of keys shared) and returns those linked.
     With ``near``, ``post`` also has a ``mark``; keys under which two marks are
     not near do not count, and with ``carry`` pairs also have their largest
-    marks ``ma, mb``. ``enough`` says of a pair's columns whether it shares
+    marks ``ma, mb``. ``also`` names one more column that ``near`` is told of. ``enough`` says of a pair's columns whether it shares
     enough keys to be verified. Copies are not expanded into all pairs:
 
     1. star: each id is compared with the smallest id under each of its keys
@@ -115,16 +115,18 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
     w = Window.partitionBy("key", "salt")
     rows = salted(post).withColumn("n", F.count("*").over(w))
     marks = ["ma", "mb"] if near and carry else []
+    told = ["mark", *([also] if also else [])]
     if near:
-        rows = rows.withColumn("p", F.min(F.struct("id", "mark")).over(w)).select("key", "salt", "hot", "id", "mark", "n", F.col("p.id").alias("piv"), F.col("p.mark").alias("piv_mark"))
-        rows = rows.withColumn("close", near(F.col("mark"), F.col("piv_mark")))
+        rows = rows.withColumn("p", F.min(F.struct("id", *told)).over(w)).select("key", "salt", "hot", "id", *told, "n", F.col("p.id").alias("piv"), *[F.col(f"p.{c}").alias(f"piv_{c}") for c in told])
+        rows = rows.withColumn("close", near(*[F.col(f"{p}{c}") for c in told for p in ("", "piv_")]))
         # a mark need not be near itself: two ids are judged by the other one
         rows = rows.withColumn("pair", F.max(F.col("close") & (F.col("id") != F.col("piv"))).over(w))
     else:
         rows = rows.withColumn("piv", F.min("id").over(w)).withColumns({"close": F.lit(True), "pair": F.lit(True)})
     # a key with two ids that are not near has no candidate; of a hot key, n counts a part only
     rows = rows.withColumn("two", ~F.col("hot") & (F.col("n") == 2))
-    multi = cut(rows.where("hot or n > 2 or (two and pair)").drop("n", "salt", "hot", "pair"))
+    unused = [] if marks else ["piv_mark", f"piv_{also}"]
+    multi = cut(rows.where("hot or n > 2 or (two and pair)").drop("n", "salt", "hot", "pair", *unused))
 
     def candidates(pairs: DataFrame) -> DataFrame:
         found = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(m).alias(m) for m in marks])
@@ -138,12 +140,12 @@ def link(post: DataFrame, verify: Callable[[DataFrame], DataFrame], best: bool =
         first = first.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("last"), *rest[2:], "b")).alias("p")).select("a", *[f"p.{c}" for c in rest])
     one = cut(verify(first))
     comp = cut(components(one))
-    rows = multi.where("not two").drop("piv", "piv_mark", "close", "two").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    rows = multi.where("not two").drop("piv", "piv_mark", f"piv_{also}", "close", "two").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     rows = cut(rows.join(mixed, "key", "left_semi"))
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
     if near:
-        apart = apart & near(F.col("x.mark"), F.col("y.mark"))
+        apart = apart & near(*[F.col(f"{p}.{c}") for c in told for p in ("x", "y")])
     up = F.col("x.id") > F.col("y.id")
     turned = lambda c: [F.when(up, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")), F.when(up, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}"))]
     named = zip(["a", "b", *marks], turned("id") + (turned("mark") if marks else []))
