@@ -55,6 +55,26 @@ def noise(salt: str, *keys: ColumnOrName) -> Column:
     return F.pmod(h * h + a, p)
 
 
+def noises(salts: list[str], *keys: ColumnOrName) -> Column:
+    """``noise`` of the same keys for many salts, as an array in their order.
+
+    Written out, a dozen draws make a generated method beyond the size that the
+    JVM compiles, and it then runs interpreted; as a function over the salts
+    the code stays small."""
+    p = F.lit(HASH_P)
+    each = F.array(*[F.struct(F.lit(salt_seed(s)).cast("long").alias("seed"), F.lit(salt_mul(s)).cast("long").alias("mul")) for s in salts])
+
+    def one(s: Column) -> Column:
+        h, a = s["seed"], s["mul"]
+        for k in keys:
+            kk = F.pmod(_col(k).cast("long"), p)
+            h = F.pmod(h * a + kk * kk + kk + HASH_ADD, p)
+        h = F.pmod(h * a + HASH_ADD, p)
+        return F.pmod(h * h + a, p)
+
+    return F.transform(each, one)
+
+
 def draw(salt: str, n: int, *keys: ColumnOrName) -> Column:
     """Integer draw in ``0..n-1``."""
     return F.pmod(noise(salt, *keys), F.lit(n))

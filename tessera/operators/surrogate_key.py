@@ -16,6 +16,8 @@ All of it is one lazy plan: nothing runs while it is built, and two
 evaluations agree. Ids must be unique in a group and not null. ``steps``
 bounds both sides: ids with a common prefix as long as the last step are
 numbered in one task, and continuations between two steps are in one window.
+With the default, for ids of a letter code and digits, a window sees about one
+in ten thousand of the ids; a step between makes that finer.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_row_number(df: DataFrame, group: str, order: str, name: str, steps: tuple[int, ...] = (7, 12, 17, 22)) -> DataFrame:
+def with_row_number(df: DataFrame, group: str, order: str, name: str, steps: tuple[int, ...] = (8, 22)) -> DataFrame:
     """``df`` with ``name``, its rows' numbers from 1 in the order of
     ``group`` and then the text ``order``."""
     prefixes = [f"_p{n}" for n in steps]

@@ -30,7 +30,7 @@ from tessera.config import MartConfig
 from tessera.mart import RAW_TABLES, Mart
 from tessera.plans import checks_fulfilment, checks_marts, checks_returns, checks_survey, dims, facts, gen
 from tessera.plans.registry import REGISTRY
-from tessera.store import PrerequisiteError, TableStore
+from tessera.store import PrerequisiteError, TableStore, inputs_digest
 
 # dependency order: P4 (marketing spend) needs P1 (acquisition)
 GEN_ORDER = [gen.gen_customer_acquisition, gen.gen_order_payment, gen.gen_order_fulfillment,
@@ -100,9 +100,16 @@ def build_sources(spark: SparkSession, sf_dir: str, out_dir: str, tables=None, p
     return src_dir
 
 
+_COMPLETE: set[str] = set()  # digests of inputs that were found complete
+
+
 def require_inputs(spark: SparkSession, sf_dir: str) -> None:
-    """All input tables and columns that the pipelines read are there."""
+    """All input tables and columns that the pipelines read are there. The same
+    files are looked into once a session."""
     store, lost = TableStore(spark, sf_dir), []
+    digest = inputs_digest(spark, sf_dir.rstrip("/"), RAW_TABLES, "columns")
+    if digest in _COMPLETE:
+        return
     for t in RAW_TABLES:
         path = f"{sf_dir.rstrip('/')}/{t}.parquet"
         if not store.files.exists(path):
@@ -112,6 +119,7 @@ def require_inputs(spark: SparkSession, sf_dir: str) -> None:
         lost += [f"{t}: no column {c}" for c in sorted(missing)]
     if lost:
         raise PrerequisiteError("missing inputs: " + "; ".join(lost))
+    _COMPLETE.add(digest)
 
 
 def require_tables(m: Mart, fn) -> None:

@@ -29,7 +29,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import draw, pad
+from tessera.functions import draw, noises, pad
 
 D = lambda s: F.lit(Decimal(s))  # noqa: E731  decimal literal (Spark's lit(0.6) is DOUBLE)
 
@@ -467,18 +467,11 @@ def fact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"),
     ).agg(F.sum("l_quantity").alias("q"))
     keys = (F.year("m") * 100 + F.month("m"), "s", "p")  # integer noise keys
-    # Each draw is computed once into a column; the expressions below only
-    # reference them (keeps the generated aggregate-output method small).
-    d = g.select(
-        "m", "s", "p", "q",
-        (draw("inv_ss", 40, *keys) + 5).cast("int").alias("ss"),
-        draw("inv_mult", 100, *keys).alias("mult"),
-        draw("inv_lo", 100, *keys).alias("lo"), draw("inv_mid", 3, *keys).alias("mid"),
-        draw("inv_hi", 50, *keys).alias("hi"), draw("inv_cost", 2000, *keys).alias("cost"),
-        draw("inv_days", 365, *keys).alias("days"), draw("inv_min", 30, *keys).alias("mn"),
-        draw("inv_max", 300, *keys).alias("mx"), draw("inv_age0", 10, *keys).alias("age0"),
-        draw("inv_age", 365, *keys).alias("age"),
-    )
+    draws = {"ss": ("inv_ss", 40), "mult": ("inv_mult", 100), "lo": ("inv_lo", 100), "mid": ("inv_mid", 3), "hi": ("inv_hi", 50), "cost": ("inv_cost", 2000),
+             "days": ("inv_days", 365), "mn": ("inv_min", 30), "mx": ("inv_max", 300), "age0": ("inv_age0", 10), "age": ("inv_age", 365)}
+    d = g.select("m", "s", "p", "q", noises([salt for salt, _ in draws.values()], *keys).alias("r"))
+    d = d.select("m", "s", "p", "q", *[F.pmod(F.col("r")[i], F.lit(n)).alias(name) for i, (name, (_, n)) in enumerate(draws.items())])
+    d = d.withColumn("ss", (F.col("ss") + 5).cast("int"))
     ss, mult = F.col("ss"), F.col("mult")
     on_hand = (
         F.when(mult < 2, F.lit(0))
