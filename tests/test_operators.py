@@ -350,3 +350,15 @@ def test_spend_rows_by_hand(spark):
     assert r.CostPerClick == r.CostPerAcquisition == cents
     assert r.ClickThroughRate == (Decimal(1000) / r.Impressions).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
     assert dict(m.get(checks_marts.v_sales_quota).dtypes)["GrossMarginQuotaPct"] == "decimal(10,4)"
+
+
+def test_draws_of_many_salts_are_the_single_draws(spark):
+    from tessera.functions import noise, noise_term, noises
+
+    rows = [(0, 1, 2), (-5, 2**31 - 1, 2**31 - 2), (2**62, -2**62, 7), (199801, 10_000, 200_000), (None, 1, 2)]
+    salts = ["inv_ss", "inv_cost", "x"]
+    for keys in (["a"], ["a", "b"], ["a", "b", "c"]):
+        df = spark.createDataFrame(rows, "a long, b long, c long")
+        many = noises(salts, *[noise_term(k) for k in keys])
+        for r in df.select(F.array(*many).alias("got"), F.array(*[noise(s, *keys) for s in salts]).alias("want")).collect():
+            assert r.got == r.want
