@@ -26,25 +26,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_row_number(df: DataFrame, group: str, order: str, name: str, steps: tuple[int, ...] = (8, 22)) -> DataFrame:
+def with_row_number(df: DataFrame, group: str | list[str], order: str, name: str | None = None, steps: tuple[int, ...] = (8, 22)) -> DataFrame:
     """``df`` with ``name``, its rows' numbers from 1 in the order of
-    ``group`` and then the text ``order``."""
+    ``group`` and then the text ``order``; or, as ``with_row_number(df, columns,
+    name)``, in the order of a list of columns."""
+    if not isinstance(group, str):
+        return _by_levels(df, group, group, group[-1], order)
     prefixes = [f"_p{n}" for n in steps]
-    cut = [F.left(F.col(order), F.lit(n)).alias(p) for n, p in zip(steps, prefixes)]
-    level = df.groupBy(F.col(group), *cut).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    levels = []
-    for k in range(len(steps), 0, -1):
-        above = [group, *prefixes[:k - 1]]
-        before = F.coalesce(F.sum("_n").over(earlier(*above).orderBy(prefixes[k - 1])), F.lit(0))
-        levels.append((above, level.withColumn(f"_before{k}", before)))
-        level = level.groupBy(*above).agg(F.sum("_n").alias("_n"))
-    # one row for each group: the groups are few (here, two channels)
-    starts = level.select(group, F.coalesce(F.sum("_n").over(earlier().orderBy(group)), F.lit(0)).alias("_start"))
-    for above, counted in reversed(levels):
-        starts = counted.drop("_n").join(starts, above)
-    total = sum((F.col(f"_before{k}") for k in range(1, len(steps) + 1)), F.col("_start"))
-    starts = starts.select(F.col(group), F.col(prefixes[-1]).alias("_last"), total.alias("_start"))
-    place = F.row_number().over(Window.partitionBy(group, "_last").orderBy(order))
-    out = df.withColumn("_last", F.left(F.col(order), F.lit(steps[-1]))).withColumn("_place", place).join(starts, [group, "_last"])
-    return out.withColumn(name, (F.col("_start") + F.col("_place")).cast("long")).drop("_last", "_place", "_start")
+    keyed = df.withColumns({p: F.left(F.col(order), F.lit(n)) for n, p in zip(steps, prefixes)})
+    return _by_levels(keyed, [group, *prefixes], [group, prefixes[-1]], order, name).drop(*prefixes)
+
+
+def _by_levels(df: DataFrame, levels: list[str], last: list[str], order: str, name: str) -> DataFrame:
+    """Numbers ``df`` in the order of ``levels``, each under the ones before,
+    and then ``order``; ``last`` are the levels that tell all others."""
+    level = df.groupBy(*levels).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = lambda by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    counted = []
+    for k in range(len(levels) - 1, 0, -1):
+        before = F.coalesce(F.sum("_n").over(earlier(levels[:k]).orderBy(levels[k])), F.lit(0))
+        counted.append((levels[:k], level.withColumn(f"_before{k}", before)))
+        level = level.groupBy(*levels[:k]).agg(F.sum("_n").alias("_n"))
+    # one row for each value of the first level: the groups are few (here, two channels)
+    starts = level.select(levels[0], F.coalesce(F.sum("_n").over(earlier([]).orderBy(levels[0])), F.lit(0)).alias("_start"))
+    for above, rows in reversed(counted):
+        starts = rows.drop("_n").join(starts, above)
+    total = sum((F.col(f"_before{k}") for k in range(1, len(levels))), F.col("_start"))
+    starts = starts.select(*last, total.alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*last).orderBy(order))
+    out = df.withColumn("_place", place).join(starts, last)
+    return out.withColumn(name, (F.col("_start") + F.col("_place")).cast("long")).drop("_place", "_start")
