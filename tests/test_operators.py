@@ -362,3 +362,19 @@ def test_draws_of_many_salts_are_the_single_draws(spark):
         many = noises(salts, *[noise_term(k) for k in keys])
         for r in df.select(F.array(*many).alias("got"), F.array(*[noise(s, *keys) for s in salts]).alias("want")).collect():
             assert r.got == r.want
+
+
+def test_lines_without_number_or_part_keep_their_place(spark):
+    """They get no number, but later lines of their order are counted after them."""
+    from tessera.sources.adapter import LINE_ORDER, line_numbers
+
+    rows = [(1, None, 5, 1, 1, 1.0), (1, None, None, 1, 1, 1.0), (1, None, None, 1, 1, 1.0), (1, 1, None, 2, 1, 1.0), (1, 1, 9, 2, 1, 1.0), (1, 2, 10**6, 2, 1, 1.0),
+            (1, 2, 10**6, 2, 1, 1.0), (1, 3, 1, None, None, None), (2, 4, 1, 1, 1, 0.5), (None, 1, 1, 1, 1, 1.0), (3, 1, 1, 1, 1, 1.0)]
+    df = spark.createDataFrame(rows, "OrderKey long, _ln int, _pk long, _sk long, _sd int, _ep double").repartition(3)
+    got = line_numbers(df, spark.createDataFrame([(1, "a"), (2, "b")], "OrderKey long, o string")).collect()
+    low = lambda r: [(v is not None, v or 0) for v in r]  # noqa: E731  nulls first
+    want = {}
+    for order in (1, 2):
+        lines = sorted({r for r in rows if r[0] == order}, key=low)
+        want |= {r: n for n, r in enumerate(lines, 1) if None not in r[:3]}
+    assert {tuple(r[c] for c in LINE_ORDER): r.LineNumber for r in got} == want and len(got) == len(want)
