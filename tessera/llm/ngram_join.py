@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import boxed, components, cut, link, maybe_in, unboxed
+from .common import boxed, components, cut, in_sample, link, maybe_in, unboxed
 
 SLICE = 1 << 20  # bytes hashed at once
 HOT_SHINGLES = 500_000  # at most so many are ranked by count; the others by hash
@@ -42,6 +42,7 @@ BATCH, HOT_IN_BATCH = 1 << 21, 3  # shingles in a batch, and occurrences there t
 MEETINGS, MEETING_EVERY = 3, 20  # `l` is 1, and 1 more for every 20 shingles, to 3
 FRAGMENTS = 8
 PART = 256  # members of a star compared in one group
+AT_ONCE = 500_000  # so many pairs of ids (24 bytes each) are broadcast to the texts; for more, the texts are shuffled to them
 
 _RNG = np.random.default_rng(20)
 _BYTES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -183,8 +184,26 @@ def _may_reach(num: int, den: int):
     return near
 
 
+def _mark(s: np.ndarray) -> tuple[int, int, int]:
+    """Size and 128-bit hash of a set."""
+    with np.errstate(over="ignore"):
+        return len(s), *(int(x.view(np.int64)) for x in (s.sum(dtype=np.uint64), (_mix(s) * s).sum(dtype=np.uint64)))
+
+
+def _marks(words: int):
+    """``doc_id, n, h1, h2``."""
+
+    def run(batches):
+        for batch in batches:
+            marks = [_mark(s) for s in shingle_sets(batch.column("text").to_pylist(), words)]
+            cols = zip(*marks) if marks else [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols)], names=["doc_id", "n", "h1", "h2"])
+
+    return run
+
+
 def _prefixes(words: int, num: int, den: int, hot):
-    """``doc_id, n, h1, h2, keys``; keys only once in a task for equal sets."""
+    """``doc_id, n, keys`` of documents with shingles; only once in a task for equal sets."""
 
     def run(batches):
         ranked, counts = hot.value
@@ -193,10 +212,7 @@ def _prefixes(words: int, num: int, den: int, hot):
             ids = batch.column("doc_id").to_pylist()
             out = []
             for doc, s in zip(ids, shingle_sets(batch.column("text").to_pylist(), words)):
-                n = len(s)
-                with np.errstate(over="ignore"):
-                    mark = (n, int(s.sum(dtype=np.uint64)), int((_mix(s) * s).sum(dtype=np.uint64)))
-                keys = None
+                n, mark = len(s), _mark(s)
                 if n and doc is not None and mark not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(mark)
@@ -204,11 +220,9 @@ def _prefixes(words: int, num: int, den: int, hot):
                         i = np.minimum(np.searchsorted(ranked, s), len(ranked) - 1)
                         count = np.where(ranked[i] == s, counts[i], 0)
                         s = s[np.argsort(count, kind="stable")]
-                    keys = s[: prefix_length(n, num, den)].view(np.int64)
-                out.append((n, mark[1] - (1 << 64) * (mark[1] >> 63), mark[2] - (1 << 64) * (mark[2] >> 63), keys))
-            n, a, b, keys = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                                              pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n", "h1", "h2", "keys"])
+                    out.append((doc, n, s[: prefix_length(n, num, den)].view(np.int64)))
+            doc, n, keys = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n", "keys"])
 
     return run
 
@@ -256,22 +270,27 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
     shingle = top.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(shingle)
     hot = spark.sparkContext.broadcast((shingle[order], top.column("n").to_numpy().astype(np.int64)[order]))
-    sets = cut(src.mapInArrow(_prefixes(words, num, den, hot), "doc_id long, n long, h1 long, h2 long, keys array<long>"))
+    sets = cut(src.mapInArrow(_marks(words), "doc_id long, n long, h1 long, h2 long"))
 
     marks = sets.where("n > 0 and doc_id is not null").select("doc_id", "n", "h1", "h2")
     firsts = cut(marks.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("b"), F.count("*").alias("c")).where("c > 1").drop("c"))
     same = marks.join(firsts, ["n", "h1", "h2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
-    post = sets.where("keys is not null").select(F.posexplode("keys").alias("at", "key"), F.col("doc_id").alias("id"), "n")
-    post = post.select("key", "id", (F.shiftleft("n", 32) + F.col("at")).alias("mark"))
+
+    # Sets are made anew for their prefixes, which would take half as much disk as the texts do.
+    def post(rows: DataFrame) -> DataFrame:
+        keys = rows.mapInArrow(_prefixes(words, num, den, hot), "doc_id long, n long, keys array<long>")
+        keys = keys.select(F.posexplode("keys").alias("at", "key"), F.col("doc_id").alias("id"), "n")
+        return keys.select("key", "id", (F.shiftleft("n", 32) + F.col("at")).alias("mark"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs.select("a", "b"))
+        sent = F.broadcast if pairs.count() <= AT_ONCE else (lambda df: df)
         parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
         text = maybe_in(src, "doc_id", pairs.select(F.col("a").alias("id")))
-        members = text.join(pairs.join(parts, "b"), F.col("doc_id") == F.col("a"))
+        members = text.join(sent(pairs.join(parts, "b")), F.col("doc_id") == F.col("a"))
         members = members.select("b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"), "a", "text")
         text = maybe_in(src, "doc_id", pairs.select(F.col("b").alias("id")))
-        heads = text.join(parts, F.col("doc_id") == F.col("b"))
+        heads = text.join(sent(parts), F.col("doc_id") == F.col("b"))
         heads = heads.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("a"), "text")
         rows = heads.unionByName(members).repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
         counted = rows.mapInArrow(_overlaps(words), "a long, b long, mark long, na long, nb long, fragment long, same long")
@@ -280,7 +299,7 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
         return summed.where(linked).select("a", "b").distinct()
 
     enough = F.col("shared") >= _meetings(F.shiftright("ma", 32), F.shiftright("mb", 32))
-    comp = components(same.unionByName(link(post, verify, best=True, near=_may_reach(num, den), enough=enough)))
+    comp = components(same.unionByName(link(post(src), verify, best=True, near=_may_reach(num, den), enough=enough, sample=post(src.where(in_sample("doc_id"))))))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 

@@ -1,6 +1,8 @@
 import random
 
-from tessera.llm.common import boxed, components, maybe_in, unboxed
+from pyspark.sql import functions as F
+
+from tessera.llm.common import FREE_SHUFFLES, boxed, components, cut, link, maybe_in, salted, unboxed
 
 
 def test_components_are_those_of_union_find(spark):
@@ -35,3 +37,29 @@ def test_bitmap_loses_no_id(spark):
 def test_boxed_rows_come_back(docs):
     df = docs([(1, "a"), (None, None)])
     assert unboxed(boxed(df), df).collect() == df.collect()
+
+
+def shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    return {f for f in env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def test_cut_leaves_no_shuffle_behind(spark):
+    df = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()
+    before, setting = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES, "false")
+    tables = [cut(df) for _ in range(3)]
+    assert spark.conf.get(FREE_SHUFFLES, "false") == setting
+    assert not shuffle_files(spark) - before
+    assert [t.count() for t in tables] == [700] * 3
+
+
+def test_links_across_components_under_hot_and_other_keys(spark):
+    """Two groups of ids under each of two keys, one of them hot."""
+    ids = {1: [64 * i for i in range(1, 90)], 2: [10_000 + i for i in range(40)]}
+    rows = [(key, i) for key, some in ids.items() for i in some for _ in range(70 if key == 1 else 1)]
+    df = spark.createDataFrame(rows, "key long, id long")
+    hot = [r["key"] for r in salted(df).where("hot").select("key").distinct().collect()]
+    assert hot == [1]
+    odd = lambda c: F.when(F.col(c) < 10_000, F.floor(F.col(c) / 64)).otherwise(F.col(c)) % 2
+    got = components(link(df, lambda pairs: pairs.where(odd("a") == odd("b")).select("a", "b"))).collect()
+    assert {r["id"]: r["component"] for r in got} == {i: some[n % 2] for some in ids.values() for n, i in enumerate(some)}
