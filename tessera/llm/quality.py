@@ -172,7 +172,8 @@ def fit(x: np.ndarray, good: np.ndarray, rounds: int = 400, ridge: float = 1e-3)
     w, b = np.zeros(x.shape[1]), 0.0
     if not len(x):
         return w, b
-    ahead, ahead_b, step = w, b, 1 / (0.25 * ((x * x).sum(axis=1).max() + 1) + ridge)
+    most = max((x[at:at + 256] ** 2).sum(axis=1).max() for at in range(0, len(x), 256))  # of some rows at a time: no second matrix
+    ahead, ahead_b, step = w, b, 1 / (0.25 * (most + 1) + ridge)
     for i in range(rounds):
         gap = 1 / (1 + np.exp(-(x @ ahead + ahead_b))) - good
         w_new, b_new = ahead - step * (x.T @ gap / len(x) + ridge * ahead), ahead_b - step * gap.mean()
@@ -209,11 +210,16 @@ def judge(docs: DataFrame, threshold: float = 0.4, fit_rows: int = FIT_ROWS) ->
 
     share = min(1.0, fit_rows / max(1, sum(counts.values())))
     few = text.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).where("doc_id is not null")
-    few = cut(few.mapInArrow(_sampled, "pattern long, at array<long>, value array<double>")).orderBy("pattern", "at", "value").collect()
+    few = cut(few.mapInArrow(_sampled, "pattern long, at array<long>, value array<double>")).orderBy("pattern", "at", "value").toArrow()
     x = np.zeros((len(few), SHAPES))
-    for row, r in zip(x, few):
-        row[r["at"]] = r["value"]
-    w, b = fit(x, np.array([weak[r["pattern"]] for r in few]))
+    row = 0
+    for batch in few.to_batches():  # as columns: as Python objects the values take ten times the space
+        at, value = batch.column("at"), batch.column("value")
+        rows = np.repeat(np.arange(row, row + len(batch)), np.diff(at.offsets.to_numpy()))
+        x[rows, at.flatten().to_numpy()] = value.flatten().to_numpy()
+        row += len(batch)
+    w, b = fit(x, np.array([weak[p] for p in few.column("pattern").to_pylist()]))
+    del x, few
 
     model = docs.sparkSession.sparkContext.broadcast((weak, w, b))
 

@@ -8,6 +8,7 @@ import re
 import time
 
 import duckdb
+import numpy as np
 import pytest
 
 from tessera.llm import html_extract, link_graph, quality, secret_scan, winnow
@@ -346,3 +347,17 @@ def test_html_boilerplate_on_two_pages_of_a_dealt_host(spark, monkeypatch):
     for size in (html_extract.GROUP_BYTES, 300):
         monkeypatch.setattr(html_extract, "GROUP_BYTES", size)
         assert {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()} == want
+
+
+def test_the_fit_makes_no_second_matrix():
+    import tracemalloc
+
+    x = np.random.default_rng(0).random((2000, 1000))
+    good = (x[:, 0] > 0.5).astype(float)
+    tracemalloc.start()
+    w, b = quality.fit(x, good, rounds=3)
+    assert tracemalloc.get_traced_memory()[1] < x.nbytes / 2
+    tracemalloc.stop()
+    ahead, step = np.zeros(1000), 1 / (0.25 * ((x * x).sum(axis=1).max() + 1) + 1e-3)
+    one, _ = quality.fit(x, good, rounds=1)
+    assert np.array_equal(one, ahead - step * (x.T @ (0.5 - good) / len(x) + 1e-3 * ahead))
