@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import boxed, components, cut, in_sample, link, maybe_in, unboxed
+from .common import alone, boxed, components, cut, in_sample, link, maybe_in, unboxed
 
 SLICE = 1 << 20  # bytes hashed at once
 HOT_SHINGLES = 500_000  # at most so many are ranked by count; the others by hash
@@ -299,7 +299,8 @@ def near_documents(docs: DataFrame, num: int = 75, den: int = 100, words: int =
         return summed.where(linked).select("a", "b").distinct()
 
     enough = F.col("shared") >= _meetings(F.shiftright("ma", 32), F.shiftright("mb", 32))
-    comp = components(same.unionByName(link(post(src), verify, best=True, near=_may_reach(num, den), enough=enough, sample=post(src.where(in_sample("doc_id"))))))
+    comp = alone(spark, lambda: components(same.unionByName(
+        link(post(src), verify, best=True, near=_may_reach(num, den), enough=enough, sample=post(src.where(in_sample("doc_id")))))))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -318,7 +319,7 @@ def first_of_each(docs: DataFrame, num: int = 75, den: int = 100, words: int = 5
     several = cut(several.select(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark"), (F.monotonically_increasing_id() + F.lit(last + 1)).alias("new")))
     named = src.join(several, (F.col("doc_id") == F.col("of")) & (F.col("mark") == F.col("of_mark")), "left")
     named = named.select("row", F.coalesce("new", "doc_id").alias("doc_id"), "text")
-    heads = cut(near_documents(named, num, den, words).where("component_id = doc_id").select("doc_id").distinct())
+    heads = alone(docs.sparkSession, lambda: near_documents(named, num, den, words).where("component_id = doc_id").select("doc_id").distinct())
     order = Window.partitionBy("doc_id").orderBy("text")
     kept = named.join(heads, "doc_id").withColumn("n", F.row_number().over(order)).where("n = 1")
     return unboxed(kept.select("row").unionByName(src.where("doc_id is null").select("row")), docs)
