@@ -1,7 +1,9 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import decontam
 
@@ -92,3 +94,23 @@ def test_whole_text_of_a_long_document(spark, docs):
     item = "one two three four five six seven eight nine ten"
     long = "filler text " * 200_000 + item + " more" * 100
     assert run(spark, docs, [(1, long)], [("i", item)], piece_words=50_000) == [(1, 400_110, 10, ["i"], ["i"])]
+
+
+def test_blocks_go_to_python_one_by_one(spark, docs, monkeypatch):
+    """A block is a row of some MB; texts cross a few MB at a time."""
+    keys = ["spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before, seen, cut = [spark.conf.get(k) for k in keys], [], decontam.cut
+
+    def rows(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+
+    def counted(df):
+        wide = spark.range(0, 4, 1, 1).select(F.expr("repeat('x', 3000000)").alias("text"))
+        seen.append(max(r["n"] for r in wide.mapInArrow(rows, "n long").collect()))
+        return cut(df)
+
+    monkeypatch.setattr(decontam, "cut", counted)
+    got = run(spark, docs, [(1, "a b c d"), (2, "b c")], [("i", "b c")], window=2, span=None)
+    assert [(d, hit) for d, _, hit, *_ in got] == [(1, 2), (2, 2)]
+    assert seen == [1, 1]  # of the texts and of the blocks
+    assert [spark.conf.get(k) for k in keys] == before
